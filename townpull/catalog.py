@@ -73,6 +73,206 @@ for _rule, _metric, _scope, _name in [
     register(_name, _assign_sql(_rule, _metric, _scope))(_assign_query(_rule, _metric, _scope))
 
 
+# ------------------------------------------------------------ B filters -----
+from townpull.operators import filters as B  # noqa: E402
+from townpull.operators import metro_rules as MR  # noqa: E402
+from townpull.operators import profile as PR  # noqa: E402
+from townpull.operators import setops as SO  # noqa: E402
+from townpull.operators.radius_join import bbox_candidates, radius_join  # noqa: E402
+from townpull.operators.ranking import best_candidate, top_metros  # noqa: E402
+from townpull.plans.assign import attach_best, with_radius  # noqa: E402
+from townpull.plans.maps import assignment_lines  # noqa: E402
+
+_P = S.with_(S.PLACES)
+_PP = S.with_(S.PLACES, S.POP)
+
+
+def _q(name: str, sql: str | None, fn: Query) -> None:
+    register(name, sql)(fn)
+
+
+_q("b1_populated_places", _PP + "SELECT * FROM pop", _populated)
+_q("b2_population_zero", _P + "SELECT * FROM places WHERE population = 0",
+   lambda sp, sf: B.filter_population(places(sp, sf), "zero"))
+_q("b2_population_positive", _P + "SELECT * FROM places WHERE population > 0",
+   lambda sp, sf: B.filter_population(places(sp, sf), "positive"))
+_q("b3_feature_class_p", _P + "SELECT * FROM places WHERE feature_class = 'P'",
+   lambda sp, sf: B.filter_feature(places(sp, sf), class_="P"))
+_q("b3_feature_code_ppla", _P + "SELECT * FROM places WHERE feature_code = 'PPLA'",
+   lambda sp, sf: B.filter_feature(places(sp, sf), code="PPLA"))
+_q("b4_hotel_with_population", _P + "SELECT * FROM places WHERE feature_code = 'HTL' AND population > 0",
+   lambda sp, sf: B.filter_populated_code(places(sp, sf), "HTL"))
+_q("b5_name_lookup", _P + "SELECT * FROM places WHERE name = 'Town-7'",
+   lambda sp, sf: B.filter_name(places(sp, sf), "Town-7", col="name"))
+_q("b6_codes_in", _P + "SELECT * FROM places WHERE feature_code IN ('PPLC', 'PPLA', 'PPLA2')",
+   lambda sp, sf: B.filter_codes(places(sp, sf), ["PPLC", "PPLA", "PPLA2"]))
+_q("b6_codes_not_in", _P + "SELECT * FROM places WHERE feature_class = 'P' AND "
+   "NOT COALESCE(feature_code IN ('PPLH', 'PPLX'), false)",
+   lambda sp, sf: B.filter_codes(B.filter_feature(places(sp, sf), class_="P"), ["PPLH", "PPLX"], negate=True))
+for _rule, _id in [("share_only", "b7"), ("share_excl_ppl", "b8"), ("admin_seat", "b9")]:
+    _q(f"{_id}_metros_{_rule}", S.with_(S.PLACES, S.POP, *S.flag_cte(_rule)) + f"SELECT {S.COLS} FROM flag WHERE isMetro",
+       (lambda r: lambda sp, sf: MR.metro_rule(_populated(sp, sf), r))(_rule))
+_q("b7_metros_share_only_by_country",
+   S.with_(S.PLACES, S.POP, *S.flag_cte("share_only", "country")) + f"SELECT {S.COLS} FROM flag WHERE isMetro",
+   lambda sp, sf: MR.metro_rule(_populated(sp, sf), "share_only", scope="country"))
+_q("b10_flag_metros", S.with_(S.PLACES, S.POP, *S.flag_cte("share_excl_ppl")) + "SELECT * FROM flag",
+   lambda sp, sf: MR.flag_metros(_populated(sp, sf), "share_excl_ppl"))
+_q("b11_split_towns", S.with_(S.PLACES, S.POP, *S.flag_cte("share_only")) + "SELECT * FROM flag WHERE NOT isMetro",
+   lambda sp, sf: B.split_metros(MR.flag_metros(_populated(sp, sf), "share_only"))[1])
+_q("b12_filter_assigned",
+   f"SELECT * FROM ({_assign_sql('share_only', 'haversine')}) a WHERE isMetro OR assigned_metro_id IS NOT NULL",
+   lambda sp, sf: B.filter_assigned(QUERIES["p1_assign_share_only_haversine"](sp, sf)))
+_q("b14_project_columns", _P + "SELECT geonameid, name, population FROM places WHERE feature_code = 'PPLA'",
+   lambda sp, sf: B.project_columns(B.filter_feature(places(sp, sf), code="PPLA"),
+                                    keep=["geonameid", "name", "population", "latitude"], drop=["latitude"]))
+_RENAMED = ["place_id", "place_name", "lat", "lon", "fclass", "fcode", "cc", "adm1", "adm2", "adm3", "pop"]
+_q("b15_rename_headers", _P + "SELECT " + ", ".join(f"{a} AS {b}" for a, b in zip(PLACES_COLUMNS, _RENAMED))
+   + " FROM places", lambda sp, sf: B.rename_headers(places(sp, sf), _RENAMED))
+
+# ---------------------------------------------------------- C aggregates -----
+_q("c1_max_population", _PP + "SELECT max(population) AS max_population FROM pop",
+   lambda sp, sf: MR.max_population(_populated(sp, sf)))
+_q("c1_max_population_by_country",
+   _PP + "SELECT country_code, max(population) AS max_population FROM pop GROUP BY country_code",
+   lambda sp, sf: MR.max_population(_populated(sp, sf), scope="country"))
+_q("c2_population_threshold",
+   _PP + "SELECT max(population) AS max_population, max(population) * 1e-1 AS threshold FROM pop",
+   lambda sp, sf: MR.population_threshold(_populated(sp, sf)))
+_q("c3_seat_admin2", _PP + "SELECT DISTINCT admin2_code FROM pop WHERE feature_code IN ('PPLA', 'PPLC') "
+   "AND admin2_code IS NOT NULL", lambda sp, sf: MR.seat_admin2(_populated(sp, sf)))
+_q("c4_distinct_codes_positive", _P + "SELECT DISTINCT feature_code FROM places WHERE population > 0",
+   lambda sp, sf: PR.distinct_values(places(sp, sf), "feature_code", F.col("population") > 0))
+_q("c4_distinct_classes_zero", _P + "SELECT DISTINCT feature_class FROM places WHERE population = 0",
+   lambda sp, sf: PR.distinct_values(places(sp, sf), "feature_class", F.col("population") == 0))
+_q("c5_stage_counts",
+   f"SELECT (SELECT count(*) FROM ({S.PLACES_SQL}) l) AS loaded, count(*) AS populated, "
+   "count(*) FILTER (WHERE isMetro) AS metros, count(*) FILTER (WHERE NOT isMetro) AS non_metros, "
+   "count(*) FILTER (WHERE NOT isMetro AND assigned_metro_id IS NOT NULL) AS assigned "
+   f"FROM ({_assign_sql('share_only', 'haversine')}) a",
+   lambda sp, sf: PR.stage_counts(places(sp, sf), QUERIES["p1_assign_share_only_haversine"](sp, sf)))
+_q("c6_map_center", _PP + "SELECT round(avg(latitude), 6) AS mean_lat, round(avg(longitude), 6) AS mean_lon FROM pop",
+   lambda sp, sf: round_doubles(PR.map_center(_populated(sp, sf))))
+_q("c7_ids_by_name", _P + "SELECT name, count(*) AS n_ids, min(geonameid) AS first_id, max(geonameid) AS last_id "
+   "FROM places WHERE feature_class = 'P' GROUP BY name",
+   lambda sp, sf: PR.ids_by_name(B.filter_feature(places(sp, sf), class_="P")))
+_q("c10_group_has_ppla", _PP + "SELECT admin2_code, COALESCE(bool_or(feature_code = 'PPLA'), false) AS has_code "
+   "FROM pop GROUP BY admin2_code",
+   lambda sp, sf: PR.group_has(_populated(sp, sf), ["admin2_code"], "PPLA"))
+
+# ------------------------------------------------------------- W windows -----
+_PC = S.with_(S.PLACES, "p AS (SELECT * FROM places WHERE feature_class = 'P')")
+_q("w2_duplicate_flag", _PC + "SELECT *, row_number() OVER (PARTITION BY name ORDER BY geonameid) > 1 AS is_duplicate "
+   "FROM p", lambda sp, sf: PR.duplicate_flag(B.filter_feature(places(sp, sf), class_="P")))
+_q("w3_duplicate_rows", _PC + "SELECT * FROM p WHERE name IN (SELECT name FROM p GROUP BY name HAVING count(*) > 1)",
+   lambda sp, sf: PR.duplicate_rows(B.filter_feature(places(sp, sf), class_="P")))
+_q("w4_duplicate_ids", _PC + "SELECT p.*, g.n_ids, g.first_id, g.last_id FROM p JOIN (SELECT name, count(*) AS n_ids, "
+   "min(geonameid) AS first_id, max(geonameid) AS last_id FROM p GROUP BY name HAVING count(*) > 1) g ON p.name = g.name",
+   lambda sp, sf: PR.duplicate_ids(B.filter_feature(places(sp, sf), class_="P")))
+_W5 = S.with_(S.PLACES,
+              "p AS (SELECT * FROM places WHERE feature_class = 'P' AND NOT COALESCE(feature_code IN ('PPLH', 'PPLX'), false))",
+              "g2 AS (SELECT admin2_code, bool_or(feature_code = 'PPLA') AS has_a, bool_or(feature_code = 'PPLC') AS has_c "
+              "FROM p WHERE admin2_code IS NOT NULL GROUP BY admin2_code)",
+              "s1 AS (SELECT p.* FROM p JOIN g2 ON p.admin2_code = g2.admin2_code WHERE CASE WHEN g2.has_a THEN "
+              "p.feature_code = 'PPLA' WHEN g2.has_c THEN p.feature_code = 'PPLC' ELSE true END)",
+              "g3 AS (SELECT admin3_code, bool_or(feature_code = 'PPLA2') AS has_a2 FROM s1 "
+              "WHERE admin3_code IS NOT NULL GROUP BY admin3_code)")
+_q("w5_admin_dedupe", _W5 + "SELECT s1.* FROM s1 JOIN g3 ON s1.admin3_code = g3.admin3_code "
+   "WHERE CASE WHEN g3.has_a2 THEN s1.feature_code = 'PPLA2' ELSE true END",
+   lambda sp, sf: PR.admin_dedupe(places(sp, sf)))
+
+# --------------------------------------------------------- F sort / sets -----
+_q("f1_sort_by_id", _PP + "SELECT * FROM pop ORDER BY geonameid",
+   lambda sp, sf: SO.sort_by_id(_populated(sp, sf)))
+_q("f2_union_missing", S.with_(S.PLACES, S.POP, *S.flag_cte("share_only")) +
+   f"SELECT *, round({S.radius_sql('population')}, 6) AS influence_radius FROM flag WHERE isMetro "
+   "UNION ALL SELECT *, CAST(NULL AS DOUBLE) AS influence_radius FROM flag WHERE NOT isMetro",
+   lambda sp, sf: round_doubles(SO.union_missing(
+       *(lambda m, t: (with_radius(m), t))(*B.split_metros(MR.flag_metros(_populated(sp, sf), "share_only"))))))
+_q("f3_concat_all", _P + "SELECT * FROM places WHERE population = 0 UNION ALL SELECT * FROM places WHERE population > 0 "
+   "UNION ALL SELECT * FROM places WHERE feature_class = 'P'",
+   lambda sp, sf: SO.concat_all(B.filter_population(places(sp, sf), "zero"), B.filter_population(places(sp, sf)),
+                                B.filter_feature(places(sp, sf), class_="P")))
+_q("f4_head_n", _P + "SELECT name, population FROM places WHERE feature_code = 'PPLA' ORDER BY geonameid LIMIT 20",
+   lambda sp, sf: PR.head_n(places(sp, sf), 20))
+_q("f5_distinct", _P + "SELECT DISTINCT country_code, admin1_code FROM places",
+   lambda sp, sf: SO.distinct(places(sp, sf).select("country_code", "admin1_code")))
+
+
+# ------------------------------------------------------------- D joins -------
+def _metros_towns(sp, sf, rule="share_only"):
+    m, t = B.split_metros(MR.flag_metros(_populated(sp, sf), rule))
+    return with_radius(m), t
+
+
+def _pairs_sql(metric: str, rule: str = "share_only") -> str:
+    return S.with_(S.PLACES, S.POP, *S.pairs_ctes(rule, metric))
+
+
+for _metric in ("haversine", "mercator_cos"):
+    _q(f"d2_radius_join_{_metric}", _pairs_sql(_metric) + "SELECT tid AS geonameid, mid AS metro_id, mname AS metro_name, "
+       "round(distance, 6) AS distance, round(force, 6) AS force FROM pairs",
+       (lambda mt: lambda sp, sf: round_doubles(radius_join(*reversed(_metros_towns(sp, sf)), metric=mt)))(_metric))
+_q("d3_bbox_candidates", _pairs_sql("haversine") +
+   "SELECT t.geonameid, m.geonameid AS metro_id FROM towns t CROSS JOIN metros m WHERE "
+   "abs(t.latitude - m.latitude) <= degrees(m.influence_radius / 6371e0) * 1.000001 + 1e-9 AND ("
+   "abs(m.latitude) + degrees(m.influence_radius / 6371e0) >= 90 OR sin(m.influence_radius / 6371e0) / "
+   "cos(radians(m.latitude)) >= 1 OR abs(((t.longitude - m.longitude + 180e0) % 360e0 + 360e0) % 360e0 - 180e0) <= "
+   "degrees(asin(sin(m.influence_radius / 6371e0) / cos(radians(m.latitude)))) * 1.000001 + 1e-9)",
+   lambda sp, sf: bbox_candidates(*reversed(_metros_towns(sp, sf))))
+_q("d4_attach_best", _pairs_sql("haversine") +
+   f"SELECT {S.cols('t')}, t.isMetro, b.mid AS assigned_metro_id FROM towns t LEFT JOIN best b ON t.geonameid = b.tid",
+   lambda sp, sf: attach_best(*reversed(_metros_towns(sp, sf))))
+_q("d7_assignment_lines",
+   f"WITH a AS ({_assign_sql('share_only', 'haversine')}) SELECT t.geonameid AS id, t.latitude AS lat, "
+   "t.longitude AS lon, m.latitude AS metro_lat, m.longitude AS metro_lon FROM a t JOIN a m "
+   "ON t.assigned_metro_id = m.geonameid",
+   lambda sp, sf: assignment_lines(QUERIES["p1_assign_share_only_haversine"](sp, sf)))
+
+# ---------------------------------------------- W1 ranking / C8 C9 lists -----
+_q("w1_strongest_metro", _pairs_sql("haversine") +
+   "SELECT tid AS geonameid, mid AS metro_id FROM best",
+   lambda sp, sf: top_metros(radius_join(*reversed(_metros_towns(sp, sf)))).select("geonameid", "metro_id"))
+_q("w1_top3_metros", _pairs_sql("haversine") +
+   "SELECT geonameid, metro_id, rank FROM (SELECT tid AS geonameid, mid AS metro_id, CAST(row_number() OVER "
+   "(PARTITION BY tid ORDER BY force DESC, distance, mid) AS INT) AS rank FROM pairs) q WHERE rank <= 3",
+   lambda sp, sf: top_metros(radius_join(*reversed(_metros_towns(sp, sf))), k=3).select("geonameid", "metro_id", "rank"))
+
+
+def _p2(sp, sf):
+    return assign_metros(places(sp, sf), rule="admin_seat", metric="haversine", candidates=True)
+
+
+def _flat_candidates(df: DataFrame) -> DataFrame:
+    c = F.col("candidates")
+    ids = F.array_join(F.transform(c, lambda x: x["metro_id"].cast("string")), ",")
+    return df.select(*PLACES_COLUMNS, "isMetro", F.round("influence_radius", 6).alias("influence_radius"),
+                     "assigned_metro_id",
+                     F.when(c.isNull(), F.lit(None)).otherwise(F.size(c)).cast("int").alias("n_candidates"),
+                     F.when(c.isNull(), F.lit(None)).otherwise(ids).alias("candidate_ids"),
+                     F.round(F.get(c, 0)["force"], 6).alias("top_force"))
+
+
+_P2_SQL = _pairs_sql("haversine", "admin_seat") + f"""
+, lists AS (SELECT tid, CAST(count(*) AS INT) AS n, string_agg(CAST(mid AS VARCHAR), ',' ORDER BY force DESC, distance, mid) AS ids,
+   max(force) AS top FROM pairs GROUP BY tid)
+SELECT {S.cols('m')}, m.isMetro, round(m.influence_radius, 6) AS influence_radius, m.geonameid AS assigned_metro_id,
+  CAST(NULL AS INT) AS n_candidates, CAST(NULL AS VARCHAR) AS candidate_ids, CAST(NULL AS DOUBLE) AS top_force FROM metros m
+UNION ALL
+SELECT {S.cols('t')}, t.isMetro, CAST(NULL AS DOUBLE), b.mid, COALESCE(l.n, 0), COALESCE(l.ids, ''), round(l.top, 6)
+FROM towns t LEFT JOIN best b ON t.geonameid = b.tid LEFT JOIN lists l ON t.geonameid = l.tid"""
+_q("p2_assign_candidates_admin_seat", _P2_SQL, lambda sp, sf: _flat_candidates(_p2(sp, sf)))
+_q("c8_candidate_list", S.with_(S.PLACES, S.POP, *S.pairs_ctes("admin_seat", "haversine")) +
+   "SELECT t.geonameid, CAST(count(p.mid) AS INT) AS n_candidates, COALESCE(string_agg(CAST(p.mid AS VARCHAR), ',' "
+   "ORDER BY p.force DESC, p.distance, p.mid), '') AS candidate_ids FROM towns t LEFT JOIN pairs p ON t.geonameid = p.tid "
+   "GROUP BY t.geonameid",
+   lambda sp, sf: _flat_candidates(_p2(sp, sf)).filter(~F.col("isMetro")).select(
+       "geonameid", "n_candidates", "candidate_ids"))
+_q("c9_best_of_candidates", S.with_(S.PLACES, S.POP, *S.pairs_ctes("admin_seat", "haversine")) +
+   "SELECT t.geonameid, b.mid AS best_metro_id FROM towns t LEFT JOIN best b ON t.geonameid = b.tid",
+   lambda sp, sf: _p2(sp, sf).filter(~F.col("isMetro")).select("geonameid", best_candidate("candidates").alias(
+       "best_metro_id")))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """P1 with the parity rule and the haversine metric."""
     return QUERIES["p1_assign_share_only_haversine"](spark, sf)

@@ -54,7 +54,7 @@ def assign_metros(places: DataFrame, rule: str = "share_excl_ppl", metric: str =
     idx = build_cell_index(metros, metric, cell_deg, **index_kw)
     if candidates:
         towns_out = attach_candidates(towns, idx, mode="list")
-        towns_out = towns_out.withColumn("assigned_metro_id", F.col("candidates")[0]["metro_id"])
+        towns_out = towns_out.withColumn("assigned_metro_id", F.get(F.col("candidates"), 0)["metro_id"])
     else:
         towns_out = attach_candidates(towns, idx, mode="best")
         towns_out = towns_out.withColumn("assigned_metro_id", F.col("best.metro_id")).drop("best")
