@@ -273,6 +273,329 @@ _q("c9_best_of_candidates", S.with_(S.PLACES, S.POP, *S.pairs_ctes("admin_seat",
        "best_metro_id")))
 
 
+
+# ----------------------------------------------------- A sources / sinks -----
+from townpull.functions import geo as G  # noqa: E402
+from townpull.functions import style as ST  # noqa: E402
+from townpull.operators import boundaries as BD  # noqa: E402
+from townpull.plans import growth as GR  # noqa: E402
+from townpull.plans import maps as MP  # noqa: E402
+from townpull.schema import assigned_schema  # noqa: E402
+from townpull.session import scratch_path  # noqa: E402
+from townpull.sources import boundaries as SB  # noqa: E402
+from townpull.sources import files as FS  # noqa: E402
+from townpull.sources.fixture import diamond_boundaries, diamond_ring  # noqa: E402
+
+_PLACES_ALL = _P + "SELECT * FROM places"
+
+
+def _a1(sp, sf):
+    path = scratch_path(sp, "dump")
+    FS.write_dump(places(sp, sf), path)
+    return FS.scan_places(sp, path).select(*PLACES_COLUMNS)
+
+
+def _a3(sp, sf):
+    path = scratch_path(sp, "dump")
+    FS.write_dump(places(sp, sf), path)
+    return FS.load_lenient(sp, path).select(*PLACES_COLUMNS)
+
+
+def _a4(sp, sf):
+    text, zips = scratch_path(sp, "dump"), scratch_path(sp, "zips")
+    FS.write_dump(places(sp, sf), text)
+    FS.zip_text_parts(sp, text, zips).count()
+    return FS.ingest_zipped_dumps(sp, zips).select(*PLACES_COLUMNS)
+
+
+_q("a1_scan_places", _PLACES_ALL, _a1)
+_q("a3_load_lenient", _PLACES_ALL, _a3)
+_q("a4_ingest_zipped_dumps", _PLACES_ALL, _a4)
+
+_ASSIGNED_SCHEMA = T.StructType([f for f in assigned_schema().fields if f.name in PLACES_COLUMNS + [
+    "isMetro", "influence_radius", "assigned_metro_id"]])
+
+
+def _a5(sp, sf):
+    path = scratch_path(sp, "csv")
+    FS.write_csv(QUERIES["p1_assign_share_only_haversine"](sp, sf), path)
+    return FS.read_partitioned_csv(sp, path, _ASSIGNED_SCHEMA)
+
+
+def _p6(sp, sf):
+    root = scratch_path(sp, "by_country")
+    FS.write_csv_by_country(QUERIES["p1_assign_share_only_haversine"](sp, sf), root)
+    return FS.merge_sorted(FS.read_partitioned_csv(sp, root, _ASSIGNED_SCHEMA))
+
+
+_q("a5_a7_csv_roundtrip", _assign_sql("share_only", "haversine"), _a5)
+_q("p6_merge_output", _assign_sql("share_only", "haversine"), _p6)
+
+
+def _a9(sp, sf):
+    enc = FS.encode_nested(_p2(sp, sf), ["candidates"])
+    return _flat_candidates(enc.withColumn("candidates", FS.decode_candidates("candidates")))
+
+
+_q("a9_a10_nested_roundtrip", _P2_SQL.replace(
+    "CAST(NULL AS INT) AS n_candidates, CAST(NULL AS VARCHAR) AS candidate_ids",
+    "0 AS n_candidates, '' AS candidate_ids"), _a9)
+
+
+# ------------------------------------------------------------ boundaries -----
+def _b7_metros(sp, sf):
+    return MR.metro_rule(_populated(sp, sf), "share_only")
+
+
+_BOX_SQL = (S.with_(S.PLACES, S.POP, *S.flag_cte("share_only")) +
+            "SELECT name, country_code, 1 AS n_rings, 5 AS n_vertices, round(latitude - 12e-2, 6) AS lat_min, "
+            "round(latitude + 12e-2, 6) AS lat_max, round(longitude - 18e-2, 6) AS lon_min, "
+            "round(longitude + 18e-2, 6) AS lon_max FROM flag WHERE isMetro")
+
+
+def _box_summary(b: DataFrame) -> DataFrame:
+    pts = F.flatten("polygons")
+    lats, lons = F.transform(pts, lambda p: p["lat"]), F.transform(pts, lambda p: p["lon"])
+    return round_doubles(b.select("name", "country_code", F.size("polygons").alias("n_rings"),
+                                  F.size(pts).alias("n_vertices"), F.array_min(lats).alias("lat_min"),
+                                  F.array_max(lats).alias("lat_max"), F.array_min(lons).alias("lon_min"),
+                                  F.array_max(lons).alias("lon_max")))
+
+
+def _a11(sp, sf):
+    path = scratch_path(sp, "boundary_docs")
+    SB.boundary_documents(diamond_boundaries(_b7_metros(sp, sf))).write.mode("overwrite").text(path)
+    return _box_summary(SB.scan_boundaries(sp, path, multi_line=False))
+
+
+def _a12(sp, sf):
+    path = scratch_path(sp, "boundary_table")
+    FS.write_parquet_table(diamond_boundaries(_b7_metros(sp, sf)), path)
+    return _box_summary(FS.read_parquet_table(sp, path))
+
+
+_q("a11_scan_boundaries", _BOX_SQL, _a11)
+_q("a12_boundary_table_roundtrip", _BOX_SQL, _a12)
+_q("a13_stage_checkpoint", _PP + "SELECT * FROM pop",
+   lambda sp, sf: FS.stage_checkpoint(_populated(sp, sf), scratch_path(sp, "stage")))
+
+
+def _with_diamonds(sp, sf):
+    """Populated places; B7 metros carry their own diamond boundary, others none."""
+    f = MR.flag_metros(_populated(sp, sf), "share_only")
+    poly = F.when(F.col("isMetro"), F.array(diamond_ring(F.col("latitude"), F.col("longitude"))))
+    return f.withColumn("polygons", poly)
+
+
+_FLAG7 = S.with_(S.PLACES, S.POP, *S.flag_cte("share_only"))
+_q("b13_split_has_boundary", _FLAG7 + "SELECT geonameid, country_code FROM flag WHERE isMetro",
+   lambda sp, sf: B.split_boundaries(_with_diamonds(sp, sf))[0].select("geonameid", "country_code"))
+_q("c11_boundary_rings", _FLAG7 + "SELECT geonameid AS id, 0 AS ring_no, 5 AS n_vertices, round(latitude - 12e-2, 6) "
+   "AS lat_min, round(latitude + 12e-2, 6) AS lat_max FROM flag WHERE isMetro",
+   lambda sp, sf: round_doubles(BD.boundary_rings(_with_diamonds(sp, sf)).select(
+       "id", "ring_no", F.size("ring").alias("n_vertices"), "lat_min", "lat_max")))
+_NESTED_SQL = _FLAG7 + """, m AS (SELECT * FROM flag WHERE isMetro)
+SELECT geonameid, true AS has_boundary FROM m
+UNION ALL
+SELECT t.geonameid, false FROM flag t WHERE NOT t.isMetro AND NOT EXISTS (SELECT 1 FROM m WHERE
+  abs(t.latitude - m.latitude) / 12e-2 + abs(t.longitude - m.longitude) / 18e-2 < 1e0)"""
+_q("d6_remove_nested", _NESTED_SQL,
+   lambda sp, sf: BD.remove_nested(_with_diamonds(sp, sf)).select("geonameid", B.has_polygons().alias("has_boundary")))
+
+_FLAG9 = S.with_(S.PLACES, S.POP, *S.flag_cte("admin_seat"))
+
+
+def _b9_diamonds(sp, sf):
+    return diamond_boundaries(MR.metro_rule(_populated(sp, sf), "admin_seat"))
+
+
+_q("d5_attach_boundaries", _FLAG9 + "SELECT geonameid, 1 AS n_rings FROM flag WHERE isMetro",
+   lambda sp, sf: BD.attach_boundaries(MR.metro_rule(_populated(sp, sf), "admin_seat"), _b9_diamonds(sp, sf))
+   .select("geonameid", F.size("polygons").alias("n_rings")))
+_q("d5_attach_boundaries_fanout", _FLAG9 + ", m AS (SELECT * FROM flag WHERE isMetro) "
+   "SELECT a.geonameid, 1 AS n_rings FROM m a JOIN m b ON a.name = b.name",
+   lambda sp, sf: BD.attach_boundaries(MR.metro_rule(_populated(sp, sf), "admin_seat"), _b9_diamonds(sp, sf),
+                                       fanout=True).select("geonameid", F.size("polygons").alias("n_rings")))
+_q("p3_enrich_boundaries", _FLAG9 + "SELECT geonameid, CASE WHEN isMetro THEN 1 END AS n_rings FROM flag",
+   lambda sp, sf: BD.enrich_boundaries(_populated(sp, sf), _b9_diamonds(sp, sf), keys=("geonameid",))
+   .select("geonameid", F.size("polygons").alias("n_rings")))
+_q("p4_remove_nested_after_enrich", _FLAG9 + """, m AS (SELECT * FROM flag WHERE isMetro)
+SELECT geonameid, true AS has_boundary FROM m
+UNION ALL
+SELECT t.geonameid, false FROM flag t WHERE NOT t.isMetro AND NOT EXISTS (SELECT 1 FROM m WHERE
+  abs(t.latitude - m.latitude) / 12e-2 + abs(t.longitude - m.longitude) / 18e-2 < 1e0)""",
+   lambda sp, sf: BD.remove_nested(BD.enrich_boundaries(_populated(sp, sf), _b9_diamonds(sp, sf),
+                                                        keys=("geonameid",)))
+   .select("geonameid", B.has_polygons().alias("has_boundary")))
+
+
+def _ring_variants(sp, sf):
+    m = _b7_metros(sp, sf)
+    lat, lon = F.col("latitude"), F.col("longitude")
+
+    def pt(a, b):
+        return F.struct(a.alias("lat"), b.alias("lon"))
+    variants = F.array(
+        F.struct(F.lit("diamond").alias("variant"), diamond_ring(lat, lon).alias("ring")),
+        F.struct(F.lit("two_point").alias("variant"), F.array(pt(lat, lon), pt(lat + 0.1, lon)).alias("ring")),
+        F.struct(F.lit("collinear").alias("variant"),
+                 F.array(pt(lat, lon), pt(lat + 0.1, lon + 0.1), pt(lat + 0.2, lon + 0.2)).alias("ring")),
+        F.struct(F.lit("with_null").alias("variant"),
+                 F.array(pt(lat, lon), pt(lat + 0.1, lon), F.lit(None).cast("struct<lat:double,lon:double>"),
+                         pt(lat, lon + 0.1)).alias("ring")))
+    return m.select("geonameid", F.inline(variants)).select("geonameid", "variant",
+                                                              G.ring_is_usable("ring").alias("usable"))
+
+
+_q("g10_ring_is_usable", _FLAG7 + ", m AS (SELECT * FROM flag WHERE isMetro) SELECT m.geonameid, v.variant, v.usable "
+   "FROM m CROSS JOIN (VALUES ('diamond', true), ('two_point', false), ('collinear', false), ('with_null', false)) "
+   "v(variant, usable)", _ring_variants)
+
+
+# ------------------------------------------------------- G expressions -------
+def _geo_exprs(sp, sf):
+    p = _populated(sp, sf)
+    lat, lon = F.col("latitude"), F.col("longitude")
+    hav = G.haversine_km(lat, lon, F.lit(52.0), F.lit(19.0))
+    rad = G.influence_radius_km("population")
+    xy = G.web_mercator_xy(lon, lat)
+    pt = G.point(lon, lat)
+    return round_doubles(p.select(
+        "geonameid", rad.alias("radius_km"), hav.alias("haversine_km"),
+        G.pull_force(hav, rad).alias("force"), pt["x"].alias("pt_x"), pt["y"].alias("pt_y"),
+        xy["x"].alias("merc_x"), xy["y"].alias("merc_y"),
+        G.mercator_cos_km(lat, lon, F.lit(52.0), F.lit(19.0)).alias("mercator_cos_km"),
+        G.to_int("admin2_code").alias("admin2_int"), G.to_double("admin3_code", 0.0).alias("admin3_num")))
+
+
+_HAV_FIXED = ("(6371e0 * (2e0 * atan2(sqrt(pow(sin(radians(52e0 - latitude) / 2), 2) + cos(radians(latitude)) * "
+              "cos(radians(52e0)) * pow(sin(radians(19e0 - longitude) / 2), 2)), sqrt(1e0 - (pow(sin(radians(52e0 - "
+              "latitude) / 2), 2) + cos(radians(latitude)) * cos(radians(52e0)) * pow(sin(radians(19e0 - longitude) / 2)"
+              ", 2))))))")
+_MERC_FIXED = ("(sqrt(pow(6378137e0 * (radians(longitude) - radians(19e0)), 2) + pow(6378137e0 * (ln(tan(pi() / 4e0 + "
+               "radians(latitude) / 2)) - ln(tan(pi() / 4e0 + radians(52e0) / 2))), 2)) * cos(radians(latitude)) / 1e3)")
+_q("g1_g7_geo_expressions", _PP + f"""SELECT geonameid, round({S.radius_sql('population')}, 6) AS radius_km,
+ round({_HAV_FIXED}, 6) AS haversine_km, round(exp(-1.4e0 * {_HAV_FIXED} / {S.radius_sql('population')}), 6) AS force,
+ round(longitude, 6) AS pt_x, round(latitude, 6) AS pt_y,
+ round(6378137e0 * radians(longitude), 6) AS merc_x, round(6378137e0 * ln(tan(pi() / 4e0 + radians(latitude) / 2)), 6) AS merc_y,
+ round({_MERC_FIXED}, 6) AS mercator_cos_km, TRY_CAST(admin2_code AS INTEGER) AS admin2_int,
+ COALESCE(TRY_CAST(admin3_code AS DOUBLE), 0e0) AS admin3_num FROM pop""", _geo_exprs)
+
+
+def _style_exprs(sp, sf):
+    f = MR.flag_metros(_populated(sp, sf), "share_only")
+    return round_doubles(f.select(
+        "geonameid", ST.marker_radius("population").alias("marker_radius"),
+        ST.color_by_metro().alias("color_metro"), ST.color_by_code().alias("color_code"),
+        ST.color_by_lookup().alias("color_lookup"), ST.tooltip_text().alias("tooltip"),
+        ST.popup_text().alias("popup"), ST.safe_id("admin2_code").alias("admin2_id")))
+
+
+def _nan(c: str) -> str:
+    return f"COALESCE(CAST({c} AS VARCHAR), 'nan')"
+
+
+_LOOKUP_SQL = "CASE feature_code " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ST.CODE_COLORS.items()) + \
+    f" ELSE '{ST.CODE_COLOR_DEFAULT}' END"
+_q("g11_g18_style_expressions", _FLAG7 + f"""SELECT geonameid,
+ round(CASE WHEN population IS NULL OR population < 1000 THEN 3e0 WHEN population < 50000 THEN 3e0 + (population - 1000) / 49000e0 * 5
+  WHEN population < 200000 THEN 8e0 + (population - 50000) / 150000e0 * 4 ELSE 12e0 END, 6) AS marker_radius,
+ CASE WHEN isMetro THEN 'red' ELSE 'blue' END AS color_metro,
+ CASE WHEN starts_with(feature_code, 'PPLA') THEN 'red' WHEN feature_code = 'PPLC' THEN 'green' ELSE 'blue' END AS color_code,
+ {_LOOKUP_SQL} AS color_lookup,
+ 'City: ' || {_nan('name')} || '<br>Population: ' || {_nan('population')} || '<br>Feature: ' || {_nan('feature_code')}
+  || '<br>Admin1: ' || {_nan('admin1_code')} || ', Admin2: ' || {_nan('admin2_code')} || ', Admin3: ' || {_nan('admin3_code')} AS tooltip,
+ '<b>Nazwa:</b> ' || {_nan('name')} || '<br><b>Feature Code:</b> ' || {_nan('feature_code')} || '<br><b>Populacja:</b> '
+  || {_nan('population')} || '<br><b>Geoname ID:</b> ' || {_nan('geonameid')} || '<br><b>Współrzędne:</b> (' || {_nan('latitude')}
+  || ', ' || {_nan('longitude')} || ')<br><b>Admin1 code:</b> ' || {_nan('admin1_code')} || ' <br><b>Admin2 code:</b> '
+  || {_nan('admin2_code')} || ' <br><b>Admin3 code:</b> ' || {_nan('admin3_code')} AS popup,
+ TRY_CAST(admin2_code AS INTEGER) AS admin2_id FROM flag""", _style_exprs)
+_q("g17_candidate_text", S.with_(S.PLACES, S.POP, *S.pairs_ctes("admin_seat", "haversine")) +
+   "SELECT t.geonameid, COALESCE('<br>Candidate Metros:<br>' || string_agg(printf('%s | %d (force: %.3f, dist: %.1f km)', "
+   "p.mname, p.mid, p.force, p.distance), '<br>' ORDER BY p.force DESC, p.distance, p.mid), '') AS candidate_text "
+   "FROM towns t LEFT JOIN pairs p ON t.geonameid = p.tid GROUP BY t.geonameid",
+   lambda sp, sf: _p2(sp, sf).filter(~F.col("isMetro")).select(
+       "geonameid", ST.candidate_text("candidates").alias("candidate_text")))
+
+# ------------------------------------------------------------ P5 layers ------
+_q("p5_markers", f"SELECT geonameid AS id, latitude AS lat, longitude AS lon, round(CASE WHEN population IS NULL OR "
+   "population < 1000 THEN 3e0 WHEN population < 50000 THEN 3e0 + (population - 1000) / 49000e0 * 5 WHEN population < "
+   "200000 THEN 8e0 + (population - 50000) / 150000e0 * 4 ELSE 12e0 END, 6) AS radius, CASE WHEN isMetro THEN 'red' "
+   f"ELSE 'blue' END AS color, 'City: ' || {_nan('name')} || '<br>Population: ' || {_nan('population')} || "
+   f"'<br>Feature: ' || {_nan('feature_code')} || '<br>Admin1: ' || {_nan('admin1_code')} || ', Admin2: ' || "
+   f"{_nan('admin2_code')} || ', Admin3: ' || {_nan('admin3_code')} AS tooltip FROM "
+   f"({_assign_sql('share_only', 'haversine')}) a",
+   lambda sp, sf: round_doubles(MP.map_layers(QUERIES["p1_assign_share_only_haversine"](sp, sf))["markers"]))
+_q("p5_polygon_layer", _FLAG7 + f"SELECT geonameid AS id, 0 AS ring_no, 5 AS n_vertices, 'City: ' || {_nan('name')} || "
+   f"'<br>Population: ' || {_nan('population')} || '<br>Feature: ' || {_nan('feature_code')} || '<br>Admin1: ' || "
+   f"{_nan('admin1_code')} || ', Admin2: ' || {_nan('admin2_code')} || ', Admin3: ' || {_nan('admin3_code')} AS tooltip "
+   "FROM flag WHERE isMetro",
+   lambda sp, sf: MP.map_layers(_with_diamonds(sp, sf))["polygons"].select(
+       "id", "ring_no", F.size("ring").alias("n_vertices"), "tooltip"))
+
+
+# ------------------------------------------------------------- P8 profile ----
+def _p8(sp, sf):
+    pl = places(sp, sf)
+    p_rows = B.filter_feature(pl, class_="P")
+    n_dup = PR.duplicate_rows(p_rows).agg(F.count(F.lit(1))).scalar()
+    n_codes = PR.distinct_values(pl, "feature_code", F.col("population") > 0).agg(F.count(F.lit(1))).scalar()
+    n_head = PR.head_n(pl, 20).agg(F.count(F.lit(1))).scalar()
+    pop, code = F.col("population"), F.col("feature_code")
+    return pl.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(pop == 0).alias("n_zero_population"),
+                  F.count_if(pop > 0).alias("n_positive_population"),
+                  F.count_if((code == "HTL") & (pop > 0)).alias("n_hotels_populated"),
+                  F.count_if(F.col("feature_class") == "P").alias("n_class_p")).select(
+        "*", n_dup.alias("n_duplicate_name_rows"), n_codes.alias("n_codes_positive"), n_head.alias("n_ppla_head"))
+
+
+_q("p8_profile_summary", _PC + ", pl AS (SELECT * FROM places) SELECT count(*) AS n_rows, "
+   "count(*) FILTER (WHERE population = 0) AS n_zero_population, count(*) FILTER (WHERE population > 0) AS "
+   "n_positive_population, count(*) FILTER (WHERE feature_code = 'HTL' AND population > 0) AS n_hotels_populated, "
+   "count(*) FILTER (WHERE feature_class = 'P') AS n_class_p, (SELECT count(*) FROM p WHERE name IN (SELECT name FROM p "
+   "GROUP BY name HAVING count(*) > 1)) AS n_duplicate_name_rows, (SELECT count(DISTINCT feature_code) FROM pl WHERE "
+   "population > 0) AS n_codes_positive, (SELECT count(*) FROM (SELECT 1 FROM pl WHERE feature_code = 'PPLA' LIMIT 20) "
+   "h) AS n_ppla_head FROM pl", _p8)
+
+
+# -------------------------------------------------------------- K1 / K2 ------
+def _growth_sql(max_iter: int, rule: str = "share_only") -> str:
+    ctes = [S.PLACES, S.POP, *S.flag_cte(rule),
+            "towns AS (SELECT * FROM flag WHERE NOT isMetro)",
+            "eff0 AS (SELECT geonameid, name, latitude, longitude, population, CAST(population AS BIGINT) AS eff "
+            "FROM flag WHERE isMetro)"]
+    for k in range(max_iter + 1):
+        ctes += [
+            f"m{k} AS (SELECT *, {S.radius_sql('eff')} AS r FROM eff{k})",
+            f"d{k} AS (SELECT t.geonameid AS tid, t.population AS tpop, m.geonameid AS mid, "
+            f"{S.haversine_sql('t', 'm')} AS distance, m.r FROM towns t CROSS JOIN m{k} m)",
+            f"p{k} AS (SELECT tid, tpop, mid, distance, exp(-1.4e0 * distance / r) AS force FROM d{k} WHERE distance < r)",
+            f"b{k} AS (SELECT tid, tpop, mid FROM (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY force DESC, "
+            f"distance, mid) AS rn FROM p{k}) q WHERE rn = 1)"]
+        if k < max_iter:
+            ctes.append(f"eff{k + 1} AS (SELECT e.geonameid, e.name, e.latitude, e.longitude, e.population, "
+                        f"CAST(e.population + COALESCE(g.gain, 0) AS BIGINT) AS eff FROM eff0 e LEFT JOIN "
+                        f"(SELECT mid, sum(tpop) AS gain FROM b{k} GROUP BY mid) g ON e.geonameid = g.mid)")
+    k = max_iter
+    return S.with_(*ctes) + f"""SELECT {S.cols('f')}, f.isMetro, e.eff AS eff_population,
+ round({S.radius_sql('e.eff')}, 6) AS influence_radius, f.geonameid AS assigned_metro_id
+FROM flag f JOIN eff{k} e ON f.geonameid = e.geonameid WHERE f.isMetro
+UNION ALL
+SELECT {S.cols('t')}, t.isMetro, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), b.mid FROM towns t LEFT JOIN b{k} b ON t.geonameid = b.tid"""
+
+
+_q("k1_iterative_growth", _growth_sql(3),
+   lambda sp, sf: round_doubles(GR.iterative_growth(places(sp, sf), max_iter=3)))
+
+
+def _k2(sp, sf):
+    out, rounds = GR.iterative_growth(places(sp, sf), max_iter=3, return_rounds=True)
+    return GR.growth_lines(rounds, out.filter(F.col("isMetro")))
+
+
+_q("k2_growth_lines", None, _k2)
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """P1 with the parity rule and the haversine metric."""
     return QUERIES["p1_assign_share_only_haversine"](spark, sf)

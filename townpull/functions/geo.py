@@ -141,4 +141,4 @@ def ring_is_usable(ring: ColumnOrName) -> Column:
     r = _c(ring)
     no_nulls = ~F.exists(r, lambda p: p.isNull() | p["lat"].isNull() | p["lon"].isNull())
     distinct_ok = F.size(F.array_distinct(r)) >= 3
-    return F.coalesce(r.isNotNull() & no_nulls & distinct_ok & (ring_area2(r) != 0), F.lit(False))
+    return F.coalesce(r.isNotNull() & no_nulls & distinct_ok & (F.abs(ring_area2(r)) > F.lit(1e-12)), F.lit(False))

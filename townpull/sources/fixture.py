@@ -67,3 +67,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place rows derived from ``{sf_dir}/customer.parquet``."""
     return places_from_customer(read_table(spark, sf_dir, "customer"))
+
+
+# Boundary fixture: a diamond ring around each given metro (half-axes in degrees).
+DIAMOND_DLAT = 0.12
+DIAMOND_DLON = 0.18
+
+
+def diamond_ring(lat: Column, lon: Column, dlat: float = DIAMOND_DLAT, dlon: float = DIAMOND_DLON) -> Column:
+    """Closed ring (N, E, S, W, N) of ``struct(lat, lon)`` around a point."""
+    def p(a: Column, b: Column) -> Column:
+        return F.struct(a.alias("lat"), b.alias("lon"))
+    return F.array(p(lat + dlat, lon), p(lat, lon + dlon), p(lat - dlat, lon), p(lat, lon - dlon),
+                   p(lat + dlat, lon))
+
+
+def diamond_boundaries(metros: DataFrame, dlat: float = DIAMOND_DLAT, dlon: float = DIAMOND_DLON) -> DataFrame:
+    """(geonameid, name, country_code, polygons) with one diamond ring per metro row."""
+    return metros.select("geonameid", "name", "country_code", F.array(diamond_ring(
+        F.col("latitude"), F.col("longitude"), dlat, dlon)).alias("polygons"))
