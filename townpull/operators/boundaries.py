@@ -74,6 +74,8 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.5, chunk_size: int = DEFAUL
                   max_broadcast_vertices: int = DEFAULT_BROADCAST_VERTICES) -> DataFrame:
     """Keep rows with polygons; drop polygon-less rows strictly inside any
     usable ring of any boundary row."""
+    if chunk_size < 1:
+        raise ValueError("chunk_size must be >= 1")
     n_lat, n_lon = _grid(cell_deg)
     holders, rest = split_boundaries(df)
     cols = df.columns

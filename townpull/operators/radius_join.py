@@ -152,6 +152,8 @@ def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: flo
                      max_broadcast_entries: int = DEFAULT_BROADCAST_ENTRIES) -> CellIndex:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
+    if chunk_size < 1:
+        raise ValueError("chunk_size must be >= 1")
     mc = materialize(metro_cells(metros, metric, cell_deg))
     counts = mc.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     st = counts.agg(F.count(F.lit(1)).alias("cells"), F.coalesce(F.max("n"), F.lit(0)).alias("mx"),
