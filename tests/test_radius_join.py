@@ -64,7 +64,7 @@ def test_grid_equals_brute_force(spark, metric, variant):
     if variant == "shuffle":
         kw["max_broadcast_entries"] = 0
     if variant == "hot_chunks":
-        kw["chunk_size"] = 3
+        kw["chunk_size"] = 1
     got = {(r["geonameid"], r["metro_id"]) for r in radius_join(towns, metros, metric=metric, **kw).collect()}
     want, d, r = _brute(t, m, metric)
     assert want, "fixture should produce pairs"
@@ -74,9 +74,9 @@ def test_grid_equals_brute_force(spark, metric, variant):
 
 def test_index_reports_hot_cells_and_no_broadcast(spark):
     towns, metros, _, _ = _frames(spark, 200, 100)
-    idx = build_cell_index(metros, chunk_size=2, max_broadcast_entries=0)
+    idx = build_cell_index(metros, chunk_size=1, max_broadcast_entries=0)
     assert idx.hot_cells is not None and not idx.broadcast
-    assert idx.max_per_cell > 2
+    assert idx.max_per_cell > 1
 
 
 def test_best_equals_top1_of_pairs(spark):
@@ -96,7 +96,7 @@ def test_hot_path_gives_same_assignment(spark):
     towns, metros, _, _ = _frames(spark, 1500, 200, seed=5)
     a = {r[0]: r[1] for r in attach_candidates(towns, build_cell_index(metros), "best")
          .select("geonameid", "best.metro_id").collect()}
-    b = {r[0]: r[1] for r in attach_candidates(towns, build_cell_index(metros, chunk_size=2), "best")
+    b = {r[0]: r[1] for r in attach_candidates(towns, build_cell_index(metros, chunk_size=1), "best")
          .select("geonameid", "best.metro_id").collect()}
     assert a == b
 

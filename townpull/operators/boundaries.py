@@ -24,7 +24,7 @@ from townpull.operators.filters import has_polygons, split_boundaries
 from townpull.operators.metro_rules import flag_metros
 from townpull.operators.radius_join import _grid, _lat_idx
 from townpull.operators.setops import recombine
-from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, join_small, materialize
+from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize
 
 DEFAULT_RING_CHUNK = 1_000
 DEFAULT_BROADCAST_VERTICES = 5_000_000
@@ -70,7 +70,7 @@ def _ring_cells(rings: DataFrame, cell_deg: float) -> DataFrame:
                         F.struct("id", "ring_no", "ring").alias("r"), F.size("ring").alias("nv"))
 
 
-def remove_nested(df: DataFrame, cell_deg: float = 0.5, chunk_size: int = DEFAULT_RING_CHUNK,
+def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAULT_RING_CHUNK,
                   max_broadcast_vertices: int = DEFAULT_BROADCAST_VERTICES) -> DataFrame:
     """Keep rows with polygons; drop polygon-less rows strictly inside any
     usable ring of any boundary row."""
@@ -80,9 +80,12 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.5, chunk_size: int = DEFAUL
     holders, rest = split_boundaries(df)
     cols = df.columns
     rc = materialize(_ring_cells(boundary_rings(holders), cell_deg))
-    counts = rc.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    st = rc.agg(F.coalesce(F.sum("nv"), F.lit(0)).alias("v")).first()
-    mx = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("mx")).first()["mx"]
+    counts = rc.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("nv").alias("v"))
+    st = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("mx"), F.coalesce(F.sum("v"), F.lit(0)).alias("v"),
+                    F.count(F.lit(1)).alias("cells"),
+                    F.coalesce(F.sum(F.ceil(F.col("n") / F.lit(chunk_size))), F.lit(0)).alias("chunks")).first()
+    mx = int(st["mx"])
+    n_rows = int(st["cells"]) if mx <= chunk_size else int(st["chunks"])
     if mx <= chunk_size:
         table = rc.groupBy("cell").agg(F.collect_list("r").alias("_rings")).withColumn("n_chunks", F.lit(1))
         hot = None
@@ -93,7 +96,7 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.5, chunk_size: int = DEFAUL
                  .groupBy("cell", "chunk", "n_chunks").agg(F.collect_list("r").alias("_rings")))
         hot = materialize(per_cell.filter(F.col("n_chunks") > 1).select(F.col("cell").alias("_cell")))
     table = materialize(table.withColumnRenamed("cell", "_cell"))
-    bc = st["v"] <= max_broadcast_vertices and bounded_count(table, DEFAULT_BROADCAST_ROWS) <= DEFAULT_BROADCAST_ROWS
+    bc = st["v"] <= max_broadcast_vertices and n_rows <= DEFAULT_BROADCAST_ROWS
 
     def side(t: DataFrame) -> DataFrame:
         return F.broadcast(t) if bc else t

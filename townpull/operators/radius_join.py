@@ -33,12 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townpull.functions.geo import influence_radius_km, mercator_y
-from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, join_small, materialize
+from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize
 from townpull.schema import EARTH_RADIUS_KM, FORCE_K, MERCATOR_RADIUS_M
 
 POLAR_LAT = 85.0
 POLAR_NORTH, POLAR_SOUTH = -1, -2
 DEFAULT_CHUNK = 10_000
+DEFAULT_CELL_DEG = 0.25
 DEFAULT_BROADCAST_ENTRIES = 2_000_000
 METRICS = ("haversine", "mercator_cos")
 
@@ -112,7 +113,7 @@ def _metro_entries(metros: DataFrame, metric: str) -> DataFrame:
              & (F.col("radius") > 0))
 
 
-def metro_cells(metros: DataFrame, metric: str = "haversine", cell_deg: float = 1.0) -> DataFrame:
+def metro_cells(metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
     """One row per (cell, metro) for every cell the metro's box touches."""
     n_lat, n_lon = _grid(cell_deg)
     c = cell_deg
@@ -147,7 +148,7 @@ class CellIndex:
     max_per_cell: int
 
 
-def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: float = 1.0,
+def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
                      chunk_size: int = DEFAULT_CHUNK,
                      max_broadcast_entries: int = DEFAULT_BROADCAST_ENTRIES) -> CellIndex:
     if metric not in METRICS:
@@ -157,8 +158,10 @@ def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: flo
     mc = materialize(metro_cells(metros, metric, cell_deg))
     counts = mc.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     st = counts.agg(F.count(F.lit(1)).alias("cells"), F.coalesce(F.max("n"), F.lit(0)).alias("mx"),
-                    F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
+                    F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+                    F.coalesce(F.sum(F.ceil(F.col("n") / F.lit(chunk_size))), F.lit(0)).alias("chunks")).first()
     n_cells, max_n, total = int(st["cells"]), int(st["mx"]), int(st["total"])
+    n_rows = n_cells if max_n <= chunk_size else int(st["chunks"])
     if max_n <= chunk_size:
         # every cell's list is proven to hold at most chunk_size metros
         table = (mc.groupBy("cell").agg(F.collect_list("m").alias("metros"))
@@ -171,7 +174,6 @@ def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: flo
                  .groupBy("cell", "chunk", "n_chunks").agg(F.collect_list("m").alias("metros")))
         hot = materialize(per_cell.filter(F.col("n_chunks") > 1).select("cell"))
     table = materialize(table)
-    n_rows = bounded_count(table, DEFAULT_BROADCAST_ROWS)
     bc = total <= max_broadcast_entries and n_rows <= DEFAULT_BROADCAST_ROWS
     return CellIndex(table, metric, cell_deg, bc, hot, total, n_cells, max_n)
 
@@ -279,7 +281,7 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
     return part_a.unionByName(part_b)
 
 
-def radius_join(towns: DataFrame, metros: DataFrame, metric: str = "haversine", cell_deg: float = 1.0,
+def radius_join(towns: DataFrame, metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
                 **kw) -> DataFrame:
     """Every (town, metro) pair with distance strictly inside the metro's radius.
 
@@ -291,7 +293,7 @@ def radius_join(towns: DataFrame, metros: DataFrame, metric: str = "haversine",
 
 
 def bbox_candidates(towns: DataFrame, metros: DataFrame, metric: str = "haversine",
-                    cell_deg: float = 1.0, **kw) -> DataFrame:
+                    cell_deg: float = DEFAULT_CELL_DEG, **kw) -> DataFrame:
     """D3: (town, metro) pairs whose town lies inside the metro's lat/lon box.
 
     Box test: |lat - lat_m| <= lat_half and the wrapped longitude difference <= lon_half

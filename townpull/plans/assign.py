@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from townpull.functions.geo import influence_radius_km
 from townpull.operators.filters import filter_populated_places, split_metros
 from townpull.operators.metro_rules import flag_metros
-from townpull.operators.radius_join import attach_candidates, build_cell_index
+from townpull.operators.radius_join import DEFAULT_CELL_DEG, attach_candidates, build_cell_index
 from townpull.schema import ADMIN_SEAT_MIN_POPULATION, METRO_SHARE
 
 
@@ -25,7 +25,7 @@ def with_radius(metros: DataFrame) -> DataFrame:
     return metros.withColumn("influence_radius", influence_radius_km("population"))
 
 
-def attach_best(towns: DataFrame, metros: DataFrame, metric: str = "haversine", cell_deg: float = 1.0,
+def attach_best(towns: DataFrame, metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
                 **index_kw) -> DataFrame:
     """W1 + D4: towns with ``assigned_metro_id`` of the strongest metro (null if none).
 
@@ -38,7 +38,7 @@ def attach_best(towns: DataFrame, metros: DataFrame, metric: str = "haversine",
 
 def assign_metros(places: DataFrame, rule: str = "share_excl_ppl", metric: str = "haversine",
                   scope: str = "global", share: float = METRO_SHARE,
-                  min_pop: int = ADMIN_SEAT_MIN_POPULATION, cell_deg: float = 1.0,
+                  min_pop: int = ADMIN_SEAT_MIN_POPULATION, cell_deg: float = DEFAULT_CELL_DEG,
                   populated_only: bool = True, self_assign: bool = True,
                   candidates: bool = False, **index_kw) -> DataFrame:
     """P1 (``candidates=False``) / P2 (``candidates=True``).

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from townpull.functions.geo import influence_radius_km
 from townpull.operators.filters import filter_populated_places, split_metros
 from townpull.operators.metro_rules import flag_metros
-from townpull.operators.radius_join import attach_candidates, build_cell_index
+from townpull.operators.radius_join import DEFAULT_CELL_DEG, attach_candidates, build_cell_index
 from townpull.operators.sizing import join_small, materialize
 
 
@@ -43,7 +43,7 @@ def _next_eff(base: DataFrame, assigned: DataFrame) -> DataFrame:
 
 
 def iterative_growth(places: DataFrame, rule: str = "share_only", metric: str = "haversine",
-                     max_iter: int = 5, cell_deg: float = 1.0, populated_only: bool = True,
+                     max_iter: int = 5, cell_deg: float = DEFAULT_CELL_DEG, populated_only: bool = True,
                      return_rounds: bool = False, **rule_kw):
     """K1: final assignment after growth; ``return_rounds`` also returns the list of
     per-round town assignments (for K2)."""
