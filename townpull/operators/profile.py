@@ -56,22 +56,51 @@ def group_has(df: DataFrame, keys: Sequence[str], code: str, col: str = "feature
     return df.groupBy(*keys).agg(F.coalesce(F.bool_or(F.col(col) == code), F.lit(False)).alias("has_code"))
 
 
-def duplicate_flag(df: DataFrame, key: str = "name", order: str = "geonameid",
-                   out: str = "is_duplicate") -> DataFrame:
-    """Flag the second and later occurrence of each ``key`` (order by ``order``;
-    identical copies of the first id are ordered by input position)."""
+def _group_key(key: str) -> Column:
+    """Join-safe group key in which null is one value (as pandas' duplicated() treats NaN)."""
+    return F.struct(F.col(key).isNull().alias("isnull"), F.col(key).alias("v"))
+
+
+def duplicate_flag(df: DataFrame, key: str = "name", order: str = "geonameid", out: str = "is_duplicate",
+                   expand_chunk: int = 1_000_000) -> DataFrame:
+    """Flag the second and later occurrence of each ``key`` in ``order``.
+
+    The first occurrence is the row with the smallest ``(order, whole row)`` (null
+    ``order`` last); every
+    other row is flagged. Byte-identical copies of that first row cannot be told
+    apart, so they are collapsed to one row and a count and re-expanded as one
+    unflagged row plus ``count - 1`` flagged ones, in chunks of ``expand_chunk``
+    spread over tasks: a group of copies holding a third of the table is neither
+    sorted nor generated inside one task. Deterministic under recomputation.
+    """
     cols = df.columns
-    pos = df.withColumn("_pos", F.monotonically_increasing_id())
-    first = pos.groupBy(key).agg(F.min(F.struct(F.col(order), F.col("_pos"))).alias("_first"))
-    j = join_small(pos, first, key, "left")
-    is_dup = F.when(F.col(key).isNull(), F.lit(False)).otherwise(F.struct(F.col(order), F.col("_pos")) != F.col("_first"))
-    return j.select(*cols, is_dup.alias(out))
+    row = F.struct(*[F.col(c) for c in cols])
+    # null ids sort last, as in SQL's default ascending order
+    k = F.struct(F.col(order).isNull().alias("onull"), F.col(order).alias("o"), row.alias("r"))
+    keyed = df.withColumn("_g", _group_key(key)).withColumn("_k", k)
+    first = keyed.groupBy("_g").agg(F.min("_k").alias("_first"))
+    j = join_small(keyed, first, "_g", "left")
+    later = j.filter(F.col("_k") != F.col("_first")).select(*cols, F.lit(True).alias(out))
+    copies = (j.filter(F.col("_k") == F.col("_first")).groupBy("_g")
+              .agg(F.first("_k").alias("_k"), F.count(F.lit(1)).alias("_n")))
+    keep = copies.select("_k.r.*", F.lit(False).alias(out))
+    extra = copies.filter(F.col("_n") > 1).select(
+        "_g", "_k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 2) / F.lit(expand_chunk))))
+        .alias("_c"), "_n")
+    extra = extra.repartition("_g", "_c").select(
+        "_k", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(expand_chunk).cast("long"),
+                                                               F.col("_n") - 1 - F.col("_c") * expand_chunk)))
+        .alias("_i"))
+    dup_copies = extra.select("_k.r.*", F.lit(True).alias(out))
+    return later.unionByName(keep).unionByName(dup_copies)
 
 
 def duplicate_rows(df: DataFrame, key: str = "name") -> DataFrame:
     """Every row whose ``key`` occurs more than once."""
-    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(key)
-    return join_small(df, dup, key, "left_semi")
+    cols = df.columns
+    g = df.withColumn("_g", _group_key(key))
+    dup = g.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("_g")
+    return join_small(g, dup, "_g", "left_semi").select(*cols)
 
 
 def duplicate_ids(df: DataFrame, key: str = "name") -> DataFrame:
