@@ -30,3 +30,10 @@ def test_admin_dedupe_null_admin(spark):
         "geonameid int, feature_class string, feature_code string, admin2_code string, admin3_code string")
     assert sorted(r[0] for r in admin_dedupe(df).collect()) == [1, 7]
     assert sorted(r[0] for r in admin_dedupe(df, keep_null_admin=True).collect()) == [1, 3, 4, 7]
+
+
+def test_duplicate_ids_matches_duplicate_rows(spark):
+    from townpull.operators.profile import duplicate_ids
+    df = spark.createDataFrame([(1, "A"), (2, "A"), (3, None), (4, None), (5, "B")], "geonameid int, name string")
+    got = {r["geonameid"]: (r["n_ids"], r["first_id"], r["last_id"]) for r in duplicate_ids(df).collect()}
+    assert got == {1: (2, 1, 2), 2: (2, 1, 2), 3: (2, 3, 4), 4: (2, 3, 4)}

@@ -24,7 +24,7 @@ from townpull.operators.filters import has_polygons, split_boundaries
 from townpull.operators.metro_rules import flag_metros
 from townpull.operators.radius_join import _grid, _lat_idx
 from townpull.operators.setops import recombine
-from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize
+from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize, spread_key
 
 DEFAULT_RING_CHUNK = 1_000
 DEFAULT_BROADCAST_VERTICES = 5_000_000
@@ -42,10 +42,12 @@ def attach_boundaries(df: DataFrame, boundaries: DataFrame, fanout: bool = False
     if fanout:
         return df.join(boundaries.select("name", "polygons"), "name", "left")
     k = list(keys)
+    on, key = spread_key(k)
     one = (boundaries.filter(F.col("polygons").isNotNull())
            .groupBy(*k).agg(F.max_by("polygons", F.struct(F.size("polygons"), -F.length(
-               F.to_json("polygons")))).alias("polygons")))
-    return join_small(df, one, k, "left")
+               F.to_json("polygons")))).alias("polygons"))
+           .select(key, "polygons"))
+    return join_small(df.withColumn(on[0], key), one, on, "left").drop(*on)
 
 
 def boundary_rings(df: DataFrame, id_col: str = "geonameid") -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townpull.operators.sizing import join_small
+from townpull.operators.sizing import join_small, spread_key
 from townpull.schema import POPULATED_CODES
 
 
@@ -105,8 +105,11 @@ def duplicate_rows(df: DataFrame, key: str = "name") -> DataFrame:
 
 def duplicate_ids(df: DataFrame, key: str = "name") -> DataFrame:
     """W3 rows with the size and id range of their duplicate group."""
-    groups = ids_by_name(df, key).filter(F.col("n_ids") > 1)
-    return join_small(df, groups, key, "inner")
+    cols = df.columns
+    g = df.withColumn("_g", _group_key(key))
+    groups = (g.groupBy("_g").agg(F.count(F.lit(1)).alias("n_ids"), F.min("geonameid").alias("first_id"),
+                                  F.max("geonameid").alias("last_id")).filter(F.col("n_ids") > 1))
+    return join_small(g, groups, "_g", "inner").select(*cols, "n_ids", "first_id", "last_id")
 
 
 def admin_dedupe(df: DataFrame, keep_null_admin: bool = False) -> DataFrame:
@@ -121,16 +124,24 @@ def admin_dedupe(df: DataFrame, keep_null_admin: bool = False) -> DataFrame:
     code = F.col("feature_code")
     p = df.filter((F.col("feature_class") == "P") & ~F.coalesce(code.isin("PPLH", "PPLX"), F.lit(False)))
 
-    g2 = p.groupBy("admin2_code").agg(F.bool_or(code == "PPLA").alias("_has_a"),
-                                      F.bool_or(code == "PPLC").alias("_has_c"))
-    s1 = join_small(p, g2.filter(F.col("admin2_code").isNotNull()), "admin2_code", "left")
+    if not keep_null_admin:  # these rows drop anyway: keep them out of the shuffle
+        p = p.filter(F.col("admin2_code").isNotNull())
+    on2, k2 = spread_key(["admin2_code"])
+    g2 = (p.filter(F.col("admin2_code").isNotNull()).groupBy("admin2_code")
+          .agg(F.bool_or(code == "PPLA").alias("_has_a"), F.bool_or(code == "PPLC").alias("_has_c"))
+          .select(k2, "_has_a", "_has_c"))
+    s1 = join_small(p.withColumn(on2[0], k2), g2, on2, "left")
     has_a, has_c = F.coalesce(F.col("_has_a"), F.lit(False)), F.coalesce(F.col("_has_c"), F.lit(False))
     keep1 = F.when(has_a, code == "PPLA").when(has_c, code == "PPLC").otherwise(F.lit(True))
     null2 = F.col("admin2_code").isNull()
     s1 = s1.filter(F.coalesce(keep1, F.lit(False)) & (F.lit(keep_null_admin) | ~null2)).select(*cols)
 
-    g3 = s1.groupBy("admin3_code").agg(F.bool_or(code == "PPLA2").alias("_has_a2"))
-    s2 = join_small(s1, g3.filter(F.col("admin3_code").isNotNull()), "admin3_code", "left")
+    if not keep_null_admin:
+        s1 = s1.filter(F.col("admin3_code").isNotNull())
+    on3, k3 = spread_key(["admin3_code"])
+    g3 = (s1.filter(F.col("admin3_code").isNotNull()).groupBy("admin3_code")
+          .agg(F.bool_or(code == "PPLA2").alias("_has_a2")).select(k3, "_has_a2"))
+    s2 = join_small(s1.withColumn(on3[0], k3), g3, on3, "left")
     has_a2 = F.coalesce(F.col("_has_a2"), F.lit(False))
     keep2 = F.when(has_a2, code == "PPLA2").otherwise(F.lit(True))
     null3 = F.col("admin3_code").isNull()

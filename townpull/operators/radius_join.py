@@ -224,7 +224,10 @@ def _town_prep(towns: DataFrame, metric: str, cell_deg: float) -> DataFrame:
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     out = towns.withColumn("_tlat", lat).withColumn("_tlon", lon) \
         .withColumn("_tcos", F.cos(F.radians(lat))) \
-        .withColumn("_cell", town_cell(lat, lon, metric, cell_deg))
+        .withColumn("_cell", F.coalesce(town_cell(lat, lon, metric, cell_deg),
+                                        # no coordinates: a unique key that matches no cell, so such
+                                        # rows spread over partitions in a shuffle join
+                                        F.lit(-3) - F.monotonically_increasing_id()))
     if metric == "mercator_cos":
         out = out.withColumn("_ty", mercator_y(lat))
     return out

@@ -48,3 +48,17 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     """
     side, _ = broadcast_if_bounded(small, max_rows)
     return big.join(side, on, how)
+
+
+def spread_key(cols: list[str], name: str = "_jk") -> tuple[list[str], "F.Column"]:
+    """A single string join key over ``cols`` for a left join in which a null part
+    never matches. Rows with a null part get a unique key that matches nothing, so
+    in a shuffle join they spread over all partitions instead of hashing together
+    (a column that is null on a third of the rows would otherwise make one hot task).
+    Returns ``([name], column)``; apply the same call to both sides."""
+    any_null = F.lit(False)
+    for c in cols:
+        any_null = any_null | F.col(c).isNull()
+    key = F.when(any_null, F.concat(F.lit("\u0001"), F.monotonically_increasing_id().cast("string"))) \
+        .otherwise(F.concat_ws("\u0000", *[F.col(c).cast("string") for c in cols]))
+    return [name], key.alias(name)
