@@ -7,6 +7,7 @@ out of transcendental functions are rounded to 6 places in both engines.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -308,7 +309,15 @@ def _a4(sp, sf):
     return FS.ingest_zipped_dumps(sp, zips).select(*PLACES_COLUMNS)
 
 
+def _a2(sp, sf):
+    root = scratch_path(sp, "dumps_by_country")
+    pl = places(sp, sf)
+    FS.to_dump_lines(pl, keep=["country_code"]).write.mode("overwrite").partitionBy("_country_code").text(root)
+    return FS.scan_all_places(sp, os.path.join(root, "_country_code=*", "part-*")).select(*PLACES_COLUMNS)
+
+
 _q("a1_scan_places", _PLACES_ALL, _a1)
+_q("a2_scan_all_places_glob", _PLACES_ALL, _a2)
 _q("a3_load_lenient", _PLACES_ALL, _a3)
 _q("a4_ingest_zipped_dumps", _PLACES_ALL, _a4)
 

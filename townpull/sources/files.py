@@ -50,11 +50,12 @@ def load_lenient(spark: SparkSession, path: str | Sequence[str], null_population
     return raw.select(*out)
 
 
-def to_dump_lines(df: DataFrame, schema: T.StructType = PLACE_SCHEMA) -> DataFrame:
-    """Format rows as dump lines (missing columns empty) — the inverse of ``scan_places``."""
+def to_dump_lines(df: DataFrame, schema: T.StructType = PLACE_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:
+    """Format rows as dump lines (missing columns empty) — the inverse of ``scan_places``;
+    ``keep`` columns are passed through (e.g. as output partition columns)."""
     cells = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) if f.name in df.columns else F.lit("")
              for f in schema.fields]
-    return df.select(F.concat_ws("\t", *cells).alias("value"))
+    return df.select(F.concat_ws("\t", *cells).alias("value"), *[F.col(k).alias(f"_{k}") for k in keep])
 
 
 def write_dump(df: DataFrame, path: str, schema: T.StructType = PLACE_SCHEMA) -> None:
