@@ -220,11 +220,14 @@ def best_of(col: Column) -> Column:
     return F.array_min(F.transform(col, _rank_key))["v"]
 
 
-def _town_prep(towns: DataFrame, metric: str, cell_deg: float) -> DataFrame:
+def _town_prep(towns: DataFrame, metric: str, cell_deg: float, skip: Column | None = None) -> DataFrame:
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
+    cell = town_cell(lat, lon, metric, cell_deg)
+    if skip is not None:
+        cell = F.when(F.coalesce(skip, F.lit(False)), F.lit(None).cast("long")).otherwise(cell)
     out = towns.withColumn("_tlat", lat).withColumn("_tlon", lon) \
         .withColumn("_tcos", F.cos(F.radians(lat))) \
-        .withColumn("_cell", F.coalesce(town_cell(lat, lon, metric, cell_deg),
+        .withColumn("_cell", F.coalesce(cell,
                                         # no coordinates: a unique key that matches no cell, so such
                                         # rows spread over partitions in a shuffle join
                                         F.lit(-3) - F.monotonically_increasing_id()))
@@ -237,8 +240,9 @@ _TMP = ["_tlat", "_tlon", "_tcos", "_cell", "_ty", "_metros", "_rk", "_hot", "_l
 
 
 def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
-                      out_col: str | None = None) -> DataFrame:
-    """Add to every town row its metros within radius.
+                      out_col: str | None = None, skip: Column | None = None) -> DataFrame:
+    """Add to every town row its metros within radius (rows where ``skip`` is true,
+    e.g. the metros themselves, get none and cost no distance evaluation).
 
     ``mode="list"`` adds ``candidates`` (C8: sorted by force desc, distance asc, metro_id
     asc; empty array when none). ``mode="best"`` adds ``best`` (C9/W1: the strongest
@@ -248,7 +252,7 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         raise ValueError("mode must be 'list' or 'best'")
     out_col = out_col or ("candidates" if mode == "list" else "best")
     cols = towns.columns
-    t = _town_prep(towns, index.metric, index.cell_deg)
+    t = _town_prep(towns, index.metric, index.cell_deg, skip)
     tab = index.table.select(F.col("cell").alias("_cell"), "chunk", "n_chunks", F.col("metros").alias("_metros"))
 
     def side(df: DataFrame) -> DataFrame:

@@ -46,18 +46,24 @@ def assign_metros(places: DataFrame, rule: str = "share_excl_ppl", metric: str =
     Output: the input columns, then ``isMetro``, ``influence_radius`` (null on towns),
     ``assigned_metro_id`` (the metro itself on metro rows unless ``self_assign=False``),
     and with ``candidates=True`` a ``candidates`` array (null on metro rows).
+
+    The place table is read in full once: the cell index is built from a narrow
+    projection of the metro rows, and the output is one pass over all flagged rows
+    in which metro rows skip the index lookup and are assigned to themselves.
     """
     df = filter_populated_places(places) if populated_only else places
     flagged = flag_metros(df, rule, share=share, scope=scope, min_pop=min_pop)
-    metros, towns = split_metros(flagged)
-    metros = with_radius(metros)
+    is_metro = F.col("isMetro")
+    metros = with_radius(flagged.filter(is_metro).select("geonameid", "name", "latitude", "longitude", "population"))
     idx = build_cell_index(metros, metric, cell_deg, **index_kw)
-    if candidates:
-        towns_out = attach_candidates(towns, idx, mode="list")
-        towns_out = towns_out.withColumn("assigned_metro_id", F.get(F.col("candidates"), 0)["metro_id"])
-    else:
-        towns_out = attach_candidates(towns, idx, mode="best")
-        towns_out = towns_out.withColumn("assigned_metro_id", F.col("best.metro_id")).drop("best")
     own = F.col("geonameid").cast("int") if self_assign else F.lit(None).cast("int")
-    metros_out = metros.withColumn("assigned_metro_id", own)
-    return metros_out.unionByName(towns_out, allowMissingColumns=True)
+    radius = F.when(is_metro, influence_radius_km("population"))
+    if candidates:
+        out = attach_candidates(flagged, idx, mode="list", skip=is_metro)
+        best = F.get(F.col("candidates"), 0)["metro_id"]
+        return out.select(*flagged.columns, radius.alias("influence_radius"),
+                          F.when(is_metro, own).otherwise(best).alias("assigned_metro_id"),
+                          F.when(~is_metro, F.col("candidates")).alias("candidates"))
+    out = attach_candidates(flagged, idx, mode="best", skip=is_metro)
+    return out.select(*flagged.columns, radius.alias("influence_radius"),
+                      F.when(is_metro, own).otherwise(F.col("best.metro_id")).alias("assigned_metro_id"))

@@ -24,12 +24,15 @@ from townpull.functions.geo import influence_radius_km
 from townpull.operators.filters import filter_populated_places, split_metros
 from townpull.operators.metro_rules import flag_metros
 from townpull.operators.radius_join import DEFAULT_CELL_DEG, attach_candidates, build_cell_index
-from townpull.operators.sizing import join_small, materialize
+from townpull.operators.sizing import join_small, materialize, spread_key
 
 
-def _assign_round(towns: DataFrame, eff: DataFrame, metric: str, cell_deg: float, **kw) -> DataFrame:
+def _index(eff: DataFrame, metric: str, cell_deg: float, **kw):
     m = eff.withColumn("influence_radius", influence_radius_km("eff_population"))
-    idx = build_cell_index(m, metric, cell_deg, **kw)
+    return build_cell_index(m, metric, cell_deg, **kw)
+
+
+def _assign_round(towns: DataFrame, idx) -> DataFrame:
     return attach_candidates(towns, idx, mode="best").withColumn("assigned_metro_id", F.col("best.metro_id")).drop("best")
 
 
@@ -46,14 +49,21 @@ def iterative_growth(places: DataFrame, rule: str = "share_only", metric: str =
                      max_iter: int = 5, cell_deg: float = DEFAULT_CELL_DEG, populated_only: bool = True,
                      return_rounds: bool = False, **rule_kw):
     """K1: final assignment after growth; ``return_rounds`` also returns the list of
-    per-round town assignments (for K2)."""
+    per-round town assignments (for K2).
+
+    Output columns: the input columns, ``isMetro``, ``eff_population`` and
+    ``influence_radius`` (metro rows), ``assigned_metro_id``. The loop reads a
+    narrow projection of the towns; the full rows are read once, for the output.
+    """
     df = filter_populated_places(places) if populated_only else places
-    metros, towns = split_metros(flag_metros(df, rule, **rule_kw))
-    base = materialize(metros.select("geonameid", "name", "latitude", "longitude", "population"))
+    flagged = flag_metros(df, rule, **rule_kw)
+    is_metro = F.col("isMetro")
+    base = materialize(flagged.filter(is_metro).select("geonameid", "name", "latitude", "longitude", "population"))
+    towns = flagged.filter(~is_metro).select("geonameid", "latitude", "longitude", "population")
     eff = base.withColumn("eff_population", F.col("population").cast("long"))
-    rounds = []
-    assigned = _assign_round(towns, eff, metric, cell_deg)
-    rounds.append(assigned)
+    idx = _index(eff, metric, cell_deg)
+    assigned = _assign_round(towns, idx)
+    rounds = [assigned]
     for _ in range(max_iter):
         nxt = materialize(_next_eff(base, assigned))
         same = (nxt.alias("a").join(eff.alias("b"), "geonameid")
@@ -61,13 +71,20 @@ def iterative_growth(places: DataFrame, rule: str = "share_only", metric: str =
         if same:
             break
         eff = nxt
-        assigned = _assign_round(towns, eff, metric, cell_deg)
+        idx = _index(eff, metric, cell_deg)
+        assigned = _assign_round(towns, idx)
         rounds.append(assigned)
-    metro_rows = join_small(metros, eff.select("geonameid", "eff_population"), "geonameid", "left")
-    metro_rows = metro_rows.withColumn("influence_radius", influence_radius_km("eff_population")) \
-        .withColumn("assigned_metro_id", F.col("geonameid").cast("int"))
-    out = metro_rows.unionByName(assigned, allowMissingColumns=True)
-    return (out, rounds) if return_rounds else out
+    # one pass over the full rows: metros take their effective population, towns the last index
+    on, key = spread_key(["_mk"])
+    effs = eff.select(F.col("geonameid").alias("_mk"), "eff_population").select(key, "eff_population")
+    full = flagged.withColumn("_mk", F.when(is_metro, F.col("geonameid")))
+    full = join_small(full.withColumn(on[0], key), effs, on, "left").drop(*on, "_mk")
+    out = attach_candidates(full, idx, mode="best", skip=is_metro)
+    result = out.select(*flagged.columns, "eff_population",
+                        F.when(is_metro, influence_radius_km("eff_population")).alias("influence_radius"),
+                        F.when(is_metro, F.col("geonameid").cast("int")).otherwise(F.col("best.metro_id"))
+                        .alias("assigned_metro_id"))
+    return (result, rounds) if return_rounds else result
 
 
 def growth_lines(rounds: list[DataFrame], metros: DataFrame) -> DataFrame:
