@@ -14,16 +14,26 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_assign_plan(spark):
+def test_assign_plan_jvm_engine(spark, monkeypatch):
+    import townpull.operators.radius_join as RJ
+    monkeypatch.setattr(RJ, "DEFAULT_ENGINE", "jvm")
     plan = _plan(assign_metros(places(spark, SF_MID), rule="share_only"))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert "Python" not in plan  # no Python node at all
     assert "BroadcastHashJoin" in plan
-    # the town side is a single pass: scan -> filter -> broadcast join, no exchange before the join
+    # one pass over the places: scan -> filter -> broadcast join -> project, no exchange
     town_side = plan.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
     assert "Exchange hashpartitioning" not in town_side
 
 
+def test_assign_plan_arrow_engine(spark):
+    plan = _plan(assign_metros(places(spark, SF_MID), rule="share_only"))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan  # no row-at-a-time UDF
+    assert plan.count("MapInArrow") == 1  # one Arrow-batched evaluation after the join
+    assert "Exchange hashpartitioning" not in plan.split("MapInArrow")[1].split("BroadcastExchange")[0]
+
+
 def test_radius_join_plan(spark):
     pop = filter_populated_places(places(spark, SF_MID))
     m, t = MR.flag_metros(pop, "share_only").filter("isMetro"), MR.flag_metros(pop, "share_only").filter("not isMetro")

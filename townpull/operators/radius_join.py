@@ -31,15 +31,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from townpull.functions.geo import influence_radius_km, mercator_y
 from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize
-from townpull.schema import EARTH_RADIUS_KM, FORCE_K, MERCATOR_RADIUS_M
+from townpull.schema import CANDIDATE_TYPE, EARTH_RADIUS_KM, FORCE_K, MERCATOR_RADIUS_M
 
 POLAR_LAT = 85.0
 POLAR_NORTH, POLAR_SOUTH = -1, -2
 DEFAULT_CHUNK = 10_000
 DEFAULT_CELL_DEG = 0.25
+DEFAULT_ENGINE = "arrow"
 DEFAULT_BROADCAST_ENTRIES = 2_000_000
 METRICS = ("haversine", "mercator_cos")
 
@@ -113,8 +115,11 @@ def _metro_entries(metros: DataFrame, metric: str) -> DataFrame:
              & (F.col("radius") > 0))
 
 
-def metro_cells(metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """One row per (cell, metro) for every cell the metro's box touches."""
+def metro_cells(metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
+                with_names: bool = True) -> DataFrame:
+    """One row per (cell, metro) for every cell the metro's box touches. The entry
+    carries the name only if ``with_names`` and the Mercator ordinate only for that
+    metric, so the arrays joined onto every town stay as small as the job needs."""
     n_lat, n_lon = _grid(cell_deg)
     c = cell_deg
     m = _metro_entries(metros, metric)
@@ -129,8 +134,9 @@ def metro_cells(metros: DataFrame, metric: str = "haversine", cell_deg: float =
         lon_seq, lambda j: i * n_lon + F.pmod(j, F.lit(n_lon)))))
     if metric == "mercator_cos":
         cells = F.concat(cells, F.array(F.lit(POLAR_NORTH).cast("long"), F.lit(POLAR_SOUTH).cast("long")))
-    entry = F.struct("metro_id", "metro_name", "lat", "lon", "radius",
-                     (mercator_y(F.col("lat")) if metric == "mercator_cos" else F.lit(None).cast("double")).alias("y"))
+    fields = ["metro_id"] + (["metro_name"] if with_names else []) + ["lat", "lon", "radius"]
+    extra = [mercator_y(F.col("lat")).alias("y")] if metric == "mercator_cos" else []
+    entry = F.struct(*fields, *extra)
     return m.select(F.explode(F.array_distinct(cells.cast("array<long>"))).alias("cell"), entry.alias("m"))
 
 
@@ -146,16 +152,18 @@ class CellIndex:
     entries: int
     cells: int
     max_per_cell: int
+    with_names: bool = True
 
 
 def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
                      chunk_size: int = DEFAULT_CHUNK,
-                     max_broadcast_entries: int = DEFAULT_BROADCAST_ENTRIES) -> CellIndex:
+                     max_broadcast_entries: int = DEFAULT_BROADCAST_ENTRIES,
+                     with_names: bool = True) -> CellIndex:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     if chunk_size < 1:
         raise ValueError("chunk_size must be >= 1")
-    mc = materialize(metro_cells(metros, metric, cell_deg))
+    mc = materialize(metro_cells(metros, metric, cell_deg, with_names))
     counts = mc.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     st = counts.agg(F.count(F.lit(1)).alias("cells"), F.coalesce(F.max("n"), F.lit(0)).alias("mx"),
                     F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
@@ -175,7 +183,7 @@ def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: flo
         hot = materialize(per_cell.filter(F.col("n_chunks") > 1).select("cell"))
     table = materialize(table)
     bc = total <= max_broadcast_entries and n_rows <= DEFAULT_BROADCAST_ROWS
-    return CellIndex(table, metric, cell_deg, bc, hot, total, n_cells, max_n)
+    return CellIndex(table, metric, cell_deg, bc, hot, total, n_cells, max_n, with_names)
 
 
 def _pair_distance(metric: str, m: Column) -> Column:
@@ -192,11 +200,12 @@ def _pair_distance(metric: str, m: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy) * F.col("_tcos") / F.lit(1000.0)
 
 
-def _local_candidates(metric: str) -> Column:
+def _local_candidates(metric: str, with_names: bool = True) -> Column:
     """Exact in-radius candidates of the joined metro array, as
     array<struct<metro_id, metro_name, force, distance>>."""
     scored = F.transform(F.coalesce(F.col("_metros"), F.array()), lambda m: F.struct(
-        m["metro_id"].alias("metro_id"), m["metro_name"].alias("metro_name"),
+        m["metro_id"].alias("metro_id"),
+        (m["metro_name"] if with_names else F.lit(None).cast("string")).alias("metro_name"),
         m["radius"].alias("radius"), _pair_distance(metric, m).alias("distance")))
     inside = F.filter(scored, lambda x: x["distance"] < x["radius"])
     return F.transform(inside, lambda x: F.struct(
@@ -240,14 +249,22 @@ _TMP = ["_tlat", "_tlon", "_tcos", "_cell", "_ty", "_metros", "_rk", "_hot", "_l
 
 
 def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
-                      out_col: str | None = None, skip: Column | None = None) -> DataFrame:
+                      out_col: str | None = None, skip: Column | None = None,
+                      engine: str | None = None) -> DataFrame:
     """Add to every town row its metros within radius (rows where ``skip`` is true,
     e.g. the metros themselves, get none and cost no distance evaluation).
 
     ``mode="list"`` adds ``candidates`` (C8: sorted by force desc, distance asc, metro_id
     asc; empty array when none). ``mode="best"`` adds ``best`` (C9/W1: the strongest
     candidate struct or null). The town rows keep all their columns.
+
+    ``engine="arrow"`` evaluates the joined metro arrays Arrow-batched with numpy
+    (``mapInArrow``); ``engine="jvm"`` with Spark higher-order functions. Both follow
+    the same formulas; the plan around them (join, no shuffle of towns) is identical.
     """
+    engine = engine or DEFAULT_ENGINE
+    if engine not in ("arrow", "jvm"):
+        raise ValueError("engine must be 'arrow' or 'jvm'")
     if mode not in ("list", "best"):
         raise ValueError("mode must be 'list' or 'best'")
     out_col = out_col or ("candidates" if mode == "list" else "best")
@@ -259,7 +276,9 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         return F.broadcast(df) if index.broadcast else df
 
     def finish_single(df: DataFrame) -> DataFrame:
-        local = _local_candidates(index.metric)
+        if engine == "arrow":
+            return _arrow_eval(df, towns.schema, index.metric, mode, out_col, keep=cols)
+        local = _local_candidates(index.metric, index.with_names)
         val = sort_candidates(local) if mode == "list" else best_of(local)
         return df.select(*cols, val.alias(out_col))
 
@@ -275,7 +294,12 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         side(tab.filter(F.col("n_chunks") == 1).drop("chunk", "n_chunks")), "_cell", "left")
     part_a = finish_single(cool)
     warm = t.filter(F.col("_hot")).join(side(tab.filter(F.col("n_chunks") > 1)), "_cell", "inner")
-    warm = warm.withColumn("_local", _local_candidates(index.metric))
+    if engine == "arrow":
+        warm = _arrow_eval(warm, T.StructType(list(towns.schema.fields) + [T.StructField("_rk", T.LongType())]),
+                           index.metric, "list", "_local",
+                           keep=cols + ["_rk"])
+    else:
+        warm = warm.withColumn("_local", _local_candidates(index.metric, index.with_names))
     row = F.struct(*[F.col(c) for c in cols])
     if mode == "list":
         merged = warm.groupBy("_rk").agg(F.first(row).alias("_row"),
@@ -288,6 +312,18 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
     return part_a.unionByName(part_b)
 
 
+def _arrow_eval(df: DataFrame, base: T.StructType, metric: str, mode: str, out_col: str,
+                keep: list[str]) -> DataFrame:
+    """Evaluate ``_metros`` of the joined rows Arrow-batched; output ``keep`` + ``out_col``."""
+    from townpull.operators.arrow_eval import evaluate_batches
+    fields = {f.name: f for f in base.fields}
+    out_type = CANDIDATE_TYPE if mode == "list" else CANDIDATE_TYPE.elementType
+    schema = T.StructType([fields[c] for c in keep] + [T.StructField(out_col, out_type)])
+    drop = [c for c in df.columns if c not in keep]
+    staged = df.select(*keep, *[c for c in ("_tlat", "_tlon", "_tcos", "_ty", "_metros") if c in df.columns])
+    return staged.mapInArrow(evaluate_batches(metric, mode, out_col, drop), schema)
+
+
 def radius_join(towns: DataFrame, metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
                 **kw) -> DataFrame:
     """Every (town, metro) pair with distance strictly inside the metro's radius.

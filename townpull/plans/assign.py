@@ -55,7 +55,7 @@ def assign_metros(places: DataFrame, rule: str = "share_excl_ppl", metric: str =
     flagged = flag_metros(df, rule, share=share, scope=scope, min_pop=min_pop)
     is_metro = F.col("isMetro")
     metros = with_radius(flagged.filter(is_metro).select("geonameid", "name", "latitude", "longitude", "population"))
-    idx = build_cell_index(metros, metric, cell_deg, **index_kw)
+    idx = build_cell_index(metros, metric, cell_deg, with_names=candidates, **index_kw)
     own = F.col("geonameid").cast("int") if self_assign else F.lit(None).cast("int")
     radius = F.when(is_metro, influence_radius_km("population"))
     if candidates:

@@ -29,7 +29,7 @@ from townpull.operators.sizing import join_small, materialize, spread_key
 
 def _index(eff: DataFrame, metric: str, cell_deg: float, **kw):
     m = eff.withColumn("influence_radius", influence_radius_km("eff_population"))
-    return build_cell_index(m, metric, cell_deg, **kw)
+    return build_cell_index(m, metric, cell_deg, with_names=False, **kw)
 
 
 def _assign_round(towns: DataFrame, idx) -> DataFrame:

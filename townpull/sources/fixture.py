@@ -86,3 +86,19 @@ def diamond_boundaries(metros: DataFrame, dlat: float = DIAMOND_DLAT, dlon: floa
     """(geonameid, name, country_code, polygons) with one diamond ring per metro row."""
     return metros.select("geonameid", "name", "country_code", F.array(diamond_ring(
         F.col("latitude"), F.col("longitude"), dlat, dlon)).alias("polygons"))
+
+
+def replicate_places(df: DataFrame, copies: int, tile_lat: float = 4.1, tile_lon: float = 6.1,
+                     rows_per_band: int = 12) -> DataFrame:
+    """Scale-up input for benchmarks: every place ``copies`` times, each copy shifted to
+    its own non-overlapping tile (same density as the original), ids offset by 10^7 per
+    copy. A generator (``explode(sequence)``), no join."""
+    rep = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_rep")
+    r = F.col("_rep")
+    out = df.select("*", rep)
+    shifted = {
+        "geonameid": (F.col("geonameid") + r * 10_000_000).cast("int"),
+        "latitude": F.col("latitude") - 30.0 + (r % rows_per_band) * tile_lat,
+        "longitude": F.col("longitude") + F.floor(r / rows_per_band) * tile_lon,
+    }
+    return out.select(*[shifted.get(c, F.col(c)).alias(c) for c in df.columns])
