@@ -62,9 +62,32 @@ def test_remove_nested_keeps_holders_and_edges(spark):
             (8, "H", "PL", 9.0, 9.0, [ring])]                # second ring over the same cells
     df = spark.createDataFrame(rows, "geonameid int, name string, country_code string, latitude double, "
                                      "longitude double, polygons array<array<struct<lat:double,lon:double>>>")
-    for kw in ({}, {"chunk_size": 1}, {"max_broadcast_vertices": 0}, {"chunk_size": 1, "max_broadcast_vertices": 0}):
-        kept = sorted(r[0] for r in remove_nested(df, **kw).select("geonameid").collect())
-        assert kept == [1, 3, 4, 6, 7, 8], kw
+    for engine in ("arrow", "jvm"):
+        for kw in ({}, {"chunk_size": 1}, {"max_broadcast_vertices": 0}, {"chunk_size": 1, "max_broadcast_vertices": 0}):
+            kept = sorted(r[0] for r in remove_nested(df, engine=engine, **kw).select("geonameid").collect())
+            assert kept == [1, 3, 4, 6, 7, 8], (engine, kw)
+
+
+def test_remove_nested_engines_agree_on_random_rings(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(40):  # star-shaped, self-intersecting and open rings
+        c_lat, c_lon = rng.uniform(49, 53), rng.uniform(16, 22)
+        k = int(rng.integers(3, 12))
+        ang = np.sort(rng.uniform(0, 2 * np.pi, k)) if i % 3 else rng.uniform(0, 2 * np.pi, k)
+        rad = rng.uniform(0.05, 0.4, k)
+        ring = [{"lat": float(c_lat + r * np.sin(a)), "lon": float(c_lon + r * np.cos(a))} for a, r in zip(ang, rad)]
+        if i % 2:
+            ring.append(ring[0])
+        rows.append((100000 + i, f"R{i}", "PL", float(c_lat), float(c_lon), [ring]))
+    pts = rng.uniform([49, 16], [53, 22], size=(3000, 2))
+    rows += [(i, f"P{i}", "PL", float(a), float(b), None) for i, (a, b) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "geonameid int, name string, country_code string, latitude double, "
+                                     "longitude double, polygons array<array<struct<lat:double,lon:double>>>")
+    a = sorted(r[0] for r in remove_nested(df, engine="arrow").select("geonameid").collect())
+    j = sorted(r[0] for r in remove_nested(df, engine="jvm").select("geonameid").collect())
+    assert a == j and 40 < len(a) < 3040
 
 
 def test_attach_boundaries_dedupe_and_fanout(spark):

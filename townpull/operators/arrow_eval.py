@@ -102,3 +102,60 @@ def evaluate_batches(metric: str, mode: str, out_col: str, drop: list[str]):
             yield pa.RecordBatch.from_arrays(arrays, names=names_out)
 
     return fn
+
+
+def _flat_list(arr: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Flatten a list array (nulls as empty lists); return values and per-row lengths."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    if arr.null_count:
+        arr = arr.fill_null(pa.scalar([], arr.type))
+    return arr.flatten(), pc.list_value_length(arr).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def point_in_rings_batches(out_col: str, drop: list[str]):
+    """Build the ``mapInArrow`` function for nested removal: joined rows (point
+    ``latitude``/``longitude`` + ``_rings`` of its cell) -> rows + ``out_col`` = strictly
+    inside any ring (even-odd crossings; on an edge or vertex counts as outside). The
+    arithmetic is the Column version's, edge for edge (rings closed by wrapping)."""
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            rings, per_point = _flat_list(batch.column(batch.schema.get_field_index("_rings")))
+            inside_pt = np.zeros(n, dtype=bool)
+            if len(rings):
+                verts, per_ring = _flat_list(rings.field("ring"))
+                ring_owner = np.repeat(np.arange(n), per_point)
+                if len(verts):
+                    vlat = verts.field("lat").to_numpy(zero_copy_only=False)
+                    vlon = verts.field("lon").to_numpy(zero_copy_only=False)
+                    edge_ring = np.repeat(np.arange(len(per_ring)), per_ring)
+                    starts = np.concatenate([[0], np.cumsum(per_ring)[:-1]])
+                    a_idx = np.arange(len(vlat))
+                    last = np.zeros(len(vlat), dtype=bool)
+                    ends = starts + per_ring - 1
+                    last[ends[per_ring > 0]] = True
+                    b_idx = np.where(last, starts[edge_ring], a_idx + 1)
+                    p = ring_owner[edge_ring]
+                    y = _col(batch, "latitude").astype(np.float64)[p]
+                    x = _col(batch, "longitude").astype(np.float64)[p]
+                    ay, ax, by, bx = vlat[a_idx], vlon[a_idx], vlat[b_idx], vlon[b_idx]
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+                        on_edge = ((cross == 0) & (x >= np.minimum(ax, bx)) & (x <= np.maximum(ax, bx))
+                                   & (y >= np.minimum(ay, by)) & (y <= np.maximum(ay, by)))
+                        straddles = (ay > y) != (by > y)
+                        x_at = ax + (y - ay) * (bx - ax) / (by - ay)
+                        crosses = straddles & (x < x_at)
+                    n_ring = len(per_ring)
+                    n_cross = np.bincount(edge_ring, weights=crosses, minlength=n_ring)
+                    touching = np.bincount(edge_ring, weights=on_edge, minlength=n_ring) > 0
+                    inside_ring = (~touching) & (n_cross % 2 == 1) & (per_ring >= 3)
+                    inside_pt = np.bincount(ring_owner, weights=inside_ring, minlength=n) > 0
+            keep_cols = [i for i, f in enumerate(batch.schema) if f.name not in drop]
+            arrays = [batch.column(i) for i in keep_cols] + [pa.array(inside_pt, pa.bool_())]
+            names_out = [batch.schema.field(i).name for i in keep_cols] + [out_col]
+            yield pa.RecordBatch.from_arrays(arrays, names=names_out)
+
+    return fn

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from townpull.functions.geo import point_in_ring, ring_is_usable
 from townpull.operators.filters import has_polygons, split_boundaries
@@ -72,10 +73,26 @@ def _ring_cells(rings: DataFrame, cell_deg: float) -> DataFrame:
                         F.struct("id", "ring_no", "ring").alias("r"), F.size("ring").alias("nv"))
 
 
+def _inside_flag(df: DataFrame, keep: list[str], engine: str) -> DataFrame:
+    """``keep`` columns + ``_in`` (point strictly inside any ring of ``_rings``)."""
+    if engine == "arrow":
+        from townpull.operators.arrow_eval import point_in_rings_batches
+        schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("_in", T.BooleanType())])
+        staged = df.select(*keep, *[c for c in ("latitude", "longitude", "_rings") if c not in keep])
+        drop = [c for c in staged.columns if c not in keep]
+        return staged.mapInArrow(point_in_rings_batches("_in", drop), schema)
+    lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
+    inside = F.exists(F.coalesce(F.col("_rings"), F.array()), lambda r: point_in_ring(lat, lon, r["ring"]))
+    return df.select(*keep, F.coalesce(inside, F.lit(False)).alias("_in"))
+
+
 def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAULT_RING_CHUNK,
-                  max_broadcast_vertices: int = DEFAULT_BROADCAST_VERTICES) -> DataFrame:
+                  max_broadcast_vertices: int = DEFAULT_BROADCAST_VERTICES, engine: str = "arrow") -> DataFrame:
     """Keep rows with polygons; drop polygon-less rows strictly inside any
-    usable ring of any boundary row."""
+    usable ring of any boundary row. ``engine="arrow"`` runs the crossing test
+    Arrow-batched with numpy (same arithmetic), ``"jvm"`` with higher-order functions."""
+    if engine not in ("arrow", "jvm"):
+        raise ValueError("engine must be 'arrow' or 'jvm'")
     if chunk_size < 1:
         raise ValueError("chunk_size must be >= 1")
     n_lat, n_lon = _grid(cell_deg)
@@ -105,20 +122,23 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAU
 
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     cell = (_lat_idx(lat, cell_deg, n_lat) * n_lon + F.pmod(F.floor((lon + 180.0) / cell_deg), F.lit(n_lon)))
-    pts = rest.withColumn("_cell", cell.cast("long"))
-    inside = F.exists(F.coalesce(F.col("_rings"), F.array()), lambda r: point_in_ring(lat, lon, r["ring"]))
+    # no coordinates: a unique negative key that matches no cell (spreads in a shuffle join)
+    cell = F.coalesce(cell.cast("long"), F.lit(-1) - F.monotonically_increasing_id())
+    pts = rest.withColumn("_cell", cell)
     if hot is None:
-        kept = pts.join(side(table.select("_cell", "_rings")), "_cell", "left").filter(~inside).select(*cols)
+        joined = pts.join(side(table.select("_cell", "_rings")), "_cell", "left")
+        kept = _inside_flag(joined, cols, engine).filter(~F.col("_in")).select(*cols)
         return recombine(holders, kept)
     pts = pts.withColumn("_rk", F.monotonically_increasing_id())
     pts = join_small(pts, hot.withColumn("_hot", F.lit(True)), "_cell", "left")
-    cool = (pts.filter(F.col("_hot").isNull())
-            .join(side(table.filter(F.col("n_chunks") == 1).select("_cell", "_rings")), "_cell", "left")
-            .filter(~inside).select(*cols))
+    cool = pts.filter(F.col("_hot").isNull()).join(
+        side(table.filter(F.col("n_chunks") == 1).select("_cell", "_rings")), "_cell", "left")
+    cool = _inside_flag(cool, cols, engine).filter(~F.col("_in")).select(*cols)
     warm = pts.filter(F.col("_hot")).join(side(table.filter(F.col("n_chunks") > 1).select("_cell", "_rings")),
                                           "_cell", "inner")
+    warm = _inside_flag(warm, cols + ["_rk"], engine)
     row = F.struct(*[F.col(c) for c in cols])
-    warm_kept = (warm.groupBy("_rk").agg(F.first(row).alias("_row"), F.bool_or(inside).alias("_in"))
+    warm_kept = (warm.groupBy("_rk").agg(F.first(row).alias("_row"), F.bool_or("_in").alias("_in"))
                  .filter(~F.col("_in")).select("_row.*"))
     return recombine(holders, cool.unionByName(warm_kept))
 
