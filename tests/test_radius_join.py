@@ -172,3 +172,41 @@ def test_properties_on_fixture(spark):
             assert math.exp(-1.4) < c["force"] <= 1.0
             assert c["metro_id"] in metros
     assert sum(1 for r in rows if not r["isMetro"] and r["assigned_metro_id"] is not None) == 1035
+
+
+def test_shuffle_path_splits_a_hot_town_cell(spark):
+    """Index too big to broadcast + one cell holding ~90 % of the towns: AQE splits the
+    hot partition of the town side (skew join) and the result equals the broadcast plan."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rng = np.random.default_rng(9)
+        n = 20000
+        lat = np.where(rng.random(n) < 0.9, 50.05 + rng.random(n) * 0.1, rng.uniform(45, 55, n))
+        lon = np.where(lat < 50.15, 20.05 + rng.random(n) * 0.1, rng.uniform(15, 25, n))
+        towns = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(lat, lon))],
+                                      "geonameid int, latitude double, longitude double").repartition(8)
+        metros = spark.createDataFrame([(100000 + i, f"M{i}", float(a), float(b), 500000)
+                                        for i, (a, b) in enumerate(zip(rng.uniform(45, 55, 60), rng.uniform(15, 25, 60)))],
+                                       "geonameid int, name string, latitude double, longitude double, population int")
+        shuffled = attach_candidates(towns, build_cell_index(metros, max_broadcast_entries=0), "best")
+        rows = shuffled.collect()  # runs the Dataset's own adaptive plan to its final form
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "skew=true" in plan, plan
+        got = {r["geonameid"]: (r["best"]["metro_id"] if r["best"] else None) for r in rows}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    want = {r[0]: r[1] for r in attach_candidates(towns, build_cell_index(metros), "best")
+            .select("geonameid", "best.metro_id").collect()}
+    assert got == want and len(got) == 20000

@@ -134,7 +134,7 @@ def write_csv_by_country(df: DataFrame, root: str, key: str = "country_code", pa
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = df.repartitionByRange(n, F.col(key), F.col("geonameid"))
     (spread.write.option("header", True).option("maxRecordsPerFile", max_records_per_file)
-     .mode("overwrite").partitionBy(key).csv(root))
+     .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(key).csv(root))
 
 
 def read_partitioned_csv(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
