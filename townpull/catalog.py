@@ -568,7 +568,7 @@ _q("p8_profile_summary", _PC + ", pl AS (SELECT * FROM places) SELECT count(*) A
 
 
 # -------------------------------------------------------------- K1 / K2 ------
-def _growth_sql(max_iter: int, rule: str = "share_only") -> str:
+def _growth_ctes(max_iter: int, rule: str = "share_only") -> list[str]:
     ctes = [S.PLACES, S.POP, *S.flag_cte(rule),
             "towns AS (SELECT * FROM flag WHERE NOT isMetro)",
             "eff0 AS (SELECT geonameid, name, latitude, longitude, population, CAST(population AS BIGINT) AS eff "
@@ -585,6 +585,11 @@ def _growth_sql(max_iter: int, rule: str = "share_only") -> str:
             ctes.append(f"eff{k + 1} AS (SELECT e.geonameid, e.name, e.latitude, e.longitude, e.population, "
                         f"CAST(e.population + COALESCE(g.gain, 0) AS BIGINT) AS eff FROM eff0 e LEFT JOIN "
                         f"(SELECT mid, sum(tpop) AS gain FROM b{k} GROUP BY mid) g ON e.geonameid = g.mid)")
+    return ctes
+
+
+def _growth_sql(max_iter: int, rule: str = "share_only") -> str:
+    ctes = _growth_ctes(max_iter, rule)
     k = max_iter
     return S.with_(*ctes) + f"""SELECT {S.cols('f')}, f.isMetro, e.eff AS eff_population,
  round({S.radius_sql('e.eff')}, 6) AS influence_radius, f.geonameid AS assigned_metro_id
@@ -602,7 +607,22 @@ def _k2(sp, sf):
     return GR.growth_lines(rounds, out.filter(F.col("isMetro")))
 
 
-_q("k2_growth_lines", None, _k2)
+def _k2_sql(max_iter: int) -> str:
+    """Lines of round 0 and of every round k whose rounds 1..k all changed some metro's
+    effective population (the loop stops at the first round without change)."""
+    def changed(k: int) -> str:
+        return (f"(SELECT count(*) FROM eff{k} a JOIN eff{k - 1} b ON a.geonameid = b.geonameid "
+                f"WHERE a.eff <> b.eff) > 0")
+    parts = []
+    for k in range(max_iter + 1):
+        cond = " AND ".join(changed(j) for j in range(1, k + 1)) or "true"
+        parts.append(f"SELECT {k} AS iteration, t.geonameid AS id, t.latitude AS lat, t.longitude AS lon, "
+                     f"m.latitude AS metro_lat, m.longitude AS metro_lon FROM b{k} b JOIN towns t ON b.tid = t.geonameid "
+                     f"JOIN flag m ON m.geonameid = b.mid AND m.isMetro WHERE {cond}")
+    return S.with_(*_growth_ctes(max_iter)) + "\nUNION ALL\n".join(parts)
+
+
+_q("k2_growth_lines", _k2_sql(3), _k2)
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
