@@ -100,3 +100,17 @@ def test_attach_boundaries_dedupe_and_fanout(spark):
     assert len(one) == 3 and len(one[1]) == 2 and len(one[2]) == 1 and one[3] is None
     fan = attach_boundaries(places, b, fanout=True).collect()
     assert len(fan) == 2 * 3 + 1  # both X rows fan out over the 3 X boundaries; Y stays once
+
+
+def test_remove_nested_vertex_chunks_and_slices(spark, monkeypatch):
+    import townpull.operators.arrow_eval as AE
+    ring = [{"lat": float(a), "lon": float(b)} for a, b in SQ]
+    rows = [(100 + i, "H", "PL", 9.0, 9.0, [ring]) for i in range(6)]
+    rows += [(i, "P", "PL", float(0.1 + 0.3 * (i % 7)), float(0.1 + 0.3 * (i // 7)), None) for i in range(49)]
+    df = spark.createDataFrame(rows, "geonameid int, name string, country_code string, latitude double, "
+                                     "longitude double, polygons array<array<struct<lat:double,lon:double>>>")
+    base = sorted(r[0] for r in remove_nested(df, engine="jvm").select("geonameid").collect())
+    monkeypatch.setattr(AE, "MAX_PAIRS_PER_SLICE", 7)
+    for kw in ({}, {"vertex_chunk": 5}, {"vertex_chunk": 5, "max_broadcast_vertices": 0}):
+        got = sorted(r[0] for r in remove_nested(df, engine="arrow", **kw).select("geonameid").collect())
+        assert got == base, kw

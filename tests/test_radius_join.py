@@ -210,3 +210,14 @@ def test_shuffle_path_splits_a_hot_town_cell(spark):
     want = {r[0]: r[1] for r in attach_candidates(towns, build_cell_index(metros), "best")
             .select("geonameid", "best.metro_id").collect()}
     assert got == want and len(got) == 20000
+
+
+def test_arrow_slicing_is_transparent(spark, monkeypatch):
+    """Batches are evaluated in slices bounded by pair count; tiny slices change nothing."""
+    import townpull.operators.arrow_eval as AE
+    towns, metros, _, _ = _frames(spark, 1500, 200, seed=21)
+    idx = build_cell_index(metros)
+    want = attach_candidates(towns, idx, "list", engine="arrow").orderBy("geonameid").collect()
+    monkeypatch.setattr(AE, "MAX_PAIRS_PER_SLICE", 5)
+    got = attach_candidates(towns, idx, "list", engine="arrow").orderBy("geonameid").collect()
+    assert got == want

@@ -41,69 +41,102 @@ def _col(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
 
 
+MAX_PAIRS_PER_SLICE = 1_000_000
+
+
+def _slices(batch: pa.RecordBatch, weights: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive row slices of ``batch`` whose summed ``weights`` stay under ``limit``
+    (a single heavier row forms its own slice), bounding the numpy temporaries."""
+    n = batch.num_rows
+    if n == 0 or weights.sum() <= limit:
+        yield batch
+        return
+    cum = np.cumsum(weights)
+    start = 0
+    while start < n:
+        base = cum[start - 1] if start else 0
+        end = int(np.searchsorted(cum, base + limit, side="right"))
+        end = max(end, start + 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def _list_lengths(arr) -> np.ndarray:
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    return pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def evaluate_batches(metric: str, mode: str, out_col: str, drop: list[str]):
     """Build the ``mapInArrow`` function: joined rows (with ``_metros``) -> rows with
     ``out_col`` (``best`` struct or ``candidates`` list), helper columns dropped."""
+    limit = MAX_PAIRS_PER_SLICE  # read on the driver, shipped with the closure
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            metros = batch.column(batch.schema.get_field_index("_metros"))
-            if isinstance(metros, pa.ChunkedArray):
-                metros = metros.combine_chunks()
-            filled = metros.fill_null(pa.scalar([], metros.type)) if metros.null_count else metros
-            lengths = pc.list_value_length(filled).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = filled.flatten()
-            owner = np.repeat(np.arange(n), lengths)
-            if len(flat):
-                tlat, tlon, tcos = _col(batch, "_tlat")[owner], _col(batch, "_tlon")[owner], _col(batch, "_tcos")[owner]
-                ty = _col(batch, "_ty")[owner] if metric == "mercator_cos" else None
-                mlat = flat.field("lat").to_numpy(zero_copy_only=False)
-                mlon = flat.field("lon").to_numpy(zero_copy_only=False)
-                my = flat.field("y").to_numpy(zero_copy_only=False) if metric == "mercator_cos" else None
-                rad = flat.field("radius").to_numpy(zero_copy_only=False)
-                with np.errstate(invalid="ignore"):
-                    dist = _pair_distance(metric, tlat, tlon, tcos, ty, mlat, mlon, my)
-                    keep = dist < rad
-                idx = np.nonzero(keep)[0]
-            else:
-                idx = np.zeros(0, dtype=np.int64)
-                dist = rad = np.zeros(0)
-            mid = flat.field("metro_id").to_numpy(zero_copy_only=False)[idx] if len(flat) else np.zeros(0, np.int32)
-            d = dist[idx]
-            force = np.exp(-FORCE_K * d / rad[idx])
-            own = owner[idx]
-            # order: town, force desc, distance asc, metro id asc
-            order = np.lexsort((mid, d, -force, own))
-            idx, own, mid, d, force = idx[order], own[order], mid[order], d[order], force[order]
-            has_names = flat.type.get_field_index("metro_name") >= 0
-            if len(flat) and has_names:
-                names = flat.field("metro_name").take(pa.array(idx, pa.int64()))
-            else:
-                names = pa.nulls(len(idx), pa.string())
-            cands = pa.StructArray.from_arrays(
-                [pa.array(mid, pa.int32()), names, pa.array(force, pa.float64()), pa.array(d, pa.float64())],
-                fields=CAND_FIELDS)
-            counts = np.bincount(own, minlength=n) if len(own) else np.zeros(n, dtype=np.int64)
-            if mode == "list":
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                result = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cands)
-            else:
-                starts = np.concatenate([[0], np.cumsum(counts)[:-1]]) if n else np.zeros(0, np.int64)
-                has = counts > 0
-                pick = np.where(has, starts, 0).astype(np.int64)
-                taken = cands.take(pa.array(pick, pa.int64())) if len(cands) else pa.nulls(n, CAND_STRUCT)
-                mask = pa.array(~has)
-                result = pa.StructArray.from_arrays([taken.field(i) for i in range(4)], fields=CAND_FIELDS,
-                                                    mask=mask) if len(cands) else pa.nulls(n, CAND_STRUCT)
-            keep_cols = [i for i, f in enumerate(batch.schema) if f.name not in drop]
-            arrays = [batch.column(i) for i in keep_cols] + [result]
-            names_out = [batch.schema.field(i).name for i in keep_cols] + [out_col]
-            yield pa.RecordBatch.from_arrays(arrays, names=names_out)
+        for whole in batches:
+            lengths_all = _list_lengths(whole.column(whole.schema.get_field_index("_metros")))
+            for batch in _slices(whole, lengths_all, limit):
+                yield _evaluate(batch, metric, mode, out_col, drop)
 
     return fn
 
 
+def _evaluate(batch: pa.RecordBatch, metric: str, mode: str, out_col: str, drop: list[str]) -> pa.RecordBatch:
+    n = batch.num_rows
+    metros = batch.column(batch.schema.get_field_index("_metros"))
+    if isinstance(metros, pa.ChunkedArray):
+        metros = metros.combine_chunks()
+    filled = metros.fill_null(pa.scalar([], metros.type)) if metros.null_count else metros
+    lengths = pc.list_value_length(filled).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = filled.flatten()
+    owner = np.repeat(np.arange(n), lengths)
+    if len(flat):
+        tlat, tlon, tcos = _col(batch, "_tlat")[owner], _col(batch, "_tlon")[owner], _col(batch, "_tcos")[owner]
+        ty = _col(batch, "_ty")[owner] if metric == "mercator_cos" else None
+        mlat = flat.field("lat").to_numpy(zero_copy_only=False)
+        mlon = flat.field("lon").to_numpy(zero_copy_only=False)
+        my = flat.field("y").to_numpy(zero_copy_only=False) if metric == "mercator_cos" else None
+        rad = flat.field("radius").to_numpy(zero_copy_only=False)
+        with np.errstate(invalid="ignore"):
+            dist = _pair_distance(metric, tlat, tlon, tcos, ty, mlat, mlon, my)
+            keep = dist < rad
+        idx = np.nonzero(keep)[0]
+    else:
+        idx = np.zeros(0, dtype=np.int64)
+        dist = rad = np.zeros(0)
+    mid = flat.field("metro_id").to_numpy(zero_copy_only=False)[idx] if len(flat) else np.zeros(0, np.int32)
+    d = dist[idx]
+    force = np.exp(-FORCE_K * d / rad[idx])
+    own = owner[idx]
+    # order: town, force desc, distance asc, metro id asc
+    order = np.lexsort((mid, d, -force, own))
+    idx, own, mid, d, force = idx[order], own[order], mid[order], d[order], force[order]
+    has_names = flat.type.get_field_index("metro_name") >= 0
+    if len(flat) and has_names:
+        names = flat.field("metro_name").take(pa.array(idx, pa.int64()))
+    else:
+        names = pa.nulls(len(idx), pa.string())
+    cands = pa.StructArray.from_arrays(
+        [pa.array(mid, pa.int32()), names, pa.array(force, pa.float64()), pa.array(d, pa.float64())],
+        fields=CAND_FIELDS)
+    counts = np.bincount(own, minlength=n) if len(own) else np.zeros(n, dtype=np.int64)
+    if mode == "list":
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        result = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cands)
+    else:
+        starts = np.concatenate([[0], np.cumsum(counts)[:-1]]) if n else np.zeros(0, np.int64)
+        has = counts > 0
+        pick = np.where(has, starts, 0).astype(np.int64)
+        taken = cands.take(pa.array(pick, pa.int64())) if len(cands) else pa.nulls(n, CAND_STRUCT)
+        mask = pa.array(~has)
+        result = pa.StructArray.from_arrays([taken.field(i) for i in range(4)], fields=CAND_FIELDS,
+                                            mask=mask) if len(cands) else pa.nulls(n, CAND_STRUCT)
+    keep_cols = [i for i, f in enumerate(batch.schema) if f.name not in drop]
+    arrays = [batch.column(i) for i in keep_cols] + [result]
+    names_out = [batch.schema.field(i).name for i in keep_cols] + [out_col]
+    return pa.RecordBatch.from_arrays(arrays, names=names_out)
+
+
 def _flat_list(arr: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Flatten a list array (nulls as empty lists); return values and per-row lengths."""
     if isinstance(arr, pa.ChunkedArray):
@@ -118,44 +151,59 @@ def point_in_rings_batches(out_col: str, drop: list[str]):
     ``latitude``/``longitude`` + ``_rings`` of its cell) -> rows + ``out_col`` = strictly
     inside any ring (even-odd crossings; on an edge or vertex counts as outside). The
     arithmetic is the Column version's, edge for edge (rings closed by wrapping)."""
+    limit = MAX_PAIRS_PER_SLICE
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            rings, per_point = _flat_list(batch.column(batch.schema.get_field_index("_rings")))
-            inside_pt = np.zeros(n, dtype=bool)
-            if len(rings):
-                verts, per_ring = _flat_list(rings.field("ring"))
-                ring_owner = np.repeat(np.arange(n), per_point)
-                if len(verts):
-                    vlat = verts.field("lat").to_numpy(zero_copy_only=False)
-                    vlon = verts.field("lon").to_numpy(zero_copy_only=False)
-                    edge_ring = np.repeat(np.arange(len(per_ring)), per_ring)
-                    starts = np.concatenate([[0], np.cumsum(per_ring)[:-1]])
-                    a_idx = np.arange(len(vlat))
-                    last = np.zeros(len(vlat), dtype=bool)
-                    ends = starts + per_ring - 1
-                    last[ends[per_ring > 0]] = True
-                    b_idx = np.where(last, starts[edge_ring], a_idx + 1)
-                    p = ring_owner[edge_ring]
-                    y = _col(batch, "latitude").astype(np.float64)[p]
-                    x = _col(batch, "longitude").astype(np.float64)[p]
-                    ay, ax, by, bx = vlat[a_idx], vlon[a_idx], vlat[b_idx], vlon[b_idx]
-                    with np.errstate(invalid="ignore", divide="ignore"):
-                        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
-                        on_edge = ((cross == 0) & (x >= np.minimum(ax, bx)) & (x <= np.maximum(ax, bx))
-                                   & (y >= np.minimum(ay, by)) & (y <= np.maximum(ay, by)))
-                        straddles = (ay > y) != (by > y)
-                        x_at = ax + (y - ay) * (bx - ax) / (by - ay)
-                        crosses = straddles & (x < x_at)
-                    n_ring = len(per_ring)
-                    n_cross = np.bincount(edge_ring, weights=crosses, minlength=n_ring)
-                    touching = np.bincount(edge_ring, weights=on_edge, minlength=n_ring) > 0
-                    inside_ring = (~touching) & (n_cross % 2 == 1) & (per_ring >= 3)
-                    inside_pt = np.bincount(ring_owner, weights=inside_ring, minlength=n) > 0
-            keep_cols = [i for i, f in enumerate(batch.schema) if f.name not in drop]
-            arrays = [batch.column(i) for i in keep_cols] + [pa.array(inside_pt, pa.bool_())]
-            names_out = [batch.schema.field(i).name for i in keep_cols] + [out_col]
-            yield pa.RecordBatch.from_arrays(arrays, names=names_out)
+        for whole in batches:
+            rings_all = whole.column(whole.schema.get_field_index("_rings"))
+            if isinstance(rings_all, pa.ChunkedArray):
+                rings_all = rings_all.combine_chunks()
+            # edges per point = vertices of all rings of its cell
+            flat_r, per_pt = _flat_list(rings_all)
+            v_per_ring = _list_lengths(flat_r.field("ring")) if len(flat_r) else np.zeros(0, np.int64)
+            owner = np.repeat(np.arange(whole.num_rows), per_pt)
+            edges = np.bincount(owner, weights=v_per_ring, minlength=whole.num_rows).astype(np.int64) \
+                if len(flat_r) else np.zeros(whole.num_rows, np.int64)
+            for batch in _slices(whole, edges, limit):
+                yield _inside(batch, out_col, drop)
 
     return fn
+
+
+def _inside(batch: pa.RecordBatch, out_col: str, drop: list[str]) -> pa.RecordBatch:
+    n = batch.num_rows
+    rings, per_point = _flat_list(batch.column(batch.schema.get_field_index("_rings")))
+    inside_pt = np.zeros(n, dtype=bool)
+    if len(rings):
+        verts, per_ring = _flat_list(rings.field("ring"))
+        ring_owner = np.repeat(np.arange(n), per_point)
+        if len(verts):
+            vlat = verts.field("lat").to_numpy(zero_copy_only=False)
+            vlon = verts.field("lon").to_numpy(zero_copy_only=False)
+            edge_ring = np.repeat(np.arange(len(per_ring)), per_ring)
+            starts = np.concatenate([[0], np.cumsum(per_ring)[:-1]])
+            a_idx = np.arange(len(vlat))
+            last = np.zeros(len(vlat), dtype=bool)
+            ends = starts + per_ring - 1
+            last[ends[per_ring > 0]] = True
+            b_idx = np.where(last, starts[edge_ring], a_idx + 1)
+            p = ring_owner[edge_ring]
+            y = _col(batch, "latitude").astype(np.float64)[p]
+            x = _col(batch, "longitude").astype(np.float64)[p]
+            ay, ax, by, bx = vlat[a_idx], vlon[a_idx], vlat[b_idx], vlon[b_idx]
+            with np.errstate(invalid="ignore", divide="ignore"):
+                cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+                on_edge = ((cross == 0) & (x >= np.minimum(ax, bx)) & (x <= np.maximum(ax, bx))
+                           & (y >= np.minimum(ay, by)) & (y <= np.maximum(ay, by)))
+                straddles = (ay > y) != (by > y)
+                x_at = ax + (y - ay) * (bx - ax) / (by - ay)
+                crosses = straddles & (x < x_at)
+            n_ring = len(per_ring)
+            n_cross = np.bincount(edge_ring, weights=crosses, minlength=n_ring)
+            touching = np.bincount(edge_ring, weights=on_edge, minlength=n_ring) > 0
+            inside_ring = (~touching) & (n_cross % 2 == 1) & (per_ring >= 3)
+            inside_pt = np.bincount(ring_owner, weights=inside_ring, minlength=n) > 0
+    keep_cols = [i for i, f in enumerate(batch.schema) if f.name not in drop]
+    arrays = [batch.column(i) for i in keep_cols] + [pa.array(inside_pt, pa.bool_())]
+    names_out = [batch.schema.field(i).name for i in keep_cols] + [out_col]
+    return pa.RecordBatch.from_arrays(arrays, names=names_out)

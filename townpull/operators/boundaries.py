@@ -28,6 +28,7 @@ from townpull.operators.setops import recombine
 from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize, spread_key
 
 DEFAULT_RING_CHUNK = 1_000
+DEFAULT_VERTEX_CHUNK = 20_000
 DEFAULT_BROADCAST_VERTICES = 5_000_000
 
 
@@ -87,10 +88,13 @@ def _inside_flag(df: DataFrame, keep: list[str], engine: str) -> DataFrame:
 
 
 def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAULT_RING_CHUNK,
-                  max_broadcast_vertices: int = DEFAULT_BROADCAST_VERTICES, engine: str = "arrow") -> DataFrame:
+                  max_broadcast_vertices: int = DEFAULT_BROADCAST_VERTICES, engine: str = "arrow",
+                  vertex_chunk: int = DEFAULT_VERTEX_CHUNK) -> DataFrame:
     """Keep rows with polygons; drop polygon-less rows strictly inside any
     usable ring of any boundary row. ``engine="arrow"`` runs the crossing test
-    Arrow-batched with numpy (same arithmetic), ``"jvm"`` with higher-order functions."""
+    Arrow-batched with numpy (same arithmetic), ``"jvm"`` with higher-order functions.
+    A cell's ring list is split into chunks of at most ``chunk_size`` rings and about
+    ``vertex_chunk`` vertices (a single larger ring stays whole)."""
     if engine not in ("arrow", "jvm"):
         raise ValueError("engine must be 'arrow' or 'jvm'")
     if chunk_size < 1:
@@ -100,16 +104,17 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAU
     cols = df.columns
     rc = materialize(_ring_cells(boundary_rings(holders), cell_deg))
     counts = rc.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("nv").alias("v"))
-    st = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("mx"), F.coalesce(F.sum("v"), F.lit(0)).alias("v"),
-                    F.count(F.lit(1)).alias("cells"),
-                    F.coalesce(F.sum(F.ceil(F.col("n") / F.lit(chunk_size))), F.lit(0)).alias("chunks")).first()
+    counts = counts.withColumn("n_chunks", F.least(F.col("n"), F.greatest(
+        F.ceil(F.col("n") / F.lit(chunk_size)), F.ceil(F.col("v") / F.lit(vertex_chunk)))).cast("int"))
+    st = counts.agg(F.coalesce(F.max("n_chunks"), F.lit(1)).alias("mx"), F.coalesce(F.sum("v"), F.lit(0)).alias("v"),
+                    F.coalesce(F.sum("n_chunks"), F.lit(0)).alias("chunks")).first()
     mx = int(st["mx"])
-    n_rows = int(st["cells"]) if mx <= chunk_size else int(st["chunks"])
-    if mx <= chunk_size:
+    n_rows = int(st["chunks"])
+    if mx <= 1:
         table = rc.groupBy("cell").agg(F.collect_list("r").alias("_rings")).withColumn("n_chunks", F.lit(1))
         hot = None
     else:
-        per_cell = counts.select("cell", F.ceil(F.col("n") / F.lit(chunk_size)).cast("int").alias("n_chunks"))
+        per_cell = counts.select("cell", "n_chunks")
         keyed = join_small(rc, per_cell, "cell", "inner")
         table = (keyed.withColumn("chunk", F.pmod(F.xxhash64("r.id", "r.ring_no"), F.col("n_chunks")))
                  .groupBy("cell", "chunk", "n_chunks").agg(F.collect_list("r").alias("_rings")))

@@ -39,7 +39,7 @@ from townpull.schema import CANDIDATE_TYPE, EARTH_RADIUS_KM, FORCE_K, MERCATOR_R
 
 POLAR_LAT = 85.0
 POLAR_NORTH, POLAR_SOUTH = -1, -2
-DEFAULT_CHUNK = 10_000
+DEFAULT_CHUNK = 1_000
 DEFAULT_CELL_DEG = 0.25
 DEFAULT_ENGINE = "arrow"
 DEFAULT_BROADCAST_ENTRIES = 2_000_000
