@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townpull.operators.sizing import join_small, spread_key
-from townpull.schema import POPULATED_CODES
 
 
 def distinct_values(df: DataFrame, col: str, where: Column | None = None) -> DataFrame:
@@ -153,7 +152,3 @@ def head_n(df: DataFrame, n: int = 20, code: str = "PPLA", cols: Sequence[str] =
     """the first ``n`` rows (by id) of a feature code; a top-k, planned as a
     per-partition take-ordered plus a final merge."""
     return df.filter(F.col("feature_code") == code).orderBy(order).limit(n).select(*cols)
-
-
-def populated_codes() -> list[str]:
-    return list(POPULATED_CODES)
