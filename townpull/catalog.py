@@ -365,7 +365,7 @@ _BOX_SQL = (S.with_(S.PLACES, S.POP, *S.flag_cte("share_only")) +
 def _box_summary(b: DataFrame) -> DataFrame:
     pts = F.flatten("polygons")
     lats, lons = F.transform(pts, lambda p: p["lat"]), F.transform(pts, lambda p: p["lon"])
-    return round_doubles(b.select("name", "country_code", F.size("polygons").alias("n_rings"),
+    return round_doubles(b.select("name", "country_code", _n_rings().alias("n_rings"),
                                   F.size(pts).alias("n_vertices"), F.array_min(lats).alias("lat_min"),
                                   F.array_max(lats).alias("lat_max"), F.array_min(lons).alias("lon_min"),
                                   F.array_max(lons).alias("lon_max")))
@@ -414,20 +414,25 @@ _q("d6_remove_nested", _NESTED_SQL,
 _FLAG9 = S.with_(S.PLACES, S.POP, *S.flag_cte("admin_seat"))
 
 
+def _n_rings():
+    """Ring count, null for rows without boundaries (independent of the ANSI size-of-null setting)."""
+    return F.when(F.col("polygons").isNotNull(), F.size("polygons"))
+
+
 def _b9_diamonds(sp, sf):
     return diamond_boundaries(MR.metro_rule(_populated(sp, sf), "admin_seat"))
 
 
 _q("d5_attach_boundaries", _FLAG9 + "SELECT geonameid, 1 AS n_rings FROM flag WHERE isMetro",
    lambda sp, sf: BD.attach_boundaries(MR.metro_rule(_populated(sp, sf), "admin_seat"), _b9_diamonds(sp, sf))
-   .select("geonameid", F.size("polygons").alias("n_rings")))
+   .select("geonameid", _n_rings().alias("n_rings")))
 _q("d5_attach_boundaries_fanout", _FLAG9 + ", m AS (SELECT * FROM flag WHERE isMetro) "
    "SELECT a.geonameid, 1 AS n_rings FROM m a JOIN m b ON a.name = b.name",
    lambda sp, sf: BD.attach_boundaries(MR.metro_rule(_populated(sp, sf), "admin_seat"), _b9_diamonds(sp, sf),
-                                       fanout=True).select("geonameid", F.size("polygons").alias("n_rings")))
+                                       fanout=True).select("geonameid", _n_rings().alias("n_rings")))
 _q("p3_enrich_boundaries", _FLAG9 + "SELECT geonameid, CASE WHEN isMetro THEN 1 END AS n_rings FROM flag",
    lambda sp, sf: BD.enrich_boundaries(_populated(sp, sf), _b9_diamonds(sp, sf), keys=("geonameid",))
-   .select("geonameid", F.size("polygons").alias("n_rings")))
+   .select("geonameid", _n_rings().alias("n_rings")))
 _q("p4_remove_nested_after_enrich", _FLAG9 + """, m AS (SELECT * FROM flag WHERE isMetro)
 SELECT geonameid, true AS has_boundary FROM m
 UNION ALL
