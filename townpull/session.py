@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # index tables and loop state are reliable checkpoints; delete their files once
+    # nothing references them (a context-level setting, applied when the context starts)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
