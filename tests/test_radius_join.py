@@ -75,6 +75,33 @@ def test_grid_equals_brute_force(spark, metric, variant, engine, monkeypatch):
     assert (got ^ want) - near == set()
 
 
+@pytest.mark.parametrize("engine", ["arrow", "jvm"])
+def test_polar_only_hot_cells(spark, engine, monkeypatch):
+    """Mercator: every metro sits in the two polar cells; when only those exceed the chunk
+    size, polar towns are picked by a latitude filter that the scan can prune."""
+    import townpull.operators.radius_join as RJ
+    monkeypatch.setattr(RJ, "DEFAULT_ENGINE", engine)
+    towns, metros, t, m = _frames(spark)
+    idx = build_cell_index(metros, metric="mercator_cos", chunk_size=50)
+    assert idx.hot_polar_only
+    got = {(r["geonameid"], r["metro_id"]) for r in radius_join(towns, metros, metric="mercator_cos",
+                                                                 chunk_size=50).collect()}
+    want, d, r = _brute(t, m, "mercator_cos")
+    near = {(a, b) for (a, b) in got ^ want if abs(d[a, b - 100000] - r[0, b - 100000]) < 1e-6 * r[0, b - 100000]}
+    assert (got ^ want) - near == set()
+
+
+def test_polar_filter_reaches_the_scan(spark, tmp_out):
+    import os
+    towns, metros, _, _ = _frames(spark, 500, 80)
+    path = os.path.join(tmp_out, "towns")
+    towns.write.parquet(path)
+    idx = build_cell_index(metros, metric="mercator_cos", chunk_size=20)
+    assert idx.hot_polar_only
+    plan = attach_candidates(spark.read.parquet(path), idx, "best")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(GreaterThan(latitude,85.0),LessThan(latitude,-85.0))]" in plan
+
+
 def test_index_reports_hot_cells_and_no_broadcast(spark):
     towns, metros, _, _ = _frames(spark, 200, 100)
     idx = build_cell_index(metros, chunk_size=1, max_broadcast_entries=0)

@@ -25,7 +25,7 @@ from townpull.operators.filters import has_polygons, split_boundaries
 from townpull.operators.metro_rules import flag_metros
 from townpull.operators.radius_join import _grid, _lat_idx
 from townpull.operators.setops import recombine
-from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize, spread_key
+from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize
 
 DEFAULT_RING_CHUNK = 1_000
 DEFAULT_VERTEX_CHUNK = 20_000
@@ -44,12 +44,10 @@ def attach_boundaries(df: DataFrame, boundaries: DataFrame, fanout: bool = False
     if fanout:
         return df.join(boundaries.select("name", "polygons"), "name", "left")
     k = list(keys)
-    on, key = spread_key(k)
     one = (boundaries.filter(F.col("polygons").isNotNull())
            .groupBy(*k).agg(F.max_by("polygons", F.struct(F.size("polygons"), -F.length(
-               F.to_json("polygons")))).alias("polygons"))
-           .select(key, "polygons"))
-    return join_small(df.withColumn(on[0], key), one, on, "left").drop(*on)
+               F.to_json("polygons")))).alias("polygons")))
+    return join_small(df, one, k, "left", null_spread=True)
 
 
 def boundary_rings(df: DataFrame, id_col: str = "geonameid") -> DataFrame:
@@ -127,8 +125,9 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAU
 
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     cell = (_lat_idx(lat, cell_deg, n_lat) * n_lon + F.pmod(F.floor((lon + 180.0) / cell_deg), F.lit(n_lon)))
-    # no coordinates: a unique negative key that matches no cell (spreads in a shuffle join)
-    cell = F.coalesce(cell.cast("long"), F.lit(-1) - F.monotonically_increasing_id())
+    cell = cell.cast("long")
+    if not bc:  # shuffle join: no coordinates -> a unique key matching no cell, spread over partitions
+        cell = F.coalesce(cell, F.lit(-1) - F.monotonically_increasing_id())
     pts = rest.withColumn("_cell", cell)
     if hot is None:
         joined = pts.join(side(table.select("_cell", "_rings")), "_cell", "left")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townpull.operators.sizing import join_small, spread_key
+from townpull.operators.sizing import join_small
 from townpull.schema import (ADMIN_SEAT_METRO_CODES, ADMIN_SEAT_MIN_POPULATION, METRO_SHARE,
                              SEAT_CODES)
 
@@ -66,17 +66,15 @@ def _with_threshold(df: DataFrame, share: float, scope: str) -> tuple[DataFrame,
     if scope == "global":
         mx = df.agg(F.max(F.col("population")).alias("m")).scalar()
         return df, mx.cast("double") * F.lit(float(share))
-    on, key = spread_key(["country_code"])
     thr = (population_threshold(df, share, scope).filter(F.col("country_code").isNotNull())
-           .select(key, F.col("threshold").alias("_thr")))
-    return join_small(df.withColumn(on[0], key), thr, on, "left").drop(*on), F.col("_thr")
+           .select("country_code", F.col("threshold").alias("_thr")))
+    return join_small(df, thr, "country_code", "left", null_spread=True), F.col("_thr")
 
 
 def _with_seat_flag(df: DataFrame, scope: str) -> tuple[DataFrame, Column]:
     keys = _seat_keys(scope)
-    on, key = spread_key(keys)
-    seats = seat_admin2(df, scope).select(key, F.lit(True).alias("_seat"))
-    joined = join_small(df.withColumn(on[0], key), seats, on, "left").drop(*on)
+    seats = seat_admin2(df, scope).withColumn("_seat", F.lit(True))
+    joined = join_small(df, seats, keys, "left", null_spread=True)
     return joined, F.coalesce(F.col("_seat"), F.lit(False))
 
 

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townpull.operators.sizing import join_small, spread_key
+from townpull.operators.sizing import join_small
 
 
 def distinct_values(df: DataFrame, col: str, where: Column | None = None) -> DataFrame:
@@ -125,11 +125,9 @@ def admin_dedupe(df: DataFrame, keep_null_admin: bool = False) -> DataFrame:
 
     if not keep_null_admin:  # these rows drop anyway: keep them out of the shuffle
         p = p.filter(F.col("admin2_code").isNotNull())
-    on2, k2 = spread_key(["admin2_code"])
     g2 = (p.filter(F.col("admin2_code").isNotNull()).groupBy("admin2_code")
-          .agg(F.bool_or(code == "PPLA").alias("_has_a"), F.bool_or(code == "PPLC").alias("_has_c"))
-          .select(k2, "_has_a", "_has_c"))
-    s1 = join_small(p.withColumn(on2[0], k2), g2, on2, "left")
+          .agg(F.bool_or(code == "PPLA").alias("_has_a"), F.bool_or(code == "PPLC").alias("_has_c")))
+    s1 = join_small(p, g2, "admin2_code", "left", null_spread=True)
     has_a, has_c = F.coalesce(F.col("_has_a"), F.lit(False)), F.coalesce(F.col("_has_c"), F.lit(False))
     keep1 = F.when(has_a, code == "PPLA").when(has_c, code == "PPLC").otherwise(F.lit(True))
     null2 = F.col("admin2_code").isNull()
@@ -137,10 +135,9 @@ def admin_dedupe(df: DataFrame, keep_null_admin: bool = False) -> DataFrame:
 
     if not keep_null_admin:
         s1 = s1.filter(F.col("admin3_code").isNotNull())
-    on3, k3 = spread_key(["admin3_code"])
     g3 = (s1.filter(F.col("admin3_code").isNotNull()).groupBy("admin3_code")
-          .agg(F.bool_or(code == "PPLA2").alias("_has_a2")).select(k3, "_has_a2"))
-    s2 = join_small(s1.withColumn(on3[0], k3), g3, on3, "left")
+          .agg(F.bool_or(code == "PPLA2").alias("_has_a2")))
+    s2 = join_small(s1, g3, "admin3_code", "left", null_spread=True)
     has_a2 = F.coalesce(F.col("_has_a2"), F.lit(False))
     keep2 = F.when(has_a2, code == "PPLA2").otherwise(F.lit(True))
     null3 = F.col("admin3_code").isNull()

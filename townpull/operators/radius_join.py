@@ -153,6 +153,7 @@ class CellIndex:
     cells: int
     max_per_cell: int
     with_names: bool = True
+    hot_polar_only: bool = False  # the only split cells are the two polar cells
 
 
 def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
@@ -181,9 +182,10 @@ def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: flo
         table = (keyed.withColumn("chunk", F.pmod(F.xxhash64(F.col("m.metro_id")), F.col("n_chunks")).cast("int"))
                  .groupBy("cell", "chunk", "n_chunks").agg(F.collect_list("m").alias("metros")))
         hot = materialize(per_cell.filter(F.col("n_chunks") > 1).select("cell"))
+    polar_only = hot is not None and hot.filter(F.col("cell") >= 0).limit(1).count() == 0
     table = materialize(table)
     bc = total <= max_broadcast_entries and n_rows <= DEFAULT_BROADCAST_ROWS
-    return CellIndex(table, metric, cell_deg, bc, hot, total, n_cells, max_n, with_names)
+    return CellIndex(table, metric, cell_deg, bc, hot, total, n_cells, max_n, with_names, polar_only)
 
 
 def _pair_distance(metric: str, m: Column) -> Column:
@@ -229,17 +231,18 @@ def best_of(col: Column) -> Column:
     return F.array_min(F.transform(col, _rank_key))["v"]
 
 
-def _town_prep(towns: DataFrame, metric: str, cell_deg: float, skip: Column | None = None) -> DataFrame:
+def _town_prep(towns: DataFrame, metric: str, cell_deg: float, skip: Column | None = None,
+               spread_nulls: bool = False) -> DataFrame:
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     cell = town_cell(lat, lon, metric, cell_deg)
     if skip is not None:
         cell = F.when(F.coalesce(skip, F.lit(False)), F.lit(None).cast("long")).otherwise(cell)
     out = towns.withColumn("_tlat", lat).withColumn("_tlon", lon) \
         .withColumn("_tcos", F.cos(F.radians(lat))) \
-        .withColumn("_cell", F.coalesce(cell,
-                                        # no coordinates: a unique key that matches no cell, so such
-                                        # rows spread over partitions in a shuffle join
-                                        F.lit(-3) - F.monotonically_increasing_id()))
+        .withColumn("_cell", F.coalesce(cell, F.lit(-3) - F.monotonically_increasing_id()) if spread_nulls
+                    # shuffle join: rows without a cell (no coordinates, skipped) get a unique key
+                    # that matches nothing, so they spread over partitions instead of one
+                    else cell)
     if metric == "mercator_cos":
         out = out.withColumn("_ty", mercator_y(lat))
     return out
@@ -269,7 +272,7 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         raise ValueError("mode must be 'list' or 'best'")
     out_col = out_col or ("candidates" if mode == "list" else "best")
     cols = towns.columns
-    t = _town_prep(towns, index.metric, index.cell_deg, skip)
+    t = _town_prep(towns, index.metric, index.cell_deg, skip, spread_nulls=not index.broadcast)
     tab = index.table.select(F.col("cell").alias("_cell"), "chunk", "n_chunks", F.col("metros").alias("_metros"))
 
     def side(df: DataFrame) -> DataFrame:
@@ -286,14 +289,25 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         joined = t.join(side(tab.drop("chunk", "n_chunks")), "_cell", "left")
         return finish_single(joined)
 
-    # hot cells exist: only their towns take the chunk-merging path
-    t = t.withColumn("_rk", F.monotonically_increasing_id())
-    hot = index.hot_cells.select(F.col("cell").alias("_cell"), F.lit(True).alias("_hot"))
-    t = join_small(t, hot, "_cell", "left")
-    cool = t.filter(F.col("_hot").isNull()).join(
-        side(tab.filter(F.col("n_chunks") == 1).drop("chunk", "n_chunks")), "_cell", "left")
+    # hot cells exist: only their towns take the chunk-merging path. The row key is
+    # added after the split (a nondeterministic column would stop filter pushdown).
+    if index.hot_polar_only:
+        # only the polar cells are split: select their towns by latitude, which the
+        # scan can prune by row-group statistics
+        lat = F.col("latitude").cast("double")
+        polar_lat = (lat > POLAR_LAT) | (lat < -POLAR_LAT)
+        in_polar = F.col("_cell").isin(POLAR_NORTH, POLAR_SOUTH)
+        cool_src = t.filter(~F.coalesce(polar_lat & in_polar, F.lit(False)))
+        warm_src = _town_prep(towns.filter(polar_lat), index.metric, index.cell_deg, skip,
+                              spread_nulls=not index.broadcast).filter(in_polar)
+    else:
+        hot = index.hot_cells.select(F.col("cell").alias("_cell"), F.lit(True).alias("_hot"))
+        t = join_small(t, hot, "_cell", "left")
+        cool_src, warm_src = t.filter(F.col("_hot").isNull()), t.filter(F.col("_hot"))
+    cool = cool_src.join(side(tab.filter(F.col("n_chunks") == 1).drop("chunk", "n_chunks")), "_cell", "left")
     part_a = finish_single(cool)
-    warm = t.filter(F.col("_hot")).join(side(tab.filter(F.col("n_chunks") > 1)), "_cell", "inner")
+    warm_src = warm_src.withColumn("_rk", F.monotonically_increasing_id())
+    warm = warm_src.join(side(tab.filter(F.col("n_chunks") > 1)), "_cell", "inner")
     if engine == "arrow":
         warm = _arrow_eval(warm, T.StructType(list(towns.schema.fields) + [T.StructField("_rk", T.LongType())]),
                            index.metric, "list", "_local",

@@ -40,14 +40,22 @@ def broadcast_if_bounded(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROW
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = DEFAULT_BROADCAST_ROWS, null_spread: bool = False) -> DataFrame:
     """Many-to-one join of a large table with a derived lookup table.
 
     Broadcast when the lookup is proven small, otherwise a shuffle join (AQE
-    skew-join handling splits hot keys of the large side).
+    skew-join handling splits hot keys of the large side). With ``null_spread`` (for
+    joins in which a null key part never matches), the shuffle path joins on a key
+    that gives such rows unique non-matching values, so they do not all hash to one
+    partition; the broadcast path keeps the plain, deterministic keys.
     """
-    side, _ = broadcast_if_bounded(small, max_rows)
-    return big.join(side, on, how)
+    side, is_bc = broadcast_if_bounded(small, max_rows)
+    keys = [on] if isinstance(on, str) else list(on)
+    if is_bc or not null_spread:
+        return big.join(side, keys, how)
+    jk, key = spread_key(keys)
+    right = side.withColumn(jk[0], key).drop(*keys)
+    return big.withColumn(jk[0], key).join(right, jk, how).drop(*jk)
 
 
 def spread_key(cols: list[str], name: str = "_jk") -> tuple[list[str], "F.Column"]:

@@ -24,7 +24,7 @@ from townpull.functions.geo import influence_radius_km
 from townpull.operators.filters import filter_populated_places
 from townpull.operators.metro_rules import flag_metros
 from townpull.operators.radius_join import DEFAULT_CELL_DEG, attach_candidates, build_cell_index
-from townpull.operators.sizing import join_small, materialize, spread_key
+from townpull.operators.sizing import join_small, materialize
 
 
 def _index(eff: DataFrame, metric: str, cell_deg: float, **kw):
@@ -75,10 +75,9 @@ def iterative_growth(places: DataFrame, rule: str = "share_only", metric: str =
         assigned = _assign_round(towns, idx)
         rounds.append(assigned)
     # one pass over the full rows: metros take their effective population, towns the last index
-    on, key = spread_key(["_mk"])
-    effs = eff.select(F.col("geonameid").alias("_mk"), "eff_population").select(key, "eff_population")
+    effs = eff.select(F.col("geonameid").alias("_mk"), "eff_population")
     full = flagged.withColumn("_mk", F.when(is_metro, F.col("geonameid")))
-    full = join_small(full.withColumn(on[0], key), effs, on, "left").drop(*on, "_mk")
+    full = join_small(full, effs, "_mk", "left", null_spread=True).drop("_mk")
     out = attach_candidates(full, idx, mode="best", skip=is_metro)
     result = out.select(*flagged.columns, "eff_population",
                         F.when(is_metro, influence_radius_km("eff_population")).alias("influence_radius"),
