@@ -105,3 +105,19 @@ def test_decode_nested_text(spark):
     enc = FS.encode_nested(df.select(FS.decode_polygons("p").alias("polygons")), ["polygons"])
     back = enc.select(FS.decode_polygons("polygons").alias("p")).collect()
     assert back[0]["p"] == out[0]["p"] and back[1]["p"] == []
+
+
+def test_write_merged_single_file_and_zip_packing(spark, dump, tmp_out):
+    df = FS.scan_places(spark, dump)
+    out = os.path.join(tmp_out, "merged")
+    FS.write_merged(df, out, single_file=True)
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) == 1
+    back = spark.read.option("header", True).csv(out).collect()
+    assert [int(r["geonameid"]) for r in back] == [1, 2, 3, 4]
+    text, zips = os.path.join(tmp_out, "text"), os.path.join(tmp_out, "zips")
+    FS.write_dump(df.repartition(2), text)
+    archives = FS.zip_text_parts(spark, text, zips).collect()
+    assert len(archives) == len([f for f in os.listdir(text) if f.startswith("part-")])
+    again = FS.ingest_zipped_dumps(spark, zips)
+    assert sorted(r["geonameid"] for r in again.collect()) == [1, 2, 3, 4]

@@ -48,7 +48,7 @@ def scan_boundaries(spark: SparkSession, path: str, multi_line: bool = True) ->
     """Staged boundary responses. ``multi_line=True`` reads one document per file
     (each file one row, files spread over tasks); ``False`` reads JSON Lines."""
     if multi_line:
-        docs = spark.read.text(path, wholetext=True).withColumn("_file", F.input_file_name())
+        docs = spark.read.text(path, wholetext=True).withColumn("_file", F.col("_metadata.file_path"))
         return parse_boundary_documents(docs, "value", "_file")
     return parse_boundary_documents(spark.read.text(path), "value")
 
