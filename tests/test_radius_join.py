@@ -248,3 +248,13 @@ def test_arrow_slicing_is_transparent(spark, monkeypatch):
     monkeypatch.setattr(AE, "MAX_PAIRS_PER_SLICE", 5)
     got = attach_candidates(towns, idx, "list", engine="arrow").orderBy("geonameid").collect()
     assert got == want
+
+
+def test_reassigning_an_output_replaces_derived_columns(spark):
+    from townpull.sources.fixture import places
+    first = assign_metros(places(spark, "/root/testdata/sf0.001"), rule="share_only")
+    again = assign_metros(first, rule="share_only")
+    assert again.columns == first.columns
+    a = {r["geonameid"]: r["assigned_metro_id"] for r in first.collect()}
+    b = {r["geonameid"]: r["assigned_metro_id"] for r in again.collect()}
+    assert a == b

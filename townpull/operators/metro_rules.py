@@ -84,6 +84,8 @@ def flag_metros(df: DataFrame, rule: str = "share_excl_ppl", share: float = METR
     """Add a never-null boolean ``isMetro`` under the named rule."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
+    if flag in df.columns:  # re-flagging an already flagged table replaces the flag
+        df = df.drop(flag)
     cols = df.columns
     pop = F.col("population")
     code = F.col("feature_code")

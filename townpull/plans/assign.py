@@ -52,6 +52,8 @@ def assign_metros(places: DataFrame, rule: str = "share_excl_ppl", metric: str =
     in which metro rows skip the index lookup and are assigned to themselves.
     """
     df = filter_populated_places(places) if populated_only else places
+    # re-assigning an earlier output replaces its derived columns
+    df = df.drop(*[c for c in ("influence_radius", "assigned_metro_id", "candidates") if c in df.columns])
     flagged = flag_metros(df, rule, share=share, scope=scope, min_pop=min_pop)
     is_metro = F.col("isMetro")
     metros = with_radius(flagged.filter(is_metro).select("geonameid", "name", "latitude", "longitude", "population"))
