@@ -114,3 +114,12 @@ def test_remove_nested_vertex_chunks_and_slices(spark, monkeypatch):
     for kw in ({}, {"vertex_chunk": 5}, {"vertex_chunk": 5, "max_broadcast_vertices": 0}):
         got = sorted(r[0] for r in remove_nested(df, engine="arrow", **kw).select("geonameid").collect())
         assert got == base, kw
+
+
+def test_map_layers_on_plain_places(spark):
+    from townpull.plans.maps import map_layers
+    from townpull.sources.fixture import places
+    layers = map_layers(places(spark, "/root/testdata/sf0.001"))
+    assert set(layers) == {"markers", "view"}
+    colors = {r[0] for r in layers["markers"].select("color").distinct().collect()}
+    assert colors <= {"red", "green", "blue"} and layers["view"].count() == 1

@@ -38,7 +38,8 @@ def markers(df: DataFrame, color: str = "metro", draw_lines: bool = False) -> Da
     """Marker layer: (id, lat, lon, radius, color, tooltip). ``color="metro"`` (G12) or
     ``"code"`` (G13); with ``draw_lines`` and a ``candidates`` column the tooltip gets
     the candidate text (G17)."""
-    col = color_by_metro() if color == "metro" else color_by_code()
+    # a table without the metro flag (plain places) is coloured by feature code
+    col = color_by_metro() if color == "metro" and "isMetro" in df.columns else color_by_code()
     tip = tooltip_text()
     if draw_lines and "candidates" in df.columns:
         tip = F.concat(tip, candidate_text("candidates"))
