@@ -6,11 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from townpull.catalog import ORACLE, QUERIES
 from conftest import SF_SMALL
 from scripts_compare import normalise
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +22,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
