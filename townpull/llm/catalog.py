@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from townpull.llm.common import table
+from townpull.llm.packing import pack
 from townpull.llm.simhash import simhash_groups
+from townpull.llm.token_binary import token_file_index
 from townpull.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,7 +27,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 ids."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every whole text."""
     return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, written in coded files and read back."""
+    return token_file_index(table(spark, sf_dir, "documents"))
