@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from townpull.llm.common import table
 from townpull.llm.packing import pack
+from townpull.llm import url_filter
+from townpull.llm.sharding import shard
 from townpull.llm.simhash import simhash_groups
 from townpull.llm.token_binary import token_file_index
 from townpull.llm.token_counts import token_counts
@@ -43,3 +45,19 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, written in coded files and read back."""
     return token_file_index(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal size."""
+    return shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    outcomes = url_filter.label_outcomes(table(spark, sf_dir, "labels"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op8_url_filter"] = url_filter.oracle_sql()
