@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from townpull.llm.common import table
 from townpull.llm.packing import pack
-from townpull.llm import url_filter
+from townpull.llm import toxicity, url_filter
+from townpull.llm.ann import nearest
 from townpull.llm.sharding import shard
 from townpull.llm.simhash import simhash_groups
 from townpull.llm.token_binary import token_file_index
@@ -61,3 +62,16 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op8_url_filter"] = url_filter.oracle_sql()
+
+
+@query
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector."""
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
