@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from townpull.llm.common import table
+from townpull.llm.decontamination import leaks
 from townpull.llm.packing import pack
 from townpull.llm import toxicity, url_filter
 from townpull.llm.ann import nearest
@@ -75,3 +76,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
