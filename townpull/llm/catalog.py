@@ -13,6 +13,7 @@ from townpull.llm import toxicity, url_filter
 from townpull.llm.ann import nearest
 from townpull.llm.sharding import shard
 from townpull.llm.simhash import simhash_groups
+from townpull.llm.substring_dedup import repeated_spans
 from townpull.llm.token_binary import token_file_index
 from townpull.llm.token_counts import token_counts
 
@@ -82,3 +83,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated paragraphs and passages of all documents, with the document that keeps them."""
+    return repeated_spans(table(spark, sf_dir, "documents"))
