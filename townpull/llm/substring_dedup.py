@@ -39,7 +39,7 @@ RECALL = 0.995
 BAND_ROWS = 5
 LINE_WORDS = 20
 REACH = 3
-RUN_WORDS = 12
+RUN_WORDS = 16
 FEW = 24            # members of a bucket up to which all pairs are compared
 LOT_WORDS = 60_000  # words of short texts that are hashed together
 
