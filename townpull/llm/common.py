@@ -33,9 +33,12 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """The rows as they are scanned (a place to change how Python stages are dealt)."""
-    return df
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base in taken:
+        base += "_"
+    return base
 
 
 def worker_cache(name: str) -> dict:

@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townpull.llm.common import stage, text_or_empty
+from townpull.llm.common import free_name, stage, text_or_empty
 
 MASKS = ("111001101", "110110101", "110100111")
 WINDOW = 13
@@ -92,8 +92,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` that leak no item."""
-    found = stage(find_leaks(docs, benchmark).select("text_key").distinct(), "leaks")
-    return docs.withColumn("text_key", F.xxhash64(text_or_empty())).join(found, "text_key", "left_anti").select(*docs.columns)
+    key = free_name(docs, "text_key")
+    found = stage(find_leaks(docs, benchmark).select(F.col("text_key").alias(key)).distinct(), "leaks")
+    return docs.withColumn(key, F.xxhash64(text_or_empty())).join(found, key, "left_anti").select(*docs.columns)
 
 
 def brute_force_leaks(docs: list[tuple], items: list[tuple]) -> dict[tuple, int]:

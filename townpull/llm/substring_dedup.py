@@ -12,7 +12,7 @@ probability of at least ``RECALL``.
 
 A passage may repeat within longer lines. So each text is also cut, whatever its lines, at
 places that depend only on a few words around them (the place's hash is the least among
-``REACH`` places on either side). Equal stretches between cuts are grouped by their hash, and
+``REACH`` places on either side; stretches that are longer than ``LONGEST`` words are cut there). Equal stretches between cuts are grouped by their hash, and
 repeated stretches that follow each other are a passage if they have ``RUN_WORDS`` words together.
 
 Of each group the occurrence in the smallest doc_id (then the first there) stays, the others
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from townpull.llm.common import stage, text_or_empty
+from townpull.llm.common import free_name, stage, text_or_empty
 from townpull.llm.components import components
 
 SHINGLE = 5
@@ -40,6 +40,7 @@ BAND_ROWS = 5
 LINE_WORDS = 20
 REACH = 3
 RUN_WORDS = 16
+LONGEST = 32        # words of a stretch; where one word repeats there are no cuts
 FEW = 24            # members of a bucket up to which all pairs are compared
 LOT_WORDS = 60_000  # words of short texts that are hashed together
 
@@ -149,6 +150,11 @@ def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> D
             for i, (a, b) in enumerate(spans):
                 if b > a:
                     p = np.nonzero(cut_places(w[a:b]))[0] + a
+                    size = np.diff(p, append=b)
+                    if size.max() > LONGEST:
+                        parts = -(-size // LONGEST)
+                        inside = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+                        p = np.repeat(p, parts) + LONGEST * inside
                     begins.append(p)
                     ends.append(np.append(p[1:], b))
                     of.append(np.full(len(p), i))
@@ -292,6 +298,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         word = re.compile("[^\x20\x09-\x0d]+")
         out = []
         for t, gone in zip(text, spans):
+            if t is None:
+                out.append(None)
+                continue
             bounds = [m.span() for m in word.finditer(t)]
             kept, at = [], 0
             for s in gone:
@@ -307,13 +316,17 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     cut.__annotations__ = {"text": pd.Series, "spans": pd.Series, "return": pd.Series}
     cut = F.pandas_udf(cut, "string")
-    rows = docs.withColumn("_key", F.xxhash64(text_or_empty()))
-    on = rows["doc_id"].eqNullSafe(spans["doc_id"]) & (rows["_key"] == spans["text_key"])
-    changed = rows.join(spans.select("doc_id", "text_key", "_spans"), on)
-    same = rows.join(spans.select("doc_id", "text_key"), on, "left_anti").select(*docs.columns)
-    text = cut(rows["text"].cast("string"), F.col("_spans"))
-    changed = changed.select(*(text.alias("text") if c == "text" else rows[c] for c in docs.columns))
+    id_, key, gone, cut_ = (free_name(docs, c) for c in ("spans_id", "text_key", "spans", "text_cut"))
+    rows = docs.withColumn(key, F.xxhash64(text_or_empty()))
+    spans = spans.select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("_spans").alias(gone))
+    rows = rows.join(spans, F.col("doc_id").eqNullSafe(F.col(id_)) & (rows[key] == spans[key]), "left")
+    touched = F.col(gone).isNotNull()
+    # texts that lose nothing are not sent to Python
+    rows = rows.withColumn(cut_, cut(F.when(touched, F.col("text").cast("string")), F.when(touched, F.col(gone))))
+    blank = F.length(F.trim(F.translate(cut_, "\t\n\x0b\f\r", "     "))) == 0
+    rows = rows.where(F.col(cut_).isNull() | ~blank)
+    new = {"text": F.coalesce(cut_, "text").alias("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.char_length("text").cast(kind))
-    return same.unionAll(changed.where(F.length(F.trim(F.translate("text", "\t\n\x0b\f\r", "     "))) > 0))
+        new["n_chars"] = F.coalesce(F.char_length(cut_).cast(kind), F.col("n_chars")).alias("n_chars")
+    return rows.select(*(new.get(c, c) for c in docs.columns))

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townpull.llm.common import stage, text_or_empty
+from townpull.llm.common import free_name, stage, text_or_empty
 
 GRAMS = (4, 5)
 BITS = 22          # of a feature's hash
@@ -182,4 +182,5 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` whose score is below the threshold."""
-    return docs.withColumn("_score", score(F.col("text"), model)).where(F.col("_score") < threshold).drop("_score")
+    name = free_name(docs, "toxicity")
+    return docs.withColumn(name, score(F.col("text"), model)).where(F.col(name) < threshold).drop(name)
