@@ -1,8 +1,10 @@
 """Iterative growth: fixed point, monotone effective population, metros keep themselves."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
+from townpull.catalog import ORACLE_ROUNDS
 from townpull.plans.assign import assign_metros
 from townpull.plans.growth import growth_lines, iterative_growth
 from townpull.sources.fixture import places
@@ -10,7 +12,13 @@ from townpull.sources.fixture import places
 
 def test_growth_rounds_and_fixed_point(spark):
     pl = places(spark, SF_SMALL)
-    out, rounds = iterative_growth(pl, max_iter=6, return_rounds=True)
+    out, rounds, converged = iterative_growth(pl, return_rounds=True)
+    assert converged and len(rounds) <= ORACLE_ROUNDS
+    # one more round changes nothing
+    again = iterative_growth(pl, rounds=len(rounds), return_rounds=True)[0]
+    key = lambda df: sorted((r["geonameid"], r["assigned_metro_id"], r["eff_population"]) for r in
+                            df.fillna(-1, ["assigned_metro_id", "eff_population"]).collect())
+    assert key(again) == key(out)
     rows = out.collect()
     metros = [r for r in rows if r["isMetro"]]
     assert all(r["assigned_metro_id"] == r["geonameid"] for r in metros)
@@ -29,6 +37,19 @@ def test_growth_rounds_and_fixed_point(spark):
 
 def test_growth_zero_iterations_is_plain_assignment(spark):
     pl = places(spark, SF_SMALL)
-    g = {r["geonameid"]: r["assigned_metro_id"] for r in iterative_growth(pl, max_iter=0).collect()}
+    g = {r["geonameid"]: r["assigned_metro_id"] for r in iterative_growth(pl, rounds=0).collect()}
     p = {r["geonameid"]: r["assigned_metro_id"] for r in assign_metros(pl, rule="share_only").collect()}
     assert g == p
+
+
+def test_growth_settles_at_the_middle_scale(spark):
+    _, rounds, converged = iterative_growth(places(spark, SF_MID), return_rounds=True)
+    assert converged and 3 < len(rounds) <= ORACLE_ROUNDS
+
+
+def test_a_state_that_comes_back_raises(spark, monkeypatch):
+    from townpull.plans import growth
+    states = iter([1, 2, 1])
+    monkeypatch.setattr(growth, "_state", lambda eff: next(states))
+    with pytest.raises(RuntimeError, match="round 0 came back"):
+        iterative_growth(places(spark, SF_SMALL))

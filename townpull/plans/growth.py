@@ -6,13 +6,15 @@ The source lists this as future work without semantics; the ones chosen here:
 * round k gives every metro an effective population = own population + the
   population of the towns assigned to it in round k-1, recomputes the radius from
   it and reassigns every town (metros are never annexed);
-* the loop stops when no metro's effective population changes (the assignment is
-  then a fixed point) or after ``max_iter`` reassignment rounds.
-
-Per round the work is one pass over the towns against the broadcast cell index
-plus one partial aggregation to per-metro sums; the loop state is the small
-metro table, written to the checkpoint folder each round (lineage stays short,
-a lost executor re-reads it). The convergence test compares two metro tables.
+* the loop stops at the fixed point, when no metro's effective population changes. A
+  state that comes back after other states would go round for ever and raises;
+  ``rounds=n`` stops after n reassignment rounds instead, wherever the loop is then.
+
+Per round the work is one pass over the stored narrow towns against the broadcast
+cell index, written once, plus one partial aggregation to per-metro sums; the loop
+state is the small metro table, written to the checkpoint folder each round (lineage
+stays short, a lost executor re-reads it). The state is compared by a hash sum over
+the metros.
 """
 
 from __future__ import annotations
@@ -45,35 +47,46 @@ def _next_eff(base: DataFrame, assigned: DataFrame) -> DataFrame:
                       .alias("eff_population")).drop("_gain")
 
 
+def _state(eff: DataFrame) -> tuple:
+    """A number for the whole loop state (order-free hash sum and count)."""
+    h = F.xxhash64("geonameid", "eff_population").cast("decimal(38,0)")
+    return tuple(eff.agg(F.count(F.lit(1)), F.sum(h)).first())
+
+
 def iterative_growth(places: DataFrame, rule: str = "share_only", metric: str = "haversine",
-                     max_iter: int = 5, cell_deg: float = DEFAULT_CELL_DEG, populated_only: bool = True,
+                     rounds: int | None = None, cell_deg: float = DEFAULT_CELL_DEG, populated_only: bool = True,
                      return_rounds: bool = False, **rule_kw):
-    """K1: final assignment after growth; ``return_rounds`` also returns the list of
-    per-round town assignments (for K2).
+    """K1: assignment at the fixed point of growth (or after ``rounds`` reassignments);
+    ``return_rounds`` also returns the list of per-round town assignments (for K2), the last
+    of which is the fixed point, and whether it is one.
 
     Output columns: the input columns, ``isMetro``, ``eff_population`` and
     ``influence_radius`` (metro rows), ``assigned_metro_id``. The loop reads a
-    narrow projection of the towns; the full rows are read once, for the output.
+    stored narrow projection of the towns; the full rows are read once, for the output.
     """
     df = filter_populated_places(places) if populated_only else places
     flagged = flag_metros(df, rule, **rule_kw)
     is_metro = F.col("isMetro")
     base = materialize(flagged.filter(is_metro).select("geonameid", "name", "latitude", "longitude", "population"))
-    towns = flagged.filter(~is_metro).select("geonameid", "latitude", "longitude", "population")
+    towns = materialize(flagged.filter(~is_metro).select("geonameid", "latitude", "longitude", "population"))
     eff = base.withColumn("eff_population", F.col("population").cast("long"))
     idx = _index(eff, metric, cell_deg)
-    assigned = _assign_round(towns, idx)
-    rounds = [assigned]
-    for _ in range(max_iter):
+    assigned = materialize(_assign_round(towns, idx))
+    done, states, converged = [assigned], [_state(eff)], False
+    while rounds is None or len(done) <= rounds:
         nxt = materialize(_next_eff(base, assigned))
-        same = (nxt.alias("a").join(eff.alias("b"), "geonameid")
-                .filter(F.col("a.eff_population") != F.col("b.eff_population")).limit(1).count() == 0)
-        if same:
+        state = _state(nxt)
+        if state == states[-1]:
+            converged = True
             break
+        if state in states:
+            raise RuntimeError(f"growth goes round: the state of round {states.index(state)} came back "
+                               f"in round {len(done)}; pass rounds=n for a fixed number of rounds")
+        states.append(state)
         eff = nxt
         idx = _index(eff, metric, cell_deg)
-        assigned = _assign_round(towns, idx)
-        rounds.append(assigned)
+        assigned = materialize(_assign_round(towns, idx))
+        done.append(assigned)
     # one pass over the full rows: metros take their effective population, towns the last index
     effs = eff.select(F.col("geonameid").alias("_mk"), "eff_population")
     full = flagged.withColumn("_mk", F.when(is_metro, F.col("geonameid")))
@@ -83,7 +96,7 @@ def iterative_growth(places: DataFrame, rule: str = "share_only", metric: str =
                         F.when(is_metro, influence_radius_km("eff_population")).alias("influence_radius"),
                         F.when(is_metro, F.col("geonameid").cast("int")).otherwise(F.col("best.metro_id"))
                         .alias("assigned_metro_id"))
-    return (result, rounds) if return_rounds else result
+    return (result, done, converged) if return_rounds else result
 
 
 def growth_lines(rounds: list[DataFrame], metros: DataFrame) -> DataFrame:
