@@ -25,7 +25,7 @@ from townpull.operators.filters import has_polygons, split_boundaries
 from townpull.operators.metro_rules import flag_metros
 from townpull.operators.radius_join import _grid, _lat_idx
 from townpull.operators.setops import recombine
-from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize
+from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize, row_hash
 
 DEFAULT_RING_CHUNK = 1_000
 DEFAULT_VERTEX_CHUNK = 20_000
@@ -37,7 +37,7 @@ def attach_boundaries(df: DataFrame, boundaries: DataFrame, fanout: bool = False
     """Left join boundary polygons onto rows.
 
     Default: boundaries are first reduced to one per (country_code, name) (the one
-    with the most rings, then the smallest text form) so a repeated name cannot
+    with the most rings, then the shortest and then smallest text form) so a repeated name cannot
     multiply rows. ``fanout=True`` joins on ``name`` alone without reduction, as the
     source does (n x m rows for repeated names).
     """
@@ -45,8 +45,9 @@ def attach_boundaries(df: DataFrame, boundaries: DataFrame, fanout: bool = False
         return df.join(boundaries.select("name", "polygons"), "name", "left")
     k = list(keys)
     one = (boundaries.filter(F.col("polygons").isNotNull())
-           .groupBy(*k).agg(F.max_by("polygons", F.struct(F.size("polygons"), -F.length(
-               F.to_json("polygons")))).alias("polygons")))
+           .withColumn("_text", F.to_json("polygons"))
+           .groupBy(*k).agg(F.min_by("polygons", F.struct(-F.size("polygons"), F.length("_text"), F.col("_text")))
+                            .alias("polygons")))
     return join_small(df, one, k, "left", null_spread=True)
 
 
@@ -126,19 +127,19 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAU
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     cell = (_lat_idx(lat, cell_deg, n_lat) * n_lon + F.pmod(F.floor((lon + 180.0) / cell_deg), F.lit(n_lon)))
     cell = cell.cast("long")
-    if not bc:  # shuffle join: no coordinates -> a unique key matching no cell, spread over partitions
-        cell = F.coalesce(cell, F.lit(-1) - F.monotonically_increasing_id())
+    if not bc:  # shuffle join: no coordinates -> a key from the row that matches no cell, spread over partitions
+        cell = F.coalesce(cell, F.lit(-1).cast("long") - F.shiftrightunsigned(row_hash(rest), 2))
     pts = rest.withColumn("_cell", cell)
     if hot is None:
         joined = pts.join(side(table.select("_cell", "_rings")), "_cell", "left")
         kept = _inside_flag(joined, cols, engine).filter(~F.col("_in")).select(*cols)
         return recombine(holders, kept)
-    pts = pts.withColumn("_rk", F.monotonically_increasing_id())
     pts = join_small(pts, hot.withColumn("_hot", F.lit(True)), "_cell", "left")
     cool = pts.filter(F.col("_hot").isNull()).join(
         side(table.filter(F.col("n_chunks") == 1).select("_cell", "_rings")), "_cell", "left")
     cool = _inside_flag(cool, cols, engine).filter(~F.col("_in")).select(*cols)
-    warm = pts.filter(F.col("_hot")).join(side(table.filter(F.col("n_chunks") > 1).select("_cell", "_rings")),
+    # row numbers are given to a stored copy, so that a task that runs again gives the same
+    warm = materialize(pts.filter(F.col("_hot"))).withColumn("_rk", F.monotonically_increasing_id()).join(side(table.filter(F.col("n_chunks") > 1).select("_cell", "_rings")),
                                           "_cell", "inner")
     warm = _inside_flag(warm, cols + ["_rk"], engine)
     row = F.struct(*[F.col(c) for c in cols])

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from townpull.functions.geo import influence_radius_km, mercator_y
-from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize
+from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize, row_hash
 from townpull.schema import CANDIDATE_TYPE, EARTH_RADIUS_KM, FORCE_K, MERCATOR_RADIUS_M
 
 POLAR_LAT = 85.0
@@ -239,9 +239,10 @@ def _town_prep(towns: DataFrame, metric: str, cell_deg: float, skip: Column | No
         cell = F.when(F.coalesce(skip, F.lit(False)), F.lit(None).cast("long")).otherwise(cell)
     out = towns.withColumn("_tlat", lat).withColumn("_tlon", lon) \
         .withColumn("_tcos", F.cos(F.radians(lat))) \
-        .withColumn("_cell", F.coalesce(cell, F.lit(-3) - F.monotonically_increasing_id()) if spread_nulls
-                    # shuffle join: rows without a cell (no coordinates, skipped) get a unique key
-                    # that matches nothing, so they spread over partitions instead of one
+        .withColumn("_cell", F.coalesce(cell, F.lit(-3).cast("long") - F.shiftrightunsigned(row_hash(towns), 2))
+                    if spread_nulls
+                    # shuffle join: rows without a cell (no coordinates, skipped) get a key made from the
+                    # row that matches nothing, so they spread over partitions instead of one
                     else cell)
     if metric == "mercator_cos":
         out = out.withColumn("_ty", mercator_y(lat))
@@ -289,8 +290,8 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         joined = t.join(side(tab.drop("chunk", "n_chunks")), "_cell", "left")
         return finish_single(joined)
 
-    # hot cells exist: only their towns take the chunk-merging path. The row key is
-    # added after the split (a nondeterministic column would stop filter pushdown).
+    # hot cells exist: only their towns take the chunk-merging path. Row numbers are given
+    # to a stored copy of these, so that a task that runs again gives the same.
     if index.hot_polar_only:
         # only the polar cells are split: select their towns by latitude, which the
         # scan can prune by row-group statistics
@@ -306,7 +307,7 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         cool_src, warm_src = t.filter(F.col("_hot").isNull()), t.filter(F.col("_hot"))
     cool = cool_src.join(side(tab.filter(F.col("n_chunks") == 1).drop("chunk", "n_chunks")), "_cell", "left")
     part_a = finish_single(cool)
-    warm_src = warm_src.withColumn("_rk", F.monotonically_increasing_id())
+    warm_src = materialize(warm_src).withColumn("_rk", F.monotonically_increasing_id())
     warm = warm_src.join(side(tab.filter(F.col("n_chunks") > 1)), "_cell", "inner")
     if engine == "arrow":
         warm = _arrow_eval(warm, T.StructType(list(towns.schema.fields) + [T.StructField("_rk", T.LongType())]),
