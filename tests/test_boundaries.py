@@ -123,3 +123,31 @@ def test_map_layers_on_plain_places(spark):
     assert set(layers) == {"markers", "view"}
     colors = {r[0] for r in layers["markers"].select("color").distinct().collect()}
     assert colors <= {"red", "green", "blue"} and layers["view"].count() == 1
+
+
+def test_scanned_responses_join_on_the_default_keys(spark, tmp_path):
+    import json
+
+    from townpull.operators.boundaries import attach_boundaries
+    from townpull.sources.boundaries import scan_boundaries
+    ring = [[[21.0, 52.0], [21.1, 52.0], [21.1, 52.1], [21.0, 52.0]]]
+    for stem, doc in (("Warszawa", {"properties": {"country_code": "pl"}}), ("Paris", {"properties": {}})):
+        (tmp_path / f"{stem}.json").write_text(json.dumps(
+            {"features": [doc | {"geometry": {"type": "Polygon", "coordinates": ring}}]}))
+    places = spark.createDataFrame([(1, "Warszawa", "PL"), (2, "Paris", "FR")], "geonameid int, name string, country_code string")
+    got = {r["geonameid"]: r["polygons"] for r in attach_boundaries(places, scan_boundaries(spark, str(tmp_path))).collect()}
+    assert got[1] and got[2] is None
+    named = scan_boundaries(spark, str(tmp_path), country_code="FR")
+    assert {(r["name"], r["country_code"]) for r in named.collect()} == {("Warszawa", "FR"), ("Paris", "FR")}
+
+
+def test_boundary_ties_do_not_depend_on_order(spark):
+    from pyspark.sql import functions as F
+
+    from townpull.operators.boundaries import attach_boundaries
+    kind = "name string, country_code string, polygons array<array<struct<lat:double,lon:double>>>"
+    rows = [("A", "PL", [[(1.0, float(k)), (2.0, 2.0), (3.0, 1.0)]]) for k in range(9)]
+    place = spark.createDataFrame([(1, "A", "PL")], "geonameid int, name string, country_code string")
+    picked = {str(attach_boundaries(place, spark.createDataFrame(r, kind).repartition(3, F.rand(1))).first()["polygons"])
+              for r in (rows, rows[::-1], rows[4:] + rows[:4])}
+    assert len(picked) == 1

@@ -37,7 +37,7 @@ def test_candidate_text_and_safe_id(spark):
     got = [r[0] for r in df.select(ST.candidate_text("c")).collect()]
     assert got == ["<br>Candidate Metros:<br>A | 7 (force: 0.812, dist: 12.3 km)", "", ""]
     ids = spark.createDataFrame([("12",), ("x",), (None,), ("12.5",)], "s string")
-    assert [r[0] for r in ids.select(ST.safe_id("s")).collect()] == [12, None, None, None]
+    assert [r[0] for r in ids.select(ST.safe_id("s")).collect()] == [12, None, None, 12]
 
 
 def test_geo_values(spark):
@@ -58,3 +58,20 @@ def test_sort_by_id_numeric_and_text(spark):
     df = spark.createDataFrame([(10,), (9,), (100,)], "geonameid int")
     assert [r[0] for r in sort_by_id(df).collect()] == [9, 10, 100]
     assert [r[0] for r in sort_by_id(df, numeric=False).collect()] == [10, 100, 9]
+
+
+def test_ids_and_whole_numbers_from_doubles_and_text(spark):
+    from townpull.functions.geo import to_int
+    from townpull.functions.style import safe_id
+    df = spark.createDataFrame([(756135.0, "756135.0"), (None, " 12.7 "), (float("nan"), "1e5"), (-3.9, "x"), (1e12, "99999999999")],
+                               "d double, t string")
+    rows = df.select(safe_id("d").alias("a"), safe_id("t").alias("b"), to_int("t").alias("c")).collect()
+    assert [tuple(r) for r in rows] == [(756135, 756135, 756135), (None, 12, 12), (None, 100000, 100000), (-3, None, None),
+                                        (None, None, None)]
+
+
+def test_assignment_lines_with_double_ids(spark):
+    from townpull.plans.maps import assignment_lines
+    df = spark.createDataFrame([(1, 50.0, 20.0, 2.0), (2, 50.1, 20.1, 2.0), (3, 50.2, 20.2, None)],
+                               "geonameid int, latitude double, longitude double, assigned_metro_id double")
+    assert assignment_lines(df).count() == 2

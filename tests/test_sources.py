@@ -92,14 +92,16 @@ def test_decode_nested_text(spark):
     df = spark.createDataFrame([
         ("""[{'metro_id': '1', 'metro_name': "L'Isle", 'force': 0.5, 'distance': 3.2}]""", "[[(52.1, 21.0), (52.2, 21.1), (52.1, 21.2)]]"),
         ("[]", "[]"), ("", ""), (None, None), ("junk", "junk"),
-        ("[{'metro_id': None, 'metro_name': 'x', 'force': 1, 'distance': 0}]", "[[(1, 2), (3, 4), (5, 6)], [(7, 8), (9, 10), (1, 1)]]"),
+        ("[{'metro_id': None, 'metro_name': 'x', 'force': 1, 'distance': nan}, {'metro_id': 7.0, 'metro_name': 'None, n\\xe9e', "
+         "'force': 0.5, 'distance': 2}]", "[[(1, 2), (3, 4), (5, 6)], [(7, 8), (9, 10), (1, 1)]]"),
     ], "c string, p string")
     out = df.select(FS.decode_candidates("c").alias("c"), FS.decode_polygons("p").alias("p")).collect()
     assert out[0]["c"][0]["metro_id"] == 1 and out[0]["c"][0]["metro_name"] == "L'Isle"
     assert out[0]["p"][0][1]["lat"] == 52.2 and out[0]["p"][0][1]["lon"] == 21.1
     for r in out[1:5]:
         assert r["c"] == [] and r["p"] == []
-    assert out[5]["c"] == []  # a bare None nulls the cell -> empty list
+    # None and nan null their field only; escapes and quoted text stay
+    assert [tuple(x) for x in out[5]["c"]] == [(None, "x", 1.0, None), (7, "None, née", 0.5, 2.0)]
     assert len(out[5]["p"]) == 2
     # encoded JSON decodes back to the same values
     enc = FS.encode_nested(df.select(FS.decode_polygons("p").alias("polygons")), ["polygons"])
@@ -121,3 +123,49 @@ def test_write_merged_single_file_and_zip_packing(spark, dump, tmp_out):
     assert len(archives) == len([f for f in os.listdir(text) if f.startswith("part-")])
     again = FS.ingest_zipped_dumps(spark, zips)
     assert sorted(r["geonameid"] for r in again.collect()) == [1, 2, 3, 4]
+
+
+def test_lenient_numbers(spark, tmp_out):
+    line = "{}\tn\ta\t\t50.0\t{}\tP\tPPL\tPL\t\t\t\t\t\t{}\t\t\t\t"
+    rows = [("1", "20.0", "1500.0"), ("2.0", "nan", "1e5"), ("x", "inf", "nan"), ("4", "-1e1", "9e99"), ("5", "", "")]
+    path = os.path.join(tmp_out, "dump.txt")
+    with open(path, "w") as f:
+        f.write("\n".join(line.format(*r) for r in rows) + "\n")
+    got = [(r["geonameid"], r["longitude"], r["population"]) for r in FS.load_lenient(spark, path).collect()]
+    assert got == [(1, 20.0, 1500), (2, None, 100000), (None, None, 0), (4, -10.0, 0), (5, None, 0)]
+
+
+def test_archives_are_inflated_by_many_tasks(spark, tmp_out):
+    import zipfile
+    folder = os.path.join(tmp_out, "zips")
+    os.makedirs(folder)
+    row = "{}\tn\ta\t\t50.0\t20.0\tP\tPPL\tPL\t\t\t\t\t\t1\t\t\t\t\n"
+    for i in range(24):
+        with zipfile.ZipFile(os.path.join(folder, f"c{i}.zip"), "w") as z:
+            z.writestr(f"c{i}.txt", "".join(row.format(i * 50 + j) for j in range(50)))
+            z.writestr("readme.md", "not a dump")
+    lines, n, _ = FS.inflate_archives(spark, folder)
+    used = lines.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert n == 24 and used >= 12
+    assert FS.ingest_zipped_dumps(spark, folder).count() == 1200
+    big = os.path.join(tmp_out, "one")
+    os.makedirs(big)
+    with zipfile.ZipFile(os.path.join(big, "world.zip"), "w") as z:
+        z.writestr("world.txt", "".join(row.format(j) for j in range(20000)))
+    rows = FS.ingest_zipped_dumps(spark, big, split_bytes=64 << 10)
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= 8
+    assert rows.agg(F.countDistinct("geonameid")).first()[0] == 20000
+
+
+def test_country_writer_evaluates_once(spark, tmp_out, dump):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = FS.scan_places(spark, dump)
+    n = df.count()
+    FS.write_csv_by_country(df.mapInPandas(count, df.schema), os.path.join(tmp_out, "once"), rows_per_task=1)
+    assert seen.value == n

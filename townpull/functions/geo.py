@@ -78,8 +78,9 @@ def distance_km(metric: str, town_lat, town_lon, lat, lon) -> Column:
 
 
 def to_int(c: ColumnOrName, default: int | None = None) -> Column:
-    """Lenient integer; junk gives null (or ``default``)."""
-    v = _try_cast(_c(c), "int")
+    """Lenient integer: any number is cut to its whole part (``12.7``, ``1e5``); junk and
+    what an int cannot hold give null (or ``default``)."""
+    v = whole_number(_c(c), "int")
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
@@ -93,6 +94,13 @@ def _try_cast(c: Column, t: str) -> Column:
     return c.try_cast(t)
 
 
+def whole_number(c: Column, t: str) -> Column:
+    """The whole part of a number or of a number's text as type ``t``; else null."""
+    d = c.cast("string").try_cast("double")
+    exact = c.cast("string").try_cast(t)   # ids beyond 2**53 keep every digit
+    return F.coalesce(exact, F.when(~F.isnan(d) & (F.abs(d) < 9.2e18), d.try_cast("long").try_cast(t)))
+
+
 def _edge_pairs(ring: Column) -> Column:
     """Edges of a ring as ``array<struct<a, b>>``, closing the ring if it is open."""
     n = F.size(ring)

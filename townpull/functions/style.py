@@ -7,6 +7,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from townpull.functions.geo import whole_number
 from townpull.schema import CODE_COLOR_DEFAULT, CODE_COLORS
 
 # --- fixed values: label formats of the map layers ---
@@ -82,5 +83,7 @@ def candidate_text(col="candidates") -> Column:
 
 
 def safe_id(col) -> Column:
-    """Id as int; unparsable gives null (the row is skipped where an id is required)."""
-    return _c(col).cast("string").try_cast("int")
+    """Id as int, from a number (as an id column with nulls comes back as double) or its
+    text (``756135``, ``756135.0``); unparsable gives null (the row is skipped where an id is
+    required)."""
+    return whole_number(_c(col), "int")

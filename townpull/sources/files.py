@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from townpull.functions.geo import whole_number
+from townpull.operators.sizing import materialize
 from townpull.schema import CANDIDATE_TYPE, PLACE_COLUMNS, PLACE_SCHEMA, POLYGONS_TYPE
 
 DUMP_OPTIONS = {"sep": "\t", "quote": "", "header": "false", "mode": "PERMISSIVE"}
@@ -32,9 +34,9 @@ scan_all_places = scan_places
 
 
 def load_lenient(spark: SparkSession, path: str | Sequence[str], null_population: str = "zero") -> DataFrame:
-    """A3: every field read as text, then typed leniently: junk coordinates and ids
-    become null (never matched), junk or missing population becomes 0 (or null with
-    ``null_population="null"``)."""
+    """A3: every field read as text, then typed leniently: whole numbers may be written as
+    ``1500.0`` or ``1e5``; junk coordinates and ids become null (never matched), junk or
+    missing population becomes 0 (or null with ``null_population="null"``)."""
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in PLACE_COLUMNS])
     raw = spark.read.schema(text_schema).options(**DUMP_OPTIONS).csv(path)
     out = []
@@ -43,7 +45,10 @@ def load_lenient(spark: SparkSession, path: str | Sequence[str], null_population
         if isinstance(f.dataType, T.StringType):
             out.append(c)
             continue
-        typed = c.try_cast(f.dataType)
+        typed = whole_number(c, f.dataType.simpleString()) if isinstance(f.dataType, T.IntegralType) \
+            else c.try_cast(f.dataType)
+        if isinstance(f.dataType, T.FractionalType):
+            typed = F.when(~F.isnan(typed) & (F.abs(typed) != float("inf")), typed)
         if f.name == "population" and null_population == "zero":
             typed = F.coalesce(typed, F.lit(0))
         out.append(typed.alias(f.name))
@@ -62,26 +67,21 @@ def write_dump(df: DataFrame, path: str, schema: T.StructType = PLACE_SCHEMA) ->
     to_dump_lines(df, schema).write.mode("overwrite").text(path)
 
 
-def _arrow_uri(path: str) -> str:
-    """A URI pyarrow accepts: Hadoop-style ``file:/x`` becomes ``file:///x``; bare paths get ``file://``."""
-    import os
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    if "://" not in path:
-        return "file://" + os.path.abspath(path)
-    return path
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority of the file system that Spark resolves it to."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(hadoop_path).toString()
 
 
 def _zip_lines_fn(member_suffix: str, batch_rows: int):
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
         import zipfile
-
-        import pyarrow.fs as pafs
         for pdf in batches:
-            for uri in pdf["path"]:
-                fs, p = pafs.FileSystem.from_uri(_arrow_uri(uri))
-                with fs.open_input_file(p) as raw, zipfile.ZipFile(raw) as zf:
+            for uri, content in zip(pdf["path"], pdf["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as zf:
                     for member in zf.namelist():
                         if not member.endswith(member_suffix):
                             continue
@@ -97,21 +97,34 @@ def _zip_lines_fn(member_suffix: str, batch_rows: int):
     return fn
 
 
+def inflate_archives(spark: SparkSession, folder: str, pattern: str = "*.zip", member_suffix: str = ".txt",
+                     batch_rows: int = 50_000) -> tuple[DataFrame, int, int]:
+    """Lines (source, value) of the archives' members, the number of archives and their bytes."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    sizes = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    n, size = int(sizes["n"]), int(sizes["b"])
+    # packed archives are dealt one by one; inflating is many times the work of moving them
+    dealt = files.select("path", "content").repartition(max(1, n))
+    return dealt.mapInPandas(_zip_lines_fn(member_suffix, batch_rows), "source string, value string"), n, size
+
+
 def ingest_zipped_dumps(spark: SparkSession, folder: str, pattern: str = "*.zip",
                         member_suffix: str = ".txt", schema: T.StructType = PLACE_SCHEMA,
-                        batch_rows: int = 50_000) -> DataFrame:
+                        batch_rows: int = 50_000, split_bytes: int = 16 << 20) -> DataFrame:
     """A4: dump rows from every ``.txt`` member of the zip archives in ``folder``.
 
-    Only the archive paths are listed by Spark (the ``content`` column is pruned);
-    each task opens one archive through its file system and streams the members in
-    batches of ``batch_rows`` lines, so no archive is held in memory whole. A deflate
-    member decompresses sequentially by format; the parsed rows are ordinary
-    partitions for everything downstream.
+    Spark's binary-file source reads the archives through the file system they are on, one
+    file per partition, so that every archive is inflated by a task of its own; a task holds
+    one packed archive and streams its members in batches of ``batch_rows`` lines (a deflate
+    member decompresses sequentially by format). Where archives are larger than
+    ``split_bytes`` packed, the lines are dealt anew to one partition per that many bytes, so
+    a single world archive is parsed and assigned by many tasks. Both partition counts are
+    given by number, which adaptive execution does not coalesce.
     """
-    paths = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-             .load(folder).select("path"))
-    paths = paths.repartition(F.col("path"))  # one archive per task where possible
-    lines = paths.mapInPandas(_zip_lines_fn(member_suffix, batch_rows), "source string, value string")
+    lines, n, size = inflate_archives(spark, folder, pattern, member_suffix, batch_rows)
+    parts = -(-size // split_bytes)
+    if parts > n:
+        lines = lines.repartition(parts)
     opts = {"sep": "\t", "quote": "", "mode": "PERMISSIVE"}
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
     parsed = lines.select(F.from_csv(F.col("value"), ddl, opts).alias("r"))
@@ -123,16 +136,23 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).mode("overwrite").csv(path)
 
 
-def write_csv_by_country(df: DataFrame, root: str, key: str = "country_code", partitions: int | None = None,
+def write_csv_by_country(df: DataFrame, root: str, key: str = "country_code", rows_per_task: int = 1_000_000,
                          max_records_per_file: int = 5_000_000) -> None:
     """One folder per country under ``root``.
 
-    Rows are range-partitioned on (country, id), so a country holding a third of the
-    rows spreads over many writer tasks while small countries share one; dynamic
+    ``df`` is evaluated once, into the checkpoint folder. A count per country then says over
+    how many lots its rows are dealt (by a hash of the id), so a country holding a third of
+    the rows spreads over many writer tasks while small countries share one; dynamic
     partition overwrite replaces only the countries present in ``df``.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartitionByRange(n, F.col(key), F.col("geonameid"))
+    spark = df.sparkSession
+    stored = materialize(df)
+    lots = stored.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("int").alias("_lots"))
+    lots = lots.withColumnRenamed(key, "_key")   # a row per country
+    dealt = stored.join(F.broadcast(lots), stored[key].eqNullSafe(lots["_key"])) \
+        .withColumn("_lot", F.pmod(F.xxhash64("geonameid"), F.col("_lots")))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = dealt.repartition(n, F.col(key), F.col("_lot")).select(*df.columns)
     (spread.write.option("header", True).option("maxRecordsPerFile", max_records_per_file)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(key).csv(root))
 
@@ -142,11 +162,17 @@ def read_partitioned_csv(spark: SparkSession, root: str, schema: T.StructType) -
     schema. A missing path raises Spark's path-not-found error; a folder without
     data files raises ``ValueError``."""
     df = spark.read.schema(schema).option("header", True).csv(root)
-    if not df.inputFiles():
+    if df.select(F.lit(1)).limit(1).isEmpty() and not _has_files(spark, root):
         raise ValueError(f"no CSV part files under {root}")
     return df.select(*schema.fieldNames())
 
 
+def _has_files(spark: SparkSession, root: str) -> bool:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.csv*").load(root)
+    return not files.select("path").limit(1).isEmpty()
+
+
 def merge_sorted(df: DataFrame, key: str = "geonameid") -> DataFrame:
     """All parts as one table sorted by ``key`` (unsorted, with a warning, when
     the column is absent). The global sort is range-partitioned; parts come out in
@@ -176,13 +202,49 @@ def encode_nested(df: DataFrame, cols: Sequence[str] = ("candidates", "polygons"
 _CAND_TEXT = "array<struct<metro_id:string,metro_name:string,force:double,distance:double>>"
 
 
+def _as_json(c: Column) -> Column:
+    """Cell text as JSON. Text with Python's ``None`` / ``nan`` or backslash escapes, which
+    Spark's JSON reader refuses, is read as a Python literal; only such cells go to Python."""
+    def literal(cells: pd.Series) -> pd.Series:
+        import ast
+        import json
+        import math
+        import re
+
+        def clean(v):
+            if isinstance(v, dict):
+                return {str(k): clean(x) for k, x in v.items()}
+            if isinstance(v, list | tuple):
+                return [clean(x) for x in v]
+            return None if isinstance(v, float) and not math.isfinite(v) else v
+
+        def one(t):
+            if t is None:
+                return None
+            try:
+                return json.dumps(clean(ast.literal_eval(t)))
+            except (ValueError, SyntaxError, RecursionError, MemoryError):
+                pass
+            try:   # nan and inf are names, not literals
+                bare = re.sub(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|-?\b(?:nan|NaN|inf|Infinity|null)\b""",
+                              lambda m: m[1] or "None", t)
+                return json.dumps(clean(ast.literal_eval(bare)))
+            except (ValueError, SyntaxError, RecursionError, MemoryError):
+                return t
+        return cells.map(one)
+
+    literal.__annotations__ = {"cells": pd.Series, "return": pd.Series}
+    odd = F.regexp_like(c, F.lit(r"\\|\bNone\b|\bnan\b|\binf\b"))
+    return F.coalesce(F.pandas_udf(literal, "string")(F.when(odd, c)), c)
+
+
 def decode_candidates(col: str | Column) -> Column:
-    """A10: candidate text (JSON, or the legacy Python-literal form with single quotes)
-    to ``array<struct<metro_id, metro_name, force, distance>>``; null, empty or junk
-    text gives an empty array."""
+    """A10: candidate text (JSON, or the legacy Python-literal form with single quotes, ``None``
+    and escapes) to ``array<struct<metro_id, metro_name, force, distance>>``; null, empty or
+    junk text gives an empty array, a field that is ``None`` or junk is null."""
     c = F.col(col) if isinstance(col, str) else col
-    parsed = F.from_json(c, _CAND_TEXT, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
-    typed = F.transform(parsed, lambda x: F.struct(x["metro_id"].try_cast("int").alias("metro_id"),
+    parsed = F.from_json(_as_json(c), _CAND_TEXT, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+    typed = F.transform(parsed, lambda x: F.struct(whole_number(x["metro_id"], "int").alias("metro_id"),
                                                    x["metro_name"].alias("metro_name"),
                                                    x["force"].alias("force"), x["distance"].alias("distance")))
     return F.coalesce(typed, F.array().cast(CANDIDATE_TYPE))
@@ -219,6 +281,9 @@ def stage_checkpoint(df: DataFrame, path: str) -> DataFrame:
 
 
 def _zip_parts_fn(dst: str, member_suffix: str):
+    def local(uri: str) -> str:   # Hadoop writes file:/x, pyarrow reads file:///x
+        return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
         import zipfile
@@ -227,9 +292,9 @@ def _zip_parts_fn(dst: str, member_suffix: str):
         for pdf in batches:
             out = []
             for uri in pdf["path"]:
-                fs, p = pafs.FileSystem.from_uri(_arrow_uri(uri))
+                fs, p = pafs.FileSystem.from_uri(local(uri))
                 stem = os.path.basename(p).split(".")[0]
-                dfs, dpath = pafs.FileSystem.from_uri(dst)
+                dfs, dpath = pafs.FileSystem.from_uri(local(dst))
                 dfs.create_dir(dpath, recursive=True)
                 target = f"{dpath}/{stem}.zip"
                 with fs.open_input_stream(p) as src, dfs.open_output_stream(target) as sink, \
@@ -248,6 +313,7 @@ def zip_text_parts(spark: SparkSession, src_folder: str, dst_folder: str, patter
     ``dst_folder`` (one task per file, streamed in 1 MiB blocks). Returns the archive
     paths; the packing runs when the result is evaluated."""
     paths = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(src_folder)
-             .select("path").repartition(F.col("path")))
-    dst = _arrow_uri(dst_folder)
+             .select("path"))
+    paths = paths.repartition(max(1, paths.count()))
+    dst = _qualified(spark, dst_folder)   # fails on a file system that pyarrow does not know
     return paths.mapInPandas(_zip_parts_fn(dst, member_suffix), "archive string")
