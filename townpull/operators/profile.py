@@ -4,7 +4,7 @@ Group-level facts (counts, first id, "does the group hold code X") are computed
 with hash aggregates (partial aggregation before the shuffle) and joined back
 many-to-one, broadcast only when the group table is proven small. No window
 spans a name or an admin area, so a group holding a third of the rows is never
-sorted or buffered inside one task, and no per-group id list is built.
+sorted or buffered inside one task, and lists of ids have a bounded length.
 """
 
 from __future__ import annotations
@@ -39,15 +39,27 @@ def map_center(df: DataFrame) -> DataFrame:
     return df.agg(F.avg("latitude").alias("mean_lat"), F.avg("longitude").alias("mean_lon"))
 
 
-def ids_by_name(df: DataFrame, key: str = "name") -> DataFrame:
-    """Per name, how many ids carry it and the smallest / largest id.
+IDS_PER_CHUNK = 1_000
 
-    The source builds the full id list per name; for a name that holds a large
-    share of the rows that list is unbounded, so the per-name facts are
-    aggregated here and the ids themselves stay rows (see ``duplicate_rows``).
+
+def ids_by_name(df: DataFrame, key: str = "name", chunk: int = IDS_PER_CHUNK) -> DataFrame:
+    """Every id of each name, as rows (name, chunk, ids, n_ids).
+
+    A name with at most ``chunk`` rows has one chunk, 0, with its ascending id list. The ids of
+    a name with more lie in chunks of ids with the same ``id div chunk``, at most ``chunk``
+    different ones, so no list grows with a name. Null names are one name; null ids are not
+    listed (they count in ``n_ids``); ids that repeat are listed once.
     """
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_ids"), F.min("geonameid").alias("first_id"),
-                               F.max("geonameid").alias("last_id"))
+    g = df.select(_group_key(key).alias("_g"), F.col("geonameid"))
+    sizes = g.groupBy("_g").agg(F.count(F.lit(1)).alias("n_ids"))
+    rows = join_small(g, sizes, "_g", "inner").withColumn("chunk", _id_chunk(chunk))
+    lists = rows.groupBy("_g", "n_ids", "chunk").agg(F.sort_array(F.collect_set("geonameid")).alias("ids"))
+    return lists.select(F.col("_g.v").alias(key), "chunk", "ids", "n_ids")
+
+
+def _id_chunk(chunk: int) -> Column:
+    big = F.floor(F.col("geonameid") / F.lit(chunk)).cast("long")
+    return F.when(F.col("n_ids") <= chunk, F.lit(0).cast("long")).otherwise(F.coalesce(big, F.lit(0).cast("long")))
 
 
 def group_has(df: DataFrame, keys: Sequence[str], code: str, col: str = "feature_code") -> DataFrame:
@@ -102,13 +114,18 @@ def duplicate_rows(df: DataFrame, key: str = "name") -> DataFrame:
     return join_small(g, dup, "_g", "left_semi").select(*cols)
 
 
-def duplicate_ids(df: DataFrame, key: str = "name") -> DataFrame:
-    """W3 rows with the size and id range of their duplicate group."""
+def duplicate_ids(df: DataFrame, key: str = "name", chunk: int = IDS_PER_CHUNK) -> DataFrame:
+    """W3 rows with the ids of their duplicate group: ``n_ids``, ``chunk`` and the ``ids`` of
+    the chunk that the row's own id is in. For a group of at most ``chunk`` rows these are all
+    its ids; the other chunks of a larger group are in ``ids_by_name``, not repeated on each of
+    its rows, which would grow with the square of the group."""
     cols = df.columns
     g = df.withColumn("_g", _group_key(key))
-    groups = (g.groupBy("_g").agg(F.count(F.lit(1)).alias("n_ids"), F.min("geonameid").alias("first_id"),
-                                  F.max("geonameid").alias("last_id")).filter(F.col("n_ids") > 1))
-    return join_small(g, groups, "_g", "inner").select(*cols, "n_ids", "first_id", "last_id")
+    lists = ids_by_name(df, key, chunk).where(F.col("n_ids") > 1) \
+        .select(_group_key(key).alias("_g"), "chunk", "ids", "n_ids")
+    sizes = lists.groupBy("_g").agg(F.max("n_ids").alias("n_ids"))
+    rows = join_small(g, sizes, "_g", "inner").withColumn("chunk", _id_chunk(chunk))
+    return join_small(rows.drop("n_ids"), lists, ["_g", "chunk"], "inner").select(*cols, "n_ids", "chunk", "ids")
 
 
 def admin_dedupe(df: DataFrame, keep_null_admin: bool = False) -> DataFrame:

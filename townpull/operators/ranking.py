@@ -5,26 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from townpull.operators.radius_join import best_of, sort_candidates
+from townpull.operators.radius_join import attach_candidates, best_of, build_cell_index, sort_candidates
 
 
 def top_metros(pairs: DataFrame, k: int = 1, town: str = "geonameid") -> DataFrame:
     """The ``k`` strongest metros per town from (town, metro_id, distance, force)
     pairs, ranked by force desc, distance asc, metro_id asc; adds ``rank``.
 
-    k = 1 is a hash aggregate (partial aggregation per partition, no sort); k > 1 is
-    a window whose per-partition group limit Spark applies before the shuffle.
+    A window whose per-partition group limit Spark applies before the shuffle. This form
+    serves pair tables from elsewhere; from places, ``strongest_metros`` ranks without one.
     A town's group is its candidate metros, bounded by the metros covering it.
     """
-    if k == 1:
-        key = F.struct((-F.col("force")).alias("k1"), F.col("distance").alias("k2"),
-                       F.col("metro_id").alias("k3"), F.struct(*[c for c in pairs.columns if c != town]).alias("v"))
-        return (pairs.groupBy(town).agg(F.min(key).alias("_b"))
-                .select(town, "_b.v.*", F.lit(1).alias("rank")))
     w = Window.partitionBy(town).orderBy(F.col("force").desc(), F.col("distance"), F.col("metro_id"))
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def strongest_metros(towns: DataFrame, metros: DataFrame, k: int = 1, metric: str = "haversine",
+                     town: str = "geonameid", **index_kw) -> DataFrame:
+    """W1 from places: the first ``k`` of each town's sorted candidate list, with ``rank``. The
+    pairs are neither formed nor shuffled."""
+    idx = build_cell_index(metros, metric, **index_kw)
+    lists = attach_candidates(towns.select(town, "latitude", "longitude"), idx, "list")
+    return lists.select(town, F.posexplode(F.slice("candidates", 1, k)).alias("_i", "_c")) \
+        .select(town, "_c.*", (F.col("_i") + 1).alias("rank"))
+
+
 def candidate_list(pairs: DataFrame, towns: DataFrame, town: str = "geonameid") -> DataFrame:
     """C8 from pairs: per town the sorted candidate array (empty when none), left-joined
     to the towns. (``attach_candidates(..., mode="list")`` builds the same list without
