@@ -151,3 +151,33 @@ def test_boundary_ties_do_not_depend_on_order(spark):
     picked = {str(attach_boundaries(place, spark.createDataFrame(r, kind).repartition(3, F.rand(1))).first()["polygons"])
               for r in (rows, rows[::-1], rows[4:] + rows[:4])}
     assert len(picked) == 1
+
+
+def test_a_ring_of_many_vertices_over_many_cells(spark):
+    """The index holds a ring's border, not its vertices in each of its cells; both engines agree
+    with the plain test on the whole ring."""
+    import math
+
+    from townpull.operators.boundaries import _ring_cells, boundary_rings
+    n = 50_000
+    ring = [(math.sin(2 * math.pi * k / n) * (8 + math.sin(40 * math.pi * k / n)),
+             math.cos(2 * math.pi * k / n) * (12 + math.sin(26 * math.pi * k / n))) for k in range(n)]
+    kind = "geonameid int, latitude double, longitude double, polygons array<array<struct<lat:double,lon:double>>>"
+    points = [(i, -10 + 20 * (i * 7919 % 3001) / 3000, -14 + 28 * (i * 104729 % 2999) / 2998, None) for i in range(1, 1500)]
+    df = spark.createDataFrame([(0, 0.0, 0.0, [ring]), *points], kind)
+    cells = _ring_cells(boundary_rings(df), 0.25)
+    r = cells.selectExpr("count(*) AS cells", "sum(nv) AS edges", "count_if(r.full) AS full", "count(DISTINCT cell) AS d").first()
+    assert r["cells"] == r["d"] > 4000 and r["full"] > 4000 and r["edges"] < 40 * n
+    import numpy as np
+    ay, ax = np.array(ring).T
+    by, bx = np.roll(ay, -1), np.roll(ax, -1)
+    want = {0}
+    for i, y, x, _ in points:
+        s = (ay > y) != (by > y)
+        if (x < ax[s] + (y - ay[s]) * (bx[s] - ax[s]) / (by[s] - ay[s])).sum() % 2 == 0:
+            want.add(i)
+    got = {r["geonameid"] for r in remove_nested(df).select("geonameid").collect()}
+    assert got == want
+    some = df.filter("geonameid % 25 = 0")
+    got = {r["geonameid"] for r in remove_nested(some, engine="jvm").select("geonameid").collect()}
+    assert got == {i for i in want if i % 25 == 0}

@@ -101,7 +101,7 @@ def whole_number(c: Column, t: str) -> Column:
     return F.coalesce(exact, F.when(~F.isnan(d) & (F.abs(d) < 9.2e18), d.try_cast("long").try_cast(t)))
 
 
-def _edge_pairs(ring: Column) -> Column:
+def edge_pairs(ring: Column) -> Column:
     """Edges of a ring as ``array<struct<a, b>>``, closing the ring if it is open."""
     n = F.size(ring)
     idx = F.sequence(F.lit(0), n - 1)
@@ -116,8 +116,14 @@ def point_in_ring(lat: ColumnOrName, lon: ColumnOrName, ring: ColumnOrName) -> C
     Even-odd crossing count over the edges; a point on an edge or vertex is outside.
     The ring may be closed (first vertex repeated) or open.
     """
-    y, x, r = _c(lat), _c(lon), _c(ring)
-    edges = _edge_pairs(r)
+    r = _c(ring)
+    return F.when(r.isNull() | (F.size(r) < 3), F.lit(False)).otherwise(inside_edges(lat, lon, edge_pairs(r)))
+
+
+def inside_edges(lat: ColumnOrName, lon: ColumnOrName, edges: ColumnOrName) -> Column:
+    """The same test on edges ``array<struct<a, b>>``; those whose latitudes do not span the
+    point's may be missing, they change nothing."""
+    y, x, edges = _c(lat), _c(lon), _c(edges)
 
     def on_edge(e):
         ay, ax, by, bx = e["a"]["lat"], e["a"]["lon"], e["b"]["lat"], e["b"]["lon"]
@@ -133,13 +139,12 @@ def point_in_ring(lat: ColumnOrName, lon: ColumnOrName, ring: ColumnOrName) -> C
 
     n_cross = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(crosses(e), 1).otherwise(0))
     touching = F.exists(edges, on_edge)
-    return F.when(r.isNull() | (F.size(r) < 3), F.lit(False)).otherwise(
-        ~touching & (n_cross % 2 == 1))
+    return ~touching & (n_cross % 2 == 1)
 
 
 def ring_area2(ring: ColumnOrName) -> Column:
     """Twice the signed shoelace area of a ring in (lon, lat) degrees."""
-    edges = _edge_pairs(_c(ring))
+    edges = edge_pairs(_c(ring))
     return F.aggregate(edges, F.lit(0.0), lambda acc, e: acc + (
         e["a"]["lon"] * e["b"]["lat"] - e["b"]["lon"] * e["a"]["lat"]))
 
@@ -148,5 +153,8 @@ def ring_is_usable(ring: ColumnOrName) -> Column:
     """At least 3 distinct non-null vertices and a non-zero area."""
     r = _c(ring)
     no_nulls = ~F.exists(r, lambda p: p.isNull() | p["lat"].isNull() | p["lon"].isNull())
-    distinct_ok = F.size(F.array_distinct(r)) >= 3
+    # a vertex unlike the first, and one unlike both: one pass each, however many there are
+    first = F.get(r, 0)
+    other = F.get(F.filter(r, lambda p: p != first), 0)
+    distinct_ok = F.exists(r, lambda p: (p != first) & (p != other))
     return F.coalesce(r.isNotNull() & no_nulls & distinct_ok & (F.abs(ring_area2(r)) > F.lit(1e-12)), F.lit(False))

@@ -150,7 +150,7 @@ def point_in_rings_batches(out_col: str, drop: list[str]):
     """Build the ``mapInArrow`` function for nested removal: joined rows (point
     ``latitude``/``longitude`` + ``_rings`` of its cell) -> rows + ``out_col`` = strictly
     inside any ring (even-odd crossings; on an edge or vertex counts as outside). The
-    arithmetic is the Column version's, edge for edge (rings closed by wrapping)."""
+    arithmetic is the Column version's, edge for edge."""
     limit = MAX_PAIRS_PER_SLICE
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +160,7 @@ def point_in_rings_batches(out_col: str, drop: list[str]):
                 rings_all = rings_all.combine_chunks()
             # edges per point = vertices of all rings of its cell
             flat_r, per_pt = _flat_list(rings_all)
-            v_per_ring = _list_lengths(flat_r.field("ring")) if len(flat_r) else np.zeros(0, np.int64)
+            v_per_ring = _list_lengths(flat_r.field("edges")) if len(flat_r) else np.zeros(0, np.int64)
             owner = np.repeat(np.arange(whole.num_rows), per_pt)
             edges = np.bincount(owner, weights=v_per_ring, minlength=whole.num_rows).astype(np.int64) \
                 if len(flat_r) else np.zeros(whole.num_rows, np.int64)
@@ -175,22 +175,17 @@ def _inside(batch: pa.RecordBatch, out_col: str, drop: list[str]) -> pa.RecordBa
     rings, per_point = _flat_list(batch.column(batch.schema.get_field_index("_rings")))
     inside_pt = np.zeros(n, dtype=bool)
     if len(rings):
-        verts, per_ring = _flat_list(rings.field("ring"))
+        segments, per_ring = _flat_list(rings.field("edges"))
+        full = rings.field("full").to_numpy(zero_copy_only=False).astype(bool)
         ring_owner = np.repeat(np.arange(n), per_point)
-        if len(verts):
-            vlat = verts.field("lat").to_numpy(zero_copy_only=False)
-            vlon = verts.field("lon").to_numpy(zero_copy_only=False)
+        inside_pt = np.bincount(ring_owner, weights=full, minlength=n) > 0
+        if len(segments):
             edge_ring = np.repeat(np.arange(len(per_ring)), per_ring)
-            starts = np.concatenate([[0], np.cumsum(per_ring)[:-1]])
-            a_idx = np.arange(len(vlat))
-            last = np.zeros(len(vlat), dtype=bool)
-            ends = starts + per_ring - 1
-            last[ends[per_ring > 0]] = True
-            b_idx = np.where(last, starts[edge_ring], a_idx + 1)
             p = ring_owner[edge_ring]
             y = _col(batch, "latitude").astype(np.float64)[p]
             x = _col(batch, "longitude").astype(np.float64)[p]
-            ay, ax, by, bx = vlat[a_idx], vlon[a_idx], vlat[b_idx], vlon[b_idx]
+            ay, ax, by, bx = (segments.field(end).field(c).to_numpy(zero_copy_only=False)
+                              for end in ("a", "b") for c in ("lat", "lon"))
             with np.errstate(invalid="ignore", divide="ignore"):
                 cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
                 on_edge = ((cross == 0) & (x >= np.minimum(ax, bx)) & (x <= np.maximum(ax, bx))
@@ -201,8 +196,8 @@ def _inside(batch: pa.RecordBatch, out_col: str, drop: list[str]) -> pa.RecordBa
             n_ring = len(per_ring)
             n_cross = np.bincount(edge_ring, weights=crosses, minlength=n_ring)
             touching = np.bincount(edge_ring, weights=on_edge, minlength=n_ring) > 0
-            inside_ring = (~touching) & (n_cross % 2 == 1) & (per_ring >= 3)
-            inside_pt = np.bincount(ring_owner, weights=inside_ring, minlength=n) > 0
+            inside_ring = (~touching) & (n_cross % 2 == 1)
+            inside_pt |= np.bincount(ring_owner, weights=inside_ring, minlength=n) > 0
     keep_cols = [i for i, f in enumerate(batch.schema) if f.name not in drop]
     arrays = [batch.column(i) for i in keep_cols] + [pa.array(inside_pt, pa.bool_())]
     names_out = [batch.schema.field(i).name for i in keep_cols] + [out_col]

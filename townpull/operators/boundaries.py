@@ -4,23 +4,24 @@ Nested removal keeps every row that has polygons and drops a polygon-less row wh
 it lies strictly inside any usable ring (even-odd rule; holes are not kept, the
 union of all rings is implicit in "inside any ring").
 
-Plan of D6: rings are cut to grid cells by their bounding box and grouped into a
-cell index (cell -> array of at most ``chunk_size`` rings), which is written to the
-checkpoint folder, measured, and broadcast when its vertex count is bounded. Each
-candidate point joins the index on its own cell and tests only that cell's rings
-with a higher-order ``exists``, so no (point, ring) pairs are formed and the point
-rows are not shuffled in the broadcast case. Cells covered by more than
-``chunk_size`` rings are hash-chunked; only points of such cells take a second
-path that combines per-chunk results with one aggregation per row.
+Plan of D6: a ring's edges are grouped by rows of grid cells; a cell near an edge gets
+the edges of its row, a cell inside gets a mark (``_ring_cells``). These entries are
+grouped into a cell index (cell -> array of at most ``chunk_size`` entries), which is
+written to the checkpoint folder, measured, and broadcast when its edge count is
+bounded. Each candidate point joins the index on its own cell and tests only that
+cell's entries, so no (point, ring) pairs are formed and the point rows are not
+shuffled in the broadcast case. Cells covered by more than ``chunk_size`` rings are
+numbered into chunks; only points of such cells take a second path that combines
+per-chunk results with one aggregation per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from townpull.functions.geo import point_in_ring, ring_is_usable
+from townpull.functions.geo import edge_pairs, inside_edges, ring_is_usable
 from townpull.operators.filters import has_polygons, split_boundaries
 from townpull.operators.metro_rules import flag_metros
 from townpull.operators.radius_join import _grid, _lat_idx
@@ -63,14 +64,35 @@ def boundary_rings(df: DataFrame, id_col: str = "geonameid") -> DataFrame:
 
 
 def _ring_cells(rings: DataFrame, cell_deg: float) -> DataFrame:
+    """(cell, r, nv): what each cell needs to know of each ring whose box touches it.
+
+    A point's test only meets edges whose latitudes span it, so a ring's edges are grouped by
+    rows of cells first. A cell that no edge comes near is wholly inside or outside: it is
+    marked ``full`` or left out. Only the other cells hold the edges of their row, so a ring
+    costs its border, not its vertices times its cells.
+    """
     n_lat, n_lon = _grid(cell_deg)
     c = cell_deg
-    lat_seq = F.sequence(_lat_idx(F.col("lat_min"), c, n_lat), _lat_idx(F.col("lat_max"), c, n_lat))
     lo = F.greatest(F.floor((F.col("lon_min") + 180.0) / c), F.lit(0))
     hi = F.least(F.floor((F.col("lon_max") + 180.0) / c), F.lit(n_lon - 1))
-    cells = F.flatten(F.transform(lat_seq, lambda i: F.transform(F.sequence(lo, hi), lambda j: i * n_lon + j)))
-    return rings.select(F.explode(cells.cast("array<long>")).alias("cell"),
-                        F.struct("id", "ring_no", "ring").alias("r"), F.size("ring").alias("nv"))
+    e = F.col("e")
+    edges = rings.select("id", "ring_no", lo.alias("lo"), hi.alias("hi"), F.explode(edge_pairs("ring")).alias("e"))
+    low, high = F.least(e["a"]["lat"], e["b"]["lat"]), F.greatest(e["a"]["lat"], e["b"]["lat"])
+    rows = edges.select("id", "ring_no", "lo", "hi", "e",
+                        F.explode(F.sequence(_lat_idx(low, c, n_lat), _lat_idx(high, c, n_lat))).alias("i"))
+    rows = rows.groupBy("id", "ring_no", "lo", "hi", "i").agg(F.collect_list("e").alias("edges"))   # one ring's edges there
+    cells = rows.select("id", "ring_no", "i", "edges", F.explode(F.sequence("lo", "hi")).alias("j"))
+    west = F.col("j") * c - 180.0
+    margin = c * 1e-6
+    near = F.exists("edges", lambda e: (F.greatest(e["a"]["lon"], e["b"]["lon"]) >= west - margin)
+                    & (F.least(e["a"]["lon"], e["b"]["lon"]) <= west + c + margin))
+    middle = inside_edges((F.col("i") + 0.5) * c - 90.0, west + 0.5 * c, "edges")
+    cells = cells.withColumn("near", near).withColumn("full", F.when(F.col("near"), F.lit(False)).otherwise(middle)) \
+        .filter(F.col("near") | F.col("full"))
+    kept = F.when(F.col("near"), F.col("edges")).otherwise(F.slice("edges", 1, 0))
+    return cells.select((F.col("i") * n_lon + F.col("j")).cast("long").alias("cell"),
+                        F.struct("id", "ring_no", "full", kept.alias("edges")).alias("r"),
+                        F.greatest(F.size(kept), F.lit(1)).alias("nv"))
 
 
 def _inside_flag(df: DataFrame, keep: list[str], engine: str) -> DataFrame:
@@ -82,7 +104,7 @@ def _inside_flag(df: DataFrame, keep: list[str], engine: str) -> DataFrame:
         drop = [c for c in staged.columns if c not in keep]
         return staged.mapInArrow(point_in_rings_batches("_in", drop), schema)
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    inside = F.exists(F.coalesce(F.col("_rings"), F.array()), lambda r: point_in_ring(lat, lon, r["ring"]))
+    inside = F.exists(F.coalesce(F.col("_rings"), F.array()), lambda r: r["full"] | inside_edges(lat, lon, r["edges"]))
     return df.select(*keep, F.coalesce(inside, F.lit(False)).alias("_in"))
 
 
@@ -93,7 +115,7 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAU
     usable ring of any boundary row. ``engine="arrow"`` runs the crossing test
     Arrow-batched with numpy (same arithmetic), ``"jvm"`` with higher-order functions.
     A cell's ring list is split into chunks of at most ``chunk_size`` rings and about
-    ``vertex_chunk`` vertices (a single larger ring stays whole)."""
+    ``vertex_chunk`` edges; of a ring a cell holds the edges of its row of cells only."""
     if engine not in ("arrow", "jvm"):
         raise ValueError("engine must be 'arrow' or 'jvm'")
     if chunk_size < 1:
@@ -115,7 +137,8 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAU
     else:
         per_cell = counts.select("cell", "n_chunks")
         keyed = join_small(rc, per_cell, "cell", "inner")
-        table = (keyed.withColumn("chunk", F.pmod(F.xxhash64("r.id", "r.ring_no"), F.col("n_chunks")))
+        place = Window.partitionBy("cell").orderBy("r.id", "r.ring_no")
+        table = (keyed.withColumn("chunk", F.pmod(F.row_number().over(place), F.col("n_chunks")))
                  .groupBy("cell", "chunk", "n_chunks").agg(F.collect_list("r").alias("_rings")))
         hot = materialize(per_cell.filter(F.col("n_chunks") > 1).select(F.col("cell").alias("_cell")))
     table = materialize(table.withColumnRenamed("cell", "_cell"))

@@ -29,7 +29,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,7 +179,9 @@ def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: flo
     else:
         per_cell = counts.select("cell", F.ceil(F.col("n") / F.lit(chunk_size)).cast("int").alias("n_chunks"))
         keyed = join_small(mc, per_cell, "cell", "inner")
-        table = (keyed.withColumn("chunk", F.pmod(F.xxhash64(F.col("m.metro_id")), F.col("n_chunks")).cast("int"))
+        # numbered, so that no chunk has more than chunk_size entries
+        place = Window.partitionBy("cell").orderBy("m.metro_id")
+        table = (keyed.withColumn("chunk", F.pmod(F.row_number().over(place), F.col("n_chunks")).cast("int"))
                  .groupBy("cell", "chunk", "n_chunks").agg(F.collect_list("m").alias("metros")))
         hot = materialize(per_cell.filter(F.col("n_chunks") > 1).select("cell"))
     polar_only = hot is not None and hot.filter(F.col("cell") >= 0).limit(1).count() == 0
