@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from townpull.functions.geo import whole_number
-from townpull.schema import CODE_COLOR_DEFAULT, CODE_COLORS
+from townpull.schema import CODE_COLOR_DEFAULT, CODE_COLORS, MARKER_POINTS
 
 # --- fixed values: label formats of the map layers ---
 TOOLTIP_FORMAT = "City: %s<br>Population: %s<br>Feature: %s<br>Admin1: %s, Admin2: %s, Admin3: %s"
@@ -29,10 +29,11 @@ def marker_radius(pop) -> Column:
     """3 below 1000 (and for null / non-positive), 3->8 linear to 50000,
     8->12 linear to 200000, else 12."""
     p = _c(pop).cast("double")
-    return (F.when(p.isNull() | (p < 1000), F.lit(3.0))
-            .when(p < 50000, F.lit(3.0) + (p - 1000) / F.lit(49000.0) * 5)
-            .when(p < 200000, F.lit(8.0) + (p - 50000) / F.lit(150000.0) * 4)
-            .otherwise(F.lit(12.0)))
+    (low, smallest), *_ = MARKER_POINTS
+    out = F.when(p.isNull() | (p < low), F.lit(smallest))
+    for (p0, r0), (p1, r1) in zip(MARKER_POINTS, MARKER_POINTS[1:]):
+        out = out.when(p < p1, F.lit(r0) + (p - p0) / F.lit(float(p1 - p0)) * (r1 - r0))
+    return out.otherwise(F.lit(MARKER_POINTS[-1][1]))
 
 
 def color_by_metro(flag="isMetro") -> Column:

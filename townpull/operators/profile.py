@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townpull.operators.sizing import join_small
+from townpull.operators.sizing import join_small, materialize
 
 
 def distinct_values(df: DataFrame, col: str, where: Column | None = None) -> DataFrame:
@@ -77,8 +77,9 @@ def duplicate_flag(df: DataFrame, key: str = "name", order: str = "geonameid", o
     """Flag the second and later occurrence of each ``key`` in ``order``.
 
     The first occurrence is the row with the smallest ``(order, whole row)`` (null
-    ``order`` last); every
-    other row is flagged. Byte-identical copies of that first row cannot be told
+    ``order`` last); every other row is flagged. A fixed-width minimum of ``order`` per key
+    (hash aggregate) decides all rows but those that hold it, about one per key; only among
+    these are whole rows compared. Byte-identical copies of a first row cannot be told
     apart, so they are collapsed to one row and a count and re-expanded as one
     unflagged row plus ``count - 1`` flagged ones, in chunks of ``expand_chunk``
     spread over tasks: a group of copies holding a third of the table is neither
@@ -86,24 +87,24 @@ def duplicate_flag(df: DataFrame, key: str = "name", order: str = "geonameid", o
     """
     cols = df.columns
     row = F.struct(*[F.col(c) for c in cols])
-    # null ids sort last, as in SQL's default ascending order
-    k = F.struct(F.col(order).isNull().alias("onull"), F.col(order).alias("o"), row.alias("r"))
-    keyed = df.withColumn("_g", _group_key(key)).withColumn("_k", k)
-    first = keyed.groupBy("_g").agg(F.min("_k").alias("_first"))
-    j = join_small(keyed, first, "_g", "left")
-    later = j.filter(F.col("_k") != F.col("_first")).select(*cols, F.lit(True).alias(out))
-    copies = (j.filter(F.col("_k") == F.col("_first")).groupBy("_g")
-              .agg(F.first("_k").alias("_k"), F.count(F.lit(1)).alias("_n")))
-    keep = copies.select("_k.r.*", F.lit(False).alias(out))
-    extra = copies.filter(F.col("_n") > 1).select(
-        "_g", "_k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 2) / F.lit(expand_chunk))))
-        .alias("_c"), "_n")
+    keyed = df.withColumn("_g", _group_key(key))
+    lowest = keyed.groupBy("_g").agg(F.min(order).alias("_low"))
+    j = join_small(keyed, lowest, "_g", "left")
+    holds = F.col(order).eqNullSafe(F.col("_low"))
+    later = j.filter(~holds).select(*cols, F.lit(True).alias(out))
+    # rows that hold their key's minimum, equal ones counted: a hash aggregate over whole rows
+    held = materialize(j.filter(holds).groupBy("_g", *cols).agg(F.count(F.lit(1)).alias("_n")))
+    first = held.groupBy("_g").agg(F.min(row).alias("_first"))
+    head = F.col("_first").eqNullSafe(row)
+    held = held.join(first, "_g")
+    keep = held.filter(head).select(*cols, F.lit(False).alias(out))
+    extra = held.withColumn("_n", F.when(head, F.col("_n") - 1).otherwise(F.col("_n"))).filter(F.col("_n") > 0) \
+        .select("_g", *cols, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / F.lit(expand_chunk))))
+                .alias("_c"), "_n")
     extra = extra.repartition("_g", "_c").select(
-        "_k", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(expand_chunk).cast("long"),
-                                                               F.col("_n") - 1 - F.col("_c") * expand_chunk)))
-        .alias("_i"))
-    dup_copies = extra.select("_k.r.*", F.lit(True).alias(out))
-    return later.unionByName(keep).unionByName(dup_copies)
+        *cols, F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(expand_chunk).cast("long"),
+                                                               F.col("_n") - F.col("_c") * expand_chunk))).alias("_i"))
+    return later.unionByName(keep).unionByName(extra.select(*cols, F.lit(True).alias(out)))
 
 
 def duplicate_rows(df: DataFrame, key: str = "name") -> DataFrame:

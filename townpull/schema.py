@@ -36,29 +36,14 @@ CODE_COLORS = {
     "PPLC": "purple", "PPLX": "green", "PPLF": "orange", "PPLH": "black", "PPLW": "gray",
 }
 CODE_COLOR_DEFAULT = "cadetblue"
+# Marker radius: (population, radius) points, linear between them, flat outside.
+MARKER_POINTS = [(1000, 3.0), (50000, 8.0), (200000, 12.0)]
 # --- end of fixed values ---
 
-PLACE_SCHEMA = T.StructType([
-    T.StructField("geonameid", T.IntegerType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("asciiname", T.StringType()),
-    T.StructField("alternatenames", T.StringType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("feature_class", T.StringType()),
-    T.StructField("feature_code", T.StringType()),
-    T.StructField("country_code", T.StringType()),
-    T.StructField("cc2", T.StringType()),
-    T.StructField("admin1_code", T.StringType()),
-    T.StructField("admin2_code", T.StringType()),
-    T.StructField("admin3_code", T.StringType()),
-    T.StructField("admin4_code", T.StringType()),
-    T.StructField("population", T.IntegerType()),
-    T.StructField("elevation", T.StringType()),
-    T.StructField("dem", T.IntegerType()),
-    T.StructField("timezone", T.StringType()),
-    T.StructField("modification_date", T.DateType()),
-])
+# every column is text but these
+_TYPES = {"geonameid": T.IntegerType(), "latitude": T.DoubleType(), "longitude": T.DoubleType(),
+          "population": T.IntegerType(), "dem": T.IntegerType(), "modification_date": T.DateType()}
+PLACE_SCHEMA = T.StructType([T.StructField(c, _TYPES.get(c, T.StringType())) for c in PLACE_COLUMNS])
 
 CANDIDATE_TYPE = T.ArrayType(T.StructType([
     T.StructField("metro_id", T.IntegerType()),

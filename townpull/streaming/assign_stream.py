@@ -22,10 +22,13 @@ from townpull.schema import PLACE_SCHEMA
 from townpull.sources.files import DUMP_OPTIONS
 
 
-def read_dump_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Dump files arriving in ``folder`` as a stream of place rows (fixed schema)."""
-    return (spark.readStream.schema(PLACE_SCHEMA).options(**DUMP_OPTIONS)
-            .option("maxFilesPerTrigger", max_files_per_trigger).csv(folder))
+def read_dump_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Dump files arriving in ``folder`` as a stream of place rows (fixed schema); all files at
+    hand per micro-batch unless ``max_files_per_trigger`` says fewer."""
+    reader = spark.readStream.schema(PLACE_SCHEMA).options(**DUMP_OPTIONS)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.csv(folder)
 
 
 def assign_batch(batch: DataFrame, index: CellIndex) -> DataFrame:
