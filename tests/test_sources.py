@@ -169,3 +169,11 @@ def test_country_writer_evaluates_once(spark, tmp_out, dump):
     n = df.count()
     FS.write_csv_by_country(df.mapInPandas(count, df.schema), os.path.join(tmp_out, "once"), rows_per_task=1)
     assert seen.value == n
+
+
+def test_saved_candidates_under_either_name(spark):
+    for name in ("candidates", "candidate_metro_ids"):
+        df = spark.createDataFrame([("[{'metro_id': 3, 'metro_name': 'a', 'force': 0.5, 'distance': 1.0}]", "[]")],
+                                   f"{name} string, polygons string")
+        r = FS.decode_nested(df).first()
+        assert r["candidates"][0]["metro_id"] == 3 and r["polygons"] == []

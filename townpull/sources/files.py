@@ -264,6 +264,19 @@ def decode_polygons(col: str | Column) -> Column:
     return F.coalesce(value, F.array().cast(POLYGONS_TYPE))
 
 
+def decode_nested(df: DataFrame) -> DataFrame:
+    """Saved nested text columns as arrays; the candidate list may be called ``candidates`` or, as
+    in files of the source, ``candidate_metro_ids``, and is ``candidates`` afterwards."""
+    out = df
+    if "candidates" not in df.columns and "candidate_metro_ids" in df.columns:
+        out = out.withColumnRenamed("candidate_metro_ids", "candidates")
+    if "candidates" in out.columns:
+        out = out.withColumn("candidates", decode_candidates("candidates"))
+    if "polygons" in out.columns:
+        out = out.withColumn("polygons", decode_polygons("polygons"))
+    return out
+
+
 def write_parquet_table(df: DataFrame, path: str) -> None:
     """A stage table (e.g. boundaries with their nested rings) as Parquet."""
     df.write.mode("overwrite").parquet(path)
