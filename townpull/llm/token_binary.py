@@ -12,7 +12,7 @@ The files are Parquet written by Spark: ``table`` (symbol, frequency) and ``bloc
 block, place of its first id in the range, documents, checkpoints, words, checksums).
 
 Null and empty texts are one end id. Repeated doc_ids are written each, in the order of
-their length and checksum. Rows without a doc_id come first. Extra columns are ignored. An
+their texts' length and hash. Rows without a doc_id come first. Extra columns are ignored. An
 empty table gives files without blocks and an empty result.
 """
 
@@ -121,40 +121,27 @@ def decode_block(stream: bytes, marks, n: int, t: Tables, precision: int = PRECI
     return ids
 
 
-def tokenize(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABULARY, folder: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32 and ids (little-endian 16-bit where the vocabulary allows,
-    else 32-bit) of every text, its end id included."""
-    def make(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-        encoder = word_ids(tokenizer_path(vocabulary, folder))
-        kind = id_type(encoder.lib.get_vocab_size())
-        end = end_id.to_bytes(4, "little")
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                some = b.slice(at, 256)
-                ids = [encoder.ids(text) + end for text in some.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(crc, ids), pa.int64()),
-                     pa.array([np.frombuffer(x, "<u4").astype(kind).tobytes() for x in ids], pa.binary())],
-                    ["doc_id", "n_tokens", "ids_crc32", "ids"])
-
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        make, f"doc_id {kind}, n_tokens long, ids_crc32 long, ids binary")
-
-
 def id_type(vocabulary_size: int) -> str:
     return "<u2" if vocabulary_size <= 1 << 16 else "<u4"
 
 
-def make_blocks(tokens: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of whole documents, in ascending doc_id order within and between ranges."""
+def make_blocks(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABULARY, folder: str | None = None,
+                block_ids: int = BLOCK_IDS) -> DataFrame:
+    """Blocks of whole documents in ascending doc_id order within and between ranges, with their
+    ids (little-endian 16-bit where the vocabulary allows, else 32-bit).
+
+    The texts are dealt before they are encoded: the sample from which Spark takes the ranges
+    then costs a scan and not a second run of the tokenizer."""
     def cut(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
+        encoder = word_ids(tokenizer_path(vocabulary, folder))
+        packed = id_type(encoder.lib.get_vocab_size())
+        end = end_id.to_bytes(4, "little")
         part, block, place = TaskContext.get().partitionId(), 0, 0
         names, lengths, ids, size = [], [], [], 0
+        kind = pa.int64()
 
         def row():
             return pa.RecordBatch.from_arrays(
@@ -163,14 +150,14 @@ def make_blocks(tokens: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
                  pa.array([b"".join(ids)], pa.binary())],
                 ["part", "block", "place", "doc_ids", "lengths", "ids"])
 
-        kind = None
         for b in batches:
             kind = b.column(0).type
-            for d, n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                names.append(d)
-                lengths.append(n)
-                ids.append(x.as_py())
-                size += n
+            for doc, text in zip(b.column(0), b.column(1)):
+                x = np.frombuffer(encoder.ids(text.as_py()) + end, "<u4")
+                names.append(doc.as_py())
+                lengths.append(len(x))
+                ids.append(x.astype(packed).tobytes())
+                size += len(x)
                 if size >= block_ids:
                     yield row()
                     block, place = block + 1, place + size
@@ -178,11 +165,12 @@ def make_blocks(tokens: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
         if names:
             yield row()
 
-    kind = tokens.select("doc_id").schema[0].dataType.simpleString()
-    n = max(8, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return tokens.repartitionByRange(n, "doc_id", "n_tokens", "ids_crc32") \
-        .sortWithinPartitions("doc_id", "n_tokens", "ids_crc32").select("doc_id", "n_tokens", "ids") \
-        .mapInArrow(cut, f"part int, block int, place long, doc_ids array<{kind}>, lengths array<long>, ids binary")
+    kind = docs.select("doc_id").schema[0].dataType.simpleString()
+    n = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = docs.select("doc_id", text_or_empty().alias("text"))
+    order = [F.col("doc_id"), F.octet_length("text"), F.xxhash64("text")]
+    return rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(
+        cut, f"part int, block int, place long, doc_ids array<{kind}>, lengths array<long>, ids binary")
 
 
 def count_symbols(blocks: DataFrame, kind: str) -> DataFrame:
@@ -209,7 +197,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, vocabulary: s
     spark = docs.sparkSession
     from tokenizers import Tokenizer
     kind = id_type(Tokenizer.from_file(tokenizer_path(vocabulary, folder)).get_vocab_size())
-    blocks = stage(make_blocks(tokenize(docs, end_id, vocabulary, folder), block_ids), "token-blocks")
+    blocks = stage(make_blocks(docs, end_id, vocabulary, folder, block_ids), "token-blocks")
     # bounded by the vocabulary
     frequencies = scaled_frequencies({r["symbol"]: r["n"] for r in count_symbols(blocks, kind).collect()})
     spark.createDataFrame(sorted(frequencies.items()), "symbol int, frequency long").coalesce(1) \
