@@ -58,7 +58,7 @@ def corpus(spark, tmp_path_factory):
 
     items = [text(rng.randint(15, 50)) for _ in range(20)]
     passage = text(90)
-    docs, labels, plant = [], [], {"toxic": set(), "copies": {}, "passage": [], "leaks": set()}
+    docs, labels, plant = [], [], {"toxic": set(), "copies": {}, "passage": [], "leaks": set(), "words": " ".join(passage.split(" ")[30:60])}
     for d in range(500):
         t = "\n".join(text(rng.randint(25, 60)) for _ in range(3))
         kind = rng.random()
@@ -126,7 +126,10 @@ def test_pipeline_stage_by_stage(spark, corpus, tmp_path):
     before, kept = after["substring_dedup"]
     old, new = dict(rows_of(before)), dict(rows_of(kept))
     with_passage = sorted(d for d in plant["passage"] if d in old)
-    assert {d for d in old if new.get(d) != old[d]} == set(with_passage[1:])
+    changed = {d for d in old if new.get(d) != old[d]}
+    # a benchmark item that several documents hold is a repeated passage, too
+    assert set(with_passage[1:]) <= changed <= set(with_passage[1:]) | plant["leaks"]
+    assert sum(t.count(plant["words"]) for t in new.values()) == 1
 
     before, kept = after["benchmark_decontamination"]
     rows = rows_of(before)
