@@ -91,14 +91,19 @@ def test_polar_only_hot_cells(spark, engine, monkeypatch):
     assert (got ^ want) - near == set()
 
 
-def test_polar_filter_reaches_the_scan(spark, tmp_out):
+def test_polar_filter_reaches_the_scan(spark, tmp_out, monkeypatch):
     import os
+
+    from townpull.operators import radius_join as module
     towns, metros, _, _ = _frames(spark, 500, 80)
     path = os.path.join(tmp_out, "towns")
     towns.write.parquet(path)
     idx = build_cell_index(metros, metric="mercator_cos", chunk_size=20)
     assert idx.hot_polar_only
-    plan = attach_candidates(spark.read.parquet(path), idx, "best")._jdf.queryExecution().executedPlan().toString()
+    stored = []   # the polar towns are stored before they are numbered
+    monkeypatch.setattr(module, "materialize", lambda df: stored.append(df) or df)
+    attach_candidates(spark.read.parquet(path), idx, "best")
+    plan = stored[0]._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(GreaterThan(latitude,85.0),LessThan(latitude,-85.0))]" in plan
 
 
