@@ -17,7 +17,7 @@ import zlib
 
 from townpull.llm.common import worker_cache
 
-MAX_ENTRIES = 500_000   # of each cache; a full one is emptied and refilled
+MAX_ENTRIES = 500_000   # of a generation of a cache; when it is full the one before is dropped
 LONG = 60               # longer pieces are encoded but not cached
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"   # letters whose class no Unicode version changes
 MARKS = "!-&(-/:-@\\[-`{-~"     # ASCII marks without the apostrophe
@@ -46,6 +46,7 @@ class WordIds:
         self.letters = byte_letters()
         self.model = self.lib.model
         self.known: dict[str, bytes] = {}   # plain pre-tokens
+        self.older: dict[str, bytes] = {}   # the generation before; what is met again moves up
         self.odd: dict[str, bytes] = {}     # other parts, without the space before them
 
     def whole(self, text: str) -> bytes:
@@ -61,16 +62,22 @@ class WordIds:
                     s = runs[i]
                     f = known.get(s)
                     if f is None:
-                        spelt = s if s.isalnum() and s.isascii() else "".join(map(self.letters.__getitem__, s.encode()))
-                        ids = [t.id for t in self.model.tokenize(spelt)]
-                        f = struct.pack(f"<{len(ids)}I", *ids)
+                        f = self.older.get(s)
+                        if f is None:
+                            f = self._merge(s)
                         if len(s) <= LONG:
                             if len(known) >= MAX_ENTRIES:
-                                known.clear()
+                                self.older, self.known = known, {}
+                                known = self.known
                             known[s] = f
                     found[i] = f
         return found
 
+    def _merge(self, s: str) -> bytes:
+        spelt = s if s.isalnum() and s.isascii() else "".join(map(self.letters.__getitem__, s.encode()))
+        ids = [t.id for t in self.model.tokenize(spelt)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _part(self, part: str) -> bytes:
         """Ids of a part that starts the text or follows a cut, its space included."""
         runs = PLAIN.findall(part)
