@@ -3,17 +3,20 @@
 Paragraphs are lines of at least ``LINE_WORDS`` words. Each gets the minima of ``rows`` x
 ``bands`` hash functions over its five-word shingles; paragraphs that agree in a band collide.
 Equal paragraphs are one from the start. Of the paragraphs in a band's bucket all pairs are
-compared where they are few; in a larger bucket each is compared with the smallest, and what
-is unlike the smallest is compared with every member, so that no pair that could join two
-groups is left out while a bucket of thousands of copies costs a comparison each. A pair
-whose exact Jaccard similarity is at least 0.8 is an edge; the components of the edges are
-the groups of paragraphs. Bands are tuned so that a pair at the threshold collides with a
-probability of at least ``RECALL``.
+compared where they are few. In a larger bucket each is compared with the one that has the
+most copies, the pivot; two that may be similar though one is unlike the pivot must share
+rare shingles by which they differ from it, and are found by a join on these (an exact prefix
+filter, see ``_beside``), so a bucket of thousands of variants costs about a comparison each
+and no similar pair is left out. A pair whose exact
+Jaccard similarity is at least 0.8 is an edge; the components of the edges are the groups of
+paragraphs. Bands are tuned so that a pair at the threshold collides with a probability of at
+least ``RECALL``.
 
 A passage may repeat within longer lines. So each text is also cut, whatever its lines, at
 places that depend only on a few words around them (the place's hash is the least among
-``REACH`` places on either side; stretches that are longer than ``LONGEST`` words are cut there). Equal stretches between cuts are grouped by their hash, and
-repeated stretches that follow each other are a passage if they have ``RUN_WORDS`` words together.
+``REACH`` places on either side; longer stretches than ``LONGEST`` words are cut there, too).
+Equal stretches between cuts are grouped by their hash, and repeated stretches that follow
+each other are a passage if they have ``RUN_WORDS`` words together.
 
 Of each group the occurrence in the smallest doc_id (then the first there) stays, the others
 are removals. Words are the ASCII white-space separated, A-Z lower-cased words of the text.
@@ -35,6 +38,7 @@ from townpull.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
+APART = (1 - SIMILARITY) / (1 + SIMILARITY)   # differing shingles over both sizes' sum, at the threshold
 RECALL = 0.995
 BAND_ROWS = 5
 LINE_WORDS = 20
@@ -188,12 +192,12 @@ def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> D
                 at = stop
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text")) \
-        .mapInArrow(make, f"doc_id {kind}, text_key long, line boolean, start int, n int, h long, bands array<long>")
+    return docs.select("doc_id", F.hash(text_or_empty()).alias("text_key"), text_or_empty().alias("text")) \
+        .mapInArrow(make, f"doc_id {kind}, text_key int, line boolean, start int, n int, h long, bands array<long>")
 
 
 def line_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, shingles array<long>) of the lines whose hash is in ``wanted`` (text_key, h)."""
+    """(h, shingles array<long>) of the lines named by ``wanted`` (doc_id, text_key, h)."""
     def make(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
@@ -213,39 +217,74 @@ def line_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                                              ["h", "shingles"])
 
     # as many as a text has lines
-    by_text = wanted.groupBy("text_key").agg(F.collect_list("h").alias("want"))
-    texts = docs.select(F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
-    return texts.join(by_text, "text_key").select("text", "want").mapInArrow(make, "h long, shingles array<long>") \
+    by_text = wanted.groupBy("doc_id", "text_key").agg(F.collect_list("h").alias("want")) \
+        .select(F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"), "want")
+    texts = docs.select("doc_id", F.hash(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
+    on = F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("text_key") == F.col("want_key"))
+    return texts.join(by_text, on).select("text", "want").mapInArrow(make, "h long, shingles array<long>") \
         .dropDuplicates(["h"])
 
 
 def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Edges (a, b) between the hashes of paragraphs of ``lines`` (text_key, h, bands) that are similar."""
+    """Edges (a, b) between the hashes of paragraphs of ``lines`` (doc_id, text_key, h, bands) whose
+    components are those of all similar pairs that collide."""
     # equal lines have equal bands
-    distinct = lines.groupBy("h").agg(F.min("text_key").alias("text_key"), F.min("bands").alias("bands"))
-    member = stage(distinct.select("h", "text_key", F.explode("bands").alias("band")), "dedup-bands")
-    bucket = member.groupBy("band").agg(F.count("*").alias("size"), F.min("h").alias("low")).where("size > 1")
-    bucket = stage(bucket, "dedup-buckets")
+    distinct = lines.groupBy("h").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_key")).alias("at"),
+                                      F.min("bands").alias("bands"))
+    member = stage(distinct.select("h", "copies", "at.*", F.explode("bands").alias("band")), "dedup-bands")
+    bucket = member.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     met = stage(member.join(bucket, "band"), "dedup-met")
-    sets = stage(line_shingles(docs, met.select("text_key", "h").distinct()), "dedup-shingles")
+    sets = stage(line_shingles(docs, met.select("doc_id", "text_key", "h").distinct()), "dedup-shingles")
     few = met.where(F.col("size") <= FEW).select("band", "h")
     pairs = few.select("band", F.col("h").alias("a")).join(few.select("band", F.col("h").alias("b")), "band").where("b < a")
-    big = met.where(F.col("size") > FEW)
-    star = stage(_verified(big.where("h <> low").select(F.col("h").alias("a"), F.col("low").alias("b")).distinct(), sets),
-                 "dedup-stars")
-    unlike = big.where("h <> low").join(
-        star.where("similar").select(F.col("a").alias("h"), F.col("b").alias("low")), ["h", "low"], "left_anti")
-    rest = unlike.select("band", F.col("h").alias("a")).join(big.select("band", F.col("h").alias("b")), "band").where("a <> b")
-    pairs = pairs.select("a", "b").unionAll(rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct()
-    return star.where("similar").select("a", "b").unionAll(_verified(pairs, sets).where("similar").select("a", "b"))
+    big = met.where(F.col("size") > FEW).select("band", "h", "copies")
+
+    # each member of a large bucket against the one with the most copies, the pivot
+    pivot = big.groupBy("band").agg(F.max(F.struct("copies", "h")).alias("top")).select("band", F.col("top.h").alias("pivot"))
+    met_ = big.join(pivot, "band").where("h <> pivot") \
+        .join(sets.select("h", F.col("shingles").alias("x")), "h") \
+        .join(sets.select(F.col("h").alias("pivot"), F.col("shingles").alias("p")), "pivot") \
+        .withColumn("apart", F.concat(F.array_except("x", "p"), F.array_except("p", "x")))
+    size, n = F.size("x"), F.size("apart")
+    placed = stage(met_.select("band", "h", "pivot", size.alias("size"), "apart", n.alias("n"),
+                               (n <= (size + F.size("p")) * APART + 1e-9).alias("like")), "dedup-placed")
+    star = placed.where("like").select(F.greatest("h", "pivot").alias("a"), F.least("h", "pivot").alias("b")).distinct()
+    return _verified(pairs.select("a", "b").distinct(), sets).unionAll(star).unionAll(_verified(_beside(placed), sets))
+
+
+def _beside(placed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a large bucket, at least one of which is unlike the pivot, that may be similar.
+
+    With ``apart`` the shingles by which a member differs from the pivot, two members differ in
+    as many shingles as their ``apart`` do. Similar ones may differ in at most APART times the
+    sum of their sizes, so they share at least o = (n1 + n2 - that) / 2 elements of ``apart``, which
+    is over 0 as one of them is unlike the pivot; and so, in any order of the elements, one of
+    the first n1 - o + 1 of the one is among the first n2 - o + 1 of the other. The order is from
+    rare to frequent: members that differ from the pivot in places of their own do not meet."""
+    each = placed.select("band", "h", "size", "n", "like", F.explode("apart").alias("d"))
+    often = each.groupBy("band", "d").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("band", "h").orderBy("often", "d")   # as many as two paragraphs' shingles
+    first = stage(each.join(often, ["band", "d"]).where("often > 1").withColumn("place", F.row_number().over(order)),
+                  "dedup-apart")
+    # elements that no other has come before these
+    alone = each.join(often, ["band", "d"]).where("often = 1").groupBy("band", "h").agg(F.count("*").alias("alone"))
+    first = first.join(alone, ["band", "h"], "left").withColumn("place", F.col("place") + F.coalesce("alone", F.lit(0)))
+    x = first.where("not like").select("band", "d", F.col("h").alias("x"), F.col("size").alias("xs"), F.col("n").alias("xn"),
+                                       F.col("place").alias("xp"))
+    y = first.select("band", "d", F.col("h").alias("y"), F.col("size").alias("ys"), F.col("n").alias("yn"),
+                     F.col("place").alias("yp"))
+    shared = F.ceil((F.col("xn") + F.col("yn") - (F.col("xs") + F.col("ys")) * APART) / 2 - 1e-9)
+    may = (F.col("x") != F.col("y")) & (F.col("xp") <= F.col("xn") - shared + 1) & (F.col("yp") <= F.col("yn") - shared + 1)
+    return x.join(y, (x["band"] == y["band"]) & (x["d"] == y["d"]) & may) \
+        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs with whether their exact Jaccard similarity is high enough."""
+    """The pairs whose exact Jaccard similarity is high enough."""
     x = pairs.join(sets.select(F.col("h").alias("a"), F.col("shingles").alias("x")), "a") \
         .join(sets.select(F.col("h").alias("b"), F.col("shingles").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
-    return x.select("a", "b", (both >= SIMILARITY * (F.size("x") + F.size("y") - both) - 1e-9).alias("similar"))
+    return x.where(both >= SIMILARITY * (F.size("x") + F.size("y") - both) - 1e-9).select("a", "b")
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -253,17 +292,18 @@ def removals(docs: DataFrame) -> DataFrame:
     every span of words that goes. Spans of one text may overlap."""
     found = stage(units(docs), "dedup-units")
     lines = found.where("line")
-    roots = components(similar_lines(docs, lines.select("text_key", "h", "bands")))
+    roots = components(similar_lines(docs, lines.select("doc_id", "text_key", "h", "bands")))
     roots = stage(roots.select(F.col("v").alias("h"), "root"), "dedup-roots")
     place = ["doc_id", "text_key", "start", "n"]
     spots = lines.select(*place, "h").join(roots, "h", "left") \
         .select(*place, F.lit(True).alias("line"), F.coalesce("root", "h").alias("group_id")) \
         .unionAll(found.where("not line").select(*place, F.lit(False).alias("line"), F.col("h").alias("group_id")))
+    # only numbers are dealt out to count; what repeats is then read once more
+    repeated = spots.groupBy("line", "group_id").agg(F.count("*").alias("size")).where("size > 1").select("line", "group_id")
+    spots = stage(spots.join(stage(repeated, "dedup-groups"), ["line", "group_id"], "left_semi"), "dedup-spots")
     where = F.struct("doc_id", "text_key", "start")
-    groups = spots.groupBy("line", "group_id").agg(
-        F.min("doc_id").alias("low"), F.count("*").alias("size"), F.count("doc_id").alias("named"), F.min(where).alias("kept"))
-    groups = stage(groups.where("size > 1").select("line", "group_id", "kept"), "dedup-groups")
-    gone = spots.join(groups, ["line", "group_id"]).where(~where.eqNullSafe(F.col("kept"))) \
+    kept = stage(spots.groupBy("line", "group_id").agg(F.min(where).alias("kept")), "dedup-kept")
+    gone = spots.join(kept, ["line", "group_id"]).where(~where.eqNullSafe(F.col("kept"))) \
         .select(*place, "line", "group_id", F.col("kept.doc_id").alias("kept_doc_id")).distinct()
     gone = stage(gone, "dedup-gone")
     text = Window.partitionBy("doc_id", "text_key").orderBy("start")
@@ -317,7 +357,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     cut.__annotations__ = {"text": pd.Series, "spans": pd.Series, "return": pd.Series}
     cut = F.pandas_udf(cut, "string")
     id_, key, gone, cut_ = (free_name(docs, c) for c in ("spans_id", "text_key", "spans", "text_cut"))
-    rows = docs.withColumn(key, F.xxhash64(text_or_empty()))
+    rows = docs.withColumn(key, F.hash(text_or_empty()))
     spans = spans.select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("_spans").alias(gone))
     rows = rows.join(spans, F.col("doc_id").eqNullSafe(F.col(id_)) & (rows[key] == spans[key]), "left")
     touched = F.col(gone).isNotNull()
