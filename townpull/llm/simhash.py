@@ -131,6 +131,8 @@ def simhash_groups(docs: DataFrame, k: int = SHINGLE, bits: int = BITS, segments
     smallest = linked.groupBy("root").agg(F.min("first").alias("c"))
     linked = linked.join(smallest, "root").select(F.col("v").alias("fp"), "c")
     ids = distinct.join(linked, "fp", "left").select("fp", F.coalesce("c", "first").alias("component_id"))
+    # read anew, so that the join below deals out both sides and a hot fingerprint can be split
+    ids = stage(ids, "simhash-ids")
     return rows.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                                        "component_id")
 
