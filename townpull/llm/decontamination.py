@@ -114,8 +114,11 @@ def brute_force_leaks(docs: list[tuple], items: list[tuple]) -> dict[tuple, int]
                 continue
             n = min(len(b), WINDOW)
             for at in range(-len(b) + 1, len(w)):
-                for s in range(len(b) - n + 1):
-                    m = sum(0 <= at + s + i < len(w) and w[at + s + i] == b[s + i] for i in range(n))
-                    if m >= math.ceil(n * SHARE - 1e-9):
-                        out[d, item_id] = max(out.get((d, item_id), 0), m)
+                same = [0 <= at + i < len(w) and w[at + i] == x for i, x in enumerate(b)]
+                need = math.ceil(n * SHARE - 1e-9)
+                if sum(same) < need:
+                    continue
+                m = max(sum(same[k:k + n]) for k in range(len(b) - n + 1))
+                if m >= need:
+                    out[d, item_id] = max(out.get((d, item_id), 0), m)
     return out
