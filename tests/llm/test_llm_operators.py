@@ -415,6 +415,42 @@ def test_similar_lines_lose_no_link(spark, monkeypatch):
     assert [got.index(g) for g in got] == [group.index(g) for g in group]
 
 
+def slow_passages(rows, n=16):
+    """(doc, word) places that some window with an earlier copy covers; a first copy stays whole."""
+    first, gone = {}, set()
+    for d, t in sorted(rows):
+        w = t.lower().split()
+        for i in range(len(w) - n + 1):
+            f, at = first.setdefault(tuple(w[i:i + n]), (d, i))
+            if (f, at) != (d, i):
+                gone |= {(d, x) for x in range(max(i, at + n) if f == d else i, i + n)}
+    return gone
+
+
+def places(got):
+    return {(r.doc_id, x) for r in got for x in range(r.start, r.start + r.n_words)}
+
+
+def test_short_and_wrapped_lines_are_paragraphs(spark):
+    rng = random.Random(12)
+
+    def wrapped(w, n):
+        return "\n".join(" ".join(w[i:i + n]) for i in range(0, len(w), n))
+    own = [" ".join(unique_words(rng, 30)) for _ in range(9)]
+    short = [unique_words(rng, n) for n in (5, 9, 19, 15)]
+    near = short[2][:-1] + ["other"]
+    long = unique_words(rng, 200)
+    other = list(long)
+    for i in (3, 60, 61, 130, 197):
+        other[i] = "other"
+    lines = ["\n\n".join([own[k], " ".join(w), own[k + 1]]) for k, w in enumerate((short[0], short[0], short[1], short[1], short[2], near))]
+    rows = list(enumerate(lines)) + [(10, own[6] + "\n\n" + wrapped(long, 12)), (11, own[7] + "\n" + wrapped(other, 10) + "\n\n" + own[8])]
+    rows = [(d, t.replace(own[1], f"{own[1]} {d}") if d < 6 else t) for d, t in rows]
+    got = substring_dedup.removals(docs_of(spark, rows)).where("what = 'paragraph'").collect()
+    found = {(r.doc_id, r.n_words, r.kept_doc_id) for r in got}
+    assert {(1, 5, 0), (3, 9, 2), (5, 19, 4), (11, 200, 10)} <= found
+
+
 # 8 URL filter
 
 def test_hosts_paths_and_rules(spark):

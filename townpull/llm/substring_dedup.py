@@ -1,6 +1,7 @@
 """Substring dedup (operator 6): paragraph MinHash banding.
 
-Paragraphs are lines of at least ``LINE_WORDS`` words. Each gets the minima of ``rows`` x
+Paragraphs are the lines of at least ``SHINGLE`` words, and, since texts may be hard-wrapped, also
+the blocks of successive lines of under ``WRAPPED`` words each, joined. Each gets the minima of ``rows`` x
 ``bands`` hash functions over its five-word shingles; paragraphs that agree in a band collide.
 Equal paragraphs are one from the start. Of the paragraphs in a band's bucket all pairs are
 compared where they are few. In a larger bucket each is compared with the one that has the
@@ -12,14 +13,18 @@ Jaccard similarity is at least 0.8 is an edge; the components of the edges are t
 paragraphs. Bands are tuned so that a pair at the threshold collides with a probability of at
 least ``RECALL``.
 
-A passage may repeat within longer lines. So each text is also cut, whatever its lines, at
-places that depend only on a few words around them (the place's hash is the least among
-``REACH`` places on either side; longer stretches than ``LONGEST`` words are cut there, too).
-Equal stretches between cuts are grouped by their hash, and repeated stretches that follow
-each other are a passage if they have ``RUN_WORDS`` words together.
+A passage may repeat within longer lines. So what is left of the texts is also compared, whatever
+its lines, by windows of ``RUN_WORDS`` words: a window whose words occur at an earlier place goes. To
+hash few of them, the least-hashed of the ``ANCHOR``-word sequences in each window are picked, which
+equal windows pick alike, and only windows around anchors that repeat are looked at. So every passage
+of at least ``RUN_WORDS`` repeated words is found, to its ends, and nothing that does not repeat.
 
 Of each group the occurrence in the smallest doc_id (then the first there) stays, the others
-are removals. Words are the ASCII white-space separated, A-Z lower-cased words of the text.
+are removals. Blocks and lines by themselves are decided first, then lines within the blocks that
+stay, then passages among what remains, so what stays for a group is not taken away by a choice
+made apart from it: a word that goes as part of a copy has one that stays (a near copy's own words
+go with it). Lines of under ``SHINGLE`` words go only as parts of blocks or passages. Words are the
+ASCII white-space separated, A-Z lower-cased words of the text.
 
 Null and empty texts have no paragraphs and lose nothing. Rows alike in id and text are one
 occurrence and lose the same. Rows without an id come first and keep theirs. Extra columns are
@@ -41,10 +46,9 @@ SIMILARITY = 0.8
 APART = (1 - SIMILARITY) / (1 + SIMILARITY)   # differing shingles over both sizes' sum, at the threshold
 RECALL = 0.995
 BAND_ROWS = 5
-LINE_WORDS = 20
-REACH = 3
+WRAPPED = 20        # lines of fewer words may be parts of a wrapped paragraph
 RUN_WORDS = 16
-LONGEST = 32        # words of a stretch; where one word repeats there are no cuts
+ANCHOR = 8          # words of an anchor; each window of RUN_WORDS words holds one
 FEW = 24            # members of a bucket up to which all pairs are compared
 LOT_WORDS = 60_000  # words of short texts that are hashed together
 
@@ -73,20 +77,24 @@ def shingle_hashes(w, k: int = SHINGLE):
     return h
 
 
-def cut_places(w, reach: int = REACH):
-    """True where a stretch begins: the hash of the two words about a place is the least within reach."""
+def anchor_places(w, spans):
+    """Places of the ANCHOR-word sequences picked in the texts at ``spans`` of the words w, with their
+    hashes: of those in each window of RUN_WORDS words the one of the least hash (the last such)."""
     import numpy as np
-    n = len(w)
-    s = np.full(n + 2 * reach, np.iinfo(np.uint64).max, np.uint64)
-    if n > 1:
-        s[reach + 1:reach + n] = _mix(_mix(w[:-1]) ^ w[1:])
-    mid = s[reach:reach + n]
-    least = np.ones(n, bool)
-    for d in range(1, reach + 1):
-        least &= (mid < s[reach - d:reach - d + n]) & (mid <= s[reach + d:reach + d + n])
-    if n:
-        least[0] = True
-    return least
+    h = shingle_hashes(w, ANCHOR)
+    within = RUN_WORDS - ANCHOR + 1
+    n = max(0, len(h) - within + 1)
+    least, at = h[:n].copy(), np.arange(n)
+    for d in range(1, within):
+        other = h[d:n + d]
+        better = other <= least
+        least[better] = other[better]
+        at[better] = np.nonzero(better)[0] + d
+    ok = np.zeros(n, bool)
+    for a, b in spans:
+        ok[a:max(a, b - RUN_WORDS + 1)] = True
+    picked = np.unique(at[ok])
+    return picked, h[picked]
 
 
 def _run_hashes(w, start, end):
@@ -111,9 +119,36 @@ def word_hashes(words: list[bytes]):
     return np.array(list(map(xxhash.xxh64_intdigest, words)), np.uint64)
 
 
+def paragraphs(text: bytes) -> tuple[list[bytes], list[tuple[int, int, int, int]]]:
+    """The words of a text, and (start, end, level, start of the block) of its paragraphs of at least
+    SHINGLE words. Level 0 is a block of several lines of under WRAPPED words up to a blank line, 1 a
+    line by itself, 2 a line of such a block."""
+    flat, out, block = [], [], []
+
+    def close():
+        level = 2 if len(block) > 1 else 1
+        if level == 2 and block[-1][1] - block[0][0] >= SHINGLE:
+            out.append((block[0][0], block[-1][1], 0, block[0][0]))
+        out.extend((a, b, level, block[0][0]) for a, b in block if b - a >= SHINGLE)
+        block.clear()
+
+    for row in text.lower().split(b"\n"):
+        some = row.split()
+        line = (len(flat), len(flat) + len(some))
+        flat += some
+        if len(some) >= WRAPPED or not some:
+            close()
+        if some:
+            block.append(line)
+        if len(some) >= WRAPPED:
+            close()
+    close()
+    return flat, out
+
+
 def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> DataFrame:
-    """doc_id, text_key, kind ('line' or 'run'), start, n (words), h (hash of the words) and, for
-    lines, the bands of every paragraph and stretch."""
+    """doc_id, text_key, line (a paragraph, or else an anchor), start, n (words), h (hash of the words)
+    and, for paragraphs, level, block (see ``paragraphs``) and the bands."""
     bands = bands or tune_bands(rows=rows)
 
     def make(batches: Iterator) -> Iterator:
@@ -137,47 +172,35 @@ def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> D
 
         def lot(keys, texts):
             """One record batch for some texts, whose words are hashed together with gaps between."""
-            gap, flat, at = REACH + SHINGLE, [], 0
-            spans, line = [], []        # of the texts; (text, start, end) of the lines, in the lot's places
+            flat = []
+            spans, line = [], []        # of the texts; (text, start, end, level, block) of the paragraphs, in the lot's places
             for i, text in enumerate(texts):
-                begin = at
-                for row in text.lower().split(b"\n"):
-                    some = row.split()
-                    flat += some
-                    if len(some) >= LINE_WORDS:
-                        line.append((i, at, at + len(some)))
-                    at += len(some)
-                spans.append((begin, at))
+                at = len(flat)
+                some, found = paragraphs(text)
+                flat += some
+                line += [(i, a + at, b + at, level, block) for a, b, level, block in found]
+                spans.append((at, len(flat)))
             w = word_hashes(flat)
-            # stretches: cut each text by itself, so that what lies beside it in the lot means nothing
-            begins, ends, of = [], [], []
-            for i, (a, b) in enumerate(spans):
-                if b > a:
-                    p = np.nonzero(cut_places(w[a:b]))[0] + a
-                    size = np.diff(p, append=b)
-                    if size.max() > LONGEST:
-                        parts = -(-size // LONGEST)
-                        inside = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-                        p = np.repeat(p, parts) + LONGEST * inside
-                    begins.append(p)
-                    ends.append(np.append(p[1:], b))
-                    of.append(np.full(len(p), i))
-            of, begins, ends = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (of, begins, ends))
-            line = np.array(line, np.int64).reshape(-1, 3)
+            first = np.array([a for a, _ in spans], np.int64)
+            line = np.array(line, np.int64).reshape(-1, 5)
             sh = shingle_hashes(w)
             sig = signatures(sh, line[:, 1], line[:, 2] - SHINGLE + 1) if len(line) else np.zeros((bands, 0), np.uint64)
+            begins, anchors = anchor_places(w, spans)
+            of = np.searchsorted(np.array([b for _, b in spans], np.int64), begins, side="right")
+            none = len(of)
             who = np.concatenate((line[:, 0], of))
-            start, end = np.concatenate((line[:, 1], begins)), np.concatenate((line[:, 2], ends))
-            h = _run_hashes(w, start, end).view(np.int64) if len(start) else np.zeros(0, np.int64)
-            first = np.array([a for a, _ in spans], np.int64)
-            kind = np.concatenate((np.ones(len(line), bool), np.zeros(len(of), bool)))
+            start, n = np.concatenate((line[:, 1], begins)), np.concatenate((line[:, 2] - line[:, 1], np.full(none, ANCHOR)))
+            h = _run_hashes(w, line[:, 1], line[:, 2]) if len(line) else np.zeros(0, np.uint64)
+            h = np.concatenate((h, anchors)).view(np.int64)
+            kind = np.arange(len(who)) < len(line)
             lists = pa.ListArray.from_arrays(
-                np.concatenate((np.arange(len(line) + 1) * bands, np.full(len(of), len(line) * bands))).astype(np.int32),
+                np.concatenate((np.arange(len(line) + 1) * bands, np.full(none, len(line) * bands))).astype(np.int32),
                 pa.array(sig.T.ravel().view(np.int64)))
+            level, block = (np.concatenate((line[:, i], np.full(none, -1))).astype(np.int32) for i in (3, 4))
             return pa.RecordBatch.from_arrays(
                 [*(k.take(pa.array(who)) for k in keys), pa.array(kind), pa.array((start - first[who]).astype(np.int32)),
-                 pa.array((end - start).astype(np.int32)), pa.array(h), lists],
-                ["doc_id", "text_key", "line", "start", "n", "h", "bands"])
+                 pa.array(n.astype(np.int32)), pa.array(h), pa.array(level), pa.array(block), lists],
+                ["doc_id", "text_key", "line", "start", "n", "h", "level", "block", "bands"])
 
         for b in batches:
             texts = b.column(2).cast(pa.binary())
@@ -193,7 +216,8 @@ def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> D
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     return docs.select("doc_id", F.hash(text_or_empty()).alias("text_key"), text_or_empty().alias("text")) \
-        .mapInArrow(make, f"doc_id {kind}, text_key int, line boolean, start int, n int, h long, bands array<long>")
+        .mapInArrow(make, f"doc_id {kind}, text_key int, line boolean, start int, n int, h long, "
+                           "level int, block int, bands array<long>")
 
 
 def line_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -205,14 +229,14 @@ def line_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             out_h, out_s = [], []
             for text, want in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist()):
                 want = set(want)
-                for row in text.lower().split(b"\n"):
-                    some = row.split()
-                    if len(some) >= LINE_WORDS:
-                        w = word_hashes(some)
-                        h = int(_run_hashes(w, np.zeros(1, np.int64), np.array([len(w)])).view(np.int64)[0])
-                        if h in want:
-                            out_h.append(h)
-                            out_s.append(np.unique(shingle_hashes(w)).view(np.int64).tolist())
+                flat, found = paragraphs(text)
+                w = word_hashes(flat)
+                start, end = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
+                for a, b, h in zip(start, end, _run_hashes(w, start, end).view(np.int64).tolist() if found else []):
+                    if h in want:
+                        want.discard(h)
+                        out_h.append(h)
+                        out_s.append(np.unique(shingle_hashes(w[a:b])).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(out_h, pa.int64()), pa.array(out_s, pa.list_(pa.int64()))],
                                              ["h", "shingles"])
 
@@ -287,36 +311,125 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return x.where(both >= SIMILARITY * (F.size("x") + F.size("y") - both) - 1e-9).select("a", "b")
 
 
-def removals(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, start, n_words, what ('paragraph' or 'passage'), group_id and kept_doc_id of
-    every span of words that goes. Spans of one text may overlap."""
-    found = stage(units(docs), "dedup-units")
-    lines = found.where("line")
+def _gone_paragraphs(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """doc_id, text_key, start, n, group_id and kept_doc_id of the paragraphs that go: first whole
+    blocks and lines by themselves, then, among what these leave, lines."""
     roots = components(similar_lines(docs, lines.select("doc_id", "text_key", "h", "bands")))
     roots = stage(roots.select(F.col("v").alias("h"), "root"), "dedup-roots")
-    place = ["doc_id", "text_key", "start", "n"]
-    spots = lines.select(*place, "h").join(roots, "h", "left") \
-        .select(*place, F.lit(True).alias("line"), F.coalesce("root", "h").alias("group_id")) \
-        .unionAll(found.where("not line").select(*place, F.lit(False).alias("line"), F.col("h").alias("group_id")))
+    spots = lines.select("doc_id", "text_key", "start", "n", "level", "block", "h").join(roots, "h", "left") \
+        .withColumn("group_id", F.coalesce("root", "h")).drop("h", "root")
     # only numbers are dealt out to count; what repeats is then read once more
-    repeated = spots.groupBy("line", "group_id").agg(F.count("*").alias("size")).where("size > 1").select("line", "group_id")
-    spots = stage(spots.join(stage(repeated, "dedup-groups"), ["line", "group_id"], "left_semi"), "dedup-spots")
+    repeated = spots.groupBy("group_id").agg(F.count("*").alias("size")).where("size > 1").select("group_id")
+    spots = stage(spots.join(stage(repeated, "dedup-groups"), "group_id", "left_semi"), "dedup-spots")
+    place = ["doc_id", "text_key", "start", "n", "group_id"]
+    where = F.struct("doc_id", "text_key", "start")
+    outer = spots.where("level < 2")
+    kept = outer.groupBy("group_id").agg(F.min(F.struct("doc_id", "text_key", "start", "n", "level")).alias("kept"))
+    kept = stage(kept, "dedup-kept-blocks")
+    first = F.struct("kept.doc_id", "kept.text_key", "kept.start")
+    gone = stage(outer.join(kept, "group_id").where(~where.eqNullSafe(first)).select(*place, "level"), "dedup-gone-blocks")
+
+    block = gone.where("level = 0").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), F.col("start").alias("s"))
+    inner = spots.where("level = 2").join(block, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
+                                          & (F.col("block") == F.col("s")), "left_anti").select(*place)
+    rest = stage(inner.unionAll(kept.where("kept.level = 1").select("kept.doc_id", "kept.text_key", "kept.start", "kept.n",
+                                                                    "group_id")), "dedup-rest")
+    # a block that is kept stands for its group's lines, unless one of them is a part of it
+    joined = kept.where("kept.level = 0").select("group_id", "kept")
+    part = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_key") == F.col("kept.text_key")) & \
+        F.col("start").between(F.col("kept.start"), F.col("kept.start") + F.col("kept.n") - 1)
+    own = rest.join(joined, "group_id").where(part).select("group_id").distinct()
+    alone = joined.join(own, "group_id", "left_anti").select("group_id", first.alias("stays"))
+    stays = rest.groupBy("group_id").agg(F.min(where).alias("line")).join(alone, "group_id", "left") \
+        .select("group_id", F.coalesce("stays", "line").alias("stays"))
+    stays = stage(stays, "dedup-kept-lines")
+    lost = rest.join(stays, "group_id").where(~where.eqNullSafe(F.col("stays"))).select(*place)
+    last = kept.join(stays, "group_id", "full").select(
+        "group_id", F.when(F.col("stays").isNull(), F.col("kept.doc_id")).otherwise(F.col("stays.doc_id")).alias("kept_doc_id"))
+    return gone.select(*place).unionAll(lost).join(stage(last, "dedup-kept"), "group_id") \
+        .select("doc_id", "text_key", "start", "n", "group_id", "kept_doc_id").repartition("doc_id", "text_key").distinct()
+
+
+def _windows(docs: DataFrame, anchors: DataFrame, gone: DataFrame) -> DataFrame:
+    """doc_id, text_key, start, h (hash of RUN_WORDS words) of each window that holds a repeated anchor
+    and no word of a paragraph that goes."""
+    def make(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            row, starts, hashes = [], [], []
+            for i, (text, at, lost, size) in enumerate(zip(batch.column(2).cast(pa.binary()).to_pylist(),
+                                                           *(batch.column(c).to_pylist() for c in (3, 4, 5)))):
+                w = word_hashes(text.lower().split())
+                n = len(w) - RUN_WORDS + 1
+                if n < 1:
+                    continue
+                at, near = np.array(at, np.int64), np.zeros(n + 1, np.int64)
+                np.add.at(near, np.clip(at - (RUN_WORDS - ANCHOR), 0, n), 1)
+                np.add.at(near, np.clip(at + 1, 0, n), -1)
+                out = np.zeros(len(w) + 1, np.int64)
+                for a, k in zip(lost or [], size or []):
+                    out[a + 1:a + k + 1] = 1
+                out = np.cumsum(out)
+                some = np.nonzero((np.cumsum(near)[:n] > 0) & (out[RUN_WORDS:] == out[:n]))[0]
+                row.append(np.full(len(some), i))
+                starts.append(some)
+                hashes.append(shingle_hashes(w, RUN_WORDS)[some])
+            row, starts, hashes = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (row, starts, hashes))
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row),
+                                              pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64))],
+                                             ["doc_id", "text_key", "start", "h"])
+
+    often = stage(anchors.groupBy("h").agg(F.count("*").alias("size")).where("size > 1").select("h"), "dedup-often")
+    # as many as a text has words
+    want = anchors.join(often, "h", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("at")) \
+        .select(F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"), "at")
+    lost = gone.groupBy("doc_id", "text_key").agg(F.collect_list("start").alias("lost"), F.collect_list("n").alias("size"))
+    want = want.join(lost, F.col("want_id").eqNullSafe(F.col("doc_id")) & (F.col("want_key") == F.col("text_key")), "left") \
+        .select("want_id", "want_key", "at", "lost", "size")
+    want = stage(want, "dedup-want")
+    texts = docs.select("doc_id", F.hash(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
+    on = F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("text_key") == F.col("want_key"))
+    kind = docs.select("doc_id").schema[0].dataType.simpleString()
+    return texts.join(want, on).select("doc_id", "text_key", "text", "at", "lost", "size") \
+        .mapInArrow(make, f"doc_id {kind}, text_key int, start int, h long")
+
+
+def _gone_passages(windows: DataFrame) -> DataFrame:
+    """Spans of words each of whose windows occurs at an earlier place; one is a copy of successive
+    words of one text, or of its own text's."""
     where = F.struct("doc_id", "text_key", "start")
-    kept = stage(spots.groupBy("line", "group_id").agg(F.min(where).alias("kept")), "dedup-kept")
-    gone = spots.join(kept, ["line", "group_id"]).where(~where.eqNullSafe(F.col("kept"))) \
-        .select(*place, "line", "group_id", F.col("kept.doc_id").alias("kept_doc_id")).distinct()
-    gone = stage(gone, "dedup-gone")
+    kept = windows.groupBy("h").agg(F.min(where).alias("kept"), F.count("*").alias("size")).where("size > 1").drop("size")
+    gone = windows.join(stage(kept, "dedup-kept-windows"), "h").where(~where.eqNullSafe(F.col("kept")))
+    # dealt out by text at once, so that the join may split a hot window; rows alike count once
+    gone = gone.repartition("doc_id", "text_key").dropDuplicates(["doc_id", "text_key", "start"])
     text = Window.partitionBy("doc_id", "text_key").orderBy("start")
-    runs = gone.where("not line") \
-        .withColumn("new", F.coalesce(F.lag(F.col("start") + F.col("n")).over(text) != F.col("start"), F.lit(True)).cast("int")) \
-        .withColumn("run", F.sum("new").over(text)) \
-        .groupBy("doc_id", "text_key", "run").agg(
-            F.min("start").alias("start"), F.sum("n").cast("int").alias("n_words"),
-            F.min(F.struct("start", "group_id", "kept_doc_id")).alias("f")) \
-        .where(F.col("n_words") >= RUN_WORDS) \
-        .select("doc_id", "text_key", "start", "n_words", F.lit("passage").alias("what"), "f.group_id", "f.kept_doc_id")
-    return gone.where("line").select("doc_id", "text_key", "start", F.col("n").alias("n_words"),
-                                     F.lit("paragraph").alias("what"), "group_id", "kept_doc_id").unionAll(runs)
+    own = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_key") == F.col("kept.text_key"))
+    on = (F.col("before.start") + 1 == F.col("start")) & F.col("before.kept.doc_id").eqNullSafe(F.col("kept.doc_id")) & \
+        (F.col("before.kept.text_key") == F.col("kept.text_key")) & \
+        (own | (F.col("before.kept.start") + 1 == F.col("kept.start")))
+    # where a text overlaps its own copy, as one word over and over does, the first copy stays whole
+    begin = F.when(own, F.greatest("start", F.col("kept.start") + RUN_WORDS)).otherwise(F.col("start"))
+    return gone.withColumn("before", F.lag(F.struct("start", "kept")).over(text)) \
+        .withColumn("new", F.when(on, 0).otherwise(1)).withColumn("run", F.sum("new").over(text)) \
+        .withColumn("begin", begin).groupBy("doc_id", "text_key", "run").agg(
+            F.min("begin").alias("start"), (F.max("start") + RUN_WORDS).alias("end"),
+            F.min(F.struct("start", F.col("h").alias("group_id"), F.col("kept.doc_id").alias("kept_doc_id"))).alias("f")) \
+        .select("doc_id", "text_key", "start", (F.col("end") - F.col("start")).cast("int").alias("n_words"),
+                "f.group_id", "f.kept_doc_id")
+
+
+def removals(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, start, n_words, what ('paragraph' or 'passage'), group_id and kept_doc_id of
+    every span of words that goes. Spans of one text may overlap."""
+    found = stage(units(docs), "dedup-units")
+    gone = stage(_gone_paragraphs(docs, found.where("line")), "dedup-gone")
+    windows = stage(_windows(docs, found.where("not line").select("doc_id", "text_key", "start", "h"), gone), "dedup-windows")
+    runs = stage(_gone_passages(windows), "dedup-runs")
+    place = ["doc_id", "text_key", "start"]
+    return gone.select(*place, F.col("n").alias("n_words"), F.lit("paragraph").alias("what"), "group_id", "kept_doc_id") \
+        .unionAll(runs.select(*place, "n_words", F.lit("passage").alias("what"), "group_id", "kept_doc_id"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
