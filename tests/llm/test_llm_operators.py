@@ -451,6 +451,22 @@ def test_short_and_wrapped_lines_are_paragraphs(spark):
     assert {(1, 5, 0), (3, 9, 2), (5, 19, 4), (11, 200, 10)} <= found
 
 
+def test_common_stretches_of_unrelated_texts_are_no_passage(spark):
+    rng = random.Random(3)
+    parts = [unique_words(rng, 12) for _ in range(3)]
+    rows = [(d, " ".join(unique_words(rng, 40) + p + unique_words(rng, 40))) for d, p in enumerate(parts)]
+    rows.append((3, " ".join(unique_words(rng, 20) + sum(parts, []) + unique_words(rng, 20))))
+    few = [f"v{i}" for i in range(3)]          # much that repeats by chance
+    rows += [(10 + d, " ".join(rng.choice(few) for _ in range(150))) for d in range(30)]
+    rows += [(50, "x " * 3000), (51, "x " * 40), (52, "a b c " * 30)]
+    df = docs_of(spark, rows)
+    got = substring_dedup.repeated_spans(df).collect()
+    assert not [r for r in got if r.doc_id == 3]
+    assert places(r for r in got if r.what == "passage") == slow_passages([r for r in rows if r[0] != 51])
+    left = {r.doc_id: r.text for r in substring_dedup.without_repeats(df).collect()}
+    assert left[3] == dict(rows)[3] and left[50].split() == ["x"] * 16 and 51 not in left
+
+
 # 8 URL filter
 
 def test_hosts_paths_and_rules(spark):
