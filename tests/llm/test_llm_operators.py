@@ -451,6 +451,19 @@ def test_short_and_wrapped_lines_are_paragraphs(spark):
     assert {(1, 5, 0), (3, 9, 2), (5, 19, 4), (11, 200, 10)} <= found
 
 
+@pytest.mark.parametrize("n", [15, 16, 17, 20, 25, 50])
+def test_passages_are_found_to_their_ends(spark, n):
+    rng = random.Random(n)
+    passage, rows = unique_words(rng, n), []
+    for d in range(40):
+        w = unique_words(rng, 60)
+        at = rng.randrange(20, 40)
+        rows.append((d, " ".join(w[:at] + passage + w[at:])))
+    got = substring_dedup.repeated_spans(docs_of(spark, rows)).where("what = 'passage'").collect()
+    assert places(got) == slow_passages(rows)
+    assert len(got) == (39 if n >= 16 else 0) and {r.n_words for r in got} <= {n} and {r.kept_doc_id for r in got} <= {0}
+
+
 def test_common_stretches_of_unrelated_texts_are_no_passage(spark):
     rng = random.Random(3)
     parts = [unique_words(rng, 12) for _ in range(3)]
