@@ -480,6 +480,23 @@ def test_common_stretches_of_unrelated_texts_are_no_passage(spark):
     assert left[3] == dict(rows)[3] and left[50].split() == ["x"] * 16 and 51 not in left
 
 
+def test_one_copy_of_each_passage_stays(spark):
+    """A passage that only a removed near copy and another text hold stays in the latter."""
+    rng = random.Random(4)
+    line, passage = unique_words(rng, 200), unique_words(rng, 40)
+    rows = [(1, " ".join(line)), (2, " ".join(line[:90] + passage + line[90:])),
+            (3, " ".join(unique_words(rng, 80) + passage + unique_words(rng, 80)))]
+    got = substring_dedup.repeated_spans(docs_of(spark, rows)).collect()
+    assert [(r.doc_id, r.what, r.n_words, r.kept_doc_id) for r in got] == [(2, "paragraph", 240, 1)]
+    # a block that goes takes its lines along: the line of the third text stays
+    block = [unique_words(rng, 15) for _ in range(12)]
+    extra = unique_words(rng, 10)
+    rows = [(1, "\n".join(map(" ".join, block))), (2, "\n".join(map(" ".join, block[:6] + [extra] + block[6:]))),
+            (3, " ".join(unique_words(rng, 30)) + "\n" + " ".join(extra))]
+    got = substring_dedup.repeated_spans(docs_of(spark, rows)).collect()
+    assert [(r.doc_id, r.what, r.n_words, r.kept_doc_id) for r in got] == [(2, "paragraph", 190, 1)]
+
+
 # 8 URL filter
 
 def test_hosts_paths_and_rules(spark):
