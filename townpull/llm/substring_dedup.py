@@ -38,7 +38,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from townpull.llm.common import free_name, stage, text_or_empty
+from townpull.llm import common
+from townpull.llm.common import free_name, text_or_empty
 from townpull.llm.components import components
 
 SHINGLE = 5
@@ -51,6 +52,23 @@ RUN_WORDS = 16
 ANCHOR = 8          # words of an anchor; each window of RUN_WORDS words holds one
 FEW = 24            # members of a bucket up to which all pairs are compared
 LOT_WORDS = 60_000  # words of short texts that are hashed together
+BROADCAST_ROWS = 2_000_000   # hashes that repeat (a long each) sent to every executor
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """As ``common.stage``; the shuffle files behind the copy go at once, as nothing reads them again."""
+    conf = df.sparkSession.conf
+    was = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return common.stage(df, label)
+    finally:
+        conf.unset(CLEANUP) if was is None else conf.set(CLEANUP, was)
+
+
+def _small(hashes: DataFrame) -> DataFrame:
+    return F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = BAND_ROWS) -> int:
@@ -253,15 +271,16 @@ def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Edges (a, b) between the hashes of paragraphs of ``lines`` (doc_id, text_key, h, bands) whose
     components are those of all similar pairs that collide."""
     # equal lines have equal bands
-    distinct = lines.groupBy("h").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_key")).alias("at"),
-                                      F.min("bands").alias("bands"))
-    member = stage(distinct.select("h", "copies", "at.*", F.explode("bands").alias("band")), "dedup-bands")
-    bucket = member.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    met = stage(member.join(bucket, "band"), "dedup-met")
-    sets = stage(line_shingles(docs, met.select("doc_id", "text_key", "h").distinct()), "dedup-shingles")
+    distinct = stage(lines.groupBy("h").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_key")).alias("at"),
+                                            F.min("bands").alias("bands")), "dedup-distinct")
+    member = distinct.select("h", F.explode("bands").alias("band"))
+    bucket = stage(member.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "dedup-buckets")
+    met = stage(member.join(_small(bucket), "band"), "dedup-met")
+    wanted = distinct.select("h", "at.*").join(met.select("h").distinct(), "h", "left_semi")
+    sets = stage(line_shingles(docs, wanted.select("doc_id", "text_key", "h")), "dedup-shingles")
     few = met.where(F.col("size") <= FEW).select("band", "h")
     pairs = few.select("band", F.col("h").alias("a")).join(few.select("band", F.col("h").alias("b")), "band").where("b < a")
-    big = met.where(F.col("size") > FEW).select("band", "h", "copies")
+    big = met.where(F.col("size") > FEW).select("band", "h").join(distinct.select("h", "copies"), "h")
 
     # each member of a large bucket against the one with the most copies, the pivot
     pivot = big.groupBy("band").agg(F.max(F.struct("copies", "h")).alias("top")).select("band", F.col("top.h").alias("pivot"))
@@ -320,7 +339,7 @@ def _gone_paragraphs(docs: DataFrame, lines: DataFrame) -> DataFrame:
         .withColumn("group_id", F.coalesce("root", "h")).drop("h", "root")
     # only numbers are dealt out to count; what repeats is then read once more
     repeated = spots.groupBy("group_id").agg(F.count("*").alias("size")).where("size > 1").select("group_id")
-    spots = stage(spots.join(stage(repeated, "dedup-groups"), "group_id", "left_semi"), "dedup-spots")
+    spots = stage(spots.join(_small(stage(repeated, "dedup-groups")), "group_id", "left_semi"), "dedup-spots")
     place = ["doc_id", "text_key", "start", "n", "group_id"]
     where = F.struct("doc_id", "text_key", "start")
     outer = spots.where("level < 2")
@@ -383,7 +402,7 @@ def _windows(docs: DataFrame, anchors: DataFrame, gone: DataFrame) -> DataFrame:
 
     often = stage(anchors.groupBy("h").agg(F.count("*").alias("size")).where("size > 1").select("h"), "dedup-often")
     # as many as a text has words
-    want = anchors.join(often, "h", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("at")) \
+    want = anchors.join(_small(often), "h", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("at")) \
         .select(F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"), "at")
     lost = gone.groupBy("doc_id", "text_key").agg(F.collect_list("start").alias("lost"), F.collect_list("n").alias("size"))
     want = want.join(lost, F.col("want_id").eqNullSafe(F.col("doc_id")) & (F.col("want_key") == F.col("text_key")), "left") \
