@@ -601,3 +601,29 @@ def test_masks_find_every_two_replacements():
     picked = [[i for i, c in enumerate(m) if c == "1"] for m in decontamination.MASKS]
     for gone in combinations(range(13), 2):
         assert any(not any(s + i in gone for i in p) for p in picked for s in range(13 - 9 + 1))
+
+
+@pytest.mark.parametrize("n", range(1, 14))
+def test_masks_of_short_items_find_all_that_is_allowed(n):
+    from itertools import combinations
+    need = decontamination.math.ceil(n * decontamination.SHARE - 1e-9)
+    assert all(m[0] == m[-1] == "1" and m.count("1") >= min(n, 3) for m in decontamination.masks_of(n))
+    for gone in combinations(range(n), n - need):
+        assert any(not any(c == "1" and s + i in gone for i, c in enumerate(m))
+                   for m in decontamination.masks_of(n) for s in range(n - len(m) + 1)), gone
+
+
+@pytest.mark.parametrize("shortest", [5, 8, 9, 10, 12])
+def test_leaks_of_short_items(spark, shortest):
+    from itertools import combinations
+    rng = random.Random(shortest)
+    items, rows = [], []
+    for n in range(shortest, 15):
+        item = unique_words(rng, n)
+        items.append((n, " ".join(item)))
+        for gone in combinations(range(n), min(n - -(-n * 4 // 5), 2)):
+            w = ["X" if i in gone else x for i, x in enumerate(item)]
+            rows.append((len(rows), " ".join(w if rng.random() < 0.5 else unique_words(rng, 3) + w + unique_words(rng, 3))))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in decontamination.leaks(docs_of(spark, rows), bench).collect()}
+    assert got == decontamination.brute_force_leaks(rows, items) and len(got) >= len(rows)

@@ -8,8 +8,9 @@ there the words around it are compared one by one, and a pair counts if some win
 The masks are such that every window with up to two words of 13 replaced, in any places, holds
 a hit, so nothing that the check accepts is lost: 11 of 13 are needed.
 
-Items shorter than a mask are looked for as they are, in whole, by a mask of their own length;
-items of 9 to 12 words also get the masks, and their own full-length mask. Empty items match nothing.
+Items of 5 to 12 words have masks by their length, such that each set of replacements that the
+check allows (one word of 5 to 9, two of 10 to 12) leaves a hit; shorter ones are looked for as they
+are. Each item is looked for by its own masks only. Empty items match nothing.
 
 Null and empty texts hold nothing. Repeated rows are judged each; the result names each
 (doc_id, item_id) once with its best window. Rows or items without an id are searched and
@@ -27,6 +28,17 @@ from pyspark.sql import functions as F
 from townpull.llm.common import free_name, stage, text_or_empty
 
 MASKS = ("111001101", "110110101", "110100111")
+#: By the length of items below WINDOW words; of shorter ones no word may be replaced.
+SHORT_MASKS = {
+    5: ("111", "11011"),
+    6: ("1111", "11011"),
+    7: ("11011",),
+    8: ("111011", "11011111"),
+    9: (*MASKS, "111111"),
+    10: (*MASKS, "111111", "11010111", "10111011"),
+    11: (*MASKS, "1111101", "11011101111"),
+    12: (*MASKS, "11111111"),
+}
 WINDOW = 13
 SHARE = 0.8
 BROADCAST_ROWS = 2_000_000   # seeds of the benchmark (two longs and an int each) sent to every executor
@@ -37,12 +49,21 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, UPPER, UPPER.lower()), "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
 
 
-def _seeds(array: str, at: Column, masks: list[str]) -> Column:
-    """The hashes at one place, one per mask (null where the mask reaches past the end)."""
+def masks_of(n: int) -> tuple[str, ...]:
+    """The masks of an item of n words."""
+    return MASKS if n >= WINDOW else SHORT_MASKS.get(n, ("1" * n,))
+
+
+def _seeds(array: str, at: Column, masks: list[str], n: Column | None = None, lengths: list[int] | None = None) -> Column:
+    """The hashes at one place, one per mask (null where the mask reaches past the end, or where it is
+    none of an item's of n words, ``lengths`` being all that there are, WINDOW for it and more)."""
     out = []
     for k, mask in enumerate(masks):
         picked = [F.get(array, at + i) for i, c in enumerate(mask) if c == "1"]
-        out.append(F.when(at + len(mask) <= F.size(array), F.xxhash64(F.lit(k), *picked)))
+        fits = at + len(mask) <= F.size(array)
+        if n is not None:
+            fits &= F.least(n, F.lit(WINDOW)).isin([x for x in lengths if mask in masks_of(x)])
+        out.append(F.when(fits, F.xxhash64(F.lit(k), *picked)))
     return F.array(*out)
 
 
@@ -55,12 +76,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     place where a document holds words of an item."""
     items = benchmark.select("item_id", words(text_or_empty()).alias("item")).where(F.size("item") > 0)
     items = stage(items.withColumn("item_no", F.xxhash64("item_id", F.to_json("item"))).dropDuplicates(["item_no"]), "leak-items")
-    span = max(map(len, MASKS))
-    # at most WINDOW - 1 different lengths
-    short = sorted(r["n"] for r in items.select(F.size("item").alias("n")).where(F.col("n") < WINDOW).distinct().collect())
-    masks = [*MASKS, *("1" * n for n in short)]
+    # at most WINDOW different lengths
+    lengths = sorted(r["n"] for r in items.select(F.least(F.size("item"), F.lit(WINDOW)).alias("n")).distinct().collect())
+    masks = sorted({m for n in lengths for m in masks_of(n)}) or list(MASKS)
     seeds = items.select("item_no", F.size("item").alias("n"), F.posexplode("item").alias("q", "w"), "item") \
-        .select("item_no", "n", "q", F.explode(_seeds("item", F.col("q"), masks)).alias("seed")).where("seed is not null")
+        .select("item_no", "n", "q", F.explode(_seeds("item", F.col("q"), masks, F.col("n"), lengths)).alias("seed")).where("seed is not null")
     seeds = stage(seeds.distinct(), "leak-seeds")
     seeds = F.broadcast(seeds) if seeds.count() <= BROADCAST_ROWS else seeds
     key = F.xxhash64(text_or_empty())
@@ -72,7 +92,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # the document's words from WINDOW before the hit to WINDOW behind it, and where that part begins in the item
     back = F.least(F.col("q"), F.col("p"), F.lit(WINDOW))
     around = hits.select("doc_id", "text_key", "item_no", "p", "q",
-                         F.slice("words", F.col("p") - back + 1, back + span + WINDOW).alias("part"),
+                         F.slice("words", F.col("p") - back + 1, back + 2 * WINDOW).alias("part"),
                          (F.col("q") - back).alias("first"))
     around = around.join(items.select("item_no", "item_id", "item"), "item_no")
     same = F.transform(F.sequence(F.lit(0), F.least(F.size("part"), F.size("item") - F.col("first")) - 1),
