@@ -111,6 +111,13 @@ def test_simhash_stage_keeps_one(spark, prose):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_simhash_stage_judges_rows_not_ids(spark, prose):
+    """A copy of a smaller id takes no other text of its own id along."""
+    a, b = prose(60), prose(60)
+    kept = simhash.keep_one_of_each(docs_of(spark, [(1, a), (5, a), (5, b), (None, a)], True)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", a), ("5", b), ("None", a)])
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 160)] + [(100, 100)]

@@ -27,7 +27,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from townpull.llm.common import stage, text_or_empty
+from townpull.llm.common import free_name, stage, text_or_empty
 from townpull.llm.components import components
 
 SHINGLE = 4       # words a shingle, by the contract
@@ -138,11 +138,16 @@ def simhash_groups(docs: DataFrame, k: int = SHINGLE, bits: int = BITS, segments
 
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its group. Of repeated rows of such an
-    id one stays; rows without an id stay."""
-    groups = stage(simhash_groups(docs, k, bits).select("doc_id", "component_id"), "simhash-groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = groups.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    alone = docs.join(gone.unionAll(repeated), "doc_id", "left_anti")
-    again = docs.join(repeated, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return alone.select(*docs.columns).unionAll(again.select(*docs.columns))
+    """Of each group the row that is first by (doc_id, hash of the text); rows without an id stay. Of rows
+    of one id that would stay, repeated or with unlike texts, the first by that hash does."""
+    key, n = free_name(docs, "text_key"), free_name(docs, "rows")
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64(text_or_empty()).alias("text_key")))
+    groups = stage(simhash_groups(docs.select(row.alias("doc_id"), "text"), k, bits).select("doc_id", "component_id"), "simhash-groups")
+    first = groups.where("doc_id = component_id").groupBy("doc_id").count().select("doc_id.*", "count") \
+        .groupBy("doc_id").agg(F.min(F.struct("text_key", "count")).alias("first")) \
+        .select("doc_id", F.col("first.text_key").alias(key), F.col("first.count").alias(n))
+    first = stage(first, "simhash-first")
+    kept = docs.where("doc_id is not null").withColumn(key, F.xxhash64(text_or_empty())).join(first, ["doc_id", key])
+    again = kept.where(F.col(n) > 1).dropDuplicates(["doc_id"])
+    return docs.where("doc_id is null").unionAll(kept.where(F.col(n) == 1).select(*docs.columns)) \
+        .unionAll(again.select(*docs.columns))
