@@ -10,6 +10,7 @@ from townpull.llm.common import table
 from townpull.llm.decontamination import leaks
 from townpull.llm.packing import pack
 from townpull.llm import toxicity, url_filter
+from townpull.llm import centroids, line_dedup, phrases
 from townpull.llm.ann import nearest
 from townpull.llm.sharding import shard
 from townpull.llm.simhash import simhash_groups
@@ -89,3 +90,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated paragraphs and passages of all documents, with the document that keeps them."""
     return repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds of k-means."""
+    return centroids.clusters(table(spark, sf_dir, "embeddings")).drop("evaluated")
+
+
+@query
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of two to four words of every lang."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup leaves of every whole text."""
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_centroid_clustering"] = centroids.oracle_sql()
+ORACLE["op12_phrase_mining"] = phrases.oracle_sql()
+ORACLE["op13_line_dedup"] = line_dedup.oracle_sql()
