@@ -13,12 +13,15 @@ A scan learns what is active from two bitmaps of fixed size over phrase hashes:
 have reached the threshold, and those that did so in the last cycle (a phrase whose parts both did before
 has been counted to its end). Where different hashes share a bit a phrase is counted without need; since
 counts are kept by shard, and two counts of a phrase in one shard are the same number, that changes
-no result. So nothing that grows with the data is broadcast unmeasured. Counts are summed within
-a task by sorting, then by a partially aggregated shuffle of (hash, count); a frequent phrase is a row a task.
+no result. So nothing that grows with the data is broadcast unmeasured.
+
+Counts of a lot of words are sorted arrays, cut at fixed bounds of the hashes and sent as few packed rows;
+a range of hashes is merged by one group of bounded size (as many ranges as the shuffle has partitions,
+more for more words), so a frequent phrase is one entry a lot and no key is hot.
 
 Words are A-Z lower-cased runs without blank or tab, within the pieces between ``.,;:!?`` and line
-breaks. Words and phrases are identified by 64-bit hashes of language and words, and spelt in
-the end by a look-up of the words that are needed. Counts of the phrases' parts are those of the
+breaks. Words and phrases are identified by 64-bit hashes of language and words; the best are spelt in
+the end by a second look at the texts for the words that are needed. Counts of the phrases' parts are those of the
 scans; scores are computed in decimal arithmetic of 38 digits.
 
 A null lang is ``und`` (together with documents of that name); null, empty and blank texts have
@@ -32,10 +35,10 @@ import os
 from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from townpull.llm.common import text_or_empty
+from townpull.llm.common import slices, text_or_empty
 from townpull.llm.substring_dedup import _mix, stage
 from townpull.session import scratch_path
 
@@ -48,7 +51,9 @@ SHARDS = 3
 BITS = 25            # of a bitmap's size: 4 MB
 LOT_BYTES = 4 << 20  # of text whose words are hashed together
 LOT_WORDS = 2 << 20  # words whose phrases are counted together
-SEEN = 2_000_000     # spelt words a task remembers
+SEEN = 21            # bits of the size of a task's table of what it has spelt
+RANGE_WORDS = 8 << 20   # words of all documents to a range of hashes, at most
+ENTRIES = "kind int, step int, length int, p long, hashes binary, counts binary"
 BROADCAST_ROWS = 2_000_000   # of a hash and a number
 BREAK = b"\xff"      # no byte of UTF-8
 WIDE = "decimal(20,0)"
@@ -80,75 +85,91 @@ def _marked(bitmap, h, bits: int):
     return np.frombuffer(bitmap, np.uint8)[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1 > 0
 
 
+def _hashed(lang: str, texts: list[bytes]):
+    """The words of some texts of a language and their hashes, 0 between pieces."""
+    import numpy as np
+    import xxhash
+    digest = xxhash.xxh64_intdigest
+    words = words_of(BREAK.join(texts))
+    w = np.fromiter(map(digest, words), np.uint64, len(words))
+    gaps = w == np.uint64(digest(BREAK))
+    w = longer(np.array([digest(lang.encode(), 1)], np.uint64), w)
+    w[w == 0] = 1
+    w[gaps] = 0
+    return words, w
+
+
+def _by_lang(batches: Iterator, keys: int) -> Iterator:
+    """Lots of about LOT_BYTES of text as {key columns (the last one lang): texts}; the text follows the keys."""
+    groups, size = {}, 0
+    for batch in batches:
+        for b in slices(batch, 1024):
+            for *key, text in zip(*(b.column(i).to_pylist() for i in range(keys)), b.column(keys).cast("binary").to_pylist()):
+                groups.setdefault(tuple(key), []).append(text)
+                size += len(text)
+                if size >= LOT_BYTES:
+                    yield groups
+                    groups, size = {}, 0
+    if groups:
+        yield groups
+
+
+def _lang() -> Column:
+    return F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
+
+
+def _unseen(table, h):
+    """Which of the distinct hashes h the table of the last hash in each place does not hold, and holds now.
+    One that was pushed out is new again."""
+    import numpy as np
+    at = (h & np.uint64(len(table) - 1)).astype(np.int64)
+    new = table[at] != h
+    table[at[new]] = h[new]
+    return new
+
+
 def deal_words(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Written rows (shard, lang, tokens: 64-bit hashes of words with 0 between pieces, n_words) and, as
-    shard -1, (lang, word, h) of every word at least once."""
+    """Written rows (shard, lang, tokens: 64-bit hashes of words with 0 between pieces, n_words)."""
     def make(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
-        import xxhash
-        digest = xxhash.xxh64_intdigest
-        gap = digest(BREAK)
-        seen = np.zeros(0, np.uint64)
-
-        def lot(rows):
-            """Rows (shard, lang, text) as a record batch: one row for each shard and lang, and new words."""
-            nonlocal seen
-            groups = {}
-            for shard, lang, text in rows:
-                groups.setdefault((shard, lang), []).append(text)
-            shard_, lang_, tokens_, n_, word_, h_ = [], [], [], [], [], []
+        for groups in _by_lang(batches, 2):
+            rows = []
             for (shard, lang), texts in groups.items():
-                words = words_of(BREAK.join(texts))
-                w = np.fromiter(map(digest, words), np.uint64, len(words))
-                gaps = w == np.uint64(gap)
-                w = longer(np.array([digest(lang.encode(), 1)], np.uint64), w)
-                w[w == 0] = 1
-                w[gaps] = 0
-                shard_.append(shard)
-                lang_.append(lang)
-                tokens_.append(w.astype("<u8").tobytes())
-                n_.append(len(w) - int(gaps.sum()))
-                word_.append(None)
-                h_.append(None)
-                some, first = np.unique(w, return_index=True)
-                new = first[(some != 0) & ~np.isin(some, seen, assume_unique=True)]
-                if len(seen) > SEEN:
-                    seen = np.zeros(0, np.uint64)
-                seen = np.union1d(seen, some)
-                shard_ += [-1] * len(new)
-                lang_ += [lang] * len(new)
-                tokens_ += [None] * len(new)
-                n_ += [None] * len(new)
-                word_ += [words[i] for i in new]
-                h_ += w[new].view(np.int64).tolist()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang_, pa.string()), pa.array(tokens_, pa.binary()), pa.array(n_, pa.int64()),
-                 pa.array(word_, pa.binary()), pa.array(h_, pa.int64()), pa.array(shard_, pa.int32())],
-                ["lang", "tokens", "n_words", "word", "h", "shard"])
-
-        for b in batches:
-            rows, size = [], 0
-            texts = b.column(2).cast(pa.binary())
-            for i in range(b.num_rows):
-                rows.append((b.column(0)[i].as_py(), b.column(1)[i].as_py(), texts[i].as_py()))
-                size += len(rows[-1][2])
-                if size >= LOT_BYTES:
-                    yield lot(rows)
-                    rows, size = [], 0
-            if rows:
-                yield lot(rows)
-
-    text = text_or_empty()
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
-    schema = "lang string, tokens binary, n_words long, word binary, h long, shard int"
-    rows = docs.select(F.pmod(F.xxhash64("doc_id", text), F.lit(shards)).cast("int").alias("shard"), lang.alias("lang"), text.alias("text")) \
-        .mapInArrow(make, schema)
+                _, w = _hashed(lang, texts)
+                rows.append((lang, w.astype("<u8").tobytes(), int((w != 0).sum()), shard))
+            lang, tokens, n, shard = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(tokens, pa.binary()), pa.array(n, pa.int64()),
+                                              pa.array(shard, pa.int32())], ["lang", "tokens", "n_words", "shard"])
+
+    schema = "lang string, tokens binary, n_words long, shard int"
+    shard = F.pmod(F.xxhash64("doc_id", text_or_empty()), F.lit(shards)).cast("int")
+    rows = docs.select(shard.alias("shard"), _lang(), text_or_empty().alias("text")).mapInArrow(make, schema)
     path = os.path.join(scratch_path(docs.sparkSession, "phrase-words"))
     rows.write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
+def spell_words(docs: DataFrame, need: DataFrame, bits: int = BITS) -> DataFrame:
+    """(w, word) of the words whose hashes are in ``need`` (w)."""
+    marked = _bitmap(need.select(F.col("w").alias("h")), bits).tobytes()
+
+    def make(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        seen = np.zeros(1 << SEEN, np.uint64)
+        for groups in _by_lang(batches, 1):
+            for (lang,), texts in groups.items():
+                words, w = _hashed(lang, texts)
+                at = np.nonzero(_marked(marked, w, bits) & (w != 0))[0]
+                h, first = np.unique(w[at], return_index=True)
+                new = _unseen(seen, h)
+                h, at = h[new], at[first[new]]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([words[i] for i in at], pa.binary())], ["w", "word"])
+
+    found = docs.select(_lang(), text_or_empty().alias("text")).mapInArrow(make, "w long, word binary")
+    return found.join(_small(need), "w", "left_semi").groupBy("w").agg(F.min("word").cast("string").alias("word"))
+
+
 def _lots(batches: Iterator, size: int = LOT_WORDS) -> Iterator:
     """Arrays of the words of some rows, with a 0 at both ends and between rows."""
     import numpy as np
@@ -183,69 +204,150 @@ def _active(w, reached, late, bits: int, longest: int) -> Iterator:
         yield length, places[new], h[new]
 
 
-def scan(shard: DataFrame, words: bool, reached, late, bits: int = BITS, longest: int = LONGEST) -> DataFrame:
-    """(h, length, n) of the words, if they are still counted, and the active phrases of a shard."""
+def _packed(rows: list[tuple]):
+    """A record batch of ENTRIES from (kind, step, length, p, hashes, counts)."""
+    import pyarrow as pa
+    kinds = [pa.int32()] * 3 + [pa.int64()] + [pa.binary()] * 2
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                      ["kind", "step", "length", "p", "hashes", "counts"])
+
+
+def _summed(hashes: list, counts: list):
+    """Distinct hashes, ascending, with the sums of their counts."""
+    import numpy as np
+    h, n = np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate([np.zeros(0, np.int64), *counts])
+    if not len(h):
+        return h, n
+    order = np.argsort(h)
+    h = h[order]
+    first = np.nonzero(np.concatenate(([True], h[1:] != h[:-1])))[0]
+    return h[first], np.add.reduceat(n[order], first)
+
+
+def scan(shard: DataFrame, step: int, words: bool, reached: bytes, late: bytes, cuts: int, bits: int = BITS, longest: int = LONGEST) -> DataFrame:
+    """ENTRIES of kind 0: counts, by lot of words and range of hashes (2 ** cuts of them), of the words, if
+    they are still counted, and the active phrases of a shard."""
     def count(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
-        def row(h, length):
+        bounds = np.arange(1, 1 << cuts, dtype=np.uint64) << np.uint64(64 - cuts) if cuts else np.zeros(0, np.uint64)
+
+        def rows(h, length):
             h, n = np.unique(h, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), length, np.int8)),
-                                               pa.array(n.astype(np.int64))], ["h", "length", "n"])
+            at = [0, *np.searchsorted(h, bounds).tolist(), len(h)]
+            return _packed([(0, step, length, p, h[a:e].astype("<u8").tobytes(), n[a:e].astype("<i8").tobytes())
+                            for p, (a, e) in enumerate(zip(at, at[1:])) if e > a])
 
         for w in _lots(batches):
             if words:
-                yield row(w[w != 0], 1)
+                yield rows(w[w != 0], 1)
             for length, _, h in _active(w, reached, late, bits, longest):
                 if len(h):
-                    yield row(h, length)
+                    yield rows(h, length)
+
+    return shard.select("tokens").mapInArrow(count, ENTRIES)
+
+
+def _entries(t, kind: int) -> Iterator:
+    """(step, hashes, counts) of the rows of a kind of a group."""
+    import numpy as np
+    for k, step, h, n in zip(*(t.column(c).to_pylist() for c in ("kind", "step", "hashes", "counts"))):
+        if k == kind:
+            yield step, np.frombuffer(h, "<u8"), np.frombuffer(n, "<i8")
+
+
+def _merge(rows: DataFrame, step: int, least: int) -> DataFrame:
+    """ENTRIES by range: of kind 1 the sums of the step's kind 0; of kind 3 the hashes that, with those of kind 1
+    of other shards, have come to ``least`` and are not of kind 2 already; of kind 2 these and all before."""
+    def run(key, t):
+        import numpy as np
+        import pyarrow as pa
+        length, p = (k.as_py() for k in key)
+        new = _summed(*zip(*((h, n) for _, h, n in _entries(t, 0)))) if 0 in t.column("kind").to_pylist() else _summed([], [])
+        before = [(h, n) for _, h, n in _entries(t, 1)]
+        h, n = _summed([new[0], *(x for x, _ in before)], [new[1], *(x for _, x in before)])
+        known = np.concatenate([np.zeros(0, np.uint64), *(x for _, x, _ in _entries(t, 2))])
+        hit = np.setdiff1d(h[n >= least], known)
+        out = [(1, step, length, p, new[0].tobytes(), new[1].tobytes()), (2, step, length, p, np.union1d(known, hit).tobytes(), b""),
+               (3, step, length, p, hit.tobytes(), b"")]
+        out = [r for r in out if r[4]]
+        return pa.Table.from_batches([_packed(out)])
+
+    return rows.groupBy("length", "p").applyInArrow(run, ENTRIES)
+
+
+def _totals(rows: DataFrame, shards: int) -> DataFrame:
+    """(h, length, n) of every hash of kind 2, over one count of each shard."""
+    def run(key, t):
+        import numpy as np
+        import pyarrow as pa
+        length, _ = (k.as_py() for k in key)
+        names = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for _, h, _ in _entries(t, 2))]))
+        best = np.zeros((shards, len(names)), np.int64)
+        for step, h, n in _entries(t, 1):
+            if len(names):
+                at = np.minimum(np.searchsorted(names, h), len(names) - 1)
+                on = names[at] == h
+                best[step % shards, at[on]] = np.maximum(best[step % shards, at[on]], n[on])
+        return pa.table([pa.array(names.view(np.int64)), pa.array(np.full(len(names), length, np.int32)), pa.array(best.sum(axis=0))],
+                        ["h", "length", "n"])
 
-    return shard.select("tokens").mapInArrow(count, "h long, length tinyint, n long") \
-        .groupBy("h", "length").agg(F.sum("n").alias("n"))
+    return rows.groupBy("length", "p").applyInArrow(run, "h long, length int, n long")
 
 
 def _bitmap(hashes: DataFrame, bits: int):
-    """The bits of the hashes; what comes to the driver is bounded by the bitmap."""
+    """The bits of the hashes (h); what comes to the driver is bounded by the bitmap."""
     import numpy as np
     slot = F.shiftrightunsigned("h", 64 - bits)
     rows = hashes.select(F.shiftright(slot, 6).alias("at"), F.expr("1L").alias("one"), slot.bitwiseAND(F.lit(63)).cast("int").alias("bit")) \
         .groupBy("at").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("mask")).toArrow()
-    out = np.zeros(1 << (bits - 6), np.uint64)
+    out = np.zeros(1 << max(0, bits - 6), np.uint64)
     out[rows.column("at").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
     return out
 
 
+def _reached_bitmap(rows: DataFrame, bits: int, longest: int):
+    """The bits of the packed hashes of kind 3 of phrases that may be parts of others."""
+    def spread(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            for cell in b.column("hashes"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(cell.as_buffer(), "<i8"))], ["h"])
+
+    some = rows.where((F.col("kind") == 3) & (F.col("length") < longest)).select("hashes")
+    return _bitmap(some.mapInArrow(spread, "h long"), bits)
+
+
 def frequent(dealt: DataFrame, shards: int = SHARDS, least: int = LEAST, longest: int = LONGEST, bits: int = BITS,
-             log: list | None = None) -> tuple[DataFrame, object]:
-    """(h, length, n) of every word and phrase that occurs ``least`` times, and the bitmap of their hashes.
+             log: list | None = None) -> DataFrame:
+    """(h, length, n) of every word and phrase that occurs ``least`` times.
 
-    ``log`` gets (step, shard, rows counted by length) of each scan."""
+    ``log`` gets (step, shard, entries counted by length) of each scan."""
     import numpy as np
     spark = dealt.sparkSession
-    none = np.zeros(1 << (bits - 6), np.uint64)
-    counts, reached, marks, known = [], [], [], none
-    step = 0
-    while step < shards or any(m.any() for m in marks[-shards:]):
+    total = dealt.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_WORDS)
+    cuts = (groups - 1).bit_length()
+    none = np.zeros(1 << max(0, bits - 6), np.uint64)
+    steps, marks, known = [], [], none
+    while len(steps) < shards or any(m.any() for m in marks[-shards:]):
+        step = len(steps)
         late = reduce(np.bitwise_or, marks[-shards:], none)
-        found = scan(dealt.where(F.col("shard") == step % shards), step < shards, known.tobytes(), late.tobytes(), bits, longest)
-        found = stage(found, f"phrase-scan{step}")
-        if log is not None:
-            log.append((step, step % shards, {r["length"]: r["count"] for r in found.groupBy("length").count().collect()}))
-        counts.append(found)
+        rows = scan(dealt.where(F.col("shard") == step % shards), step, step < shards, known.tobytes(), late.tobytes(), cuts, bits, longest)
         # the last scans are of different shards
-        so_far = reduce(DataFrame.unionAll, counts[-shards:]).groupBy("h", "length").agg(F.sum("n").alias("n")) \
-            .where(F.col("n") >= least).select("h", "length")
-        if reached:
-            so_far = so_far.join(_small(reduce(DataFrame.unionAll, reached)), ["h", "length"], "left_anti")
-        reached.append(stage(so_far, f"phrase-reached{step}"))
-        marks.append(_bitmap(reached[-1].where(F.col("length") < longest), bits))
+        for s in steps[max(0, step - shards + 1):]:
+            rows = rows.unionAll(s.where("kind = 1"))
+        if steps:
+            rows = rows.unionAll(steps[-1].where("kind = 2"))
+        found = stage(_merge(rows, step, least), f"phrase-scan{step}")
+        steps.append(found)
+        if log is not None:
+            log.append((step, step % shards, {r["length"]: r["n"] for r in found.where("kind = 1").groupBy("length").agg(
+                F.sum(F.octet_length("hashes") / 8).cast("long").alias("n")).collect()}))
+        marks.append(_reached_bitmap(found, bits, longest))
         known = known | marks[-1]
-        step += 1
-    names = reduce(DataFrame.unionAll, reached)
-    each = [c.withColumn("shard", F.lit(i % shards)) for i, c in enumerate(counts)]
-    total = reduce(DataFrame.unionAll, each).join(_small(names), ["h", "length"], "left_semi") \
-        .groupBy("h", "length", "shard").agg(F.max("n").alias("n")).groupBy("h", "length").agg(F.sum("n").alias("n"))
-    return stage(total, "phrase-counts"), known | _bitmap(names, bits)
+    rows = reduce(DataFrame.unionAll, [s.where("kind = 1") for s in steps], steps[-1].where("kind = 2"))
+    return stage(_totals(rows, shards), "phrase-counts")
 
 
 def spell(dealt: DataFrame, marked, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
@@ -255,7 +357,7 @@ def spell(dealt: DataFrame, marked, longest: int = LONGEST, bits: int = BITS) ->
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        seen = np.zeros(0, np.uint64)
+        seen = np.zeros(1 << SEEN, np.uint64)
 
         def by_lang():
             for b in batches:
@@ -264,18 +366,18 @@ def spell(dealt: DataFrame, marked, longest: int = LONGEST, bits: int = BITS) ->
 
         for lang, w in by_lang():
             for length, places, h in _active(w, on, on, bits, longest):
-                h, first = np.unique(h, return_index=True)
-                new = _marked(on, h, bits) & ~np.isin(h, seen, assume_unique=True)
-                h, at = h[new], places[first[new]]
+                some = np.nonzero(_marked(on, h, bits))[0]
+                h, first = np.unique(h[some], return_index=True)
+                new = _unseen(seen, h)
+                h, at = h[new], places[some[first[new]]]
                 if not len(h):
                     continue
-                seen = h if len(seen) > SEEN else np.union1d(seen, h)
                 flat = np.stack([w[at + i] for i in range(length)], axis=1).ravel().view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1, dtype=np.int32) * length), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([lang] * len(h), pa.string()), lists],
                                                  ["h", "lang", "words"])
 
-    return dealt.where("shard >= 0").select("lang", "tokens").mapInArrow(run, "h long, lang string, words array<long>")
+    return dealt.select("lang", "tokens").mapInArrow(run, "h long, lang string, words array<long>")
 
 
 def parts(phrases: DataFrame) -> DataFrame:
@@ -310,7 +412,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, ke
     """lang, rank, phrase, a, l, r, n, score of each lang's ``keep`` best phrases of 2 to ``longest`` words of
     ``docs`` (doc_id, text, lang)."""
     dealt = deal_words(docs, shards)
-    counts, marked = frequent(dealt, shards, least, longest, bits)
+    counts = frequent(dealt, shards, least, longest, bits)
+    marked = _bitmap(counts, bits)
     numbers = _small(counts.select("h", "n"))
     found = spell(dealt, marked, longest, bits).join(numbers, "h").withColumnRenamed("n", "a")
     found = stage(found.groupBy("h", "lang", "a").agg(F.min("words").alias("words")), "phrase-found")
@@ -332,16 +435,17 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, ke
     score = F.expr(SCORE)
     best = cuts.select("h", F.struct(score.alias("score"), "k", "l", "r").alias("cut")).groupBy("h").agg(F.min("cut").alias("cut"))
 
-    # spelt by the words that are needed
-    need = left.select("h", F.posexplode("words").alias("place", "w"))
-    spelt = dealt.where("shard = -1").select(F.col("h").alias("w"), F.col("word").cast("string").alias("word"))
-    spelt = spelt.join(_small(stage(need.select("w").distinct(), "phrase-need")), "w", "left_semi").groupBy("w").agg(F.min("word").alias("word"))
-    names = need.join(_small(stage(spelt, "phrase-spelt")), "w").groupBy("h") \
+    best = left.join(best, "h").select("h", "lang", "words", "a", "cut.l", "cut.r", "cut.score")
+    # all that may be among the best, ties of the last included; only these are spelt
+    place = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))
+    best = stage(best.withColumn("place", place).where(F.col("place") <= keep).drop("place"), "phrase-best")
+    need = best.select("h", F.posexplode("words").alias("place", "w"))
+    spelt = stage(spell_words(docs, stage(need.select("w").distinct(), "phrase-need"), bits), "phrase-spelt")
+    names = need.join(_small(spelt), "w").groupBy("h") \
         .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "word"))), lambda x: x["word"]), " ").alias("phrase"))
-    n = dealt.where("shard >= 0").groupBy("lang").agg(F.sum("n_words").alias("n"))
-    rows = left.join(best, "h").join(names, "h").select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    n = stage(dealt.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase-langs")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep).join(_small(n), "lang") \
+    return best.join(names, "h").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep).join(_small(n), "lang") \
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
