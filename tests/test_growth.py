@@ -47,6 +47,25 @@ def test_growth_settles_at_the_middle_scale(spark):
     assert converged and 3 < len(rounds) <= ORACLE_ROUNDS
 
 
+def test_rounds_evaluate_the_frontier_only(spark):
+    """Later rounds look at fewer towns, and end where full rounds end."""
+    from townpull.plans import growth
+    pl = places(spark, SF_MID)
+    out, rounds, _ = iterative_growth(pl, return_rounds=True)
+    n = [r.filter("evaluated").count() for r in rounds]
+    assert n[0] == rounds[0].count() and n[-1] < n[0] / 2 and sum(n[1:]) < 0.9 * n[0] * (len(n) - 1), n
+    # each round's assignment is that of an index of all metros at the round's populations
+    metros = out.filter("isMetro")
+    eff = metros.withColumn("eff_population", F.col("population").cast("long"))
+    for k, r in enumerate(rounds[:4]):
+        full = growth._assign_round(rounds[0], growth._index(eff.drop("influence_radius"), "haversine", growth.DEFAULT_CELL_DEG))
+        got = {x[0]: x[1] for x in r.select("geonameid", "assigned_metro_id").collect()}
+        assert {x[0]: x[1] for x in full.select("geonameid", "assigned_metro_id").collect()} == got, k
+        gain = r.groupBy(F.col("assigned_metro_id").alias("geonameid")).agg(F.sum("population").alias("g"))
+        eff = metros.drop("eff_population").join(gain, "geonameid", "left").withColumn(
+            "eff_population", F.col("population").cast("long") + F.coalesce("g", F.lit(0))).drop("g")
+
+
 def test_a_state_that_comes_back_raises(spark, monkeypatch):
     from townpull.plans import growth
     states = iter([1, 2, 1])

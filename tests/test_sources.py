@@ -177,3 +177,86 @@ def test_saved_candidates_under_either_name(spark):
                                    f"{name} string, polygons string")
         r = FS.decode_nested(df).first()
         assert r["candidates"][0]["metro_id"] == 3 and r["polygons"] == []
+
+
+def test_members_of_an_archive_are_tasks_of_their_own(spark, tmp_out):
+    """Stored, deflated and empty members, ends of lines across blocks, other members left out."""
+    import zipfile
+
+    from townpull.sources import archives as AR
+    folder = os.path.join(tmp_out, "zips")
+    os.makedirs(folder)
+    texts = {f"m{i}.txt": "".join(f"{i}-{j} żółć " + "x" * (j % 700) + ("\r\n" if j % 3 else "\n") for j in range(4000)) for i in range(5)}
+    texts |= {"empty.txt": "", "last.txt": "no end of line", "blank.txt": "\n\n"}
+    with zipfile.ZipFile(os.path.join(folder, "all.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in texts.items():
+            z.writestr(name, text, zipfile.ZIP_STORED if name == "m0.txt" else zipfile.ZIP_DEFLATED)
+        z.writestr("readme.md", "not a dump")
+    lines, n, _ = FS.inflate_archives(spark, folder, batch_rows=100)
+    assert n == 1 and lines.select(F.spark_partition_id()).distinct().count() >= 5
+    want = sorted(x for t in texts.values() for x in t.replace("\r\n", "\n").split("\n")[:len(t.splitlines())])
+    assert sorted(r["value"] for r in lines.collect()) == want
+    whole = FS.inflate_archives(spark, folder, by_range=False)[0]
+    assert sorted(r["value"] for r in whole.collect()) == want
+    # pieces are bounded, whatever the member's size
+    member = next(m for m in AR.members("file://" + os.path.join(folder, "all.zip"), ".txt") if m.name == "m3.txt")
+    assert b"".join(AR.inflated(member)).decode() == texts["m3.txt"]
+
+
+def test_an_archive_of_zeros_is_inflated_in_pieces(spark, tmp_out):
+    import zipfile
+
+    from townpull.sources import archives as AR
+    path = os.path.join(tmp_out, "zeros.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        with z.open("zeros.txt", "w") as f:
+            for _ in range(64):
+                f.write(b"\0" * (1 << 20))
+    (member,) = AR.members("file://" + path, ".txt")
+    assert member.packed < 100_000
+    sizes = [len(p) for p in AR.inflated(member)]
+    assert sum(sizes) == 64 << 20 and max(sizes) <= AR.INFLATED
+
+
+def test_damaged_and_foreign_archives(spark, tmp_out):
+    import zipfile
+
+    from townpull.sources import archives as AR
+    folder = os.path.join(tmp_out, "bad")
+    os.makedirs(folder)
+    path = os.path.join(folder, "a.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("a.txt", "one\ntwo\n")
+    with open(path, "r+b") as f:
+        data = f.read().replace(b"two", b"tvo", 1)
+        f.seek(0)
+        f.write(data)
+    with pytest.raises(Exception, match="damaged"):
+        FS.inflate_archives(spark, folder)[0].collect()
+    assert AR.readable_here("file:/tmp/x") and not AR.readable_here("viewfs://store/in/a.zip")
+    none = os.path.join(tmp_out, "none")
+    os.makedirs(none)
+    assert FS.ingest_zipped_dumps(spark, none).count() == 0
+
+
+def test_counts_are_observed_on_the_write(spark, tmp_out):
+    """The counts are those of a separate aggregate, and cost no job of their own."""
+    from townpull.operators.profile import stage_counts
+    from townpull.plans.assign import assign_metros, write_assigned
+    from townpull.sources.fixture import places
+    pl = places(spark, "/root/testdata/sf0.001")
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def jobs(name, fn):
+        sc.setJobGroup(name, name)
+        out = fn()
+        sc.setJobGroup("", "")
+        return out, len(tracker.getJobIdsForGroup(name))
+
+    for rule, kw in (("share_only", {}), ("share_excl_ppl", {}), ("share_only", {"chunk_size": 1})):
+        path = os.path.join(tmp_out, f"{rule}{len(kw)}")
+        counts, n = jobs(f"counted-{path}", lambda: write_assigned(pl, path, rule=rule, **kw))
+        _, plain = jobs(f"plain-{path}", lambda: assign_metros(pl, rule=rule, **kw).write.mode("overwrite").parquet(path + "-plain"))
+        assert counts == stage_counts(pl, assign_metros(pl, rule=rule)).first().asDict()
+        assert n <= plain
+        assert spark.read.parquet(path).exceptAll(spark.read.parquet(path + "-plain")).count() == 0

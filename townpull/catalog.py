@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from townpull import sqltext as S
 from townpull.operators.filters import filter_populated_places
-from townpull.plans.assign import assign_metros
+from townpull.plans.assign import assign_metros, write_assigned
 from townpull.sources.fixture import PLACES_COLUMNS, places
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,7 +79,8 @@ from townpull.operators import filters as B  # noqa: E402
 from townpull.operators import metro_rules as MR  # noqa: E402
 from townpull.operators import profile as PR  # noqa: E402
 from townpull.operators import setops as SO  # noqa: E402
-from townpull.operators.radius_join import bbox_candidates, radius_join  # noqa: E402
+from townpull.operators.radius_join import bbox_candidates, build_cell_index, radius_join  # noqa: E402
+from townpull.operators.stored_index import attach_stored, load_cell_index, save_cell_index, save_places_by_cell  # noqa: E402
 from townpull.operators.ranking import best_candidate, strongest_metros  # noqa: E402
 from townpull.plans.assign import attach_best, with_radius  # noqa: E402
 from townpull.plans.maps import assignment_lines  # noqa: E402
@@ -151,6 +152,13 @@ _q("c5_stage_counts",
    "count(*) FILTER (WHERE NOT isMetro AND assigned_metro_id IS NOT NULL) AS assigned "
    f"FROM ({_assign_sql('share_only', 'haversine')}) a",
    lambda sp, sf: PR.stage_counts(places(sp, sf), QUERIES["p1_assign_share_only_haversine"](sp, sf)))
+def _c5_of_write(sp, sf):
+    counts = write_assigned(places(sp, sf), scratch_path(sp, "assigned"), rule="share_only")
+    return sp.createDataFrame([tuple(counts[c] for c in ("loaded", "populated", "metros", "non_metros", "assigned"))],
+                              "loaded long, populated long, metros long, non_metros long, assigned long")
+
+
+_q("c5_counts_of_write", ORACLE["c5_stage_counts"], _c5_of_write)
 _q("c6_map_center", _PP + "SELECT round(avg(latitude), 6) AS mean_lat, round(avg(longitude), 6) AS mean_lon FROM pop",
    lambda sp, sf: round_doubles(PR.map_center(_populated(sp, sf))))
 
@@ -234,6 +242,19 @@ _q("d3_bbox_candidates", _pairs_sql("haversine") +
 _q("d4_attach_best", _pairs_sql("haversine") +
    f"SELECT {S.cols('t')}, t.isMetro, b.mid AS assigned_metro_id FROM towns t LEFT JOIN best b ON t.geonameid = b.tid",
    lambda sp, sf: attach_best(*reversed(_metros_towns(sp, sf))))
+
+
+def _d4_stored(sp, sf):
+    """Index and towns are written by cell, loaded again and joined bucket by bucket."""
+    towns, metros = reversed(_metros_towns(sp, sf))
+    at, by = scratch_path(sp, "stored-index"), scratch_path(sp, "stored-towns")
+    save_cell_index(build_cell_index(metros), at)
+    save_places_by_cell(towns, by)
+    out = attach_stored(sp, by, load_cell_index(sp, at, broadcast=False), "best")
+    return out.select(*towns.columns, F.col("best.metro_id").alias("assigned_metro_id"))
+
+
+_q("d4_attach_best_stored", ORACLE["d4_attach_best"], _d4_stored)
 _q("d7_assignment_lines",
    f"WITH a AS ({_assign_sql('share_only', 'haversine')}) SELECT t.geonameid AS id, t.latitude AS lat, "
    "t.longitude AS lon, m.latitude AS metro_lat, m.longitude AS metro_lon FROM a t JOIN a m "
@@ -290,13 +311,15 @@ _q("c9_best_of_candidates", S.with_(S.PLACES, S.POP, *S.pairs_ctes("admin_seat",
 from townpull.functions import geo as G  # noqa: E402
 from townpull.functions import style as ST  # noqa: E402
 from townpull.operators import boundaries as BD  # noqa: E402
+from townpull.operators import regions as RG  # noqa: E402
 from townpull.plans import growth as GR  # noqa: E402
 from townpull.plans import maps as MP  # noqa: E402
 from townpull.schema import assigned_schema  # noqa: E402
 from townpull.session import scratch_path  # noqa: E402
 from townpull.sources import boundaries as SB  # noqa: E402
 from townpull.sources import files as FS  # noqa: E402
-from townpull.sources.fixture import diamond_boundaries, diamond_ring  # noqa: E402
+from townpull.sources.fixture import (WIDE_DLAT, WIDE_DLON, adjoining_squares, bow_tie, diamond_boundaries,  # noqa: E402
+                                      diamond_ring, ring_of)
 
 _PLACES_ALL = _P + "SELECT * FROM places"
 
@@ -505,6 +528,120 @@ _q("g10_ring_is_usable", _FLAG7 + ", m AS (SELECT * FROM flag WHERE isMetro) SEL
    "v(variant, usable)", _ring_variants)
 
 
+# ---- regions: shared borders, rings that cross themselves, rings over the antimeridian
+def _with_rings(sp, sf, polygons):
+    f = MR.flag_metros(_populated(sp, sf), "share_only")
+    return f.withColumn("polygons", F.when(F.col("isMetro"), polygons))
+
+
+def _border_places(sp, sf):
+    """Populated places whose metros hold two adjoining squares, and for each metro places on the
+    common side, at that side's end, on the outer side and at an outer corner."""
+    lat, lon = F.col("latitude"), F.col("longitude")
+    df = _with_rings(sp, sf, adjoining_squares(lat, lon))
+    spots = F.array(*(F.struct(F.lit(i * 10_000_000).alias("k"), a.alias("a"), o.alias("o")) for i, (a, o) in enumerate((
+        (lat + 0.0503, lon), (lat, lon), (lat + WIDE_DLAT, lon), (lat + 0.0503, lon + WIDE_DLON),
+        (lat - WIDE_DLAT, lon - WIDE_DLON)), 1)))
+    extra = df.filter("isMetro").withColumn("s", F.explode(spots))
+    new = {"geonameid": (F.col("geonameid") + F.col("s.k")).cast("int"), "latitude": F.col("s.a"), "longitude": F.col("s.o"),
+           "isMetro": F.lit(False), "polygons": F.lit(None).cast(df.schema["polygons"].dataType)}
+    return df.unionByName(extra.select(*(new[c].alias(c) if c in new else F.col(c) for c in df.columns)))
+
+
+_q("d6_remove_nested_adjoining", _FLAG7 + f""", m AS (SELECT * FROM flag WHERE isMetro),
+spot AS (SELECT geonameid, latitude, longitude FROM flag WHERE NOT isMetro
+  UNION ALL SELECT geonameid + 10000000, latitude + 503e-4, longitude FROM m
+  UNION ALL SELECT geonameid + 20000000, latitude, longitude FROM m
+  UNION ALL SELECT geonameid + 30000000, latitude + {WIDE_DLAT}e0, longitude FROM m
+  UNION ALL SELECT geonameid + 40000000, latitude + 503e-4, longitude + {WIDE_DLON}e0 FROM m
+  UNION ALL SELECT geonameid + 50000000, latitude - {WIDE_DLAT}e0, longitude - {WIDE_DLON}e0 FROM m)
+SELECT geonameid, true AS has_boundary FROM m
+UNION ALL
+SELECT geonameid, false FROM spot t WHERE NOT EXISTS (SELECT 1 FROM m WHERE
+  t.latitude > m.latitude - {WIDE_DLAT}e0 AND t.latitude < m.latitude + {WIDE_DLAT}e0
+  AND t.longitude > m.longitude - {WIDE_DLON}e0 AND t.longitude < m.longitude + {WIDE_DLON}e0)""",
+   lambda sp, sf: BD.remove_nested(_border_places(sp, sf)).select("geonameid", B.has_polygons().alias("has_boundary")))
+
+
+def _outline(sp, sf):
+    rings = BD.boundary_rings(_with_rings(sp, sf, adjoining_squares(F.col("latitude"), F.col("longitude"))))
+    return round_doubles(RG.boundary_outline(rings))
+
+
+_q("c11_boundary_outline", _FLAG7 + f""", m AS (SELECT DISTINCT latitude AS y, longitude AS x FROM flag WHERE isMetro),
+c AS (SELECT y, x, y - {WIDE_DLAT}e0 AS s, y + {WIDE_DLAT}e0 AS n, x - {WIDE_DLON}e0 AS w, x + {WIDE_DLON}e0 AS e FROM m),
+edge(a, b, c, d) AS (SELECT s, w, s, x FROM c UNION ALL SELECT s, x, s, e FROM c UNION ALL SELECT s, e, n, e FROM c
+  UNION ALL SELECT n, e, n, x FROM c UNION ALL SELECT n, x, n, w FROM c UNION ALL SELECT n, w, s, w FROM c
+  -- the common side: the halves differ in their vertices, so both keep it
+  UNION ALL SELECT s, x, n, x FROM c UNION ALL SELECT n, x, y, x FROM c UNION ALL SELECT y, x, s, x FROM c)
+SELECT round(a, 6) AS lat_a, round(b, 6) AS lon_a, round(c, 6) AS lat_b, round(d, 6) AS lon_b FROM edge""", _outline)
+
+
+def _grid_outline(sp, sf):
+    """Outline of one-degree districts (every lattice square that holds a metro), which share whole sides."""
+    m = _b7_metros(sp, sf).select(F.floor("latitude").cast("double").alias("s"), F.floor("longitude").cast("double").alias("w")).distinct()
+    s, w = F.col("s"), F.col("w")
+    rings = m.select(F.when((s + w) % 2 == 0, ring_of((s, w), (s, w + 1), (s + 1, w + 1), (s + 1, w)))
+                     .otherwise(ring_of((s, w), (s + 1, w), (s + 1, w + 1), (s, w + 1))).alias("ring"))
+    return RG.boundary_outline(rings)
+
+
+_q("c11_district_outline", _FLAG7 + """, m AS (SELECT DISTINCT CAST(floor(latitude) AS DOUBLE) AS s, CAST(floor(longitude) AS DOUBLE) AS w
+  FROM flag WHERE isMetro)
+SELECT s AS lat_a, w AS lon_a, s AS lat_b, w + 1 AS lon_b FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.s = m.s - 1 AND o.w = m.w)
+UNION ALL SELECT s, w + 1, s + 1, w + 1 FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.s = m.s AND o.w = m.w + 1)
+UNION ALL SELECT s + 1, w + 1, s + 1, w FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.s = m.s + 1 AND o.w = m.w)
+UNION ALL SELECT s + 1, w, s, w FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.s = m.s AND o.w = m.w - 1)""", _grid_outline)
+
+
+_q("d6_remove_nested_crossing", _FLAG7 + f""", m AS (SELECT * FROM flag WHERE isMetro)
+SELECT geonameid, true AS has_boundary FROM m
+UNION ALL
+SELECT t.geonameid, false FROM flag t WHERE NOT t.isMetro AND NOT EXISTS (SELECT 1 FROM m WHERE
+  abs(t.latitude - m.latitude) / {WIDE_DLAT}e0 < abs(t.longitude - m.longitude) / {WIDE_DLON}e0
+  AND abs(t.longitude - m.longitude) < {WIDE_DLON}e0)""",
+   lambda sp, sf: BD.remove_nested(_with_rings(sp, sf, F.array(bow_tie(F.col("latitude"), F.col("longitude")))))
+   .select("geonameid", B.has_polygons().alias("has_boundary")))
+
+
+def _over_antimeridian(sp, sf):
+    """The same places moved east by 161 degrees, so that many diamonds pass the antimeridian."""
+    def wrapped(lon):
+        return F.when(lon > 180.0, lon - 360.0).otherwise(lon)
+    lat, lon = F.col("latitude"), F.col("longitude")
+    ring = F.transform(diamond_ring(lat, lon + 161.0, WIDE_DLAT, WIDE_DLON),
+                       lambda p: F.struct(p["lat"].alias("lat"), wrapped(p["lon"]).alias("lon")))
+    return _with_rings(sp, sf, F.array(ring)).withColumn("longitude", wrapped(lon + 161.0))
+
+
+_q("d6_remove_nested_antimeridian", _FLAG7 + f""", m AS (SELECT * FROM flag WHERE isMetro)
+SELECT geonameid, true AS has_boundary FROM m
+UNION ALL
+SELECT t.geonameid, false FROM flag t WHERE NOT t.isMetro AND NOT EXISTS (SELECT 1 FROM m WHERE
+  abs(t.latitude - m.latitude) / {WIDE_DLAT}e0 + abs(t.longitude - m.longitude) / {WIDE_DLON}e0 < 1e0)""",
+   lambda sp, sf: BD.remove_nested(_over_antimeridian(sp, sf)).select("geonameid", B.has_polygons().alias("has_boundary")))
+
+
+def _ring_verdicts(sp, sf):
+    lat, lon = F.col("latitude"), F.col("longitude")
+
+    def pt(a, o):
+        return F.struct((lat + a).alias("lat"), (lon + o).alias("lon"))
+    shapes = {"diamond": diamond_ring(lat, lon), "bow_tie": bow_tie(lat, lon),
+              "two_point": F.array(pt(0.0, 0.0), pt(0.1, 0.0)),
+              "notch": F.array(pt(0.0, 0.0), pt(0.0, 0.4), pt(0.4, 0.4), pt(0.1, 0.2), pt(0.4, 0.0)),
+              "pierced": F.array(pt(0.0, 0.0), pt(0.0, 0.4), pt(0.4, 0.4), pt(-0.1, 0.2), pt(0.4, 0.0)),
+              "spike": F.array(pt(0.0, 0.0), pt(0.0, 0.4), pt(0.4, 0.4), pt(0.0, 0.4), pt(-0.3, 0.1))}
+    rings = _b7_metros(sp, sf).select("geonameid", F.inline(F.array(*(
+        F.struct(F.lit(k).alias("variant"), r.alias("ring")) for k, r in shapes.items()))))
+    return RG.ring_verdicts(rings).select("geonameid", "variant", "usable", "crossing")
+
+
+_q("g10_ring_verdicts", _FLAG7 + """, m AS (SELECT * FROM flag WHERE isMetro) SELECT m.geonameid, v.variant, v.usable, v.crossing
+FROM m CROSS JOIN (VALUES ('diamond', true, false), ('bow_tie', true, true), ('two_point', false, false), ('notch', true, false),
+  ('pierced', true, true), ('spike', true, true)) v(variant, usable, crossing)""", _ring_verdicts)
+
+
 # ------------------------------------------------------- G expressions -------
 def _geo_exprs(sp, sf):
     p = _populated(sp, sf)

@@ -150,11 +150,20 @@ def ring_area2(ring: ColumnOrName) -> Column:
 
 
 def ring_is_usable(ring: ColumnOrName) -> Column:
-    """At least 3 distinct non-null vertices and a non-zero area."""
+    """At least 3 distinct non-null vertices that are not all on one line. The signed areas of
+    a ring that crosses itself may cancel; it is usable all the same. So is one over the antimeridian
+    (an edge spans over 180 degrees), which may go round a pole along one latitude."""
     r = _c(ring)
     no_nulls = ~F.exists(r, lambda p: p.isNull() | p["lat"].isNull() | p["lon"].isNull())
     # a vertex unlike the first, and one unlike both: one pass each, however many there are
     first = F.get(r, 0)
     other = F.get(F.filter(r, lambda p: p != first), 0)
     distinct_ok = F.exists(r, lambda p: (p != first) & (p != other))
-    return F.coalesce(r.isNotNull() & no_nulls & distinct_ok & (F.abs(ring_area2(r)) > F.lit(1e-12)), F.lit(False))
+
+    def fan(e):   # twice the area of the triangle of an edge and the first vertex
+        return F.abs((e["a"]["lon"] - first["lon"]) * (e["b"]["lat"] - first["lat"])
+                     - (e["b"]["lon"] - first["lon"]) * (e["a"]["lat"] - first["lat"]))
+
+    spread = F.aggregate(edge_pairs(r), F.lit(0.0), lambda acc, e: acc + fan(e))
+    over = F.exists(edge_pairs(r), lambda e: F.abs(e["b"]["lon"] - e["a"]["lon"]) > 180.0)
+    return F.coalesce(r.isNotNull() & no_nulls & distinct_ok & ((spread > F.lit(1e-12)) | over), F.lit(False))

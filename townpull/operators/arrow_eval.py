@@ -12,6 +12,7 @@ shuffled. The formulas follow the Column versions operation for operation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,10 +147,11 @@ def _flat_list(arr: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return arr.flatten(), pc.list_value_length(arr).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def point_in_rings_batches(out_col: str, drop: list[str]):
+def point_in_rings_batches(out_col: str, arcs_col: str, drop: list[str]):
     """Build the ``mapInArrow`` function for nested removal: joined rows (point
     ``latitude``/``longitude`` + ``_rings`` of its cell) -> rows + ``out_col`` = strictly
-    inside any ring (even-odd crossings; on an edge or vertex counts as outside). The
+    inside any ring (even-odd crossings; on an edge or vertex counts as outside) + ``arcs_col`` = for
+    other points, what each ring on whose border they lie takes around them (``regions.arc``). The
     arithmetic is the Column version's, edge for edge."""
     limit = MAX_PAIRS_PER_SLICE
 
@@ -165,13 +167,17 @@ def point_in_rings_batches(out_col: str, drop: list[str]):
             edges = np.bincount(owner, weights=v_per_ring, minlength=whole.num_rows).astype(np.int64) \
                 if len(flat_r) else np.zeros(whole.num_rows, np.int64)
             for batch in _slices(whole, edges, limit):
-                yield _inside(batch, out_col, drop)
+                yield _inside(batch, out_col, arcs_col, drop)
 
     return fn
 
 
-def _inside(batch: pa.RecordBatch, out_col: str, drop: list[str]) -> pa.RecordBatch:
+ARC = pa.list_(pa.struct([("odd", pa.bool_()), ("angles", pa.list_(pa.float64()))]))
+
+
+def _inside(batch: pa.RecordBatch, out_col: str, arcs_col: str, drop: list[str]) -> pa.RecordBatch:
     n = batch.num_rows
+    arcs: dict[int, list] = {}
     rings, per_point = _flat_list(batch.column(batch.schema.get_field_index("_rings")))
     inside_pt = np.zeros(n, dtype=bool)
     if len(rings):
@@ -183,7 +189,8 @@ def _inside(batch: pa.RecordBatch, out_col: str, drop: list[str]) -> pa.RecordBa
             edge_ring = np.repeat(np.arange(len(per_ring)), per_ring)
             p = ring_owner[edge_ring]
             y = _col(batch, "latitude").astype(np.float64)[p]
-            x = _col(batch, "longitude").astype(np.float64)[p]
+            lon = _col(batch, "longitude").astype(np.float64)
+            x = np.where(lon >= 180.0, lon - 360.0, lon)[p]
             ay, ax, by, bx = (segments.field(end).field(c).to_numpy(zero_copy_only=False)
                               for end in ("a", "b") for c in ("lat", "lon"))
             with np.errstate(invalid="ignore", divide="ignore"):
@@ -198,7 +205,19 @@ def _inside(batch: pa.RecordBatch, out_col: str, drop: list[str]) -> pa.RecordBa
             touching = np.bincount(edge_ring, weights=on_edge, minlength=n_ring) > 0
             inside_ring = (~touching) & (n_cross % 2 == 1)
             inside_pt |= np.bincount(ring_owner, weights=inside_ring, minlength=n) > 0
+            near = np.nonzero(on_edge & ~inside_pt[p])[0]   # few: places on a border
+            if len(near):
+                odd = np.bincount(edge_ring, weights=crosses & ~on_edge, minlength=n_ring) % 2 == 1
+                ways: dict[int, list[float]] = {}
+                for i in near.tolist():
+                    for end_y, end_x in ((ay[i], ax[i]), (by[i], bx[i])):
+                        if end_y != y[i] or end_x != x[i]:
+                            t = math.atan2(end_y - y[i], end_x - x[i])
+                            ways.setdefault(int(edge_ring[i]), []).append(t + 2 * math.pi if t <= 0 else t)
+                for ring, angles in ways.items():
+                    arcs.setdefault(int(ring_owner[ring]), []).append({"odd": bool(odd[ring]), "angles": angles})
     keep_cols = [i for i, f in enumerate(batch.schema) if f.name not in drop]
-    arrays = [batch.column(i) for i in keep_cols] + [pa.array(inside_pt, pa.bool_())]
-    names_out = [batch.schema.field(i).name for i in keep_cols] + [out_col]
+    around = pa.array([arcs.get(i) for i in range(n)], ARC) if arcs else pa.nulls(n, ARC)
+    arrays = [batch.column(i) for i in keep_cols] + [pa.array(inside_pt, pa.bool_()), around]
+    names_out = [batch.schema.field(i).name for i in keep_cols] + [out_col, arcs_col]
     return pa.RecordBatch.from_arrays(arrays, names=names_out)

@@ -1,8 +1,10 @@
 """Boundary enrichment and nested-place removal.
 
 Nested removal keeps every row that has polygons and drops a polygon-less row when
-it lies strictly inside any usable ring (even-odd rule; holes are not kept, the
-union of all rings is implicit in "inside any ring").
+it lies inside the union of all usable rings (even-odd rule for each; holes are not
+kept): strictly inside a ring, or on borders of rings that together leave no direction
+around it free, as on a border that two districts share (``regions.covers_circle``). On
+the union's own border a place stays. Rings over the antimeridian are split there first.
 
 Plan of D6: a ring's edges are grouped by rows of grid cells; a cell near an edge gets
 the edges of its row, a cell inside gets a mark (``_ring_cells``). These entries are
@@ -17,7 +19,7 @@ per-chunk results with one aggregation per row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +27,7 @@ from townpull.functions.geo import edge_pairs, inside_edges, ring_is_usable
 from townpull.operators.filters import has_polygons, split_boundaries
 from townpull.operators.metro_rules import flag_metros
 from townpull.operators.radius_join import _grid, _lat_idx
+from townpull.operators.regions import ARCS, arc, covers_circle, split_antimeridian
 from townpull.operators.setops import recombine
 from townpull.operators.sizing import DEFAULT_BROADCAST_ROWS, join_small, materialize, row_hash
 
@@ -40,7 +43,8 @@ def attach_boundaries(df: DataFrame, boundaries: DataFrame, fanout: bool = False
     Default: boundaries are first reduced to one per (country_code, name) (the one
     with the most rings, then the shortest and then smallest text form) so a repeated name cannot
     multiply rows. ``fanout=True`` joins on ``name`` alone without reduction, as the
-    source does (n x m rows for repeated names).
+    source does: n x m rows for a name that n places and m boundaries have, which grows with the
+    square of a hot name; it is there for parity, at scale use the default.
     """
     if fanout:
         return df.join(boundaries.select("name", "polygons"), "name", "left")
@@ -95,24 +99,39 @@ def _ring_cells(rings: DataFrame, cell_deg: float) -> DataFrame:
                         F.greatest(F.size(kept), F.lit(1)).alias("nv"))
 
 
-def _inside_flag(df: DataFrame, keep: list[str], engine: str) -> DataFrame:
-    """``keep`` columns + ``_in`` (point strictly inside any ring of ``_rings``)."""
+def _region_flags(df: DataFrame, keep: list[str], engine: str) -> DataFrame:
+    """``keep`` columns + ``_in`` (point strictly inside any ring of ``_rings``) + ``_arcs`` (for other
+    points, what each ring on whose border it lies takes around it)."""
     if engine == "arrow":
         from townpull.operators.arrow_eval import point_in_rings_batches
-        schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("_in", T.BooleanType())])
+        arcs = T.DataType.fromDDL(ARCS)
+        schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("_in", T.BooleanType()), T.StructField("_arcs", arcs)])
         staged = df.select(*keep, *[c for c in ("latitude", "longitude", "_rings") if c not in keep])
         drop = [c for c in staged.columns if c not in keep]
-        return staged.mapInArrow(point_in_rings_batches("_in", drop), schema)
-    lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    inside = F.exists(F.coalesce(F.col("_rings"), F.array()), lambda r: r["full"] | inside_edges(lat, lon, r["edges"]))
-    return df.select(*keep, F.coalesce(inside, F.lit(False)).alias("_in"))
+        return staged.mapInArrow(point_in_rings_batches("_in", "_arcs", drop), schema)
+    lat, lon = F.col("latitude").cast("double"), _turned(F.col("longitude"))
+    rings = F.coalesce(F.col("_rings"), F.array())
+    inside = F.coalesce(F.exists(rings, lambda r: r["full"] | inside_edges(lat, lon, r["edges"])), F.lit(False))
+    around = F.filter(F.transform(rings, lambda r: arc(lat, lon, r["edges"])), lambda a: F.size(a["angles"]) > 0)
+    return df.select(*keep, inside.alias("_in"), F.when(~inside & lat.isNotNull() & lon.isNotNull(), around).alias("_arcs"))
+
+
+def _turned(lon: Column) -> Column:
+    """Longitudes from 180 on are those of the other side of the antimeridian."""
+    lon = lon.cast("double")
+    return F.when(lon >= 180.0, lon - 360.0).otherwise(lon)
+
+
+def _outside() -> Column:
+    return ~(F.col("_in") | F.coalesce(covers_circle(F.col("_arcs")), F.lit(False)))
 
 
 def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAULT_RING_CHUNK,
                   max_broadcast_vertices: int = DEFAULT_BROADCAST_VERTICES, engine: str = "arrow",
                   vertex_chunk: int = DEFAULT_VERTEX_CHUNK) -> DataFrame:
-    """Keep rows with polygons; drop polygon-less rows strictly inside any
-    usable ring of any boundary row. ``engine="arrow"`` runs the crossing test
+    """Keep rows with polygons; drop polygon-less rows inside the union of all
+    usable rings of all boundary rows. A ring that crosses itself counts by the even-odd
+    rule. ``engine="arrow"`` runs the crossing test
     Arrow-batched with numpy (same arithmetic), ``"jvm"`` with higher-order functions.
     A cell's ring list is split into chunks of at most ``chunk_size`` rings and about
     ``vertex_chunk`` edges; of a ring a cell holds the edges of its row of cells only."""
@@ -123,7 +142,7 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAU
     n_lat, n_lon = _grid(cell_deg)
     holders, rest = split_boundaries(df)
     cols = df.columns
-    rc = materialize(_ring_cells(boundary_rings(holders), cell_deg))
+    rc = materialize(_ring_cells(split_antimeridian(materialize(boundary_rings(holders))), cell_deg))
     counts = rc.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("nv").alias("v"))
     counts = counts.withColumn("n_chunks", F.least(F.col("n"), F.greatest(
         F.ceil(F.col("n") / F.lit(chunk_size)), F.ceil(F.col("v") / F.lit(vertex_chunk)))).cast("int"))
@@ -155,19 +174,21 @@ def remove_nested(df: DataFrame, cell_deg: float = 0.25, chunk_size: int = DEFAU
     pts = rest.withColumn("_cell", cell)
     if hot is None:
         joined = pts.join(side(table.select("_cell", "_rings")), "_cell", "left")
-        kept = _inside_flag(joined, cols, engine).filter(~F.col("_in")).select(*cols)
+        kept = _region_flags(joined, cols, engine).filter(_outside()).select(*cols)
         return recombine(holders, kept)
     pts = join_small(pts, hot.withColumn("_hot", F.lit(True)), "_cell", "left")
     cool = pts.filter(F.col("_hot").isNull()).join(
         side(table.filter(F.col("n_chunks") == 1).select("_cell", "_rings")), "_cell", "left")
-    cool = _inside_flag(cool, cols, engine).filter(~F.col("_in")).select(*cols)
+    cool = _region_flags(cool, cols, engine).filter(_outside()).select(*cols)
     # row numbers are given to a stored copy, so that a task that runs again gives the same
     warm = materialize(pts.filter(F.col("_hot"))).withColumn("_rk", F.monotonically_increasing_id()).join(side(table.filter(F.col("n_chunks") > 1).select("_cell", "_rings")),
                                           "_cell", "inner")
-    warm = _inside_flag(warm, cols + ["_rk"], engine)
+    warm = _region_flags(warm, cols + ["_rk"], engine)
     row = F.struct(*[F.col(c) for c in cols])
-    warm_kept = (warm.groupBy("_rk").agg(F.first(row).alias("_row"), F.bool_or("_in").alias("_in"))
-                 .filter(~F.col("_in")).select("_row.*"))
+    # borders through one point; rings that are alike there count once
+    arcs = F.flatten(F.collect_set(F.when(F.size("_arcs") > 0, F.array_distinct("_arcs"))))
+    warm_kept = (warm.groupBy("_rk").agg(F.first(row).alias("_row"), F.bool_or("_in").alias("_in"), arcs.alias("_arcs"))
+                 .filter(_outside()).select("_row.*"))
     return recombine(holders, cool.unionByName(warm_kept))
 
 

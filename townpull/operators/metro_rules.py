@@ -62,26 +62,28 @@ def seat_admin2(df: DataFrame, scope: str = "global", codes=SEAT_CODES) -> DataF
             .select(*keys).distinct())
 
 
-def _with_threshold(df: DataFrame, share: float, scope: str) -> tuple[DataFrame, Column]:
+def _with_threshold(df: DataFrame, share: float, scope: str, basis: DataFrame | None = None) -> tuple[DataFrame, Column]:
+    basis = df if basis is None else basis
     if scope == "global":
-        mx = df.agg(F.max(F.col("population")).alias("m")).scalar()
+        mx = basis.agg(F.max(F.col("population")).alias("m")).scalar()
         return df, mx.cast("double") * F.lit(float(share))
-    thr = (population_threshold(df, share, scope).filter(F.col("country_code").isNotNull())
+    thr = (population_threshold(basis, share, scope).filter(F.col("country_code").isNotNull())
            .select("country_code", F.col("threshold").alias("_thr")))
     return join_small(df, thr, "country_code", "left", null_spread=True), F.col("_thr")
 
 
-def _with_seat_flag(df: DataFrame, scope: str) -> tuple[DataFrame, Column]:
+def _with_seat_flag(df: DataFrame, scope: str, basis: DataFrame | None = None) -> tuple[DataFrame, Column]:
     keys = _seat_keys(scope)
-    seats = seat_admin2(df, scope).withColumn("_seat", F.lit(True))
+    seats = seat_admin2(df if basis is None else basis, scope).withColumn("_seat", F.lit(True))
     joined = join_small(df, seats, keys, "left", null_spread=True)
     return joined, F.coalesce(F.col("_seat"), F.lit(False))
 
 
 def flag_metros(df: DataFrame, rule: str = "share_excl_ppl", share: float = METRO_SHARE,
                 scope: str = "global", min_pop: int = ADMIN_SEAT_MIN_POPULATION,
-                flag: str = "isMetro") -> DataFrame:
-    """Add a never-null boolean ``isMetro`` under the named rule."""
+                flag: str = "isMetro", basis: DataFrame | None = None) -> DataFrame:
+    """Add a never-null boolean ``isMetro`` under the named rule. The facts it needs (largest
+    population, seat areas) are those of ``basis``, by default of ``df`` itself."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     if flag in df.columns:  # re-flagging an already flagged table replaces the flag
@@ -90,14 +92,14 @@ def flag_metros(df: DataFrame, rule: str = "share_excl_ppl", share: float = METR
     pop = F.col("population")
     code = F.col("feature_code")
     if rule == "share_only":
-        out, thr = _with_threshold(df, share, scope)
+        out, thr = _with_threshold(df, share, scope, basis)
         mask = pop >= thr
     elif rule == "share_excl_ppl":
-        out, thr = _with_threshold(df, share, scope)
-        out, seat = _with_seat_flag(out, scope)
+        out, thr = _with_threshold(df, share, scope, basis)
+        out, seat = _with_seat_flag(out, scope, df if basis is None else basis)
         mask = (pop >= thr) & ~((code == "PPL") & seat)
     else:
-        out, seat = _with_seat_flag(df, scope)
+        out, seat = _with_seat_flag(df, scope, basis)
         mask = code.isin(ADMIN_SEAT_METRO_CODES) | ((code == "PPL") & (pop > min_pop) & ~seat)
     return out.select(*cols, F.coalesce(mask, F.lit(False)).alias(flag))
 

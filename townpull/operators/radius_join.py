@@ -111,19 +111,22 @@ def _metro_entries(metros: DataFrame, metric: str) -> DataFrame:
         F.col("latitude").cast("double").alias("lat"),
         F.col("longitude").cast("double").alias("lon"),
         r.cast("double").alias("radius"),
+        (F.greatest(F.col("reach"), r) if "reach" in metros.columns else r).cast("double").alias("reach"),
+        *(["changed"] if "changed" in metros.columns else []),
     ).filter(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("radius").isNotNull()
              & (F.col("radius") > 0))
 
 
 def metro_cells(metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
                 with_names: bool = True) -> DataFrame:
-    """One row per (cell, metro) for every cell the metro's box touches. The entry
-    carries the name only if ``with_names`` and the Mercator ordinate only for that
+    """One row per (cell, metro) for every cell the metro's box touches (its box at ``reach`` where
+    there is such a column, never smaller than the radius). The entry carries the name only if ``with_names`` and the Mercator ordinate only for that
     metric, so the arrays joined onto every town stay as small as the job needs."""
     n_lat, n_lon = _grid(cell_deg)
     c = cell_deg
     m = _metro_entries(metros, metric)
-    lat_half, lon_half, all_lon = metro_box(F.col("lat"), F.col("radius"), metric)
+    marks = [c for c in ("changed",) if c in metros.columns]
+    lat_half, lon_half, all_lon = metro_box(F.col("lat"), F.col("reach"), metric)
     lo_raw = _lon_idx_raw(F.col("lon") - lon_half, c)
     hi_raw = _lon_idx_raw(F.col("lon") + lon_half, c)
     every_lon = all_lon | (hi_raw - lo_raw + 1 >= n_lon)
@@ -137,7 +140,7 @@ def metro_cells(metros: DataFrame, metric: str = "haversine", cell_deg: float =
     fields = ["metro_id"] + (["metro_name"] if with_names else []) + ["lat", "lon", "radius"]
     extra = [mercator_y(F.col("lat")).alias("y")] if metric == "mercator_cos" else []
     entry = F.struct(*fields, *extra)
-    return m.select(F.explode(F.array_distinct(cells.cast("array<long>"))).alias("cell"), entry.alias("m"))
+    return m.select(F.explode(F.array_distinct(cells.cast("array<long>"))).alias("cell"), entry.alias("m"), *marks)
 
 
 @dataclass
@@ -159,12 +162,29 @@ class CellIndex:
 def build_cell_index(metros: DataFrame, metric: str = "haversine", cell_deg: float = DEFAULT_CELL_DEG,
                      chunk_size: int = DEFAULT_CHUNK,
                      max_broadcast_entries: int = DEFAULT_BROADCAST_ENTRIES,
-                     with_names: bool = True) -> CellIndex:
+                     with_names: bool = True, at_most: int | None = None) -> CellIndex:
+    """With a column ``changed``, only cells that a changed metro reaches are indexed, with all their metros.
+
+    ``at_most``: a known bound of the number of metros. Where that is within ``chunk_size`` no cell can
+    hold more, and the lists are made at once, without a count of each cell before."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     if chunk_size < 1:
         raise ValueError("chunk_size must be >= 1")
-    mc = materialize(metro_cells(metros, metric, cell_deg, with_names))
+    mc = metro_cells(metros, metric, cell_deg, with_names)
+    if at_most is not None and at_most <= chunk_size:
+        marked = F.bool_or("changed") if "changed" in metros.columns else F.lit(True)
+        table = mc.groupBy("cell").agg(F.collect_list("m").alias("metros"), marked.alias("t")).filter("t") \
+            .select("cell", F.lit(0).alias("chunk"), F.lit(1).alias("n_chunks"), "metros")
+        table = materialize(table)
+        st = table.agg(F.count(F.lit(1)).alias("cells"), F.coalesce(F.max(F.size("metros")), F.lit(0)).alias("mx"),
+                       F.coalesce(F.sum(F.size("metros")), F.lit(0)).alias("total")).first()
+        bc = st["total"] <= max_broadcast_entries and st["cells"] <= DEFAULT_BROADCAST_ROWS
+        return CellIndex(table, metric, cell_deg, bc, None, int(st["total"]), int(st["cells"]), int(st["mx"]), with_names)
+    mc = materialize(mc)
+    if "changed" in metros.columns:
+        touched = mc.groupBy("cell").agg(F.bool_or("changed").alias("t")).filter("t").select("cell")
+        mc = mc.drop("changed").join(touched, "cell", "left_semi")
     counts = mc.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     st = counts.agg(F.count(F.lit(1)).alias("cells"), F.coalesce(F.max("n"), F.lit(0)).alias("mx"),
                     F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
@@ -234,15 +254,15 @@ def best_of(col: Column) -> Column:
 
 
 def _town_prep(towns: DataFrame, metric: str, cell_deg: float, skip: Column | None = None,
-               spread_nulls: bool = False) -> DataFrame:
+               spread_nulls: bool = False, cell_col: str | None = None) -> DataFrame:
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    cell = town_cell(lat, lon, metric, cell_deg)
+    cell = F.col(cell_col) if cell_col else town_cell(lat, lon, metric, cell_deg)
     if skip is not None:
         cell = F.when(F.coalesce(skip, F.lit(False)), F.lit(None).cast("long")).otherwise(cell)
     out = towns.withColumn("_tlat", lat).withColumn("_tlon", lon) \
         .withColumn("_tcos", F.cos(F.radians(lat))) \
         .withColumn("_cell", F.coalesce(cell, F.lit(-3).cast("long") - F.shiftrightunsigned(row_hash(towns), 2))
-                    if spread_nulls
+                    if spread_nulls and not cell_col
                     # shuffle join: rows without a cell (no coordinates, skipped) get a key made from the
                     # row that matches nothing, so they spread over partitions instead of one
                     else cell)
@@ -256,7 +276,7 @@ _TMP = ["_tlat", "_tlon", "_tcos", "_cell", "_ty", "_metros", "_rk", "_hot", "_l
 
 def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
                       out_col: str | None = None, skip: Column | None = None,
-                      engine: str | None = None) -> DataFrame:
+                      engine: str | None = None, cell_col: str | None = None) -> DataFrame:
     """Add to every town row its metros within radius (rows where ``skip`` is true,
     e.g. the metros themselves, get none and cost no distance evaluation).
 
@@ -267,6 +287,9 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
     ``engine="arrow"`` evaluates the joined metro arrays Arrow-batched with numpy
     (``mapInArrow``); ``engine="jvm"`` with Spark higher-order functions. Both follow
     the same formulas; the plan around them (join, no shuffle of towns) is identical.
+
+    ``cell_col`` names a column that holds every town's cell already, as in stored places
+    (``stored_index``); it is joined as it is, so that its bucketing holds.
     """
     engine = engine or DEFAULT_ENGINE
     if engine not in ("arrow", "jvm"):
@@ -275,7 +298,7 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         raise ValueError("mode must be 'list' or 'best'")
     out_col = out_col or ("candidates" if mode == "list" else "best")
     cols = towns.columns
-    t = _town_prep(towns, index.metric, index.cell_deg, skip, spread_nulls=not index.broadcast)
+    t = _town_prep(towns, index.metric, index.cell_deg, skip, not index.broadcast, cell_col)
     tab = index.table.select(F.col("cell").alias("_cell"), "chunk", "n_chunks", F.col("metros").alias("_metros"))
 
     def side(df: DataFrame) -> DataFrame:
@@ -302,7 +325,7 @@ def attach_candidates(towns: DataFrame, index: CellIndex, mode: str = "list",
         in_polar = F.col("_cell").isin(POLAR_NORTH, POLAR_SOUTH)
         cool_src = t.filter(~F.coalesce(polar_lat & in_polar, F.lit(False)))
         warm_src = _town_prep(towns.filter(polar_lat), index.metric, index.cell_deg, skip,
-                              spread_nulls=not index.broadcast).filter(in_polar)
+                              not index.broadcast, cell_col).filter(in_polar)
     else:
         hot = index.hot_cells.select(F.col("cell").alias("_cell"), F.lit(True).alias("_hot"))
         t = join_small(t, hot, "_cell", "left")

@@ -10,7 +10,7 @@ metro rows (assigned to themselves) and the town rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from townpull.functions.geo import influence_radius_km
@@ -40,7 +40,7 @@ def assign_metros(places: DataFrame, rule: str = "share_excl_ppl", metric: str =
                   scope: str = "global", share: float = METRO_SHARE,
                   min_pop: int = ADMIN_SEAT_MIN_POPULATION, cell_deg: float = DEFAULT_CELL_DEG,
                   populated_only: bool = True, self_assign: bool = True,
-                  candidates: bool = False, **index_kw) -> DataFrame:
+                  candidates: bool = False, loaded: Observation | None = None, **index_kw) -> DataFrame:
     """P1 (``candidates=False``) / P2 (``candidates=True``).
 
     Output: the input columns, then ``isMetro``, ``influence_radius`` (null on towns),
@@ -49,12 +49,17 @@ def assign_metros(places: DataFrame, rule: str = "share_excl_ppl", metric: str =
 
     The place table is read in full once: the cell index is built from a narrow
     projection of the metro rows, and the output is one pass over all flagged rows
-    in which metro rows skip the index lookup and are assigned to themselves.
+    in which metro rows skip the index lookup and are assigned to themselves. ``loaded`` observes
+    the rows read, before any filter, as ``loaded`` in whichever of these passes ends first.
     """
     df = filter_populated_places(places) if populated_only else places
     # re-assigning an earlier output replaces its derived columns
     df = df.drop(*[c for c in ("influence_radius", "assigned_metro_id", "candidates") if c in df.columns])
-    flagged = flag_metros(df, rule, share=share, scope=scope, min_pop=min_pop)
+    seen = df
+    if loaded is not None:
+        seen = places.observe(loaded, F.count(F.lit(1)).alias("loaded"))
+        seen = (filter_populated_places(seen) if populated_only else seen).select(*df.columns)
+    flagged = flag_metros(seen, rule, share=share, scope=scope, min_pop=min_pop, basis=df)
     is_metro = F.col("isMetro")
     metros = with_radius(flagged.filter(is_metro).select("geonameid", "name", "latitude", "longitude", "population"))
     idx = build_cell_index(metros, metric, cell_deg, with_names=candidates, **index_kw)
@@ -69,3 +74,16 @@ def assign_metros(places: DataFrame, rule: str = "share_excl_ppl", metric: str =
     out = attach_candidates(flagged, idx, mode="best", skip=is_metro)
     return out.select(*flagged.columns, radius.alias("influence_radius"),
                       F.when(is_metro, own).otherwise(F.col("best.metro_id")).alias("assigned_metro_id"))
+
+
+def write_assigned(places: DataFrame, path: str, **kw) -> dict[str, int]:
+    """P1 / P2 written to ``path`` as Parquet, and the stage counts (C5) of this very write: loaded,
+    populated (assignment input), metros, non_metros, assigned. The counts are observed while the rows pass;
+    no further job reads anything for them. ``kw`` as for ``assign_metros``."""
+    loaded, done = Observation(), Observation()
+    out = assign_metros(places, loaded=loaded, **kw)
+    town = ~F.col("isMetro")
+    out.observe(done, F.count(F.lit(1)).alias("populated"), F.count_if("isMetro").alias("metros"),
+                F.count_if(town).alias("non_metros"), F.count_if(town & F.col("assigned_metro_id").isNotNull()).alias("assigned")) \
+        .write.mode("overwrite").parquet(path)
+    return {**loaded.get, **done.get}

@@ -10,11 +10,13 @@ The source lists this as future work without semantics; the ones chosen here:
   state that comes back after other states would go round for ever and raises;
   ``rounds=n`` stops after n reassignment rounds instead, wherever the loop is then.
 
-Per round the work is one pass over the stored narrow towns against the broadcast
-cell index, written once, plus one partial aggregation to per-metro sums; the loop
-state is the small metro table, written to the checkpoint folder each round (lineage
-stays short, a lost executor re-reads it). The state is compared by a hash sum over
-the metros.
+Rounds are incremental. The frontier of a round is the metros whose effective population
+has changed. Only cells that one of them reaches, before or after, are indexed (with all
+their metros), only towns in such cells are evaluated again, and only towns that then change
+their metro enter the next round's sums; all others carry their assignment over. The loop
+ends when the frontier is empty. The loop state is the small metro table, written to the
+checkpoint folder each round (lineage stays short, a lost executor re-reads it), and is
+compared with earlier ones by a hash sum over the metros.
 """
 
 from __future__ import annotations
@@ -25,26 +27,46 @@ from pyspark.sql import functions as F
 from townpull.functions.geo import influence_radius_km
 from townpull.operators.filters import filter_populated_places
 from townpull.operators.metro_rules import flag_metros
-from townpull.operators.radius_join import DEFAULT_CELL_DEG, attach_candidates, build_cell_index
+from townpull.operators.radius_join import DEFAULT_CELL_DEG, attach_candidates, build_cell_index, town_cell
 from townpull.operators.sizing import join_small, materialize
 
 
 def _index(eff: DataFrame, metric: str, cell_deg: float, **kw):
     m = eff.withColumn("influence_radius", influence_radius_km("eff_population"))
+    if "was" in eff.columns:
+        m = m.withColumn("reach", influence_radius_km("was")).withColumn("changed", F.coalesce(F.col("eff_population") != F.col("was"), F.lit(False)))
     return build_cell_index(m, metric, cell_deg, with_names=False, **kw)
 
 
-def _assign_round(towns: DataFrame, idx) -> DataFrame:
-    return attach_candidates(towns, idx, mode="best").withColumn("assigned_metro_id", F.col("best.metro_id")).drop("best")
-
-
-def _next_eff(base: DataFrame, assigned: DataFrame) -> DataFrame:
-    sums = (assigned.filter(F.col("assigned_metro_id").isNotNull())
-            .groupBy(F.col("assigned_metro_id").alias("geonameid"))
-            .agg(F.sum(F.col("population").cast("long")).alias("_gain")))
-    out = join_small(base, sums, "geonameid", "left")
-    return out.select(*base.columns, (F.col("population").cast("long") + F.coalesce(F.col("_gain"), F.lit(0)))
-                      .alias("eff_population")).drop("_gain")
+def _assign_round(towns: DataFrame, idx, before: bool = False) -> DataFrame:
+    """Assignment of the towns by ``idx``; after a first round (``before``) towns in cells that the index
+    does not hold keep theirs. ``was``: the assignment before; ``evaluated``: whether it was made anew."""
+    keep = ["geonameid", "latitude", "longitude", "population"]
+    metro = F.col("best.metro_id")
+    if not before:
+        return attach_candidates(towns.select(*keep), idx, mode="best") \
+            .select(*keep, metro.alias("assigned_metro_id"), F.lit(None).cast("int").alias("was"), F.lit(True).alias("evaluated"))
+    rows = towns.select(*keep, F.col("assigned_metro_id").alias("was"),
+                        town_cell(F.col("latitude").cast("double"), F.col("longitude").cast("double"), idx.metric, idx.cell_deg).alias("_tc"))
+    cells = idx.table.select(F.col("cell").alias("_tc"), F.lit(True).alias("evaluated"))
+    cells = cells if idx.hot_cells is None else cells.distinct()
+    cells = F.broadcast(cells) if idx.broadcast else cells
+    rows = rows.join(cells, "_tc", "left").withColumn("evaluated", F.coalesce("evaluated", F.lit(False))).drop("_tc")
+    out = attach_candidates(rows, idx, mode="best", skip=~F.col("evaluated"))
+    return out.select(*keep, F.when(F.col("evaluated"), metro).otherwise(F.col("was")).alias("assigned_metro_id"), "was", "evaluated")
+
+
+def _next_eff(eff: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Effective populations after the moves of a round, with those before as ``was``."""
+    moved = assigned.filter(~F.col("assigned_metro_id").eqNullSafe(F.col("was")))
+    people = F.coalesce(F.col("population").cast("long"), F.lit(0))
+    gains = moved.select(F.explode(F.array(
+        F.struct(F.col("assigned_metro_id").alias("geonameid"), people.alias("gain")),
+        F.struct(F.col("was").alias("geonameid"), (-people).alias("gain")))).alias("x")).select("x.*")
+    gains = gains.filter("geonameid is not null").groupBy("geonameid").agg(F.sum("gain").alias("_gain"))
+    # both sides have at most a row a metro
+    return eff.drop("was").withColumnRenamed("eff_population", "was").join(gains, "geonameid", "left") \
+        .withColumn("eff_population", F.col("was") + F.coalesce("_gain", F.lit(0))).drop("_gain")
 
 
 def _state(eff: DataFrame) -> tuple:
@@ -70,11 +92,12 @@ def iterative_growth(places: DataFrame, rule: str = "share_only", metric: str =
     base = materialize(flagged.filter(is_metro).select("geonameid", "name", "latitude", "longitude", "population"))
     towns = materialize(flagged.filter(~is_metro).select("geonameid", "latitude", "longitude", "population"))
     eff = base.withColumn("eff_population", F.col("population").cast("long"))
-    idx = _index(eff, metric, cell_deg)
+    n = base.count()
+    idx = _index(eff, metric, cell_deg, at_most=n)
     assigned = materialize(_assign_round(towns, idx))
     done, states, converged = [assigned], [_state(eff)], False
     while rounds is None or len(done) <= rounds:
-        nxt = materialize(_next_eff(base, assigned))
+        nxt = materialize(_next_eff(eff, assigned))
         state = _state(nxt)
         if state == states[-1]:
             converged = True
@@ -84,10 +107,12 @@ def iterative_growth(places: DataFrame, rule: str = "share_only", metric: str =
                                f"in round {len(done)}; pass rounds=n for a fixed number of rounds")
         states.append(state)
         eff = nxt
-        idx = _index(eff, metric, cell_deg)
-        assigned = materialize(_assign_round(towns, idx))
+        idx = _index(eff, metric, cell_deg, at_most=n)
+        assigned = materialize(_assign_round(assigned, idx, before=True))
         done.append(assigned)
-    # one pass over the full rows: metros take their effective population, towns the last index
+    # one pass over the full rows: metros take their effective population, towns an index of all metros
+    if "was" in eff.columns:
+        idx = _index(eff.drop("was"), metric, cell_deg, at_most=n)
     effs = eff.select(F.col("geonameid").alias("_mk"), "eff_population")
     full = flagged.withColumn("_mk", F.when(is_metro, F.col("geonameid")))
     full = join_small(full, effs, "_mk", "left", null_spread=True).drop("_mk")

@@ -7,6 +7,7 @@ output is read back with default quoting. Junk numbers and dates become null.
 
 from __future__ import annotations
 
+import json
 import warnings
 from collections.abc import Iterator, Sequence
 
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from townpull.functions.geo import whole_number
 from townpull.operators.sizing import materialize
 from townpull.schema import CANDIDATE_TYPE, PLACE_COLUMNS, PLACE_SCHEMA, POLYGONS_TYPE
+from townpull.sources import archives as AR
 
 DUMP_OPTIONS = {"sep": "\t", "quote": "", "header": "false", "mode": "PERMISSIVE"}
 
@@ -98,11 +100,22 @@ def _zip_lines_fn(member_suffix: str, batch_rows: int):
 
 
 def inflate_archives(spark: SparkSession, folder: str, pattern: str = "*.zip", member_suffix: str = ".txt",
-                     batch_rows: int = 50_000) -> tuple[DataFrame, int, int]:
-    """Lines (source, value) of the archives' members, the number of archives and their bytes."""
+                     batch_rows: int = 50_000, by_range: bool | None = None) -> tuple[DataFrame, int, int]:
+    """Lines (source, value) of the archives' members, the number of archives and their bytes.
+
+    ``by_range`` reads each member by a task of its own (``archives.ZippedText``); by default where the
+    file system allows it. Else Spark's binary-file source hands a whole packed archive (of at most 2 GB,
+    as it is one cell) to a task."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    sizes = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
-    n, size = int(sizes["n"]), int(sizes["b"])
+    listed = sorted((r["path"], r["length"]) for r in files.select("path", "length").collect())   # a row an archive
+    n, size = len(listed), sum(length for _, length in listed)
+    if by_range is None:
+        by_range = all(AR.readable_here(path) for path, _ in listed[:1])
+    if by_range and n:
+        spark.dataSource.register(AR.ZippedText)
+        found = spark.read.format(AR.FORMAT).option("archives", json.dumps([path for path, _ in listed])) \
+            .option("memberSuffix", member_suffix).option("batchRows", batch_rows).load()
+        return found.select("source", "value"), n, size
     # packed archives are dealt one by one; inflating is many times the work of moving them
     dealt = files.select("path", "content").repartition(max(1, n))
     return dealt.mapInPandas(_zip_lines_fn(member_suffix, batch_rows), "source string, value string"), n, size
@@ -110,18 +123,17 @@ def inflate_archives(spark: SparkSession, folder: str, pattern: str = "*.zip", m
 
 def ingest_zipped_dumps(spark: SparkSession, folder: str, pattern: str = "*.zip",
                         member_suffix: str = ".txt", schema: T.StructType = PLACE_SCHEMA,
-                        batch_rows: int = 50_000, split_bytes: int = 16 << 20) -> DataFrame:
+                        batch_rows: int = 50_000, split_bytes: int = 16 << 20, by_range: bool | None = None) -> DataFrame:
     """A4: dump rows from every ``.txt`` member of the zip archives in ``folder``.
 
-    Spark's binary-file source reads the archives through the file system they are on, one
-    file per partition, so that every archive is inflated by a task of its own; a task holds
-    one packed archive and streams its members in batches of ``batch_rows`` lines (a deflate
-    member decompresses sequentially by format). Where archives are larger than
-    ``split_bytes`` packed, the lines are dealt anew to one partition per that many bytes, so
-    a single world archive is parsed and assigned by many tasks. Both partition counts are
-    given by number, which adaptive execution does not coalesce.
+    A member is inflated by a task of its own, block by block (a deflate member decompresses
+    sequentially by format), whatever the size of its archive; see ``inflate_archives`` for file
+    systems that only Spark reads. Where archives are larger than ``split_bytes`` packed, the lines
+    are dealt anew to one partition per that many bytes, so a single world member is parsed and
+    assigned by many tasks; that partition count is given by number, which adaptive execution does
+    not coalesce.
     """
-    lines, n, size = inflate_archives(spark, folder, pattern, member_suffix, batch_rows)
+    lines, n, size = inflate_archives(spark, folder, pattern, member_suffix, batch_rows, by_range)
     parts = -(-size // split_bytes)
     if parts > n:
         lines = lines.repartition(parts)
@@ -324,7 +336,8 @@ def zip_text_parts(spark: SparkSession, src_folder: str, dst_folder: str, patter
                    member_suffix: str = ".txt") -> DataFrame:
     """Pack every text part file of ``src_folder`` into its own zip archive under
     ``dst_folder`` (one task per file, streamed in 1 MiB blocks). Returns the archive
-    paths; the packing runs when the result is evaluated."""
+    paths; the packing runs when the result is evaluated. Archives are written to their final names by
+    the tasks themselves, without a commit: this prepares input for tests and examples."""
     paths = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(src_folder)
              .select("path"))
     paths = paths.repartition(max(1, paths.count()))

@@ -88,6 +88,31 @@ def diamond_boundaries(metros: DataFrame, dlat: float = DIAMOND_DLAT, dlon: floa
         F.col("latitude"), F.col("longitude"), dlat, dlon)).alias("polygons"))
 
 
+def ring_of(*corners: tuple[Column, Column]) -> Column:
+    """Closed ring through (lat, lon) corners."""
+    return F.array(*(F.struct(a.alias("lat"), o.alias("lon")) for a, o in (*corners, corners[0])))
+
+
+# Half-axes that no two places of the fixture's 0.001 degree lattice differ by, so that borders of
+# different metros never coincide.
+WIDE_DLAT = 0.1207
+WIDE_DLON = 0.1811
+
+
+def adjoining_squares(lat: Column, lon: Column, dlat: float = WIDE_DLAT, dlon: float = WIDE_DLON) -> Column:
+    """Two districts west and east of a place that share the side through it; the eastern one has a
+    vertex on that side which the western one lacks."""
+    south, north, west, east = lat - dlat, lat + dlat, lon - dlon, lon + dlon
+    return F.array(ring_of((south, west), (north, west), (north, lon), (south, lon)),
+                   ring_of((south, lon), (lat, lon), (north, lon), (north, east), (south, east)))
+
+
+def bow_tie(lat: Column, lon: Column, dlat: float = WIDE_DLAT, dlon: float = WIDE_DLON) -> Column:
+    """A ring that crosses itself at a place: a west and an east wing whose signed areas cancel."""
+    south, north, west, east = lat - dlat, lat + dlat, lon - dlon, lon + dlon
+    return ring_of((south, west), (north, east), (south, east), (north, west))
+
+
 def replicate_places(df: DataFrame, copies: int, tile_lat: float = 4.1, tile_lon: float = 6.1,
                      rows_per_band: int = 12) -> DataFrame:
     """Scale-up input for benchmarks: every place ``copies`` times, each copy shifted to

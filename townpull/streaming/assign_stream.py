@@ -31,18 +31,39 @@ def read_dump_stream(spark: SparkSession, folder: str, max_files_per_trigger: in
     return reader.csv(folder)
 
 
-def assign_batch(batch: DataFrame, index: CellIndex) -> DataFrame:
-    """Town rows of one batch with ``assigned_metro_id`` (null when no metro reaches them)."""
+def assign_batch(batch: DataFrame, index: CellIndex, version: str | None = None) -> DataFrame:
+    """Town rows of one batch with ``assigned_metro_id`` (null when no metro reaches them), and the
+    ``index_version`` they were assigned by, where one is given."""
     out = attach_candidates(batch, index, mode="best")
-    return out.withColumn("assigned_metro_id", F.col("best.metro_id")).drop("best")
+    out = out.withColumn("assigned_metro_id", F.col("best.metro_id")).drop("best")
+    return out if version is None else out.withColumn("index_version", F.lit(version))
+
+
+def _triggered(writer, available_now: bool):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
 
 
 def start_assignment_stream(stream: DataFrame, index: CellIndex, sink: str, checkpoint: str,
-                            available_now: bool = True) -> StreamingQuery:
-    """Start the stream; results land in ``{sink}/batch_id=<n>`` as Parquet."""
+                            available_now: bool = True, version: str | None = None) -> StreamingQuery:
+    """Start the stream; results land in ``{sink}/batch_id=<n>`` as Parquet. A batch that is run again
+    after a failure, by whatever index then, replaces its folder."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        assign_batch(batch, index).write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+        assign_batch(batch, index, version).write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return _triggered(w, available_now).start()
+
+
+def start_assignment_file_stream(stream: DataFrame, index: CellIndex, sink: str, checkpoint: str,
+                                 available_now: bool = True, version: str | None = None) -> StreamingQuery:
+    """The same by Spark's own streaming file sink, as one stateless streaming plan: the sink's log names the
+    files of each batch that was committed, and readers of ``sink`` see these only, so rows are
+    neither lost nor doubled when a stopped stream starts again.
+
+    The index must have no split cells; their towns are merged by an aggregation that a stream without
+    a watermark cannot end (``start_assignment_stream`` takes any index)."""
+    if index.hot_cells is not None:
+        raise ValueError("the index has split cells; use start_assignment_stream")
+    w = assign_batch(stream, index, version).writeStream.format("parquet").outputMode("append") \
+        .option("path", sink).option("checkpointLocation", checkpoint)
+    return _triggered(w, available_now).start()
