@@ -101,21 +101,26 @@ def test_simhash_links_dense_fingerprints(spark):
     assert {f: got.get(f, f) for f in fps} == group
 
 
-def test_simhash_stage_keeps_one(spark, prose):
+def test_simhash_stage_keeps_one_of_a_group(spark, prose):
     rows = near_copies(prose, 30) + [(0, "again and again once more"), (0, "again and again once more"), (None, "x")]
     df = docs_of(spark, rows, True)
     kept = simhash.keep_one_of_each(df)
     assert kept.columns == df.columns
-    want = {c for _, _, c in slow_groups(rows) if c is not None}
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(want)
+    # id 0 has two unlike texts, each of its own group
+    want = sorted([c for c in {c for _, _, c in slow_groups(rows) if c is not None}] + [0])
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == want
     assert kept.where("doc_id is null").count() == 1
 
 
 def test_simhash_stage_judges_rows_not_ids(spark, prose):
     """A copy of a smaller id takes no other text of its own id along."""
-    a, b = prose(60), prose(60)
+    a, b, c = prose(60), prose(60), prose(60)
     kept = simhash.keep_one_of_each(docs_of(spark, [(1, a), (5, a), (5, b), (None, a)], True)).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", a), ("5", b), ("None", a)])
+    # unlike texts of one id all stay, rows alike in both stay once
+    kept = simhash.keep_one_of_each(docs_of(spark, [(3, a), (3, b), (3, b), (3, c), (9, c), (9, b)], True)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(3, a), (3, b), (3, c)])
+    assert simhash.keep_one_of_each(docs_of(spark, [], True)).collect() == []
 
 
 def test_components_of_a_path_and_a_star(spark):
@@ -539,6 +544,46 @@ def test_reputation_blocks_bad_hosts_and_is_shrunk(spark):
     assert by_host["once.net"].n_labelled == 1 and by_host["once.net"].bad_mean < 1
 
 
+def test_planted_hosts_equal_the_sql(spark, tmp_path):
+    """Bad and good hosts, one label at a host, hosts without labels: the SQL blocks the same pages."""
+    import duckdb
+    rng = random.Random(6)
+    pages, labels = [], []
+    for i in range(6000):
+        kind = i % 6
+        host = [f"bad{i % 4}.farm.net", f"good{i % 40}.site.net", f"www.shop{i % 90}.info", "mixed.site.net", f"new{i}.farm.net",
+                f"h{i % 700}.big.org"][kind]
+        share = [0.97, 0.03, 0.1, 0.5, 0.9, 0.2][kind]
+        pages.append((i, f"https://{host}/p/{i}"))
+        if kind != 4 or i % 5 == 0:
+            labels.append((i, int(rng.random() > share), 0 if i % 3 else None))
+    pages += [(7001, "http://once.net/"), (7002, "http://once.farm.net/"), (7003, None)]
+    labels += [(7001, 0, 0), (7003, 0, None), (None, 0, 1), (8000, None, None)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(str(tmp_path / "pages"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels"))
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}/*.parquet')")
+    want = con.execute(url_filter.oracle_sql()).fetchall()
+    got = url_filter.judge(spark.read.parquet(str(tmp_path / "pages")),
+                           url_filter.label_outcomes(spark.read.parquet(str(tmp_path / "labels"))))
+    got = [tuple(r) for r in got.select("page_id", "host", "path", "rule", "verdict").collect()]
+    assert sorted(got) == sorted(want) and len(got) == len(pages)
+    blocked = {h for _, h, _, rule, v in got if v == "block" and rule is None}
+    assert {f"bad{i}.farm.net" for i in (0, 2)} <= blocked     # i % 6 = 0 leaves even numbers
+    assert all(h.endswith(".farm.net") for h in blocked) and "once.net" not in blocked and "mixed.site.net" not in blocked
+
+
+def test_one_label_never_blocks_a_host(spark):
+    """Whatever the other hosts do: at the strengths' floor, and with a domain of its own."""
+    for share in (0, 1):   # all other hosts wholly good, or half of them wholly bad
+        pages = [(i, f"http://h{i % 40}.x{i % 20}.net/") for i in range(800)] + [(9000, "http://once.com/")]
+        outcomes = [(i, bool(share and i % 2)) for i in range(800)] + [(9000, True)]
+        got = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string"),
+                               spark.createDataFrame(outcomes, "page_id long, bad boolean")).where("page_id = 9000").first()
+        assert got.verdict == "allow" and got.bad_low < 0.5
+
+
 # 9 toxicity
 
 def test_toxicity_learns_and_ignores_held_out_rows(spark, prose):

@@ -4,9 +4,12 @@ Labelled page outcomes (good or bad) are counted by host, registered domain and
 down from all pages to suffix, domain and host, each level's share of bad pages has a
 beta prior with the mean of the level above and a strength estimated from how much more the
 level's counts vary than binomial draws would (the intraclass correlation rho of a
-beta-binomial law; strength = 1 / rho - 1). A host is blocked where its posterior mean less
-``z`` posterior standard deviations is over ``limit``: many bad pages are needed, and a host
-without labels is judged by its domain and suffix, with their uncertainty.
+beta-binomial law; strength = 1 / rho - 1, at least ``LEAST_STRENGTH``). The mean of the level
+above is that of its other members: a host's own outcomes are no part of its prior, so that one
+label counts once. A host is blocked where its posterior mean less ``spread(CONFIDENCE)`` posterior
+standard deviations is over ``limit``; by Cantelli's inequality at least that share of the posterior lies
+above the bound whatever the shape of the beta law, which a normal approximation does not give for
+few labels. A host without labels is judged by its domain and suffix, with their uncertainty.
 
 The suffix is a host's last label and the registered domain its last two (no public-suffix
 list is at hand). DataFrame functions only.
@@ -30,10 +33,16 @@ from townpull.llm.common import stage
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 LIMIT = 0.5    # share of bad pages from which a host is unwanted
-Z = 1.645      # standard deviations below the mean: one-sided 95 %
+CONFIDENCE = 0.95      # of the posterior that lies above the bound, at least
+LEAST_STRENGTH = 1.0   # of a prior, in labelled pages
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def spread(confidence: float = CONFIDENCE) -> float:
+    """Standard deviations below the mean (Cantelli)."""
+    return (confidence / (1 - confidence)) ** 0.5
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.translate(F.regexp_extract(_after(url), "^([^/?#]*)", 1), UPPER, UPPER.lower()), F.lit(""))
 
@@ -62,16 +71,21 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _shrunk(groups: DataFrame, parent: str, out: str) -> DataFrame:
-    """``groups`` (n, bad, the mean ``parent``) with the level's prior strength and the mean ``out``."""
-    v = F.col(parent) * (1 - F.col(parent))
-    excess = F.sum(F.pow(F.col("bad") - F.col("n") * F.col(parent), 2) - F.col("n") * v)
+def _strength(groups: DataFrame, prior: str) -> Column:
+    """The strength of the level's priors, from ``groups`` (n, bad, the prior mean)."""
+    v = F.col(prior) * (1 - F.col(prior))
+    excess = F.sum(F.pow(F.col("bad") - F.col("n") * F.col(prior), 2) - F.col("n") * v)
     rho = F.coalesce(excess / F.nullif(F.sum(F.col("n") * (F.col("n") - 1) * v), F.lit(0.0)), F.lit(0.0))
-    rho = F.least(F.greatest(rho, F.lit(1e-3)), F.lit(0.999))
-    strength = groups.agg((1 / rho - 1).alias("s"))   # one row
-    s = strength.scalar()
-    return groups.withColumn("s", s).withColumn(
-        out, (F.col("s") * F.col(parent) + F.col("bad")) / (F.col("s") + F.col("n")))
+    rho = F.least(F.greatest(rho, F.lit(1e-3)), F.lit(1 / (1 + LEAST_STRENGTH)))
+    return groups.agg((1 / rho - 1).alias("s")).scalar()   # one row
+
+
+def _without(groups: DataFrame, above: DataFrame, key: str, strength: Column, out: str) -> DataFrame:
+    """``groups`` with the mean ``out`` of the level ``above`` (n, bad, prior), less what each row adds to it."""
+    above = above.select(key, F.col("n").alias("n_"), F.col("bad").alias("bad_"), F.col("prior").alias("prior_"))
+    rest = F.col("n_") - F.col("n")
+    mean = (strength * F.col("prior_") + F.col("bad_") - F.col("bad")) / (strength + rest)
+    return groups.join(above, key).withColumn(out, mean).drop("n_", "bad_", "prior_")
 
 
 def reputations(outcomes: DataFrame) -> DataFrame:
@@ -83,16 +97,17 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     hosts = stage(hosts, "url-hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    overall = suffixes.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("m")).scalar()
-    suffixes = _shrunk(suffixes.withColumn("all_mean", overall), "all_mean", "suffix_mean")
-    domains = _shrunk(domains.join(suffixes.select("suffix", "suffix_mean"), "suffix"), "suffix_mean", "domain_mean")
-    hosts = _shrunk(hosts.join(domains.select("domain", "domain_mean"), "domain"), "domain_mean", "mean")
-    total = F.col("s") + F.col("n")
-    return hosts.select("host", "n", "bad", "mean",
-                        F.sqrt(F.col("mean") * (1 - F.col("mean")) / (total + 1)).alias("sd"))
+    all_n, all_bad = (suffixes.agg(F.sum(c)).scalar() for c in ("n", "bad"))
+    suffixes = suffixes.withColumn("prior", (all_bad - F.col("bad") + 1) / (all_n - F.col("n") + 2))
+    domains = _without(domains, suffixes, "suffix", _strength(suffixes, "prior"), "prior")
+    hosts = _without(hosts, domains, "domain", _strength(domains, "prior"), "prior")
+    s = _strength(hosts, "prior")
+    total = s + F.col("n")
+    hosts = hosts.withColumn("mean", (s * F.col("prior") + F.col("bad")) / total).withColumn("total", total)
+    return hosts.select("host", "n", "bad", "mean", F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("total") + 1)).alias("sd"))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIMIT, z: float = Z) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIMIT, confidence: float = CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict, n_labelled, bad_mean and bad_low (the bound) of every
     row of ``pages`` (page_id, url). ``outcomes``: (page_id, bad: whether the page is unwanted)."""
     known = outcomes.where("bad is not null").groupBy("page_id") \
@@ -102,7 +117,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIM
     seen = stage(seen.select("page_id", "host", "path", F.coalesce("n", F.lit(0)).alias("n"),
                              F.coalesce("bad", F.lit(0)).alias("bad")), "url-pages")
     by_host = reputations(seen).select("host", F.col("n").alias("n_labelled"), F.col("mean").alias("bad_mean"),
-                                       (F.col("mean") - z * F.col("sd")).alias("bad_low"))
+                                       (F.col("mean") - spread(confidence) * F.col("sd")).alias("bad_low"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bad_low") > limit, F.lit("block")).otherwise(F.lit("allow"))
     return seen.select("page_id", "host", "path").join(by_host, "host") \
@@ -111,22 +126,25 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIM
 
 
 def label_outcomes(labels: DataFrame) -> DataFrame:
-    """(page_id, bad) from the table of labels: low quality or toxic; its doc_id is the page's id."""
+    """(page_id, bad) from the table of labels: low quality or toxic; its doc_id is the page's id.
+
+    The labels are of documents. No table has outcomes of pages, so those of the documents with the pages'
+    numbers stand for them; they say nothing about hosts, and no host stands out by them."""
     bad = reduce(lambda a, b: a | b, [F.coalesce(F.col("quality") == 0, F.lit(False)), F.coalesce(F.col("toxic") == 1, F.lit(False))])
     return labels.where("quality is not null or toxic is not null").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
 
 
-def oracle_sql(rules=RULES, limit: float = LIMIT, z: float = Z) -> str:
+def oracle_sql(rules=RULES, limit: float = LIMIT, confidence: float = CONFIDENCE) -> str:
     """DuckDB SQL for page_id, host, path, rule, verdict."""
     fits = sorted(rules, key=lambda r: (-len(r[0] + r[1]), r))
     cond = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, _ in fits]
     name = "CASE " + " ".join(f"WHEN {c} THEN '{h + p}'" for c, (h, p, _) in zip(cond, fits)) + " END"
     verdict = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, (_, _, v) in zip(cond, fits)) + " END"
 
-    def rho(parent: str) -> str:
-        v = f"{parent} * (1 - {parent})"
-        return (f"least(greatest(coalesce(sum(pow(bad - n * {parent}, 2) - n * {v}) / nullif(sum(n * (n - 1) * {v}), 0.0), 0.0),"
-                " 1e-3), 0.999)")
+    def strength(table: str) -> str:
+        v = "prior * (1 - prior)"
+        return (f"(SELECT 1 / least(greatest(coalesce(sum(pow(bad - n * prior, 2) - n * {v}) / nullif(sum(n * (n - 1) * {v}), 0.0), 0.0),"
+                f" 1e-3), {1 / (1 + LEAST_STRENGTH)}) - 1 FROM {table})")
 
     return f"""
 WITH known AS (
@@ -142,16 +160,14 @@ hosts AS (
     array_to_string(string_split(host, '.')[-2:], '.') AS domain FROM seen GROUP BY host),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
-suffixes1 AS (SELECT *, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM suffixes) AS all_mean FROM suffixes),
-suffixes2 AS (SELECT *, (SELECT 1 / {rho('all_mean')} - 1 FROM suffixes1) AS s FROM suffixes1),
-suffixes3 AS (SELECT suffix, (s * all_mean + bad) / (s + n) AS suffix_mean FROM suffixes2),
-domains1 AS (SELECT domains.*, suffix_mean FROM domains JOIN suffixes3 USING (suffix)),
-domains2 AS (SELECT *, (SELECT 1 / {rho('suffix_mean')} - 1 FROM domains1) AS s FROM domains1),
-domains3 AS (SELECT domain, (s * suffix_mean + bad) / (s + n) AS domain_mean FROM domains2),
-hosts1 AS (SELECT hosts.*, domain_mean FROM hosts JOIN domains3 USING (domain)),
-hosts2 AS (SELECT *, (SELECT 1 / {rho('domain_mean')} - 1 FROM hosts1) AS s FROM hosts1),
-hosts3 AS (SELECT host, s + n AS total, (s * domain_mean + bad) / (s + n) AS mean FROM hosts2),
-judged AS (SELECT host, mean - {z} * sqrt(mean * (1 - mean) / (total + 1)) AS low FROM hosts3)
+suffixes1 AS (SELECT *, ((SELECT sum(bad) FROM suffixes) - bad + 1) / ((SELECT sum(n) FROM suffixes) - n + 2) AS prior FROM suffixes),
+domains1 AS (SELECT d.*, (s * x.prior + x.bad - d.bad) / (s + x.n - d.n) AS prior
+  FROM domains d JOIN (SELECT *, {strength('suffixes1')} AS s FROM suffixes1) x USING (suffix)),
+hosts1 AS (SELECT h.*, (s * x.prior + x.bad - h.bad) / (s + x.n - h.n) AS prior
+  FROM hosts h JOIN (SELECT *, {strength('domains1')} AS s FROM domains1) x USING (domain)),
+hosts2 AS (SELECT *, {strength('hosts1')} AS s FROM hosts1),
+hosts3 AS (SELECT host, s + n AS total, (s * prior + bad) / (s + n) AS mean FROM hosts2),
+judged AS (SELECT host, mean - {spread(confidence)!r} * sqrt(mean * (1 - mean) / (total + 1)) AS low FROM hosts3)
 SELECT page_id, seen.host AS host, path, {name.replace('host', 'seen.host')} AS rule,
   coalesce({verdict.replace('host', 'seen.host')}, CASE WHEN low > {limit} THEN 'block' ELSE 'allow' END) AS verdict
 FROM seen JOIN judged ON seen.host = judged.host"""
