@@ -5,7 +5,7 @@ the blocks of successive lines of under ``WRAPPED`` words each, joined. Each get
 ``bands`` hash functions over its five-word shingles; paragraphs that agree in a band collide.
 Equal paragraphs are one from the start. Of the paragraphs in a band's bucket all pairs are
 compared where they are few. In a larger bucket each is compared with the one that has the
-most copies, the pivot; two that may be similar though one is unlike the pivot must share
+most copies, the pivot (once, in however many bands); two that may be similar though one is unlike the pivot must share
 rare shingles by which they differ from it, and are found by a join on these (an exact prefix
 filter, see ``_beside``), so a bucket of thousands of variants costs about a comparison each
 and no similar pair is left out. A pair whose exact
@@ -22,8 +22,9 @@ of at least ``RUN_WORDS`` repeated words is found, to its ends, and nothing that
 Of each group the occurrence in the smallest doc_id (then the first there) stays, the others
 are removals. Blocks and lines by themselves are decided first, then lines within the blocks that
 stay, then passages among what remains, so what stays for a group is not taken away by a choice
-made apart from it: a word that goes as part of a copy has one that stays (a near copy's own words
-go with it). Lines of under ``SHINGLE`` words go only as parts of blocks or passages. Words are the
+made apart from it. That holds word by word: a word that goes as part of a copy has one that stays, though
+a passage whose words are kept in several places need not stay in one piece (and a near copy's own words go
+with it). Lines of under ``SHINGLE`` words go only as parts of blocks or passages. Words are the
 ASCII white-space separated, A-Z lower-cased words of the text.
 
 Null and empty texts have no paragraphs and lose nothing. Rows alike in id and text are one
@@ -233,8 +234,8 @@ def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> D
                 at = stop
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return docs.select("doc_id", F.hash(text_or_empty()).alias("text_key"), text_or_empty().alias("text")) \
-        .mapInArrow(make, f"doc_id {kind}, text_key int, line boolean, start int, n int, h long, "
+    return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text")) \
+        .mapInArrow(make, f"doc_id {kind}, text_key long, line boolean, start int, n int, h long, "
                            "level int, block int, bands array<long>")
 
 
@@ -261,7 +262,7 @@ def line_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     # as many as a text has lines
     by_text = wanted.groupBy("doc_id", "text_key").agg(F.collect_list("h").alias("want")) \
         .select(F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"), "want")
-    texts = docs.select("doc_id", F.hash(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
+    texts = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
     on = F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("text_key") == F.col("want_key"))
     return texts.join(by_text, on).select("text", "want").mapInArrow(make, "h long, shingles array<long>") \
         .dropDuplicates(["h"])
@@ -282,43 +283,45 @@ def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     pairs = few.select("band", F.col("h").alias("a")).join(few.select("band", F.col("h").alias("b")), "band").where("b < a")
     big = met.where(F.col("size") > FEW).select("band", "h").join(distinct.select("h", "copies"), "h")
 
-    # each member of a large bucket against the one with the most copies, the pivot
+    # each member of a large bucket against the one with the most copies, the pivot; once, in however many bands
     pivot = big.groupBy("band").agg(F.max(F.struct("copies", "h")).alias("top")).select("band", F.col("top.h").alias("pivot"))
-    met_ = big.join(pivot, "band").where("h <> pivot") \
+    met_ = big.join(pivot, "band").where("h <> pivot").select("h", "pivot").distinct() \
         .join(sets.select("h", F.col("shingles").alias("x")), "h") \
         .join(sets.select(F.col("h").alias("pivot"), F.col("shingles").alias("p")), "pivot") \
         .withColumn("apart", F.concat(F.array_except("x", "p"), F.array_except("p", "x")))
     size, n = F.size("x"), F.size("apart")
-    placed = stage(met_.select("band", "h", "pivot", size.alias("size"), "apart", n.alias("n"),
+    placed = stage(met_.select("h", "pivot", size.alias("size"), "apart", n.alias("n"),
                                (n <= (size + F.size("p")) * APART + 1e-9).alias("like")), "dedup-placed")
     star = placed.where("like").select(F.greatest("h", "pivot").alias("a"), F.least("h", "pivot").alias("b")).distinct()
     return _verified(pairs.select("a", "b").distinct(), sets).unionAll(star).unionAll(_verified(_beside(placed), sets))
 
 
 def _beside(placed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a large bucket, at least one of which is unlike the pivot, that may be similar.
+    """Pairs (a, b) of members with one pivot, at least one of which is unlike it, that may be similar.
 
     With ``apart`` the shingles by which a member differs from the pivot, two members differ in
     as many shingles as their ``apart`` do. Similar ones may differ in at most APART times the
     sum of their sizes, so they share at least o = (n1 + n2 - that) / 2 elements of ``apart``, which
     is over 0 as one of them is unlike the pivot; and so, in any order of the elements, one of
     the first n1 - o + 1 of the one is among the first n2 - o + 1 of the other. The order is from
-    rare to frequent: members that differ from the pivot in places of their own do not meet."""
-    each = placed.select("band", "h", "size", "n", "like", F.explode("apart").alias("d"))
-    often = each.groupBy("band", "d").agg(F.count("*").alias("often"))
-    order = Window.partitionBy("band", "h").orderBy("often", "d")   # as many as two paragraphs' shingles
-    first = stage(each.join(often, ["band", "d"]).where("often > 1").withColumn("place", F.row_number().over(order)),
+    rare to frequent: members that differ from the pivot in places of their own do not meet. Where
+    all members are like their pivot nothing is left to find."""
+    mixed = placed.where("not like").select("pivot").distinct()
+    each = placed.join(mixed, "pivot", "left_semi").select("pivot", "h", "size", "n", "like", F.explode("apart").alias("d"))
+    often = each.groupBy("pivot", "d").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("pivot", "h").orderBy("often", "d")   # as many as two paragraphs' shingles
+    first = stage(each.join(often, ["pivot", "d"]).where("often > 1").withColumn("place", F.row_number().over(order)),
                   "dedup-apart")
     # elements that no other has come before these
-    alone = each.join(often, ["band", "d"]).where("often = 1").groupBy("band", "h").agg(F.count("*").alias("alone"))
-    first = first.join(alone, ["band", "h"], "left").withColumn("place", F.col("place") + F.coalesce("alone", F.lit(0)))
-    x = first.where("not like").select("band", "d", F.col("h").alias("x"), F.col("size").alias("xs"), F.col("n").alias("xn"),
+    alone = each.join(often, ["pivot", "d"]).where("often = 1").groupBy("pivot", "h").agg(F.count("*").alias("alone"))
+    first = first.join(alone, ["pivot", "h"], "left").withColumn("place", F.col("place") + F.coalesce("alone", F.lit(0)))
+    x = first.where("not like").select("pivot", "d", F.col("h").alias("x"), F.col("size").alias("xs"), F.col("n").alias("xn"),
                                        F.col("place").alias("xp"))
-    y = first.select("band", "d", F.col("h").alias("y"), F.col("size").alias("ys"), F.col("n").alias("yn"),
+    y = first.select("pivot", "d", F.col("h").alias("y"), F.col("size").alias("ys"), F.col("n").alias("yn"),
                      F.col("place").alias("yp"))
     shared = F.ceil((F.col("xn") + F.col("yn") - (F.col("xs") + F.col("ys")) * APART) / 2 - 1e-9)
     may = (F.col("x") != F.col("y")) & (F.col("xp") <= F.col("xn") - shared + 1) & (F.col("yp") <= F.col("yn") - shared + 1)
-    return x.join(y, (x["band"] == y["band"]) & (x["d"] == y["d"]) & may) \
+    return x.join(y, (x["pivot"] == y["pivot"]) & (x["d"] == y["d"]) & may) \
         .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
@@ -408,11 +411,11 @@ def _windows(docs: DataFrame, anchors: DataFrame, gone: DataFrame) -> DataFrame:
     want = want.join(lost, F.col("want_id").eqNullSafe(F.col("doc_id")) & (F.col("want_key") == F.col("text_key")), "left") \
         .select("want_id", "want_key", "at", "lost", "size")
     want = stage(want, "dedup-want")
-    texts = docs.select("doc_id", F.hash(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
+    texts = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
     on = F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("text_key") == F.col("want_key"))
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     return texts.join(want, on).select("doc_id", "text_key", "text", "at", "lost", "size") \
-        .mapInArrow(make, f"doc_id {kind}, text_key int, start int, h long")
+        .mapInArrow(make, f"doc_id {kind}, text_key long, start int, h long")
 
 
 def _gone_passages(windows: DataFrame) -> DataFrame:
@@ -489,7 +492,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     cut.__annotations__ = {"text": pd.Series, "spans": pd.Series, "return": pd.Series}
     cut = F.pandas_udf(cut, "string")
     id_, key, gone, cut_ = (free_name(docs, c) for c in ("spans_id", "text_key", "spans", "text_cut"))
-    rows = docs.withColumn(key, F.hash(text_or_empty()))
+    rows = docs.withColumn(key, F.xxhash64(text_or_empty()))
     spans = spans.select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("_spans").alias(gone))
     rows = rows.join(spans, F.col("doc_id").eqNullSafe(F.col(id_)) & (rows[key] == spans[key]), "left")
     touched = F.col(gone).isNotNull()
