@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import types
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,22 @@ def worker_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def drop_worker_caches() -> None:
+    """Give back what stages before this one keep in the Python worker; called where a stage needs none of it."""
+    import pyarrow as pa
+    holder = sys.modules.get("_townpull_worker")
+    for cache in vars(holder).values() if holder else ():
+        if isinstance(cache, dict):
+            cache.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def slices(batch, rows: int = 256) -> Iterator:
+    """A record batch in pieces of a few rows, so that few texts are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def tokenizer_path(name: str, folder: str | None = None) -> str:
     """Where the vocabulary file lies: in ``folder``, or with the installed package."""
     if folder:

@@ -27,7 +27,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from townpull.llm.common import free_name, stage, text_or_empty
+from townpull.llm.common import drop_worker_caches, free_name, slices, stage, text_or_empty
 from townpull.llm.components import components
 
 SHINGLE = 4       # words a shingle, by the contract
@@ -65,8 +65,9 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     def make(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        drop_worker_caches()
         for b in batches:
-            fp = np.array([fingerprint(t, k) for t in b.column(1).cast(pa.binary()).to_pylist()], np.uint64)
+            fp = np.array([fingerprint(t, k) for some in slices(b) for t in some.column(1).cast(pa.binary()).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
@@ -138,16 +139,17 @@ def simhash_groups(docs: DataFrame, k: int = SHINGLE, bits: int = BITS, segments
 
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """Of each group the row that is first by (doc_id, hash of the text); rows without an id stay. Of rows
-    of one id that would stay, repeated or with unlike texts, the first by that hash does."""
+    """Of each group the text that is first by (doc_id, hash of the text), once; rows without an id stay.
+
+    Unlike texts that share an id are judged each by its own group, so all of them may stay. Of rows
+    alike in id and text one does."""
     key, n = free_name(docs, "text_key"), free_name(docs, "rows")
     row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64(text_or_empty()).alias("text_key")))
     groups = stage(simhash_groups(docs.select(row.alias("doc_id"), "text"), k, bits).select("doc_id", "component_id"), "simhash-groups")
-    first = groups.where("doc_id = component_id").groupBy("doc_id").count().select("doc_id.*", "count") \
-        .groupBy("doc_id").agg(F.min(F.struct("text_key", "count")).alias("first")) \
-        .select("doc_id", F.col("first.text_key").alias(key), F.col("first.count").alias(n))
+    first = groups.where("doc_id = component_id").groupBy("doc_id").count() \
+        .select("doc_id.doc_id", F.col("doc_id.text_key").alias(key), F.col("count").alias(n))
     first = stage(first, "simhash-first")
     kept = docs.where("doc_id is not null").withColumn(key, F.xxhash64(text_or_empty())).join(first, ["doc_id", key])
-    again = kept.where(F.col(n) > 1).dropDuplicates(["doc_id"])
+    again = kept.where(F.col(n) > 1).dropDuplicates(["doc_id", key])
     return docs.where("doc_id is null").unionAll(kept.where(F.col(n) == 1).select(*docs.columns)) \
         .unionAll(again.select(*docs.columns))

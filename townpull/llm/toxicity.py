@@ -13,7 +13,7 @@ held out and never used for fitting; labels, lang, source and doc_id are never i
 
 Null and empty texts have no features and get the intercept's score. Rows without an id are
 scored; labels without an id, or with a null label, are not used; of several labels of an id
-the highest counts. Repeated rows are scored each. Without training rows every score is 0;
+the highest counts, and of several texts of an id the first by hash is fitted. Repeated rows are scored each. Without training rows every score is 0;
 with one class alone it is that class's share. Extra columns are ignored; an empty table
 gives an empty result.
 """
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townpull.llm.common import free_name, stage, text_or_empty
+from townpull.llm.common import drop_worker_caches, free_name, slices, stage, text_or_empty
 
 GRAMS = (4, 5)
 BITS = 22          # of a feature's hash
@@ -74,16 +74,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi") \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id") \
-        .dropDuplicates(["doc_id"]).select("text", "toxic")
+    texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
+    # of unlike texts of an id the first by hash
+    return texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")) \
+        .select("text", "toxic")
 
 
 def _count_features(rows: DataFrame) -> DataFrame:
     def count(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        drop_worker_caches()
         n = np.zeros((2, 1 << BITS), np.int32)
-        for b in batches:
+        for b in (some for batch in batches for some in slices(batch)):
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 n[label, np.unique(grams(text))] += 1
         f = np.nonzero(n.any(axis=0))[0]
@@ -100,7 +103,7 @@ def _kept_features(rows: DataFrame, features) -> DataFrame:
         import pyarrow as pa
         place = np.full(1 << BITS, -1, np.int32)
         place[features] = np.arange(len(features))
-        for b in batches:
+        for b in (some for batch in batches for some in slices(batch)):
             have = [place[grams(t)] for t in b.column(0).to_pylist()]
             have = [np.unique(p[p >= 0]).tolist() for p in have]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(have, pa.list_(pa.int32()))], ["toxic", "have"])
@@ -161,6 +164,7 @@ def score(text: Column, model: Model) -> Column:
         place = np.full(1 << BITS, -1, np.int16)
         place[np.array(model.features, np.int64)] = np.arange(len(model.features), dtype=np.int16)
         w = np.array(model.weights)
+        drop_worker_caches()
         for texts in batches:
             z = np.empty(len(texts))
             for i, t in enumerate(texts):
