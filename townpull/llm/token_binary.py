@@ -24,14 +24,14 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townpull.llm.common import stage, text_or_empty, tokenizer_path
+from townpull.llm.common import slices, stage, text_or_empty, tokenizer_path
 from townpull.llm.wordids import crc, word_ids
 from townpull.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-LANES = 512
-EVERY = 1024           # steps between checkpoints
+LANES = 4096
+EVERY = 128            # steps between checkpoints
 BLOCK_IDS = 1 << 20    # a block is closed once it has so many ids
 PRECISION = 20         # bits of the frequency table's total
 LOW = 1 << 31          # states lie in [LOW, LOW << 32)
@@ -152,16 +152,17 @@ def make_blocks(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABUL
 
         for b in batches:
             kind = b.column(0).type
-            for doc, text in zip(b.column(0), b.column(1)):
-                x = np.frombuffer(encoder.ids(text.as_py()) + end, "<u4")
-                names.append(doc.as_py())
-                lengths.append(len(x))
-                ids.append(x.astype(packed).tobytes())
-                size += len(x)
-                if size >= block_ids:
-                    yield row()
-                    block, place = block + 1, place + size
-                    names, lengths, ids, size = [], [], [], 0
+            for some in slices(b):
+                for doc, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    x = np.frombuffer(encoder.ids(text) + end, "<u4")
+                    names.append(doc)
+                    lengths.append(len(x))
+                    ids.append(x.astype(packed).tobytes())
+                    size += len(x)
+                    if size >= block_ids:
+                        yield row()
+                        block, place = block + 1, place + size
+                        names, lengths, ids, size = [], [], [], 0
         if names:
             yield row()
 

@@ -43,8 +43,9 @@ class WordIds:
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
         self.model = self.lib.model
+        self.packed = [struct.Struct(f"<{n}I").pack for n in range(16)]
         self.known: dict[str, bytes] = {}   # plain pre-tokens
         self.older: dict[str, bytes] = {}   # the generation before; what is met again moves up
         self.odd: dict[str, bytes] = {}     # other parts, without the space before them
@@ -74,14 +75,14 @@ class WordIds:
         return found
 
     def _merge(self, s: str) -> bytes:
-        spelt = s if s.isalnum() and s.isascii() else "".join(map(self.letters.__getitem__, s.encode()))
+        spelt = s.encode().decode("latin-1").translate(self.letters)   # a character for each byte
         ids = [t.id for t in self.model.tokenize(spelt)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self.packed[len(ids)](*ids) if len(ids) < len(self.packed) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _part(self, part: str) -> bytes:
         """Ids of a part that starts the text or follows a cut, its space included."""
         runs = PLAIN.findall(part)
-        if sum(map(len, runs)) == len(part):
+        if "".join(runs) == part:
             return b"".join(self._plain(runs))
         got = self.odd.get(part)
         if got is None:
@@ -98,7 +99,7 @@ class WordIds:
         if any(s in text for s in self.special):
             return self.whole(text)
         runs = PLAIN.findall(text)
-        if sum(map(len, runs)) == len(text):
+        if "".join(runs) == text:
             return b"".join(self._plain(runs))
         pieces = [""]
         for p in text.split(" "):
