@@ -318,16 +318,20 @@ def _reached_bitmap(rows: DataFrame, bits: int, longest: int):
     return _bitmap(some.mapInArrow(spread, "h long"), bits)
 
 
+def range_bits(dealt: DataFrame) -> int:
+    """Leading bits of a hash that name its range."""
+    total = dealt.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    groups = max(int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // RANGE_WORDS)
+    return (groups - 1).bit_length()
+
+
 def frequent(dealt: DataFrame, shards: int = SHARDS, least: int = LEAST, longest: int = LONGEST, bits: int = BITS,
              log: list | None = None) -> DataFrame:
     """(h, length, n) of every word and phrase that occurs ``least`` times.
 
     ``log`` gets (step, shard, entries counted by length) of each scan."""
     import numpy as np
-    spark = dealt.sparkSession
-    total = dealt.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_WORDS)
-    cuts = (groups - 1).bit_length()
+    cuts = range_bits(dealt)
     none = np.zeros(1 << max(0, bits - 6), np.uint64)
     steps, marks, known = [], [], none
     while len(steps) < shards or any(m.any() for m in marks[-shards:]):
@@ -350,34 +354,56 @@ def frequent(dealt: DataFrame, shards: int = SHARDS, least: int = LEAST, longest
     return stage(_totals(rows, shards), "phrase-counts")
 
 
-def spell(dealt: DataFrame, marked, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
-    """(h, lang, words: hashes) of the phrases of two words and more that are marked, at least once each."""
+def spell(dealt: DataFrame, marked, cuts: int, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
+    """(h, lang, words: hashes) of the phrases of two words and more that are marked, once each."""
     on = marked.tobytes()
 
-    def run(batches: Iterator) -> Iterator:
+    def find(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         seen = np.zeros(1 << SEEN, np.uint64)
+        bounds = np.arange(1, 1 << cuts, dtype=np.uint64) << np.uint64(64 - cuts) if cuts else np.zeros(0, np.uint64)
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
-        def by_lang():
-            for b in batches:
-                for lang, cell in zip(b.column("lang"), b.column("tokens")):
-                    yield lang.as_py(), np.frombuffer(cell.as_buffer(), "<u8")
-
-        for lang, w in by_lang():
+        def rows(lang, w):
             for length, places, h in _active(w, on, on, bits, longest):
                 some = np.nonzero(_marked(on, h, bits))[0]
                 h, first = np.unique(h[some], return_index=True)
                 new = _unseen(seen, h)
                 h, at = h[new], places[some[first[new]]]
-                if not len(h):
-                    continue
-                flat = np.stack([w[at + i] for i in range(length)], axis=1).ravel().view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1, dtype=np.int32) * length), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([lang] * len(h), pa.string()), lists],
-                                                 ["h", "lang", "words"])
+                words = np.stack([w[at + i] for i in range(length)], axis=1)
+                cut = [0, *np.searchsorted(h, bounds).tolist(), len(h)]
+                out = [(lang, length, p, h[a:e].tobytes(), words[a:e].tobytes()) for p, (a, e) in enumerate(zip(cut, cut[1:])) if e > a]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
+                                                 ["lang", "length", "p", "hashes", "words"])
+
+        some, n, gap = {}, 0, np.zeros(1, np.uint64)
+        for b in batches:
+            for lang, cell in zip(b.column("lang").to_pylist(), b.column("tokens")):
+                w = np.frombuffer(cell.as_buffer(), "<u8")
+                some.setdefault(lang, []).extend((w, gap))
+                n += len(w)
+                if n >= LOT_WORDS:
+                    for lang, parts in some.items():
+                        yield from rows(lang, np.concatenate([gap, *parts]))
+                    some, n = {}, 0
+        for lang, parts in some.items():
+            yield from rows(lang, np.concatenate([gap, *parts]))
+
+    def once(key, t):
+        import numpy as np
+        import pyarrow as pa
+        length = key[0].as_py()
+        h = [np.frombuffer(x, "<u8") for x in t.column("hashes").to_pylist()]
+        words = np.concatenate([np.frombuffer(x, "<u8") for x in t.column("words").to_pylist()]).reshape(-1, length)
+        names = t.column("lang").to_pylist()
+        of = np.repeat(np.arange(len(h)), [len(x) for x in h])
+        h, first = np.unique(np.concatenate(h), return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1, dtype=np.int32) * length), pa.array(words[first].ravel().view(np.int64)))
+        return pa.table([pa.array(h.view(np.int64)), pa.array([names[i] for i in of[first]], pa.string()), lists], ["h", "lang", "words"])
 
-    return dealt.select("lang", "tokens").mapInArrow(run, "h long, lang string, words array<long>")
+    return dealt.select("lang", "tokens").mapInArrow(find, "lang string, length int, p long, hashes binary, words binary") \
+        .groupBy("length", "p").applyInArrow(once, "h long, lang string, words array<long>")
 
 
 def parts(phrases: DataFrame) -> DataFrame:
@@ -415,8 +441,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, ke
     counts = frequent(dealt, shards, least, longest, bits)
     marked = _bitmap(counts, bits)
     numbers = _small(counts.select("h", "n"))
-    found = spell(dealt, marked, longest, bits).join(numbers, "h").withColumnRenamed("n", "a")
-    found = stage(found.groupBy("h", "lang", "a").agg(F.min("words").alias("words")), "phrase-found")
+    found = spell(dealt, marked, range_bits(dealt), longest, bits).join(numbers, "h").withColumnRenamed("n", "a")
+    found = stage(found, "phrase-found")
     pieces = stage(parts(found), "phrase-parts")
 
     # the most frequent longer phrase around each phrase
