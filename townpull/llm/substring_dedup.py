@@ -305,9 +305,12 @@ def _beside(placed: DataFrame) -> DataFrame:
     is over 0 as one of them is unlike the pivot; and so, in any order of the elements, one of
     the first n1 - o + 1 of the one is among the first n2 - o + 1 of the other. The order is from
     rare to frequent: members that differ from the pivot in places of their own do not meet. Where
-    all members are like their pivot nothing is left to find."""
-    mixed = placed.where("not like").select("pivot").distinct()
-    each = placed.join(mixed, "pivot", "left_semi").select("pivot", "h", "size", "n", "like", F.explode("apart").alias("d"))
+    all members are like their pivot nothing is left to find; and since o is at most n2, a member is
+    too near the pivot for all unlike ones where n2 + APART times its size is below their least
+    n1 - APART times size."""
+    far = placed.where("not like").groupBy("pivot").agg(F.min(F.col("n") - F.col("size") * APART).alias("far"))
+    each = placed.join(far, "pivot").where(F.col("n") + F.col("size") * APART >= F.col("far") - 1e-9) \
+        .select("pivot", "h", "size", "n", "like", F.explode("apart").alias("d"))
     often = each.groupBy("pivot", "d").agg(F.count("*").alias("often"))
     order = Window.partitionBy("pivot", "h").orderBy("often", "d")   # as many as two paragraphs' shingles
     first = stage(each.join(often, ["pivot", "d"]).where("often > 1").withColumn("place", F.row_number().over(order)),
