@@ -427,6 +427,29 @@ def test_similar_lines_lose_no_link(spark, monkeypatch):
     assert [got.index(g) for g in got] == [group.index(g) for g in group]
 
 
+@pytest.mark.parametrize("slots", [20, 3])
+def test_members_beside_a_pivot_lose_no_pair(spark, monkeypatch, slots):
+    """All similar pairs of which one is unlike the pivot, also where many elements share a slot."""
+    monkeypatch.setattr(substring_dedup, "SLOTS", slots)
+    rng = random.Random(slots)
+    pivot, base, sets = set(range(100)), set(range(100)), {}
+    for i in range(60):
+        if i % 20 == 0:
+            base = set(pivot)
+        base = set(rng.sample(sorted(base), len(base) - 2)) | {1000 + rng.randrange(40), 2000 + rng.randrange(10 ** 6)}
+        sets[i] = set(base)
+    like = {i: len(x & pivot) >= 0.8 * len(x | pivot) for i, x in sets.items()}
+    rows = [(i, p, len(x), sorted(x ^ pivot), len(x ^ pivot), like[i]) for i, x in sets.items() for p in (-5, 7)]
+    placed = spark.createDataFrame(rows, "h long, pivot long, size int, apart array<long>, n int, like boolean")
+    got = [(r.a, r.b) for r in substring_dedup._beside(placed).collect()]
+    similar = {(i, j) for i in sets for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    wanted = {(i, j) for i, j in similar if not (like[i] and like[j])}
+    assert wanted and wanted <= set(got) and len(got) == len(set(got))
+    assert all(not (like[i] and like[j]) for i, j in got)
+    assert substring_dedup._beside(placed.where("like")).count() == 0
+    assert substring_dedup._beside(placed.limit(0)).count() == 0
+
+
 def slow_passages(rows, n=16):
     """(doc, word) places that some window with an earlier copy covers; a first copy stays whole."""
     first, gone = {}, set()

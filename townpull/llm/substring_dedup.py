@@ -53,6 +53,7 @@ RUN_WORDS = 16
 ANCHOR = 8          # words of an anchor; each window of RUN_WORDS words holds one
 FEW = 24            # members of a bucket up to which all pairs are compared
 LOT_WORDS = 60_000  # words of short texts that are hashed together
+SLOTS = 20          # bits of the size of the table of how often elements differ from a pivot
 BROADCAST_ROWS = 2_000_000   # hashes that repeat (a long each) sent to every executor
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -296,6 +297,45 @@ def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return _verified(pairs.select("a", "b").distinct(), sets).unionAll(star).unionAll(_verified(_beside(placed), sets))
 
 
+def _slots(pivot, d):
+    """Place in a table of 2 ** SLOTS of the element d of a pivot's members."""
+    import numpy as np
+    return (_mix(pivot ^ _mix(d)) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+def _elements(batch):
+    """Row number, slot and value of each element of ``apart`` (the last column; the first is the pivot)."""
+    import numpy as np
+    import pyarrow.compute as pc
+    lists = batch.column(batch.num_columns - 1)
+    row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    d = lists.flatten().to_numpy().view(np.uint64)
+    return row, _slots(batch.column(0).to_numpy().view(np.uint64)[row], d), d
+
+
+def _often(each: DataFrame):
+    """Two arrays over the slots: how many elements fall there, and how many of them of members unlike the pivot."""
+    def count(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        n, unlike = np.zeros(1 << SLOTS, np.int64), np.zeros(1 << SLOTS, np.int64)
+        for b in batches:
+            row, slot, _ = _elements(b)
+            n += np.bincount(slot, minlength=len(n))
+            unlike += np.bincount(slot[~b.column(1).to_numpy(zero_copy_only=False)[row]], minlength=len(n))
+        s = np.nonzero(n)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (s, n[s], unlike[s])], ["slot", "n", "unlike"])
+
+    import numpy as np
+    # bounded by the slots
+    got = each.select("pivot", "like", "apart").mapInArrow(count, "slot long, n long, unlike long") \
+        .groupBy("slot").agg(F.sum("n").alias("n"), F.sum("unlike").alias("unlike")).toArrow()
+    out = np.zeros((2, 1 << SLOTS), np.int64)
+    for i, name in enumerate(("n", "unlike")):
+        out[i, got.column("slot").to_numpy()] = got.column(name).to_numpy()
+    return out
+
+
 def _beside(placed: DataFrame) -> DataFrame:
     """Pairs (a, b) of members with one pivot, at least one of which is unlike it, that may be similar.
 
@@ -303,21 +343,44 @@ def _beside(placed: DataFrame) -> DataFrame:
     as many shingles as their ``apart`` do. Similar ones may differ in at most APART times the
     sum of their sizes, so they share at least o = (n1 + n2 - that) / 2 elements of ``apart``, which
     is over 0 as one of them is unlike the pivot; and so, in any order of the elements, one of
-    the first n1 - o + 1 of the one is among the first n2 - o + 1 of the other. The order is from
-    rare to frequent: members that differ from the pivot in places of their own do not meet. Where
-    all members are like their pivot nothing is left to find; and since o is at most n2, a member is
-    too near the pivot for all unlike ones where n2 + APART times its size is below their least
-    n1 - APART times size."""
-    far = placed.where("not like").groupBy("pivot").agg(F.min(F.col("n") - F.col("size") * APART).alias("far"))
-    each = placed.join(far, "pivot").where(F.col("n") + F.col("size") * APART >= F.col("far") - 1e-9) \
-        .select("pivot", "h", "size", "n", "like", F.explode("apart").alias("d"))
-    often = each.groupBy("pivot", "d").agg(F.count("*").alias("often"))
-    order = Window.partitionBy("pivot", "h").orderBy("often", "d")   # as many as two paragraphs' shingles
-    first = stage(each.join(often, ["pivot", "d"]).where("often > 1").withColumn("place", F.row_number().over(order)),
-                  "dedup-apart")
-    # elements that no other has come before these
-    alone = each.join(often, ["pivot", "d"]).where("often = 1").groupBy("pivot", "h").agg(F.count("*").alias("alone"))
-    first = first.join(alone, ["pivot", "h"], "left").withColumn("place", F.col("place") + F.coalesce("alone", F.lit(0)))
+    the first n1 - o + 1 of the one is among the first n2 - o + 1 of the other. Only these are dealt out: for o
+    stands the least that any partner allows, by the least n - APART times size of the pivot's unlike members
+    (for an unlike one: of all its members). Where all members are like their pivot nothing is left to find; and
+    since o is at most n2, a member is too near the pivot for all unlike ones where n2 + APART times its size is
+    below their least n1 - APART times size.
+
+    The order is from rare to frequent, so that members that differ from the pivot in places of their own do not meet.
+    Elements are counted in a table of fixed size; those that share a slot there only stand elsewhere in
+    the order, which may be any. An element that is alone in its slot, or of which no unlike member is there, meets none."""
+    spare = F.col("n") - F.col("size") * APART
+    far = placed.groupBy("pivot").agg(F.min(F.when(~F.col("like"), spare)).alias("far"), F.min(spare).alias("near")).where("far is not null")
+    each = placed.join(_small(stage(far, "dedup-far")), "pivot").where(F.col("n") + F.col("size") * APART >= F.col("far") - 1e-9)
+    often, unlike = _often(each)
+    import numpy as np
+    rank = np.minimum(255, 8 * np.log2(np.maximum(often, 1))).astype(np.uint8)
+    meets = np.packbits(np.stack((often > 1, unlike > 0)), axis=1)   # of an unlike member, of one like the pivot
+
+    def prefix(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        on = np.unpackbits(meets, axis=1).view(bool)
+        for b in batches:
+            row, slot, d = _elements(b)
+            size, n, least = (b.column(i).to_numpy() for i in (2, 3, 5))
+            like = b.column(4).to_numpy(zero_copy_only=False)
+            order = np.lexsort((_mix(d), rank[slot], row))
+            row, slot, d = row[order], slot[order], d[order]   # the rows stay where they were
+            place = np.arange(len(row)) - (np.cumsum(n) - n)[row] + 1
+            shared = np.ceil((least + n - size * APART) / 2 - 1e-6)
+            some = (place <= (n - shared + 1)[row]) & on[like[row].astype(int), slot]
+            at = pa.array(row[some])
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(at) for i in range(5)), pa.array(d[some].view(np.int64)),
+                                              pa.array(place[some].astype(np.int32))], ["pivot", "h", "size", "n", "like", "d", "place"])
+
+    least = F.when(F.col("like"), F.col("far")).otherwise(F.col("near"))
+    first = each.select("pivot", "h", "size", "n", "like", least.alias("least"), "apart") \
+        .mapInArrow(prefix, "pivot long, h long, size int, n int, like boolean, d long, place int")
+    first = stage(first, "dedup-apart")
     x = first.where("not like").select("pivot", "d", F.col("h").alias("x"), F.col("size").alias("xs"), F.col("n").alias("xn"),
                                        F.col("place").alias("xp"))
     y = first.select("pivot", "d", F.col("h").alias("y"), F.col("size").alias("ys"), F.col("n").alias("yn"),
