@@ -167,8 +167,8 @@ def paragraphs(text: bytes) -> tuple[list[bytes], list[tuple[int, int, int, int]
 
 
 def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> DataFrame:
-    """doc_id, text_key, line (a paragraph, or else an anchor), start, n (words), h (hash of the words)
-    and, for paragraphs, level, block (see ``paragraphs``) and the bands."""
+    """Rows of paragraphs (line): doc_id, text_key, start, n (words), h (hash of the words), level, block (see
+    ``paragraphs``) and the bands; and a row for each text's anchors: their places ``at`` and hashes ``anchors``."""
     bands = bands or tune_bands(rows=rows)
 
     def make(batches: Iterator) -> Iterator:
@@ -207,20 +207,24 @@ def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> D
             sig = signatures(sh, line[:, 1], line[:, 2] - SHINGLE + 1) if len(line) else np.zeros((bands, 0), np.uint64)
             begins, anchors = anchor_places(w, spans)
             of = np.searchsorted(np.array([b for _, b in spans], np.int64), begins, side="right")
-            none = len(of)
-            who = np.concatenate((line[:, 0], of))
-            start, n = np.concatenate((line[:, 1], begins)), np.concatenate((line[:, 2] - line[:, 1], np.full(none, ANCHOR)))
+            count = np.bincount(of, minlength=len(texts))
+            some = np.nonzero(count)[0]
+            none = len(some)
+            who = np.concatenate((line[:, 0], some))
             h = _run_hashes(w, line[:, 1], line[:, 2]) if len(line) else np.zeros(0, np.uint64)
-            h = np.concatenate((h, anchors)).view(np.int64)
             kind = np.arange(len(who)) < len(line)
             lists = pa.ListArray.from_arrays(
                 np.concatenate((np.arange(len(line) + 1) * bands, np.full(none, len(line) * bands))).astype(np.int32),
                 pa.array(sig.T.ravel().view(np.int64)))
-            level, block = (np.concatenate((line[:, i], np.full(none, -1))).astype(np.int32) for i in (3, 4))
+            ends = pa.array(np.concatenate((np.zeros(len(line) + 1), np.cumsum(count[some]))).astype(np.int32))
+            at = pa.ListArray.from_arrays(ends, pa.array((begins - first[of]).astype(np.int32)))
+            anchors = pa.ListArray.from_arrays(ends, pa.array(anchors.view(np.int64)))
+            numbers = (line[:, 1] - first[line[:, 0]], line[:, 2] - line[:, 1], h.view(np.int64), line[:, 3], line[:, 4])
+            start, n, h, level, block = (np.concatenate((x, np.full(none, -1))) for x in numbers)
             return pa.RecordBatch.from_arrays(
-                [*(k.take(pa.array(who)) for k in keys), pa.array(kind), pa.array((start - first[who]).astype(np.int32)),
-                 pa.array(n.astype(np.int32)), pa.array(h), pa.array(level), pa.array(block), lists],
-                ["doc_id", "text_key", "line", "start", "n", "h", "level", "block", "bands"])
+                [*(k.take(pa.array(who)) for k in keys), pa.array(kind), *(pa.array(x.astype(np.int32)) for x in (start, n)),
+                 pa.array(h), *(pa.array(x.astype(np.int32)) for x in (level, block)), lists, at, anchors],
+                ["doc_id", "text_key", "line", "start", "n", "h", "level", "block", "bands", "at", "anchors"])
 
         for b in batches:
             texts = b.column(2).cast(pa.binary())
@@ -237,7 +241,7 @@ def units(docs: DataFrame, bands: int | None = None, rows: int = BAND_ROWS) -> D
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text")) \
         .mapInArrow(make, f"doc_id {kind}, text_key long, line boolean, start int, n int, h long, "
-                           "level int, block int, bands array<long>")
+                           "level int, block int, bands array<long>, at array<int>, anchors array<long>")
 
 
 def line_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -439,8 +443,8 @@ def _gone_paragraphs(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _windows(docs: DataFrame, anchors: DataFrame, gone: DataFrame) -> DataFrame:
-    """doc_id, text_key, start, h (hash of RUN_WORDS words) of each window that holds a repeated anchor
-    and no word of a paragraph that goes."""
+    """doc_id, text_key, start, h (hash of RUN_WORDS words) of each window that holds a repeated one of the
+    ``anchors`` (doc_id, text_key, at, anchors) and no word of a paragraph that goes."""
     def make(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
@@ -469,9 +473,11 @@ def _windows(docs: DataFrame, anchors: DataFrame, gone: DataFrame) -> DataFrame:
                                               pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64))],
                                              ["doc_id", "text_key", "start", "h"])
 
-    often = stage(anchors.groupBy("h").agg(F.count("*").alias("size")).where("size > 1").select("h"), "dedup-often")
+    often = anchors.select(F.explode("anchors").alias("h")).groupBy("h").agg(F.count("*").alias("size"))
+    often = stage(often.where("size > 1").select("h"), "dedup-often")
     # as many as a text has words
-    want = anchors.join(_small(often), "h", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("at")) \
+    each = anchors.select("doc_id", "text_key", F.explode(F.arrays_zip("at", "anchors")).alias("x"))
+    want = each.select("doc_id", "text_key", F.col("x.at").alias("start"), F.col("x.anchors").alias("h")).join(_small(often), "h", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("at")) \
         .select(F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"), "at")
     lost = gone.groupBy("doc_id", "text_key").agg(F.collect_list("start").alias("lost"), F.collect_list("n").alias("size"))
     want = want.join(lost, F.col("want_id").eqNullSafe(F.col("doc_id")) & (F.col("want_key") == F.col("text_key")), "left") \
@@ -513,7 +519,7 @@ def removals(docs: DataFrame) -> DataFrame:
     every span of words that goes. Spans of one text may overlap."""
     found = stage(units(docs), "dedup-units")
     gone = stage(_gone_paragraphs(docs, found.where("line")), "dedup-gone")
-    windows = stage(_windows(docs, found.where("not line").select("doc_id", "text_key", "start", "h"), gone), "dedup-windows")
+    windows = stage(_windows(docs, found.where("not line").select("doc_id", "text_key", "at", "anchors"), gone), "dedup-windows")
     runs = stage(_gone_passages(windows), "dedup-runs")
     place = ["doc_id", "text_key", "start"]
     return gone.select(*place, F.col("n").alias("n_words"), F.lit("paragraph").alias("what"), "group_id", "kept_doc_id") \
