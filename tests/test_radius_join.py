@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from townpull.operators.radius_join import attach_candidates, build_cell_index, radius_join
+from townpull.operators.radius_join import attach_candidates, bbox_candidates, build_cell_index, radius_join
 from townpull.operators.ranking import top_metros
 from townpull.plans.assign import assign_metros
 
@@ -263,3 +263,23 @@ def test_reassigning_an_output_replaces_derived_columns(spark):
     a = {r["geonameid"]: r["assigned_metro_id"] for r in first.collect()}
     b = {r["geonameid"]: r["assigned_metro_id"] for r in again.collect()}
     assert a == b
+
+
+@pytest.mark.parametrize("way", [{}, {"max_broadcast_entries": 0}, {"chunk_size": 2}, {"chunk_size": 2, "max_broadcast_entries": 0}])
+def test_boxes_equal_brute_force_and_are_dealt_out(spark, way):
+    towns, metros, (tl, to), (ml, mo, pop) = _frames(spark, 1500, 200)
+    lost = spark.createDataFrame([(9001, None, 3.0), (9002, 3.0, None)], towns.schema)
+    delta = (10 + 90 * (1 - np.exp(-pop.astype(float) / 1443000.0))) / R_KM
+    ratio = np.sin(delta) / np.cos(np.radians(ml))
+    wide = (np.abs(ml) + np.degrees(delta) >= 90) | (ratio >= 1)
+    lon_half = np.degrees(np.arcsin(np.minimum(ratio, 1))) * 1.000001 + 1e-9
+    dlon = np.abs((to[:, None] - mo[None, :] + 180) % 360 - 180)
+    inside = (np.abs(tl[:, None] - ml[None, :]) <= np.degrees(delta) * 1.000001 + 1e-9) & (wide | (dlon <= lon_half))
+    out = bbox_candidates(towns.unionAll(lost).coalesce(1), metros, **way)
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == sorted((int(a), 100000 + int(b)) for a, b in zip(*np.nonzero(inside))) and len(got) > 150
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    if way.get("max_broadcast_entries") != 0:
+        assert "RoundRobinPartitioning" in plan, plan
+    elif "chunk_size" in way:
+        assert "hashpartitioning(_cell" in plan and "_chunk" in plan.split("hashpartitioning(_cell")[1].split(")")[0], plan
