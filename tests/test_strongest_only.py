@@ -75,6 +75,22 @@ def test_entries_of_a_cell_stay_few(spark):
     assert sizes[1][0] < 1.5 * sizes[0][0] and max(s for _, s in sizes) < 2 * RJ.SPLIT_ENTRIES, sizes
 
 
+@pytest.mark.parametrize("best", [1, 3])
+def test_entries_are_pruned_without_a_shuffle(spark, best):
+    """Entries meet the bar of their part by a broadcast; a bar that is not small goes by a shuffle, with the same rows."""
+    metros, _ = crowd(spark)
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    entries = RJ.metro_cells(metros).select(F.col("cell").alias("base"), one.alias("parts"), none.alias("si"), none.alias("sj"), "m")
+    kept = RJ._survivors(RJ.materialize(entries), "haversine", RJ.DEFAULT_CELL_DEG, best)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan, plan
+    key = lambda df: sorted((r["base"], r["m"]["metro_id"]) for r in df.collect())
+    with pytest.MonkeyPatch.context() as mp:
+        mp.setattr(RJ, "join_small", lambda big, small, on, how: big.join(small, on, how))
+        shuffled = RJ._survivors(entries, "haversine", RJ.DEFAULT_CELL_DEG, best)
+    assert 0 < len(key(kept)) < entries.count() and key(kept) == key(shuffled)
+
+
 def test_pairs_of_hot_cells_are_not_shuffled(spark):
     """Pairs of a cell in chunks are not gathered by town again; the same pairs come out."""
     metros, towns = crowd(spark)
