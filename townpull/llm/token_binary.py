@@ -77,17 +77,19 @@ def encode_block(ids, t: Tables, precision: int = PRECISION, lanes: int = LANES,
     steps = -(-n // lanes)
     state = np.full(lanes, LOW, np.uint64)
     shift, out, marks = np.uint64(precision), [], []
+    symbols = np.asarray(ids).astype(np.intp)   # once a block, not at each look-up
     words = 0
     for step in range(steps - 1, -1, -1):
-        s = ids[step * lanes:(step + 1) * lanes]
-        x, f = state[:len(s)], t.f[s]
-        over = x >= f << np.uint64(63 - precision)
-        if over.any():
-            out.append((x[over] & np.uint64(0xFFFFFFFF)).astype("<u4"))
-            words += len(out[-1])
-            x = np.where(over, x >> np.uint64(32), x)
-        q = x // f
-        state[:len(s)] = (q << shift) + (x - q * f) + t.first[s]
+        s = symbols[step * lanes:(step + 1) * lanes]
+        x, f = state[:len(s)], t.f.take(s)
+        over = np.flatnonzero(x >> np.uint64(63 - precision) >= f)
+        if len(over):
+            high = x.take(over)
+            out.append(high.astype("<u4"))   # the low 32 bits
+            words += len(over)
+            x[over] = high >> np.uint64(32)
+        # (q << shift) + (x - q * f) + first
+        state[:len(s)] = x + x // f * ((np.uint64(1) << shift) - f) + t.first.take(s)
         if step % every == 0:
             marks.append((step, words, state.astype("<u8").tobytes()))
     stream = np.concatenate(out[::-1]) if out else np.zeros(0, "<u4")
@@ -109,14 +111,14 @@ def decode_block(stream: bytes, marks, n: int, t: Tables, precision: int = PRECI
         m = min(lanes, n - step * lanes)
         x = state[:m]
         slot = x & low_bits
-        s = t.slot[slot]
+        s = t.slot.take(slot.view(np.intp))
         ids[step * lanes - begin:step * lanes - begin + m] = s
-        x = t.f[s] * (x >> shift) + slot - t.first[s]
-        under = x < np.uint64(LOW)
-        k = int(under.sum())
-        if k:
-            x[under] = (x[under] << np.uint64(32)) | words[at:at + k]
-            at += k
+        s = s.astype(np.intp)
+        x = t.f.take(s) * (x >> shift) + slot - t.first.take(s)
+        under = np.flatnonzero(x < np.uint64(LOW))
+        if len(under):
+            x[under] = x.take(under) << np.uint64(32) | words[at:at + len(under)]
+            at += len(under)
         state[:m] = x
     return ids
 
