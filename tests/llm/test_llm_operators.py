@@ -702,3 +702,26 @@ def test_leaks_of_short_items(spark, shortest):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.matched for r in decontamination.leaks(docs_of(spark, rows), bench).collect()}
     assert got == decontamination.brute_force_leaks(rows, items) and len(got) >= len(rows)
+
+
+@pytest.mark.parametrize("counts", [{7: 5}, {0: 1, 3: 900_000, 9: 17, 40_000: 2}])
+def test_coder_steps_are_those_of_the_method(counts):
+    """Words and states equal those of the plain formulas in whole numbers, extreme frequencies included."""
+    import numpy as np
+    frequencies = token_binary.scaled_frequencies(counts)
+    t, lanes, bits = token_binary.Tables(frequencies), 4, token_binary.PRECISION
+    ids = np.random.default_rng(2).choice(sorted(counts), 203)
+    words, marks = token_binary.encode_block(ids.astype("<u2"), t, lanes=lanes, every=10)
+    state, out = [token_binary.LOW] * lanes, []
+    for step in range(-(-len(ids) // lanes) - 1, -1, -1):
+        put = []
+        for lane, s in enumerate(ids[step * lanes:(step + 1) * lanes].tolist()):
+            x, f = state[lane], frequencies[s]
+            if x >= f << (63 - bits):
+                put.append(x & 0xFFFFFFFF)
+                x >>= 32
+            state[lane] = (x // f << bits) + x % f + int(t.first[s])
+        out.append(put)
+    assert words == np.array([w for put in reversed(out) for w in put], "<u4").tobytes()
+    assert np.frombuffer(marks[0][2], "<u8").tolist() == state
+    assert (token_binary.decode_block(words, marks, len(ids), t, lanes=lanes) == ids).all()
