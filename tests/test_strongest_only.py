@@ -100,3 +100,29 @@ def test_pairs_of_hot_cells_are_not_shuffled(spark):
     assert "hashpartitioning(_rk" not in plan and "collect_list" not in plan, plan
     key = lambda df: sorted((x[0], x[1], round(x[3], 9)) for x in df.collect())
     assert key(one) == key(many) and len(key(one)) > 1000
+
+
+@pytest.mark.parametrize("metric", ["haversine", "mercator_cos"])
+def test_bounds_of_parts_hold(spark, metric):
+    """Bounds of all parts of a part are worked out in batches; they hold at points of the parts."""
+    metros, _ = crowd(spark)
+    cells = RJ.metro_cells(metros.filter("latitude between 50 and 54"), metric)
+    entries = cells.select(F.col("cell").alias("base"), F.lit(1).cast("long").alias("parts"), F.lit(0).cast("long").alias("si"),
+                           F.lit(0).cast("long").alias("sj"), "m")
+    whole = RJ._quotients(entries, metric, 0.25, 1)
+    got = RJ._quotients(entries, metric, 0.25, 4)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    r = F.col("m.radius")
+    lat = F.floor(F.col("base") / 1440) * 0.25 - 90.0 + (F.col("si") + F.rand(1)) * 0.25 / F.col("parts")
+    lon = F.pmod(F.col("base"), F.lit(1440)) * 0.25 - 180.0 + (F.col("sj") + F.rand(2)) * 0.25 / F.col("parts")
+    for df, most in ((whole, 1), (got, 16)):
+        at = RJ.materialize(df.withColumn("y", lat).withColumn("x", lon))
+        at = at.withColumn("_tlat", F.col("y")).withColumn("_tlon", F.col("x")).withColumn("_tcos", F.cos(F.radians("y"))) \
+            .withColumn("_ty", RJ.mercator_y(F.col("y")))
+        q = at.withColumn("q", RJ._pair_distance(metric, F.col("m")) / r)
+        assert q.filter((F.col("q") < F.col("low") - 1e-9) | (F.col("q") > F.col("high") + 1e-9)).count() == 0
+        n = entries.count()
+        assert 0 < q.count() <= most * n and q.filter((F.col("parts") == (1 if most == 1 else 4))).count() == q.count()
+    # what is left out lies beyond the radius: every point within it has its part
+    left = {(e["base"], e["si"], e["sj"], e["m"]["metro_id"]) for e in got.collect()}
+    assert 100 < len(left) < 16 * n
