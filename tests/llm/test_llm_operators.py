@@ -101,6 +101,19 @@ def test_simhash_links_dense_fingerprints(spark):
     assert {f: got.get(f, f) for f in fps} == group
 
 
+def test_simhash_broadcasts_nothing_exploded(spark, monkeypatch):
+    """Spark takes an explode for no larger than its input, and 46 probes or 2,081 midpoints a fingerprint
+    for small enough to broadcast."""
+    stored = []
+    monkeypatch.setattr(simhash, "stage", lambda df, label: stored.append(df) or df)
+    edges = simhash.link_fingerprints(spark.range(300).select(F.col("id").alias("fp")), hot=1)
+    for df in (stored[0], edges):
+        df.collect()   # then the plan is the one that adaptive execution ended with
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        inner = [line for line in plan.splitlines() if " Inner" in line]
+        assert inner and all("SortMergeJoin" in line for line in inner), inner
+
+
 def test_simhash_stage_keeps_one_of_a_group(spark, prose):
     rows = near_copies(prose, 30) + [(0, "again and again once more"), (0, "again and again once more"), (None, "x")]
     df = docs_of(spark, rows, True)

@@ -108,7 +108,8 @@ def link_fingerprints(fps: DataFrame, bits: int = BITS, segments: int = SEGMENTS
     # an entry of a hot value is one mark without a fingerprint
     table = entries.join(full, "key", "left_anti").select("key", F.col("fp").alias("other")) \
         .unionAll(full.select("key", F.lit(None).cast("long").alias("other")))
-    met = fps.select("fp", F.explode(F.array(*probes)).alias("key")).join(table, "key") \
+    # Spark sizes what an explode gives out as what goes in: without the hint it broadcasts all probes
+    met = fps.select("fp", F.explode(F.array(*probes)).alias("key")).hint("merge").join(table, "key") \
         .where(F.col("other").isNull() | ((F.col("other") < F.col("fp")) &
                                           (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= bits))) \
         .select("fp", "other").distinct()
@@ -118,7 +119,7 @@ def link_fingerprints(fps: DataFrame, bits: int = BITS, segments: int = SEGMENTS
         .select("fp", F.explode(F.lit(masks)).alias("mask")) \
         .select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("mid"))
     least = ball.groupBy("mid").agg(F.min("fp").alias("b"), F.max("fp").alias("most")).where("b < most").select("mid", "b")
-    stars = ball.join(least, "mid").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    stars = ball.hint("merge").join(least, "mid").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
     return met.where("other is not null").select(F.col("fp").alias("a"), F.col("other").alias("b")).unionAll(stars)
 
 
