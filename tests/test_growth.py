@@ -66,6 +66,35 @@ def test_rounds_evaluate_the_frontier_only(spark):
             "eff_population", F.col("population").cast("long") + F.coalesce("g", F.lit(0))).drop("g")
 
 
+def test_size_estimates_do_not_pile_up(spark, monkeypatch):
+    """A checkpoint hands on Spark's size estimate, the product of all tables joined before: over the rounds a number of
+    millions of digits, with which planning took minutes."""
+    from townpull.plans import growth
+    monkeypatch.setattr(growth, "_state", lambda eff, n=iter(range(99)): next(n))   # no round is the last
+    _, rounds, _ = iterative_growth(places(spark, SF_SMALL), rounds=6, return_rounds=True)
+    bits = [r._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() for r in rounds]
+    assert len(bits) == 7 and max(bits) < 64, bits
+
+
+def test_dense_cells_are_thinned_out_where_many_pairs_are_met(spark, monkeypatch):
+    """Rounds that meet few pairs keep all metros of a cell; both ways assign the same."""
+    from townpull.operators import radius_join
+    from townpull.plans import growth
+    monkeypatch.setattr(radius_join, "SPLIT_ENTRIES", 1)
+    refined = []
+    plain = radius_join._refine
+    monkeypatch.setattr(radius_join, "_refine", lambda *a: refined.append(1) or plain(*a))
+    build = growth.build_cell_index
+    monkeypatch.setattr(growth, "build_cell_index", lambda *a, **kw: build(*a, **{**kw, "at_most": None}))
+    rows = {}
+    for few in (0, 10**9):
+        refined.clear()
+        monkeypatch.setattr(growth, "REFINE_PAIRS", few)
+        rows[few] = {tuple(r) for r in iterative_growth(places(spark, SF_SMALL)).select("geonameid", "eff_population", "assigned_metro_id").collect()}
+        assert bool(refined) == (few == 0)
+    assert rows[0] == rows[10**9]
+
+
 def test_a_state_that_comes_back_raises(spark, monkeypatch):
     from townpull.plans import growth
     states = iter([1, 2, 1])
