@@ -283,3 +283,16 @@ def test_boxes_equal_brute_force_and_are_dealt_out(spark, way):
         assert "RoundRobinPartitioning" in plan, plan
     elif "chunk_size" in way:
         assert "hashpartitioning(_cell" in plan and "_chunk" in plan.split("hashpartitioning(_cell")[1].split(")")[0], plan
+
+
+def test_listed_candidates_are_dealt_out_evenly(spark, tmp_out):
+    """A small file of towns is read by one task, which must not list the candidates of all of them."""
+    import os
+
+    from townpull.sources.fixture import places
+    path = os.path.join(tmp_out, "places")
+    places(spark, "/root/testdata/sf0.001").coalesce(1).write.parquet(path)
+    plain = spark.read.parquet(path)
+    out = assign_metros(plain, rule="admin_seat", candidates=True)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert plain.rdd.getNumPartitions() == 1 and len(sizes) > 1 and max(sizes) < sum(sizes) / 2, sizes
