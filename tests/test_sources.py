@@ -260,3 +260,16 @@ def test_counts_are_observed_on_the_write(spark, tmp_out):
         assert counts == stage_counts(pl, assign_metros(pl, rule=rule)).first().asDict()
         assert n <= plain
         assert spark.read.parquet(path).exceptAll(spark.read.parquet(path + "-plain")).count() == 0
+
+
+def test_only_texts_that_may_be_odd_meet_the_pattern(spark):
+    """The pattern that tells Python literals from JSON takes longer than reading the JSON; it is kept from plain texts."""
+    from townpull.sources.files import decode_candidates
+    entry = '[{"metro_id": 1, "metro_name": "%s", "force": 0.5, "distance": 2.0}]'
+    names = ["Plain", "Banana", "None", "an inf", "a \\\\ b"]
+    df = spark.createDataFrame([(i, entry % n) for i, n in enumerate(names)] + [(9, None), (10, "")], "i int, t string")
+    out = df.select("i", decode_candidates("t").alias("c"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Contains(") < plan.index("RLIKE"), plan
+    got = {r["i"]: [x["metro_name"] for x in r["c"]] for r in out.collect()}
+    assert got == {**{i: [n.replace("\\\\", "\\")] for i, n in enumerate(names)}, 9: [], 10: []}
